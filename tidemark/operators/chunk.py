@@ -28,12 +28,13 @@ PAGE_KEY = ("start_url", "page_seq")
 MAX_LEVEL = 6
 
 
-def _sections(markdown: Column) -> Column:
-    """array<struct<sec, level, heading, body>>: section 0 is the text before the first heading."""
-    lines = F.split(markdown, "\n", -1)
-    levels = F.transform(lines, lambda l: heading_level(l))
-    # 0-based line numbers of heading lines
-    hpos = F.filter(F.transform(levels, lambda lv, i: F.when(lv > 0, i).otherwise(-1)), lambda i: i >= 0)
+def _sections(lines: Column, levels: Column, hpos: Column) -> Column:
+    """array<struct<sec, level, heading, body>>: section 0 is the text before the first heading.
+
+    ``lines``/``levels``/``hpos`` must be column references (computed in an
+    earlier projection): the lambda runs once per section, and an inlined
+    expression there would redo the line scan for every section.
+    """
     m = F.size(hpos)
     n = F.size(lines)
 
@@ -54,11 +55,16 @@ def _sections(markdown: Column) -> Column:
 def markdown_sections(pages: DataFrame, key=PAGE_KEY) -> DataFrame:
     """One row per section: ``key..., url, sec, level, heading, text`` (text normalized)."""
     key = list(key)
+    lines = pages.select(*key, "url", chunk_id_base("url").alias("_id_base"),
+                         F.split("markdown", "\n", -1).alias("_lines"))
+    levels = lines.select("*", F.transform("_lines", heading_level).alias("_levels"))
+    # 0-based line numbers of the heading lines
+    heads = levels.select("*", F.filter(
+        F.transform("_levels", lambda lv, i: F.when(lv > 0, i).otherwise(-1)), lambda i: i >= 0).alias("_hpos"))
     return (
-        pages.select(*key, "url", chunk_id_base("url").alias("_id_base"),
-                     F.inline(_sections(F.col("markdown"))))
-        .select(*key, "url", "_id_base", "sec", "level", "heading",
-                normalize("body").alias("text"))
+        heads.select(*key, "url", "_id_base",
+                     F.inline(_sections(F.col("_lines"), F.col("_levels"), F.col("_hpos"))))
+        .select(*key, "url", "_id_base", "sec", "level", "heading", normalize("body").alias("text"))
     )
 
 

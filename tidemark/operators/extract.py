@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.text import normalize, sha256_hex
+from .parallel import spread
 
 
 def extract_pages(raw: DataFrame, html_col: str = "raw_html") -> DataFrame:
@@ -23,6 +24,7 @@ def extract_pages(raw: DataFrame, html_col: str = "raw_html") -> DataFrame:
     normal form, so it is hashed as is).
     """
     extra = [c for c in raw.columns if c not in ("url", html_col, "status", "fetched_at", "depth")]
+    raw = spread(raw, "url")
     s1 = raw.select("*", H.strip_code(F.col(html_col)).alias("_code"))
     s2 = s1.select("*", H.main_fragment_from_code("_code").alias("_frag"))
     s3 = s2.select("*", H.fragment_to_markdown("_frag").alias("_md"))

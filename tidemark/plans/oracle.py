@@ -252,3 +252,196 @@ SQL["change_summary"] = with_(
     "CAST(count(c.change_type) FILTER (WHERE c.change_type = 'removed') AS BIGINT) AS removed "
     "FROM runs r LEFT JOIN changes c ON r.start_url = c.start_url GROUP BY r.start_url")
 SQL["changed_chunk_count"] = with_(_CHANGES, "SELECT count(*) AS changed_chunks FROM changes")
+
+
+# --- state, sinks, delivery, enrichment, rendering, quality ---------------------------
+
+from ..operators.enrich import DEFAULT_SYSTEM_PROMPT  # noqa: E402
+
+_SITES = f"SELECT DISTINCT {Q.site_start_url('url')} AS start_url FROM pages"
+_SITE_KEY = "substr(sha256(start_url), 1, 16)"
+SQL["state_key"] = (f"SELECT start_url, {_SITE_KEY} AS site_key, 'state-' || {_SITE_KEY} AS kv_key "
+                    f"FROM ({_SITES})")
+
+_SNAP = snapshot_ctes() + [("snap", f"SELECT *, {_SITE_KEY} AS site_key, '{PREV_RUN_AT}' AS run_at FROM prev_chunks "
+                                    f"UNION ALL SELECT *, {_SITE_KEY} AS site_key, '{CUR_RUN_AT}' AS run_at "
+                                    "FROM cur_chunks")]
+SQL["state_load_latest"] = with_(
+    _SNAP + [("latest", "SELECT start_url, max(run_at) AS run_at FROM snap GROUP BY start_url")],
+    "SELECT s.start_url, s.site_key, s.run_at AS prev_run_at, s.chunk_id, s.chunk_hash, s.page_seq, s.\"order\" "
+    "FROM snap s JOIN latest l ON s.start_url = l.start_url AND s.run_at = l.run_at")
+SQL["state_previous_run"] = with_(
+    _SNAP + [("latest", f"SELECT start_url, max(run_at) AS run_at FROM snap WHERE run_at < '{CUR_RUN_AT}' "
+                        "GROUP BY start_url")],
+    "SELECT s.start_url, s.run_at AS prev_run_at, s.chunk_id, s.chunk_hash "
+    "FROM snap s JOIN latest l ON s.start_url = l.start_url AND s.run_at = l.run_at")
+
+SQL["jsonl_chunks"] = with_(
+    [("conv", CONVERSATION_PAGES)] + chunk_ctes("conv", "ch"),
+    "SELECT CAST(json_object('chunk_id', chunk_id, 'url', url, 'heading_path', "
+    "CASE WHEN heading_path = '' THEN []::VARCHAR[] ELSE string_split(heading_path, ' > ') END, "
+    "'text', text, 'token_estimate', token_estimate, 'chunk_hash', chunk_hash, 'order', \"order\") AS VARCHAR) "
+    "AS line FROM ch")
+
+_RUNS = [("run_rows", f"SELECT s.start_url, '{CUR_RUN_AT}' AS run_at, p.prev_run_at FROM "
+                      "(SELECT DISTINCT start_url FROM cur_chunks) s LEFT JOIN "
+                      f"(SELECT DISTINCT start_url, '{PREV_RUN_AT}' AS prev_run_at FROM prev_chunks) p "
+                      "ON s.start_url = p.start_url")]
+SQL["changeset_document"] = with_(
+    _CHANGES + _RUNS,
+    "SELECT r.run_at, r.prev_run_at, r.start_url, "
+    "CAST(count(c.change_type) FILTER (WHERE c.change_type = 'added') AS BIGINT) AS added, "
+    "CAST(count(c.change_type) FILTER (WHERE c.change_type = 'modified') AS BIGINT) AS modified, "
+    "CAST(count(c.change_type) FILTER (WHERE c.change_type = 'removed') AS BIGINT) AS removed "
+    "FROM run_rows r LEFT JOIN changes c ON r.start_url = c.start_url GROUP BY r.run_at, r.prev_run_at, r.start_url")
+SQL["delta_dataset"] = with_(_CHANGES, f"SELECT '{CUR_RUN_AT}' AS run_at, change_type, chunk_id, url, heading_path, "
+                                       "text, chunk_hash FROM changes")
+_UPS = "SELECT * FROM changes WHERE change_type IN ('added', 'modified')"
+SQL["index_rows_flat"] = with_(_CHANGES, "SELECT chunk_id AS id, text AS document, url, heading_path, chunk_hash "
+                                         f"FROM ({_UPS})")
+SQL["index_apply_changes"] = with_(
+    _CHANGES,
+    "SELECT chunk_id AS id, text AS document, url, heading_path, chunk_hash FROM prev_lw p WHERE NOT EXISTS "
+    "(SELECT 1 FROM changes c WHERE c.chunk_id = p.chunk_id) UNION ALL "
+    f"SELECT chunk_id AS id, text AS document, url, heading_path, chunk_hash FROM ({_UPS})")
+SQL["index_apply_counts"] = with_(
+    _CHANGES, "SELECT count(*) FILTER (WHERE change_type IN ('added', 'modified')) AS upserted, "
+              "count(*) FILTER (WHERE change_type = 'removed') AS deleted FROM changes")
+SQL["changes_by_route"] = with_(
+    _CHANGES, "SELECT CASE WHEN change_type IN ('added', 'modified') THEN 'upsert' ELSE 'delete' END AS route, "
+              "change_type, count(*) AS n FROM changes GROUP BY ALL")
+_NOTE_TEXT = ("'Change tracker — ' || start_url || ': +' || CAST(added AS VARCHAR) || ' added, ~' || "
+              "CAST(modified AS VARCHAR) || ' modified, -' || CAST(removed AS VARCHAR) || ' removed'")
+SQL["change_notification"] = with_(
+    _CHANGES + [("summ", SQL_SUMMARY := (
+        "SELECT r.start_url, count(c.change_type) FILTER (WHERE c.change_type = 'added') AS added, "
+        "count(c.change_type) FILTER (WHERE c.change_type = 'modified') AS modified, "
+        "count(c.change_type) FILTER (WHERE c.change_type = 'removed') AS removed "
+        "FROM runs r LEFT JOIN changes c ON r.start_url = c.start_url GROUP BY r.start_url"))],
+    f"SELECT start_url, {_NOTE_TEXT} AS text, CAST(json_object('text', {_NOTE_TEXT}) AS VARCHAR) AS payload FROM summ")
+
+_EMB = "CAST(CAST(length(text) AS FLOAT) AS VARCHAR) || ',0.0,1.0'"
+SQL["embed_changes"] = with_(_CHANGES, f"SELECT chunk_id, {_EMB} AS embedding FROM ({_UPS})")
+SQL["index_rows_json_embedding"] = with_(
+    _CHANGES, "SELECT chunk_id, text AS document, CAST(json_object('url', url, 'heading_path', heading_path, "
+              f"'chunk_hash', chunk_hash) AS VARCHAR) AS metadata, {_EMB} AS embedding FROM ({_UPS})")
+SQL["index_rows_vector_item"] = with_(
+    _CHANGES, "SELECT CAST(json_object('id', chunk_id, 'values', [CAST(length(text) AS FLOAT), 0.0::FLOAT, "
+              "1.0::FLOAT], 'metadata', json_object('url', url, 'heading_path', heading_path, 'chunk_hash', "
+              f"chunk_hash, 'document', text)) AS VARCHAR) AS item, 'ns' AS namespace FROM ({_UPS})")
+
+SQL["removed_labels"] = with_(
+    _CHANGES, "SELECT chunk_id, change_type, 'Removed: ' || coalesce(nullif(heading_path, ''), chunk_id) AS summary, "
+              "'removed' AS tags FROM changes WHERE change_type = 'removed'")
+_PROMPT = f"'[' || change_type || '] ' || heading_path || {NL2} || text"
+SQL["enrich_prompts"] = with_(_CHANGES, f"SELECT chunk_id, change_type, {_PROMPT} AS prompt FROM changes")
+SQL["enrich_requests_chat"] = with_(
+    _CHANGES, "SELECT chunk_id, change_type, CAST(json_object('model', 'summary-model', 'messages', json_array("
+              f"json_object('role', 'system', 'content', {Q.lit(DEFAULT_SYSTEM_PROMPT)}), "
+              f"json_object('role', 'user', 'content', {_PROMPT})), 'response_format', "
+              f"json_object('type', 'json_object'), 'temperature', 0) AS VARCHAR) AS request FROM ({_UPS})")
+SQL["enrich_requests_messages"] = with_(
+    _CHANGES, "SELECT chunk_id, change_type, CAST(json_object('model', 'summary-model', 'max_tokens', 200, "
+              f"'system', {Q.lit(DEFAULT_SYSTEM_PROMPT)}, 'messages', json_array(json_object('role', 'user', "
+              f"'content', {_PROMPT}))) AS VARCHAR) AS request FROM ({_UPS})")
+_INNER = ("('{\"summary\": \"Changed ' || chunk_id || '\", \"tags\": [\"' || change_type || '\"]}')")
+_ESC = f"replace({_INNER}, '\"', '\\\"')"
+_RESP = (f"CASE WHEN change_type = 'added' THEN '{{\"choices\": [{{\"message\": {{\"content\": \"' || {_ESC} "
+         "|| '\"}}]}' WHEN change_type = 'modified' THEN '{\"content\": [{\"type\": \"text\", \"text\": \"' || "
+         f"{_ESC} || '\"}}]}}' ELSE '{{\"content\": [{{\"type\": \"text\", \"text\": \"no json here\"}}]}}' END")
+SQL["enrich_parsed"] = with_(
+    _CHANGES + [("resp", f"SELECT chunk_id, change_type, {_RESP} AS response FROM changes"),
+                ("inner_", "SELECT *, coalesce(json_extract_string(response, '$.choices[0].message.content'), "
+                           "json_extract_string(response, '$.content[0].text')) AS inner_text FROM resp"),
+                ("v", "SELECT *, inner_text IS NOT NULL AND regexp_matches(inner_text, '^\\s*\\{') AS ok FROM inner_")],
+    "SELECT chunk_id, change_type, CASE WHEN ok THEN coalesce(json_extract_string(inner_text, '$.summary'), '') END "
+    "AS summary, CASE WHEN ok THEN coalesce(array_to_string(json_extract_string(inner_text, '$.tags[*]'), ','), '') "
+    "END AS tags, NOT ok AS parse_error FROM v")
+SQL["enrich_changes"] = with_(
+    _CHANGES, "SELECT chunk_id, change_type, 'summary of ' || chunk_id AS summary, change_type AS tags "
+              f"FROM ({_UPS}) UNION ALL SELECT chunk_id, change_type, 'Removed: ' || "
+              "coalesce(nullif(heading_path, ''), chunk_id), 'removed' FROM changes WHERE change_type = 'removed'")
+
+_KEPT = [("kr", raw_pages_sql("cur") + " AND " + _status_ok("cur"))] + extract_ctes("kr", "kx") + [
+    ("kept", "SELECT * FROM kx WHERE markdown <> ''"), ("sites", _SITES)]
+_TITLE = f"coalesce(nullif({Q.strip_ws('title')}, ''), url)"
+_HEADER = " UNION ALL ".join(
+    f"SELECT start_url, 0 AS part, '' AS sort_url, CAST({i} AS BIGINT) AS sort_seq, {line} AS line FROM sites"
+    for i, line in enumerate([f"'# ' || {Q.netloc('start_url')}", "''",
+                              "'> LLM-ready index of documentation crawled from ' || start_url || '.'", "''",
+                              "'## Pages'"]))
+SQL["llms_index"] = with_(
+    _KEPT, _HEADER + " UNION ALL SELECT start_url, 1, url, page_seq, '- [' || " + _TITLE + " || '](' || url || ')' "
+    "FROM kept")
+_BLOCK = (f"'# ' || {_TITLE} || chr(10) || '<' || url || '>' || {NL2} || {Q.strip_ws('markdown')} || chr(10)")
+SQL["llms_full"] = with_(
+    _KEPT + [("ranked", "SELECT *, row_number() OVER (PARTITION BY start_url ORDER BY url DESC, page_seq DESC) AS rk "
+                        "FROM kept")],
+    f"SELECT start_url, 1 AS part, url AS sort_url, page_seq AS sort_seq, {_BLOCK} || CASE WHEN rk = 1 THEN chr(10) "
+    f"ELSE {Q.lit(chr(10) + '---' + chr(10) + chr(10))} END AS record FROM ranked")
+
+_YIELD = [("yr", raw_pages_sql("cur"))] + extract_ctes("yr", "yx") + [
+    ("sites", _SITES),
+    ("agg", "SELECT start_url, count(*) AS fetched, count(*) FILTER (WHERE markdown <> '') AS nonempty FROM yx "
+            "WHERE status = 200 GROUP BY start_url"),
+    ("sy", "SELECT s.start_url AS site, CAST(coalesce(nonempty, 0) AS BIGINT) AS nonempty, "
+           "CAST(coalesce(fetched, 0) AS BIGINT) AS fetched, CASE WHEN coalesce(fetched, 0) = 0 THEN 0.0 "
+           "ELSE nonempty / fetched END AS rate FROM sites s LEFT JOIN agg a ON s.start_url = a.start_url"),
+    ("sy2", "SELECT *, fetched > 0 AND rate < 0.5 AS likely_js FROM sy")]
+SQL["site_yield"] = with_(_YIELD, "SELECT * FROM sy2")
+SQL["site_low_yield"] = with_(_YIELD, "SELECT site, rate FROM sy2 WHERE likely_js")
+SQL["overall_yield"] = with_(
+    _YIELD, "SELECT CAST(sum(nonempty) AS BIGINT) AS nonempty, CAST(sum(fetched) AS BIGINT) AS fetched, "
+            "CASE WHEN coalesce(sum(fetched), 0) = 0 THEN 0.0 ELSE sum(nonempty) / sum(fetched) END AS overall_rate, "
+            "CASE WHEN coalesce(sum(fetched), 0) = 0 THEN 0.0 ELSE sum(nonempty) / sum(fetched) END >= 0.9 AS passed, "
+            "count(*) FILTER (WHERE likely_js) AS likely_js_sites FROM sy2")
+SQL["site_counts"] = with_(
+    _KEPT + chunk_ctes("kept", "kc"),
+    "SELECT coalesce(p.start_url, c.start_url) AS start_url, CAST(coalesce(p.n, 0) AS BIGINT) AS pages, "
+    "CAST(coalesce(c.n, 0) AS BIGINT) AS chunks FROM (SELECT start_url, count(*) AS n FROM kept GROUP BY 1) p "
+    "FULL OUTER JOIN (SELECT start_url, count(*) AS n FROM kc GROUP BY 1) c ON p.start_url = c.start_url")
+
+_EVENTS = (
+    "SELECT event_id, CASE event_type WHEN 'view' THEN 'added' WHEN 'click' THEN 'modified' WHEN 'error' "
+    "THEN 'removed' ELSE event_type END AS change_type, 'events/' || CAST(event_id AS VARCHAR) AS chunk_id, "
+    "'https://shop.example.com/u/' || CAST(user_id AS VARCHAR) AS url, event_type AS heading_path, props AS text, "
+    "CASE WHEN value >= 0 THEN 'sha256:' || sha256(props) ELSE 'md5' END AS chunk_hash FROM events")
+_HASH_OK = "regexp_matches(chunk_hash, '^sha256:[0-9a-f]{64}$')"
+
+
+def _rule_rows(src: str, rules: list[tuple[str, str]]) -> str:
+    return " UNION ALL ".join(f"SELECT chunk_id AS key, '{name}' AS rule FROM {src} WHERE {cond}"
+                              for name, cond in rules)
+
+
+SQL["contract_violations"] = with_(
+    snapshot_ctes() + [("ev", _EVENTS)],
+    _rule_rows("cur_chunks", [(f"{c}_not_null", f"\"{c}\" IS NULL") for c in
+                              ("chunk_id", "url", "heading_path", "text", "token_estimate", "chunk_hash", "order")]
+               + [("token_estimate_non_negative", "token_estimate < 0"), ("order_non_negative", "\"order\" < 0"),
+                  ("chunk_hash_format", f"NOT {_HASH_OK}")])
+    + " UNION ALL "
+    + _rule_rows("ev", [(f"{c}_not_null", f"{c} IS NULL") for c in
+                        ("change_type", "chunk_id", "url", "heading_path", "text", "chunk_hash")]
+                 + [("change_type_enum", "NOT (change_type IN ('added', 'modified', 'removed'))"),
+                    ("chunk_hash_format", f"NOT {_HASH_OK}")]))
+SQL["duplicate_chunk_ids"] = with_(
+    snapshot_ctes(), "SELECT start_url, page_seq, chunk_id, count(*) AS n FROM cur_chunks GROUP BY ALL HAVING count(*) > 1")
+SQL["change_audit"] = with_(
+    _CHANGES,
+    "SELECT c.start_url, c.chunk_id, c.change_type, cl.chunk_hash AS cur_hash, pl.chunk_hash AS prev_hash "
+    "FROM changes c LEFT JOIN cur_lw cl ON c.start_url = cl.start_url AND c.chunk_id = cl.chunk_id "
+    "LEFT JOIN prev_lw pl ON c.start_url = pl.start_url AND c.chunk_id = pl.chunk_id WHERE NOT coalesce("
+    "CASE c.change_type WHEN 'added' THEN cl.chunk_hash IS NOT NULL AND pl.chunk_hash IS NULL AND "
+    "c.chunk_hash = cl.chunk_hash WHEN 'removed' THEN cl.chunk_hash IS NULL AND pl.chunk_hash IS NOT NULL AND "
+    "c.chunk_hash = pl.chunk_hash WHEN 'modified' THEN cl.chunk_hash IS NOT NULL AND pl.chunk_hash IS NOT NULL "
+    "AND cl.chunk_hash <> pl.chunk_hash AND c.chunk_hash = cl.chunk_hash ELSE false END, false)")
+SQL["run_id_set_diff"] = with_(
+    snapshot_ctes(),
+    "SELECT start_url, chunk_id, 'only_current' AS side FROM (SELECT start_url, chunk_id FROM cur_chunks EXCEPT "
+    "SELECT start_url, chunk_id FROM prev_chunks) UNION ALL SELECT start_url, chunk_id, 'only_previous' FROM "
+    "(SELECT start_url, chunk_id FROM prev_chunks EXCEPT SELECT start_url, chunk_id FROM cur_chunks) UNION ALL "
+    "SELECT k.start_url, k.chunk_id, 'hash_changed' FROM (SELECT start_url, chunk_id FROM cur_chunks INTERSECT "
+    "SELECT start_url, chunk_id FROM prev_chunks) k WHERE EXISTS (SELECT 1 FROM (SELECT start_url, chunk_id, "
+    "chunk_hash FROM cur_chunks EXCEPT SELECT start_url, chunk_id, chunk_hash FROM prev_chunks) d "
+    "WHERE d.start_url = k.start_url AND d.chunk_id = k.chunk_id)")

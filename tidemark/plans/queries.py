@@ -18,6 +18,7 @@ from ..functions import urls as U
 from ..operators import chunk as C
 from ..operators import diff as D
 from ..operators import extract as E
+from ..operators.parallel import spread
 from ..sources.tables import table
 from . import inputs as I
 
@@ -40,19 +41,19 @@ def _path_text(df: DataFrame) -> DataFrame:
 
 @query("normalize_text")
 def normalize_text(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"), "doc_id")
     return d.select("doc_id", T.normalize("text").alias("normalized"))
 
 
 @query("text_hash")
 def text_hash(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"), "doc_id")
     return d.select("doc_id", T.text_hash("text").alias("text_hash"))
 
 
 @query("token_estimate")
 def token_estimate(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"), "doc_id")
     return d.select("doc_id", T.token_estimate("text").alias("token_estimate"))
 
 
@@ -234,3 +235,272 @@ def change_summary(spark, sf):
 def changed_chunk_count(spark, sf):
     prev, cur = _snapshots(spark, sf)
     return D.diff_chunks(prev, cur).agg(F.count(F.lit(1)).alias("changed_chunks"))
+
+
+# --- state --------------------------------------------------------------------
+
+from ..operators import deliver as K  # noqa: E402
+from ..operators import enrich as N  # noqa: E402
+from ..operators import quality as A  # noqa: E402
+from ..operators import render as R  # noqa: E402
+from ..sources import state as S  # noqa: E402
+from ..contract import CHANGE, CHUNK, contract_violations as _violations  # noqa: E402
+
+
+def _sites(spark, sf):
+    return I.page_urls(spark, sf).select("start_url").distinct()
+
+
+@query("state_key")
+def state_key(spark, sf):
+    return _sites(spark, sf).select("start_url", S.state_key("start_url").alias("site_key"),
+                                    S.kv_state_key("start_url").alias("kv_key"))
+
+
+def _snapshot_table(spark, sf):
+    prev, cur = _snapshots(spark, sf)
+    return S.to_snapshot(prev, I.PREV_RUN_AT).unionByName(S.to_snapshot(cur, I.CUR_RUN_AT))
+
+
+@query("state_load_latest")
+def state_load_latest(spark, sf):
+    latest = S.load_latest(_snapshot_table(spark, sf))
+    return latest.select("start_url", "site_key", "prev_run_at", "chunk_id", "chunk_hash", "page_seq", "order")
+
+
+@query("state_previous_run")
+def state_previous_run(spark, sf):
+    """State as the current run sees it: the latest run strictly before it."""
+    latest = S.load_latest(_snapshot_table(spark, sf), before=I.CUR_RUN_AT)
+    return latest.select("start_url", "prev_run_at", "chunk_id", "chunk_hash")
+
+
+# --- sinks and delivery ---------------------------------------------------------
+
+def _changes(spark, sf):
+    prev, cur = _snapshots(spark, sf)
+    return D.diff_chunks(prev, cur)
+
+
+def _run_rows(spark, sf):
+    prev, cur = _snapshots(spark, sf)
+    prev_state = S.load_latest(S.to_snapshot(prev, I.PREV_RUN_AT))
+    return S.run_table(cur, prev_state, I.CUR_RUN_AT)
+
+
+@query("jsonl_chunks")
+def jsonl_chunks(spark, sf):
+    c = C.chunk_pages(I.conversation_pages(spark, sf))
+    return R.jsonl(c.select("chunk_id", "url", "heading_path", "text", "token_estimate", "chunk_hash", "order")) \
+        .select(F.col("value").alias("line"))
+
+
+@query("changeset_document")
+def changeset_document(spark, sf):
+    h = D.changeset_header(_changes(spark, sf), _run_rows(spark, sf))
+    return h.select("run_at", "prev_run_at", "start_url", "summary.added", "summary.modified", "summary.removed")
+
+
+@query("delta_dataset")
+def delta_dataset(spark, sf):
+    """The rows a run appends to its change dataset (one per changed chunk)."""
+    ch = _changes(spark, sf)
+    return _path_text(ch.select(F.lit(I.CUR_RUN_AT).alias("run_at"), "change_type", "chunk_id", "url",
+                                "heading_path", "text", "chunk_hash"))
+
+
+def _prev_index(spark, sf):
+    prev, _ = _snapshots(spark, sf)
+    lw = D.last_wins(prev).withColumn("change_type", F.lit("added"))
+    return K.index_rows_flat(lw)
+
+
+@query("index_rows_flat")
+def index_rows_flat(spark, sf):
+    r = K.index_rows_flat(_changes(spark, sf))
+    return r.select("id", "document", "metadata.url", "metadata.heading_path", "metadata.chunk_hash")
+
+
+@query("index_apply_changes")
+def index_apply_changes(spark, sf):
+    r = K.apply_changes(_prev_index(spark, sf), _changes(spark, sf))
+    return r.select("id", "document", "metadata.url", "metadata.heading_path", "metadata.chunk_hash")
+
+
+@query("index_apply_counts")
+def index_apply_counts(spark, sf):
+    return K.index_apply_counts(_changes(spark, sf))
+
+
+@query("changes_by_route")
+def changes_by_route(spark, sf):
+    return K.changes_by_route(_changes(spark, sf)).groupBy("route", "change_type").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("change_notification")
+def change_notification(spark, sf):
+    prev, cur = _snapshots(spark, sf)
+    s = D.change_summary(D.diff_chunks(prev, cur), _runs(prev, cur))
+    return K.change_notification(s, "Change tracker")
+
+
+def _fake_embed(texts):
+    """Deterministic stand-in embedder: (length, 0.0, 1.0) per text."""
+    return [[float(len(t)), 0.0, 1.0] for t in texts]
+
+
+@query("embed_changes")
+def embed_changes(spark, sf):
+    e = N.embed_changes(_changes(spark, sf), _fake_embed)
+    return e.select("chunk_id", F.array_join(F.transform("embedding", lambda x: x.cast("string")), ",")
+                    .alias("embedding"))
+
+
+@query("index_rows_json_embedding")
+def index_rows_json_embedding(spark, sf):
+    e = N.embed_changes(_changes(spark, sf), _fake_embed)
+    return K.index_rows_json_embedding(e).select(
+        "chunk_id", "document", "metadata", F.array_join(F.transform("embedding", lambda x: x.cast("string")), ",")
+        .alias("embedding"))
+
+
+@query("index_rows_vector_item")
+def index_rows_vector_item(spark, sf):
+    e = N.embed_changes(_changes(spark, sf), _fake_embed)
+    return K.index_rows_vector_item(e, "ns").select(F.to_json("item").alias("item"), "namespace")
+
+
+# --- enrichment -------------------------------------------------------------------
+
+@query("removed_labels")
+def removed_labels(spark, sf):
+    return N.removed_labels(_changes(spark, sf)).withColumn("tags", F.array_join("tags", ","))
+
+
+@query("enrich_prompts")
+def enrich_prompts(spark, sf):
+    return N.enrich_prompts(_changes(spark, sf))
+
+
+@query("enrich_requests_chat")
+def enrich_requests_chat(spark, sf):
+    return N.enrich_requests_chat(_changes(spark, sf), model="summary-model")
+
+
+@query("enrich_requests_messages")
+def enrich_requests_messages(spark, sf):
+    return N.enrich_requests_messages(_changes(spark, sf), model="summary-model")
+
+
+def _responses(changes: DataFrame) -> DataFrame:
+    """Model answers as an API would return them: chat form for added, messages form for
+    modified, and a non-JSON answer for removed rows (the parse-error path)."""
+    inner = F.concat(F.lit('{"summary": "Changed '), F.col("chunk_id"), F.lit('", "tags": ["'),
+                     F.col("change_type"), F.lit('"]}'))
+    esc = F.replace(inner, F.lit('"'), F.lit('\\"'))
+    chat = F.concat(F.lit('{"choices": [{"message": {"content": "'), esc, F.lit('"}}]}'))
+    msgs = F.concat(F.lit('{"content": [{"type": "text", "text": "'), esc, F.lit('"}]}'))
+    bad = F.lit('{"content": [{"type": "text", "text": "no json here"}]}')
+    resp = (F.when(F.col("change_type") == "added", chat).when(F.col("change_type") == "modified", msgs)
+            .otherwise(bad))
+    return changes.select("chunk_id", "change_type", resp.alias("response"))
+
+
+@query("enrich_parsed")
+def enrich_parsed(spark, sf):
+    p = N.enrich_parsed(_responses(_changes(spark, sf)))
+    return p.select("chunk_id", "change_type", "summary", F.array_join("tags", ",").alias("tags"), "parse_error")
+
+
+def _summarize(rec):
+    return f"summary of {rec['chunk_id']}", [rec["change_type"]]
+
+
+@query("enrich_changes")
+def enrich_changes(spark, sf):
+    e = N.enrich_changes(_changes(spark, sf), _summarize)
+    return e.withColumn("tags", F.array_join("tags", ","))
+
+
+# --- rendering ----------------------------------------------------------------------
+
+def _kept_pages(spark, sf):
+    return E.pipeline_pages(_cur(spark, sf))
+
+
+@query("llms_index")
+def llms_index(spark, sf):
+    return R.llms_index(_kept_pages(spark, sf), _sites(spark, sf))
+
+
+@query("llms_full")
+def llms_full(spark, sf):
+    return R.llms_full(_kept_pages(spark, sf))
+
+
+# --- quality ------------------------------------------------------------------------
+
+def _yield(spark, sf):
+    pages = E.extract_pages(_cur(spark, sf))
+    return A.site_yield(pages, _sites(spark, sf))
+
+
+@query("site_yield")
+def site_yield(spark, sf):
+    return _yield(spark, sf)
+
+
+@query("site_low_yield")
+def site_low_yield(spark, sf):
+    return _yield(spark, sf).where("likely_js").select("site", "rate")
+
+
+@query("overall_yield")
+def overall_yield(spark, sf):
+    return A.overall_yield(_yield(spark, sf))
+
+
+@query("site_counts")
+def site_counts(spark, sf):
+    pages = _kept_pages(spark, sf)
+    return A.site_counts(pages, C.chunk_pages(pages))
+
+
+def _events_as_changes(spark, sf):
+    """Change-shaped rows from the event stream, with the type taken from the event kind."""
+    ev = table(spark, sf, "events")
+    kind = (F.when(F.col("event_type") == "view", "added").when(F.col("event_type") == "click", "modified")
+            .when(F.col("event_type") == "error", "removed").otherwise(F.col("event_type")))
+    return ev.select(F.col("event_id"), kind.alias("change_type"),
+                     F.concat(F.lit("events/"), F.col("event_id").cast("string")).alias("chunk_id"),
+                     F.concat(F.lit("https://shop.example.com/u/"), F.col("user_id").cast("string")).alias("url"),
+                     F.array(F.col("event_type")).alias("heading_path"), F.col("props").alias("text"),
+                     F.when(F.col("value") >= 0, F.concat(F.lit("sha256:"), F.sha2("props", 256)))
+                     .otherwise(F.lit("md5")).alias("chunk_hash"))
+
+
+@query("contract_violations")
+def contract_violations(spark, sf):
+    prev, cur = _snapshots(spark, sf)
+    chunks = _violations(cur.withColumn("key", F.col("chunk_id")), CHUNK, "key")
+    events = _violations(_events_as_changes(spark, sf).withColumn("key", F.col("chunk_id")), CHANGE, "key")
+    return chunks.unionByName(events)
+
+
+@query("duplicate_chunk_ids")
+def duplicate_chunk_ids(spark, sf):
+    _, cur = _snapshots(spark, sf)
+    return D.duplicate_chunk_ids(cur)
+
+
+@query("change_audit")
+def change_audit(spark, sf):
+    prev, cur = _snapshots(spark, sf)
+    return D.change_audit(D.diff_chunks(prev, cur), prev, cur)
+
+
+@query("run_id_set_diff")
+def run_id_set_diff(spark, sf):
+    prev, cur = _snapshots(spark, sf)
+    return D.run_id_set_diff(prev, cur)
