@@ -147,3 +147,86 @@ def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages")
     return p.select("page_id", "url", netloc("url").alias("host"), site_start_url("url").alias("start_url"),
                     defrag("url").alias("clean_url"))
+
+
+# --- a crawlable web: responses, links, sitemaps, robots, site settings --------------------
+
+CRAWL_AGENT = "tidemark"
+
+
+def crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test pages as crawl targets: ``page_id, url`` (fragment dropped), ``host, start_url, status, html``."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", defrag("url").alias("url"), netloc("url").alias("host"),
+                    site_start_url("url").alias("start_url"),
+                    F.when(F.col("page_id") % 17 == 0, F.lit(404)).otherwise(F.lit(200)).alias("status"),
+                    "html")
+
+
+def crawl_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``url, status``: one response per URL (the lowest page id when two rows share a URL),
+    plus a status-200 home page per site."""
+    p = crawl_pages(spark, sf_dir)
+    pages = p.groupBy("url").agg(F.min_by("status", "page_id").alias("status"))
+    homes = p.select(F.col("start_url").alias("url")).distinct().select("url", F.lit(200).alias("status"))
+    return pages.unionByName(homes)
+
+
+def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``src_url, pos, dst_url``: the nav links found in each page's HTML (after position 0..),
+    plus a link tree: page ``q`` is linked from the same-host page ``q div 2`` at position
+    ``1000 + q``, else from its site's home unless ``q % 3 = 0`` (then only the sitemap lists it)."""
+    from ..operators.discover import site_links
+
+    p = crawl_pages(spark, sf_dir)
+    nav = site_links(p.where(F.col("status") == 200).select("url", "html"))
+    q = p.select("page_id", "url", "host", "start_url")
+    par = p.select(F.col("page_id").alias("p_id"), F.col("url").alias("p_url"), F.col("host").alias("p_host"))
+    j = q.join(par, (q.host == par.p_host) & (F.floor(q.page_id / 2) == par.p_id), "left")
+    src = F.when(F.col("p_url").isNotNull(), F.col("p_url")).when(F.col("page_id") % 3 != 0, F.col("start_url"))
+    tree = j.select(src.alias("src_url"), (F.col("page_id") + 1000).cast("int").alias("pos"),
+                    F.col("url").alias("dst_url")).where(F.col("src_url").isNotNull())
+    return nav.unionByName(tree)
+
+
+def crawl_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``host, part, xml``: one sitemap document per page with ``page_id % 3 = 0``."""
+    p = crawl_pages(spark, sf_dir).where(F.col("page_id") % 3 == 0)
+    xml = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="http://www.sitemaps.org/schemas/'
+                         'sitemap/0.9"><url><loc>'), F.replace("url", F.lit("&"), F.lit("&amp;")),
+                   F.lit("</loc></url></urlset>"))
+    return p.select("host", F.col("page_id").alias("part"), xml.alias("xml"))
+
+
+def crawl_robots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``host, text``: ``m.`` hosts keep our agent out of ``/fr/`` and others out of ``/de/``;
+    ``www.`` hosts keep everyone out of ``/es/``; other hosts have no robots file."""
+    h = crawl_pages(spark, sf_dir).select("host").distinct()
+    m = "User-agent: *\nDisallow: /de/\n\nUser-agent: " + CRAWL_AGENT + "\nDisallow: /fr/\nAllow: /\n"
+    www = "# shared rules\nUser-agent: *\nDisallow: /es/\nDisallow:\n"
+    text = F.when(F.col("host").startswith("m."), F.lit(m)).when(F.col("host").startswith("www."), F.lit(www))
+    return h.select("host", text.alias("text")).where(F.col("text").isNotNull())
+
+
+def crawl_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``start_url, max_pages, include, exclude``: a cap of 5 for ``blog.`` hosts (100 otherwise);
+    ``www.`` hosts exclude ``*.html`` paths."""
+    h = crawl_pages(spark, sf_dir).select("host", "start_url").distinct()
+    return h.select(
+        "start_url",
+        F.when(F.col("host").startswith("blog."), F.lit(5)).otherwise(F.lit(100)).alias("max_pages"),
+        F.lit(None).cast("array<string>").alias("include"),
+        F.when(F.col("host").startswith("www."), F.array(F.lit("*.html"))).otherwise(
+            F.lit(None).cast("array<string>")).alias("exclude"),
+    )
+
+
+def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``url, attempt, status``: three consecutive events are the three tries of one URL;
+    errors answer 503, views 200, clicks 302, purchases 404, sign-ups time out."""
+    ev = table(spark, sf_dir, "events")
+    status = (F.when(F.col("event_type") == "error", 503).when(F.col("event_type") == "view", 200)
+              .when(F.col("event_type") == "click", 302).when(F.col("event_type") == "purchase", 404))
+    return ev.select(
+        F.concat(F.lit("https://shop.example.com/e/"), F.floor(F.col("event_id") / 3).cast("string")).alias("url"),
+        (F.col("event_id") % 3 + 1).cast("int").alias("attempt"), status.cast("int").alias("status"))

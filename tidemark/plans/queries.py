@@ -504,3 +504,102 @@ def change_audit(spark, sf):
 def run_id_set_diff(spark, sf):
     prev, cur = _snapshots(spark, sf)
     return D.run_id_set_diff(prev, cur)
+
+
+# --- discovery --------------------------------------------------------------------------
+
+from ..operators import discover as X  # noqa: E402
+from ..sources import discovery as SD  # noqa: E402
+
+
+@query("sitemap_urls")
+def sitemap_urls(spark, sf):
+    return SD.sitemap_urls(I.crawl_sitemaps(spark, sf))
+
+
+@query("robots_rules")
+def robots_rules(spark, sf):
+    return SD.robots_rules(I.crawl_robots(spark, sf), I.CRAWL_AGENT)
+
+
+def _ok_pages(spark, sf):
+    return I.crawl_pages(spark, sf).where(F.col("status") == 200)
+
+
+@query("page_links")
+def page_links(spark, sf):
+    return X.page_links(_ok_pages(spark, sf))
+
+
+@query("links_resolved")
+def links_resolved(spark, sf):
+    return X.links_resolved(X.page_links(_ok_pages(spark, sf)))
+
+
+@query("urls_defragged")
+def urls_defragged(spark, sf):
+    return table(spark, sf, "pages").select("page_id", U.defrag("url").alias("url"))
+
+
+@query("links_same_host")
+def links_same_host(spark, sf):
+    return X.site_links(_ok_pages(spark, sf))
+
+
+def _site_urls(spark, sf):
+    p = I.crawl_pages(spark, sf)
+    return p.select("start_url", "url").unionByName(p.select("start_url", F.col("start_url").alias("url")))
+
+
+@query("pages_glob_filtered")
+def pages_glob_filtered(spark, sf):
+    return X.pages_glob_filtered(_site_urls(spark, sf), I.crawl_sites(spark, sf))
+
+
+@query("pages_robots_filtered")
+def pages_robots_filtered(spark, sf):
+    rules = SD.robots_rules(I.crawl_robots(spark, sf), I.CRAWL_AGENT)
+    return X.robots_allowed(_site_urls(spark, sf), rules)
+
+
+@query("links_first_seen")
+def links_first_seen(spark, sf):
+    """One expansion from every fetched page at once (seq = page id): the new URLs and their rank."""
+    p = I.crawl_pages(spark, sf).where(F.col("status") == 200)
+    front = p.select("start_url", "url", F.col("page_id").alias("seq"), F.lit(0).alias("depth"))
+    seen = p.select("start_url", "url")
+    nxt = X.links_first_seen(front, I.crawl_links(spark, sf), seen)
+    return nxt.select("start_url", "url", "depth", F.col("rank.seq").alias("from_seq"),
+                      F.col("rank.pos").alias("from_pos"))
+
+
+@query("fetch_log_resolved")
+def fetch_log_resolved(spark, sf):
+    return X.fetch_log_resolved(I.fetch_log(spark, sf))
+
+
+def _bfs(spark, sf, sitemap: bool, robots: bool = True, caps: bool = True):
+    sites = I.crawl_sites(spark, sf)
+    if not caps:
+        sites = sites.withColumn("max_pages", F.lit(1 << 30))
+    rules = SD.robots_rules(I.crawl_robots(spark, sf), I.CRAWL_AGENT) if robots else None
+    sm = SD.sitemap_urls(I.crawl_sitemaps(spark, sf)) if sitemap else None
+    return X.site_bfs(I.crawl_responses(spark, sf), I.crawl_links(spark, sf), sites, rules, sm)
+
+
+@query("site_bfs_depth")
+def site_bfs_depth(spark, sf):
+    """Link walk of every site (robots and globs on, no cap, no sitemap)."""
+    return _bfs(spark, sf, sitemap=False, caps=False)
+
+
+@query("site_bfs_with_sitemap")
+def site_bfs_with_sitemap(spark, sf):
+    """Link walk, then sitemap orphans, with the page caps."""
+    return _bfs(spark, sf, sitemap=True)
+
+
+@query("site_page_cap")
+def site_page_cap(spark, sf):
+    b = _bfs(spark, sf, sitemap=False)
+    return b.groupBy("start_url").agg(F.count(F.lit(1)).alias("pages"), F.max("seq").alias("last_seq"))
