@@ -445,3 +445,112 @@ SQL["run_id_set_diff"] = with_(
     "SELECT start_url, chunk_id FROM prev_chunks) k WHERE EXISTS (SELECT 1 FROM (SELECT start_url, chunk_id, "
     "chunk_hash FROM cur_chunks EXCEPT SELECT start_url, chunk_id, chunk_hash FROM prev_chunks) d "
     "WHERE d.start_url = k.start_url AND d.chunk_id = k.chunk_id)")
+
+
+# --- discovery ----------------------------------------------------------------------
+
+from ..sources.discovery import LINE_BREAKS, LOC_PATTERN, XML_ENTITIES  # noqa: E402
+from .inputs import CRAWL_AGENT  # noqa: E402
+
+CRAWL_PAGES = (f"SELECT page_id, {Q.defrag('url')} AS url, {Q.netloc('url')} AS host, "
+               f"{Q.site_start_url('url')} AS start_url, CASE WHEN page_id % 17 = 0 THEN 404 ELSE 200 END AS status, "
+               "html FROM pages")
+_XML_HEAD = '<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"><url><loc>'
+CRAWL_SITEMAPS = (f"SELECT host, page_id AS part, {Q.lit(_XML_HEAD)} || replace(url, '&', '&amp;') || "
+                  "'</loc></url></urlset>' AS xml FROM cp WHERE page_id % 3 = 0")
+_M_ROBOTS = "User-agent: *\nDisallow: /de/\n\nUser-agent: " + CRAWL_AGENT + "\nDisallow: /fr/\nAllow: /\n"
+_W_ROBOTS = "# shared rules\nUser-agent: *\nDisallow: /es/\nDisallow:\n"
+CRAWL_ROBOTS = (f"SELECT host, CASE WHEN starts_with(host, 'm.') THEN {Q.lit(_M_ROBOTS)} ELSE {Q.lit(_W_ROBOTS)} "
+                "END AS text FROM (SELECT DISTINCT host FROM cp) WHERE starts_with(host, 'm.') OR starts_with(host, 'www.')")
+CRAWL_SITES = ("SELECT DISTINCT start_url, CASE WHEN starts_with(host, 'blog.') THEN 5 ELSE 100 END AS max_pages, "
+               "NULL::VARCHAR[] AS include, CASE WHEN starts_with(host, 'www.') THEN ['*.html'] END AS exclude FROM cp")
+
+
+def _xml_unescape(x: str) -> str:
+    for ent, ch in XML_ENTITIES:
+        x = f"replace({x}, {Q.lit(ent)}, {Q.lit(ch)})"
+    return x
+
+
+def link_ctes() -> list[tuple[str, str]]:
+    return [
+        ("cp", CRAWL_PAGES),
+        ("pl", f"SELECT url AS src_url, unnest({Q.hrefs('html')}) AS href, "
+               f"CAST(generate_subscripts({Q.hrefs('html')}, 1) - 1 AS INTEGER) AS pos FROM cp WHERE status = 200"),
+        ("lr", f"SELECT src_url, pos, href, {Q.defrag(Q.resolve('src_url', 'href'))} AS dst_url FROM pl"),
+        ("nav", f"SELECT src_url, pos, dst_url FROM lr WHERE {Q.netloc('dst_url')} = {Q.netloc('src_url')}"),
+        ("tree", "SELECT CASE WHEN p.url IS NOT NULL THEN p.url WHEN q.page_id % 3 <> 0 THEN q.start_url END AS src_url, "
+                 "CAST(q.page_id + 1000 AS INTEGER) AS pos, q.url AS dst_url FROM cp q LEFT JOIN cp p "
+                 "ON q.host = p.host AND q.page_id // 2 = p.page_id"),
+        ("links", "SELECT * FROM nav UNION ALL SELECT * FROM tree WHERE src_url IS NOT NULL"),
+    ]
+
+
+def robots_ctes() -> list[tuple[str, str]]:
+    split = f"regexp_split_to_array(text, {Q.lit(LINE_BREAKS)})"
+    body = Q.strip_ws(Q.rr("raw", r"#.*"))
+    key = f"lower({Q.strip_ws(Q.rx(body, r'^([^:]*):', 1))})"
+    value = Q.strip_ws(Q.rx(body, r"(?s)^[^:]*:(.*)$", 1))
+    kind = (f"CASE WHEN raw = '' THEN 'blank' WHEN NOT contains({body}, ':') THEN NULL "
+            f"WHEN {key} = 'user-agent' THEN 'ua' WHEN {key} = 'allow' THEN 'allow' WHEN {key} = 'disallow' "
+            f"THEN 'disallow' WHEN {key} IN ('crawl-delay', 'request-rate') THEN 'other' END")
+    w = "PARTITION BY host ORDER BY ln"
+    return [
+        ("rb", CRAWL_ROBOTS),
+        ("rl0", f"SELECT host, unnest({split}) AS raw, CAST(generate_subscripts({split}, 1) - 1 AS INTEGER) AS ln FROM rb"),
+        ("rl", f"SELECT host, ln, kind, value FROM (SELECT host, ln, {kind} AS kind, {value} AS value FROM rl0) "
+               "WHERE kind IS NOT NULL"),
+        ("rp", f"SELECT *, last_value(CASE WHEN kind <> 'blank' THEN kind END IGNORE NULLS) OVER ({w} ROWS BETWEEN "
+               "UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_kind FROM rl"),
+        ("rg", f"SELECT *, sum(CASE WHEN kind = 'blank' OR (kind = 'ua' AND coalesce(prev_kind <> 'ua', false)) "
+               f"THEN 1 ELSE 0 END) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM rp"),
+        ("groups", "SELECT host, grp, count(*) FILTER (WHERE kind = 'ua') AS n_agents, "
+                   "count(*) FILTER (WHERE kind IN ('allow', 'disallow', 'other')) AS n_rules, "
+                   "bool_or(kind = 'ua' AND value = '*') AS has_star, "
+                   f"bool_or(kind = 'ua' AND value <> '*' AND contains('{CRAWL_AGENT}', lower(value))) AS names_us "
+                   "FROM rg GROUP BY host, grp"),
+        ("chosen", "SELECT host, grp FROM (SELECT host, grp, row_number() OVER (PARTITION BY host ORDER BY has_star, grp) "
+                   "AS rn FROM groups WHERE n_agents > 0 AND n_rules > 0 AND (has_star OR names_us)) WHERE rn = 1"),
+        ("rules", "SELECT r.host, r.ln AS seq, r.kind = 'allow' OR r.value = '' AS allow, r.value AS path FROM rg r "
+                  "JOIN chosen c ON r.host = c.host AND r.grp = c.grp WHERE r.kind IN ('allow', 'disallow')"),
+    ]
+
+
+SQL["sitemap_urls"] = with_(
+    [("cp", CRAWL_PAGES), ("sm", CRAWL_SITEMAPS),
+     ("locs", f"SELECT host, part, unnest(regexp_extract_all(xml, {Q.lit(LOC_PATTERN)}, 1)) AS raw, "
+              f"CAST(generate_subscripts(regexp_extract_all(xml, {Q.lit(LOC_PATTERN)}, 1), 1) - 1 AS INTEGER) AS pos "
+              "FROM sm")],
+    f"SELECT host, part, pos, {Q.strip_ws(_xml_unescape('raw'))} AS url FROM locs WHERE raw <> ''")
+SQL["robots_rules"] = with_([("cp", CRAWL_PAGES)] + robots_ctes(), "SELECT * FROM rules")
+SQL["page_links"] = with_(link_ctes(), "SELECT src_url, pos, href FROM pl")
+SQL["links_resolved"] = with_(link_ctes(), "SELECT src_url, pos, href, dst_url FROM lr")
+SQL["urls_defragged"] = f"SELECT page_id, {Q.defrag('url')} AS url FROM pages"
+SQL["links_same_host"] = with_(link_ctes(), "SELECT * FROM nav")
+_SITE_URLS = "SELECT start_url, url FROM cp UNION ALL SELECT start_url, start_url AS url FROM cp"
+_PATH = Q.url_path("u.url")
+SQL["pages_glob_filtered"] = with_(
+    [("cp", CRAWL_PAGES), ("sites", CRAWL_SITES), ("u", _SITE_URLS)],
+    f"SELECT u.start_url, u.url, u.url = {Q.defrag('u.start_url')} OR "
+    f"{Q.glob_ok(f'(CASE WHEN {_PATH} = {chr(39)}{chr(39)} THEN {chr(39)}/{chr(39)} ELSE {_PATH} END)', 's.include', 's.exclude')}"
+    " AS allowed FROM u LEFT JOIN sites s ON u.start_url = s.start_url")
+SQL["pages_robots_filtered"] = with_(
+    [("cp", CRAWL_PAGES)] + robots_ctes() + [("u", _SITE_URLS)],
+    f"SELECT u.start_url, u.url, coalesce(arg_min(r.allow, r.seq), true) AS robots_ok FROM u LEFT JOIN rules r "
+    f"ON r.host = {Q.netloc('u.url')} AND starts_with({Q.url_path_and_query('u.url')}, r.path) "
+    "GROUP BY ALL")
+SQL["links_first_seen"] = with_(
+    link_ctes() + [
+        ("front", "SELECT start_url, url, page_id AS seq FROM cp WHERE status = 200"),
+        ("out", f"SELECT f.start_url, l.dst_url AS url, f.seq, l.pos FROM front f JOIN links l ON l.src_url = f.url "
+                f"WHERE {Q.netloc('l.dst_url')} = {Q.netloc('f.start_url')}"),
+        ("firsts", "SELECT start_url, url, arg_min(seq, (seq, pos)) AS from_seq, arg_min(pos, (seq, pos)) AS from_pos "
+                   "FROM out GROUP BY start_url, url")],
+    "SELECT start_url, url, 1 AS depth, from_seq, from_pos FROM firsts f WHERE NOT EXISTS "
+    "(SELECT 1 FROM front s WHERE s.start_url = f.start_url AND s.url = f.url)")
+SQL["fetch_log_resolved"] = (
+    "SELECT url, arg_min(status, attempt) AS status, min(attempt) AS attempt FROM ("
+    "SELECT 'https://shop.example.com/e/' || CAST(event_id // 3 AS VARCHAR) AS url, "
+    "CAST(event_id % 3 + 1 AS INTEGER) AS attempt, CAST(CASE event_type WHEN 'error' THEN 503 WHEN 'view' THEN 200 "
+    "WHEN 'click' THEN 302 WHEN 'purchase' THEN 404 END AS INTEGER) AS status FROM events) "
+    "WHERE status < 500 OR (attempt = 3 AND status >= 500) GROUP BY url")

@@ -170,3 +170,46 @@ def hrefs(html: str) -> str:
            "THEN v[2:length(v) - 1] ELSE v END)")
     dec = f"list_transform({unq}, lambda v: replace(v, '&amp;', '&'))"
     return f"list_filter({dec}, lambda v: v <> '')"
+
+
+def scheme(x: str) -> str:
+    return f"lower({rx(x, r'^([A-Za-z][A-Za-z0-9+.\-]*):', 1)})"
+
+
+def url_path_and_query(x: str) -> str:
+    pq = rx(defrag(x), r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^#]*)", 1)
+    return f"(CASE WHEN {pq} = '' THEN '/' WHEN starts_with({pq}, '?') THEN '/' || {pq} ELSE {pq} END)"
+
+
+def resolve(b: str, h0: str) -> str:
+    """``urljoin`` for http(s) bases; dot segments are not removed (the test hrefs have none)."""
+    h = rr(rr(h0, r"[\t\n\r]"), r"\A[\x00-\x20]+|[\x00-\x20]+\z")
+    b_auth = f"({rx(b, r'^([A-Za-z][A-Za-z0-9+.\-]*:)', 1)} || '//' || {netloc(b)})"
+    b_path = rx(b, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
+    b_query = rx(b, r"^[^?#]*(\?[^#]*)?", 1)
+    h_path = rx(h, r"^([^?#]*)", 1)
+    h_rest = rx(h, r"(?s)^[^?#]*(.*)\z", 1)
+    b_dir = rr(b_path, r"[^/]*\z")
+    merged = rr(f"(CASE WHEN {b_dir} = '' THEN '/' ELSE {b_dir} END || {h_path})", r"/{2,}", "/")
+    with_scheme = (f"(CASE WHEN {scheme(h)} = {scheme(b)} THEN {scheme(b)} || "
+                   f"{rr(h, r'^[A-Za-z][A-Za-z0-9+.\-]*')} ELSE {h} END)")
+    return (f"(CASE WHEN {h} = '' THEN {b} "
+            f"WHEN {scheme(h)} <> '' AND regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN {with_scheme} "
+            f"WHEN starts_with({h}, '//') THEN {scheme(b)} || ':' || {h} "
+            f"WHEN starts_with({h}, '/') THEN {b_auth} || {h_path} || {h_rest} "
+            f"WHEN starts_with({h}, '?') THEN {b_auth} || {b_path} || {h} "
+            f"WHEN starts_with({h}, '#') THEN {b_auth} || {b_path} || {b_query} || {h} "
+            f"ELSE {b_auth} || {merged} || {h_rest} END)")
+
+
+def glob_regex(g: str) -> str:
+    t = f"regexp_replace({g}, '([.^$+{{}}()|\\\\])', '\\\\\\1', 'g')"
+    t = f"replace(replace(replace({t}, '*', '.*'), '?', '.'), '[!', '[^')"
+    return f"('(?s)' || {t})"
+
+
+def glob_ok(path: str, include: str, exclude: str) -> str:
+    ex = f"coalesce(list_bool_or(list_transform({exclude}, lambda g: regexp_full_match({path}, {glob_regex('g')}))), false)"
+    inc = (f"(CASE WHEN coalesce(len({include}), 0) = 0 THEN true ELSE "
+           f"list_bool_or(list_transform({include}, lambda g: regexp_full_match({path}, {glob_regex('g')}))) END)")
+    return f"(NOT {ex} AND {inc})"
