@@ -65,9 +65,9 @@ def llms_index(pages: DataFrame, sites: DataFrame) -> DataFrame:
 def llms_full(pages: DataFrame) -> DataFrame:
     """Full-text records: ``start_url, part, sort_url, sort_seq, record``.
 
-    Concatenating a site's records in order gives the blocks
-    ``# title\\n<url>\\n\\nmarkdown\\n`` joined by ``\\n---\\n\\n`` plus a final
-    newline.  The last page of a site is found with a per-site max (partial
+    Writing a site's records in order, each followed by a newline, gives
+    the blocks ``# title\\n<url>\\n\\nmarkdown\\n`` joined by ``\\n---\\n\\n``
+    plus a final newline.  The last page of a site is found with a per-site max (partial
     aggregation) joined back on the page's own key, so no key is hot.
     """
     block = F.concat(F.lit("# "), _display_title(), F.lit("\n<"), F.col("url"), F.lit(">\n\n"),
@@ -80,7 +80,7 @@ def llms_full(pages: DataFrame) -> DataFrame:
     return j.select(
         "start_url", F.lit(1).alias("part"), F.col("url").alias("sort_url"),
         F.col("page_seq").cast("long").alias("sort_seq"),
-        F.concat(block, F.when(F.col("_is_last"), F.lit("\n")).otherwise(F.lit(FULL_SEPARATOR))).alias("record"))
+        F.concat(block, F.when(F.col("_is_last"), F.lit("")).otherwise(F.lit(FULL_SEPARATOR[:-1]))).alias("record"))
 
 
 def write_records(records: DataFrame, path: str, text_col: str, line_sep: str) -> None:

@@ -377,8 +377,8 @@ _BLOCK = (f"'# ' || {_TITLE} || chr(10) || '<' || url || '>' || {NL2} || {Q.stri
 SQL["llms_full"] = with_(
     _KEPT + [("ranked", "SELECT *, row_number() OVER (PARTITION BY start_url ORDER BY url DESC, page_seq DESC) AS rk "
                         "FROM kept")],
-    f"SELECT start_url, 1 AS part, url AS sort_url, page_seq AS sort_seq, {_BLOCK} || CASE WHEN rk = 1 THEN chr(10) "
-    f"ELSE {Q.lit(chr(10) + '---' + chr(10) + chr(10))} END AS record FROM ranked")
+    f"SELECT start_url, 1 AS part, url AS sort_url, page_seq AS sort_seq, {_BLOCK} || CASE WHEN rk = 1 THEN '' "
+    f"ELSE {Q.lit(chr(10) + '---' + chr(10))} END AS record FROM ranked")
 
 _YIELD = [("yr", raw_pages_sql("cur"))] + extract_ctes("yr", "yx") + [
     ("sites", _SITES),
