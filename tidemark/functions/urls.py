@@ -77,7 +77,7 @@ def _remove_dot_segments(path: Column) -> Column:
     )
     last = F.element_at(segs, n)
     trail = F.when((n > 0) & last.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
-    return F.concat(F.lit("/"), F.array_join(folded, "/"), trail)
+    return F.when(F.size(folded) == 0, F.lit("/")).otherwise(F.concat(F.lit("/"), F.array_join(folded, "/"), trail))
 
 
 def resolve(base, href) -> Column:
@@ -92,7 +92,7 @@ def resolve(base, href) -> Column:
     """
     b, h = _col(base), _col(href)
     h = F.regexp_replace(h, r"[\t\n\r]", "")
-    h = F.regexp_replace(h, r"\A[\x00-\x20]+|[\x00-\x20]+\z", "")
+    h = F.regexp_replace(h, r"\A[\x00-\x20]+", "")
     b_scheme = scheme(b)
     b_auth = F.concat(F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1),
                       F.lit("//"), netloc(b))
