@@ -62,7 +62,8 @@ def decode_entities(c) -> Column:
     t = _col(c)
     for ent, ch in NAMED_ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
-    # Numeric references: one replace per distinct reference in the text.
+    # Numeric references: one replace per distinct reference, only in texts that have any.
+    plain = t
     t = F.aggregate(
         F.array_distinct(F.regexp_extract_all(t, F.lit(r"&#([0-9]{1,7});"), 1)),
         t,
@@ -75,6 +76,7 @@ def decode_entities(c) -> Column:
         lambda acc, h: F.replace(acc, F.concat(F.lit("&#x"), h, F.lit(";")),
                                  _code_point(F.conv(h, 16, 10).cast("int"))),
     )
+    t = F.when(plain.contains("&#"), t).otherwise(plain)
     return F.replace(t, F.lit("&amp;"), F.lit("&"))
 
 

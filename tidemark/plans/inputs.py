@@ -108,13 +108,16 @@ def account_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_chunks(spark: SparkSession, sf_dir: str, version: str = "cur") -> DataFrame:
-    """Large chunk snapshots built from ``lineitem`` (one chunk per order line).
+    """Large chunk snapshots built from ``lineitem`` (one chunk per order line, one
+    ledger site per return flag).
 
     ``prev``: lines shipped before 1998, all still open.  ``cur``: lines with
     a discount under 10 %, with their real line status.  So the diff has
     added, removed, modified and unchanged rows at 600 k lines (sf0.1).
     """
-    li = table(spark, sf_dir, "lineitem")
+    from ..operators.parallel import spread
+
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     if version == "prev":
         li = li.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp"))
         status = F.lit("O")
@@ -129,11 +132,12 @@ def ledger_chunks(spark: SparkSession, sf_dir: str, version: str = "cur") -> Dat
         F.round(F.col("l_quantity") * 100).cast("long").cast("string"), F.lit(" hundredths, status "),
         status, F.lit("."),
     )
+    host = F.concat(F.lower("l_returnflag"), F.lit(".ledger.example.com"))
     return li.select(
-        F.lit("https://ledger.example.com/").alias("start_url"),
+        F.concat(F.lit("https://"), host, F.lit("/")).alias("start_url"),
         F.col("l_orderkey").alias("page_seq"),
-        F.concat(F.lit("ledger.example.com/orders/"), ok, F.lit("#line-"), ln).alias("chunk_id"),
-        F.concat(F.lit("https://ledger.example.com/orders/"), ok).alias("url"),
+        F.concat(host, F.lit("/orders/"), ok, F.lit("#line-"), ln).alias("chunk_id"),
+        F.concat(F.lit("https://"), host, F.lit("/orders/"), ok).alias("url"),
         F.array(F.concat(F.lit("Order "), ok), F.concat(F.lit("Line "), ln)).alias("heading_path"),
         text.alias("text"),
         F.size(F.split(text, " ")).cast("int").alias("token_estimate"),

@@ -62,9 +62,10 @@ def ledger_sql(version: str) -> str:
             "|| CAST(CAST(round(l_quantity * 100) AS BIGINT) AS VARCHAR) || ' hundredths, status ' "
             f"|| {status} || '.')")
     ok, ln = "CAST(l_orderkey AS VARCHAR)", "CAST(l_linenumber AS VARCHAR)"
-    return (f"SELECT 'https://ledger.example.com/' AS start_url, l_orderkey AS page_seq, "
-            f"'ledger.example.com/orders/' || {ok} || '#line-' || {ln} AS chunk_id, "
-            f"'https://ledger.example.com/orders/' || {ok} AS url, "
+    host = "(lower(l_returnflag) || '.ledger.example.com')"
+    return (f"SELECT 'https://' || {host} || '/' AS start_url, l_orderkey AS page_seq, "
+            f"{host} || '/orders/' || {ok} || '#line-' || {ln} AS chunk_id, "
+            f"'https://' || {host} || '/orders/' || {ok} AS url, "
             f"'Order ' || {ok} || ' > ' || 'Line ' || {ln} AS heading_path, {text} AS text, "
             f"CAST(len(string_split({text}, ' ')) AS INTEGER) AS token_estimate, "
             f"{Q.sha256_hex(text)} AS chunk_hash, CAST(l_linenumber - 1 AS INTEGER) AS \"order\" "
