@@ -244,8 +244,10 @@ SQL["diff_first_run"] = with_(
     web_chunk_ctes("cur", "wc") + last_wins_ctes("wc", "lw"),
     "SELECT start_url, 'added' AS change_type, chunk_id, url, heading_path, text, chunk_hash, 0 AS change_side, "
     "pos_seq, pos_order FROM lw")
-_CHANGES = snapshot_ctes() + [("changes", diff_final("prev_lw", "cur_lw")),
-                              ("runs", "SELECT start_url FROM prev_chunks UNION SELECT start_url FROM cur_chunks")]
+_CHANGES = snapshot_ctes() + [
+    ("changes", diff_final("prev_lw", "cur_lw")),
+    ("runs", f"SELECT start_url FROM ({raw_pages_sql('prev')}) UNION SELECT start_url FROM ({raw_pages_sql('cur')}) "
+             f"UNION SELECT start_url FROM ({ledger_sql('prev')}) UNION SELECT start_url FROM ({ledger_sql('cur')})")]
 SQL["change_summary"] = with_(
     _CHANGES,
     "SELECT r.start_url, CAST(count(c.change_type) FILTER (WHERE c.change_type = 'added') AS BIGINT) AS added, "

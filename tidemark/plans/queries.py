@@ -220,15 +220,18 @@ def diff_first_run(spark, sf):
     return _path_text(D.diff_chunks(None, _web_chunks(spark, sf, "cur")))
 
 
-def _runs(prev: DataFrame, cur: DataFrame) -> DataFrame:
-    sites = prev.select("start_url").union(cur.select("start_url")).distinct()
-    return sites
+def _crawl_sites(spark, sf) -> DataFrame:
+    """Sites of the two runs, from the crawl inputs themselves (no chunking needed)."""
+    web = I.raw_pages(spark, sf, "prev").select("start_url").union(I.raw_pages(spark, sf, "cur").select("start_url"))
+    led = I.ledger_chunks(spark, sf, "prev").select("start_url").union(
+        I.ledger_chunks(spark, sf, "cur").select("start_url"))
+    return web.union(led).distinct()
 
 
 @query("change_summary")
 def change_summary(spark, sf):
     prev, cur = _snapshots(spark, sf)
-    return D.change_summary(D.diff_chunks(prev, cur), _runs(prev, cur))
+    return D.change_summary(D.diff_chunks(prev, cur), _crawl_sites(spark, sf))
 
 
 @query("changed_chunk_count")
@@ -341,7 +344,7 @@ def changes_by_route(spark, sf):
 @query("change_notification")
 def change_notification(spark, sf):
     prev, cur = _snapshots(spark, sf)
-    s = D.change_summary(D.diff_chunks(prev, cur), _runs(prev, cur))
+    s = D.change_summary(D.diff_chunks(prev, cur), _crawl_sites(spark, sf))
     return K.change_notification(s, "Change tracker")
 
 
