@@ -212,9 +212,13 @@ def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_ru
                 break
         level = store.put(_fetch_level(frontier, resp, sites, robots_rules, counts, max_cap), "level")
         found.append(level)
-        counts = store.put(
-            counts.join(level.groupBy("start_url").agg(F.max("seq").alias("_m")), "start_url", "left")
-                  .select("start_url", F.coalesce("_m", "n").alias("n")), "counts")
+        # pages fetched so far per site: read from the level tables (at most the cap per site)
+        fetched = found[0]
+        for part in found[1:]:
+            fetched = fetched.unionByName(part)
+        counts = (sites.select("start_url").join(fetched.groupBy("start_url").agg(F.max("seq").alias("_m")),
+                                                 "start_url", "left")
+                       .select("start_url", F.coalesce("_m", F.lit(0)).cast("long").alias("n")))
         # sites that reached their cap stop walking; what they reached is still seen
         nxt = store.put(links_first_seen(level.where(F.col("status") == 200), links, seen()), "next")
         seen_parts.append(nxt.select("start_url", "url"))
