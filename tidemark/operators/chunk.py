@@ -8,9 +8,10 @@ Plan shape (one Exchange, on the page key):
 2. Exchange on ``(start_url, page_seq)``; one window pass gives each section
    the heading stack in force (for every level, the last heading of that
    level that no shallower heading has closed);
-3. empty sections are dropped (they still shaped the stack), then two more
-   window functions over the same partitioning give the duplicate-id suffix
-   and the 0-based order.
+3. the same ordered pass counts the non-empty sections before each one (the
+   0-based order); empty sections are then dropped (they still shaped the
+   stack) and one more window over the same partitioning numbers repeated
+   ids within a page.
 
 A page is a single input row, so a hash partition on the page key cannot
 concentrate more than one page in a task; the shuffle is skew-free.
@@ -76,7 +77,9 @@ def _breadcrumbs(sections: DataFrame, key) -> DataFrame:
         .over(w)
         for k in range(1, MAX_LEVEL + 1)
     ]
-    out = sections.select("*", *[c.alias(f"_p{k + 1}") for k, c in enumerate(last)])
+    # 0-based position among non-empty sections, from the same ordered pass
+    kept_before = F.sum(F.when(F.col("text") != "", 1).otherwise(0)).over(w) - 1
+    out = sections.select("*", *[c.alias(f"_p{k + 1}") for k, c in enumerate(last)], kept_before.alias("_order"))
     entries = []
     for k in range(1, MAX_LEVEL + 1):
         pk = F.col(f"_p{k}")
@@ -86,7 +89,7 @@ def _breadcrumbs(sections: DataFrame, key) -> DataFrame:
             closed = closed | (pj.isNotNull() & (pj["s"] > pk["s"]))
         entries.append(F.when(pk.isNotNull() & ~closed, pk["h"]))
     path = F.filter(F.array(*entries), lambda x: x.isNotNull())
-    return out.select(*[c for c in sections.columns], path.alias("heading_path"))
+    return out.select(*[c for c in sections.columns], path.alias("heading_path"), "_order")
 
 
 def chunk_pages(pages: DataFrame, key=PAGE_KEY) -> DataFrame:
@@ -104,7 +107,6 @@ def chunk_pages(pages: DataFrame, key=PAGE_KEY) -> DataFrame:
         "_base", F.concat("_id_base", F.lit("#"), F.when(F.size("heading_path") == 0, F.lit("root"))
                           .otherwise(dotted)))
     by_id = Window.partitionBy(*key, "_base").orderBy("sec")
-    by_page = Window.partitionBy(*key).orderBy("sec")
     dup = F.row_number().over(by_id) - 1
     return sec.select(
         *key,
@@ -115,5 +117,5 @@ def chunk_pages(pages: DataFrame, key=PAGE_KEY) -> DataFrame:
         "text",
         token_estimate("text").alias("token_estimate"),
         sha256_hex("text").alias("chunk_hash"),
-        (F.row_number().over(by_page) - 1).cast("int").alias("order"),
+        F.col("_order").cast("int").alias("order"),
     )
