@@ -312,8 +312,8 @@ def delta_dataset(spark, sf):
                                 "heading_path", "text", "chunk_hash"))
 
 
-def _prev_index(spark, sf):
-    prev, _ = _snapshots(spark, sf)
+def _index_of(prev: DataFrame) -> DataFrame:
+    """The index as the previous run left it."""
     lw = D.last_wins(prev).withColumn("change_type", F.lit("added"))
     return K.index_rows_flat(lw)
 
@@ -326,7 +326,8 @@ def index_rows_flat(spark, sf):
 
 @query("index_apply_changes")
 def index_apply_changes(spark, sf):
-    r = K.apply_changes(_prev_index(spark, sf), _changes(spark, sf))
+    prev, cur = _snapshots(spark, sf)
+    r = K.apply_changes(_index_of(prev), D.diff_chunks(prev, cur))
     return r.select("id", "document", "metadata.url", "metadata.heading_path", "metadata.chunk_hash")
 
 
