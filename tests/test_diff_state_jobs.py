@@ -124,11 +124,11 @@ def test_two_version_site_end_to_end(spark):
     # a retried run replaces its own state partition
     run_diff_job(spark, _raw(spark, SITE_V2), state, os.path.join(root, "r3b"), "2026-01-15T00:00:00Z")
     assert spark.read.parquet(os.path.join(state, "chunks")).where("run_at = '2026-01-15T00:00:00Z'").count() == 4
-    idx = _site_text(os.path.join(root, "r2", "llms_txt"))
+    idx = _site_text(os.path.join(root, "r2", "site_index_txt"))
     assert idx.startswith("# docs.example.com\n\n> ") and idx.endswith(
         "## Pages\n- [Home](https://docs.example.com/)\n- [FAQ](https://docs.example.com/faq)\n"
         "- [Guide](https://docs.example.com/guide)\n")
-    full = _site_text(os.path.join(root, "r2", "llms_full_txt"))
+    full = _site_text(os.path.join(root, "r2", "site_full_txt"))
     assert full.startswith("# Home\n<https://docs.example.com/>\n\n# Home\n\nHi.\n\n---\n\n# FAQ")
     assert full.count("\n---\n\n") == 2 and full.endswith("More.\n\n")
 
