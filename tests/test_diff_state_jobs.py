@@ -138,3 +138,22 @@ def _site_text(folder):
     (site_dir,) = [d for d in os.listdir(folder) if d.startswith("site_key=")]
     parts = sorted(f for f in os.listdir(os.path.join(folder, site_dir)) if f.startswith("part-"))
     return "".join(open(os.path.join(folder, site_dir, f), encoding="utf-8").read() for f in parts)
+
+
+def test_narrow_snapshot_diff_equals_full_diff(spark, tmp_path):
+    from conftest import SF_SMALL
+    from tidemark.plans.queries import _snapshots
+
+    prev, cur = _snapshots(spark, SF_SMALL)
+    prev.write.parquet(str(tmp_path / "prev"))
+    cur.write.parquet(str(tmp_path / "cur"))
+    p, c = spark.read.parquet(str(tmp_path / "prev")), spark.read.parquet(str(tmp_path / "cur"))
+    cols = ["start_url", "change_type", "chunk_id", "url", "heading_path", "text", "chunk_hash", "change_side",
+            "pos_seq", "pos_order"]
+
+    def rows(df):
+        return sorted(tuple(tuple(v) if isinstance(v, list) else v for v in r) for r in df.select(*cols).collect())
+
+    full = rows(D.diff_chunks(p, c))
+    assert len(full) > 1000 and rows(D.diff_snapshots(p, c)) == full
+    assert rows(D.diff_snapshots(None, c)) == rows(D.diff_chunks(None, c))

@@ -27,7 +27,7 @@ def last_wins(chunks: DataFrame) -> DataFrame:
     winner never depends on task scheduling.
     """
     pos = F.struct(F.col("page_seq").alias("s"), F.col("order").alias("o"))
-    rank = F.struct(F.col("page_seq"), F.col("order"), F.col("chunk_hash"), F.col("url"))
+    rank = _rank()
     return (
         chunks.groupBy(*KEY)
         .agg(F.max_by(F.struct(*PAYLOAD), rank).alias("_v"), F.min(pos).alias("_first"))
@@ -36,6 +36,56 @@ def last_wins(chunks: DataFrame) -> DataFrame:
     )
 
 
+def _rank():
+    """Total order of rows sharing an id: crawl position, then hash, url and path as tie-breaks."""
+    return F.struct(F.col("page_seq"), F.col("order"), F.col("chunk_hash"), F.col("url"), F.col("heading_path"))
+
+
+def diff_snapshots(prev: DataFrame | None, cur: DataFrame) -> DataFrame:
+    """:func:`diff_chunks` for stored snapshots, moving chunk text only for changed chunks.
+
+    Between two runs most chunks are unchanged.  The dedupe and the full
+    outer join run on narrow rows (key, position, hash, url, path); the text
+    of the winning rows is then fetched for the changed keys only, with a
+    join AQE broadcasts when the change set is small.  Same rows as
+    :func:`diff_chunks`; meant for snapshot tables that are cheap to read
+    twice (parquet with column pruning), not for recomputed inputs.
+    """
+    def narrow(df: DataFrame) -> DataFrame:
+        pos = F.struct(F.col("page_seq").alias("s"), F.col("order").alias("o"))
+        return (df.groupBy(*KEY)
+                  .agg(F.max(_rank()).alias("_w"), F.min(pos).alias("_first"))
+                  .select(*KEY, "_w", F.col("_first.s").alias("pos_seq"), F.col("_first.o").alias("pos_order")))
+
+    c = narrow(cur).withColumn("_in_cur", F.lit(True))
+    p = (c.limit(0).withColumnRenamed("_in_cur", "_in_prev") if prev is None
+         else narrow(prev).withColumn("_in_prev", F.lit(True)))
+    j = c.alias("c").join(p.alias("p"), KEY, "full_outer")
+    in_c, in_p = F.col("c._in_cur").isNotNull(), F.col("p._in_prev").isNotNull()
+    change = (F.when(~in_p, F.lit("added")).when(~in_c, F.lit("removed"))
+              .when(F.col("c._w.chunk_hash") != F.col("p._w.chunk_hash"), F.lit("modified")))
+    pick = lambda n: F.when(in_c, F.col(f"c.{n}")).otherwise(F.col(f"p.{n}")).alias(n)
+    changed = (j.select(*KEY, change.alias("change_type"), F.when(in_c, 0).otherwise(1).alias("change_side"),
+                        pick("_w"), pick("pos_seq"), pick("pos_order"))
+                .where(F.col("change_type").isNotNull()))
+    win = [F.col("_w.page_seq").alias("page_seq"), F.col("_w.order").alias("order"),
+           F.col("_w.chunk_hash").alias("chunk_hash"), F.col("_w.url").alias("url")]
+    fetch_keys = [*KEY, "page_seq", "order", "chunk_hash", "url"]
+
+    def fetch(side: int, table: DataFrame | None) -> DataFrame | None:
+        if table is None:
+            return None
+        want = changed.where(F.col("change_side") == side).select(*KEY, *win, "change_type", "change_side",
+                                                                   "pos_seq", "pos_order", F.col("_w.heading_path")
+                                                                   .alias("_hp"))
+        rows = table.select(*fetch_keys, "heading_path", "text")
+        return (rows.join(want, fetch_keys).where(F.col("heading_path") == F.col("_hp"))
+                    .dropDuplicates(KEY))
+    parts = [x for x in (fetch(0, cur), fetch(1, prev)) if x is not None]
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.select("start_url", "change_type", "chunk_id", *PAYLOAD, "change_side", "pos_seq", "pos_order")
+
+
 def diff_chunks(prev: DataFrame | None, cur: DataFrame) -> DataFrame:
     """Change rows for every site present in either snapshot.
 

@@ -128,7 +128,7 @@ def chunk_ctes(src: str, p: str) -> list[tuple[str, str]]:
 def last_wins_ctes(src: str, p: str) -> list[tuple[str, str]]:
     """``{p}``: one row per (start_url, chunk_id): last value, first position."""
     w = "PARTITION BY start_url, chunk_id"
-    return [(f"{p}_r", f"SELECT *, row_number() OVER ({w} ORDER BY page_seq DESC, \"order\" DESC, chunk_hash DESC, url DESC) AS _rn, "
+    return [(f"{p}_r", f"SELECT *, row_number() OVER ({w} ORDER BY page_seq DESC, \"order\" DESC, chunk_hash DESC, url DESC, heading_path DESC) AS _rn, "
                        f"first_value(page_seq) OVER ({w} ORDER BY page_seq, \"order\") AS pos_seq, "
                        f"first_value(\"order\") OVER ({w} ORDER BY page_seq, \"order\") AS pos_order FROM {src}"),
             (p, f"SELECT start_url, chunk_id, url, heading_path, text, chunk_hash, pos_seq, pos_order "
