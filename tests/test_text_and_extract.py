@@ -6,7 +6,6 @@ import unicodedata
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import html as H
 from tidemark.functions import text as T
 from tidemark.operators.extract import extract_pages, pipeline_pages
 

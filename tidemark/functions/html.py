@@ -123,11 +123,6 @@ def page_markdown(html) -> Column:
     return fragment_to_markdown(main_fragment(html))
 
 
-def whole_document_markdown(html) -> Column:
-    """Fallback: the whole document converted, furniture included."""
-    return fragment_to_markdown(strip_code(html))
-
-
 def og_title(html) -> Column:
     return strip_ws(F.regexp_extract(
         _col(html),

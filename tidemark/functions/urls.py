@@ -1,4 +1,4 @@
-"""URL column functions: netloc/path split, fragments, resolution, globs.
+"""URL column functions: netloc/path split, fragments, resolution.
 
 All are regex or array expressions evaluated in the JVM.  They follow the
 behaviour of Python's ``urllib.parse`` on the URL forms a crawl produces
@@ -7,8 +7,6 @@ behaviour of Python's ``urllib.parse`` on the URL forms a crawl produces
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -118,54 +116,3 @@ def resolve(base, href) -> Column:
         .when(h.startswith("#"), F.concat(b_auth, b_path, b_query, h))
         .otherwise(F.concat(b_auth, _remove_dot_segments(merged), h_rest))
     )
-
-
-def glob_to_regex(pattern: str) -> str:
-    """``fnmatch`` glob -> anchored Java regex (case-sensitive, ``*`` crosses ``/``).
-
-    Built on the driver from a parameter (a handful of globs), then used with
-    ``rlike``; the per-row work stays in the JVM.
-    """
-    out, i, n = [], 0, len(pattern)
-    while i < n:
-        ch = pattern[i]
-        i += 1
-        if ch == "*":
-            out.append(".*")
-        elif ch == "?":
-            out.append(".")
-        elif ch == "[":
-            j = i
-            if j < n and pattern[j] == "!":
-                j += 1
-            if j < n and pattern[j] == "]":
-                j += 1
-            while j < n and pattern[j] != "]":
-                j += 1
-            if j >= n:
-                out.append(r"\[")
-            else:
-                body = pattern[i:j].replace("\\", "\\\\")
-                i = j + 1
-                if body.startswith("!"):
-                    body = "^" + body[1:]
-                elif body.startswith("^"):
-                    body = "\\" + body
-                out.append(f"[{body}]")
-        else:
-            out.append(re.escape(ch))
-    return "(?s)\\A" + "".join(out) + "\\z"
-
-
-def path_allowed(path, include: list[str] | None, exclude: list[str] | None) -> Column:
-    """Exclude globs win; then the path must match some include glob (if any)."""
-    p = _col(path)
-    ok = F.lit(True)
-    for g in exclude or []:
-        ok = ok & ~p.rlike(glob_to_regex(g))
-    if include:
-        any_inc = F.lit(False)
-        for g in include:
-            any_inc = any_inc | p.rlike(glob_to_regex(g))
-        ok = ok & any_inc
-    return ok

@@ -83,12 +83,6 @@ def llms_full(pages: DataFrame) -> DataFrame:
         F.concat(block, F.when(F.col("_is_last"), F.lit("")).otherwise(F.lit(FULL_SEPARATOR[:-1]))).alias("record"))
 
 
-def write_records(records: DataFrame, path: str, text_col: str, line_sep: str) -> None:
-    """Write ordered records as text, one folder per run (a global sort, range partitioned)."""
-    (records.orderBy(*RECORD_ORDER).select(text_col)
-            .write.mode("overwrite").option("lineSep", line_sep).text(path))
-
-
 def jsonl(df: DataFrame) -> DataFrame:
     """One JSON object per row (the JSON-lines form of a table)."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
