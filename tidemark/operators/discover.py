@@ -219,11 +219,13 @@ def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_ru
         counts = (sites.select("start_url").join(fetched.groupBy("start_url").agg(F.max("seq").alias("_m")),
                                                  "start_url", "left")
                        .select("start_url", F.coalesce("_m", F.lit(0)).cast("long").alias("n")))
-        # sites that reached their cap stop walking; what they reached is still seen
-        nxt = store.put(links_first_seen(level.where(F.col("status") == 200), links, seen()), "next")
-        seen_parts.append(nxt.select("start_url", "url"))
+        # sites that reached their cap stop walking (and skip the sitemap phase), so what
+        # they would reach next is never needed: the written table is the next frontier
         open_sites = counts.join(sites, "start_url").where(F.col("n") < F.col("max_pages")).select("start_url")
-        frontier = nxt.join(open_sites, "start_url", "left_semi")
+        nxt = links_first_seen(level.where(F.col("status") == 200).join(open_sites, "start_url", "left_semi"),
+                               links, seen())
+        frontier = store.put(nxt, "frontier")
+        seen_parts.append(frontier.select("start_url", "url"))
     if not found:
         return spark.createDataFrame([], "start_url string, url string, depth int, seq long, status int")
     out = found[0]
