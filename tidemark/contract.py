@@ -108,9 +108,6 @@ def contract_violations(df: DataFrame, schema: T.StructType, key: str | list[str
     """
     keys = [key] if isinstance(key, str) else list(key)
     rules = _rules(schema)
-    broken = F.filter(
-        F.array(*[F.when(pred, F.lit(name)) for name, pred in rules]),
-        lambda x: x.isNotNull(),
-    )
-    return (df.select(*[F.col(k) for k in keys], broken.alias("_broken"))
-              .select(*keys, F.explode("_broken").alias("rule")))
+    verdicts = F.array(*[F.when(pred, F.lit(name)) for name, pred in rules])
+    return (df.select(*[F.col(k) for k in keys], F.explode(verdicts).alias("rule"))
+              .where(F.col("rule").isNotNull()))
