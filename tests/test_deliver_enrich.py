@@ -34,16 +34,6 @@ def test_apply_changes(spark):
     assert (c0.upserted, c0.deleted) == (0, 0)
 
 
-class FakeStore:
-    log = []
-
-    def upsert(self, ids, documents, metadatas):
-        FakeStore.log.append(("upsert", list(ids), [m["heading_path"] for m in metadatas]))
-
-    def delete(self, ids):
-        FakeStore.log.append(("delete", list(ids)))
-
-
 def test_store_sink(spark, tmp_path):
     out = str(tmp_path / "calls")
 
@@ -109,3 +99,12 @@ def test_requests(spark):
     r2 = json.loads(N.enrich_requests_messages(changes(spark), "m").first().request)
     assert r2["max_tokens"] == 200 and r2["system"] and r2["messages"][0]["role"] == "user"
     assert N.enrich_requests_chat(changes(spark), "m").where(F.col("change_type") == "removed").count() == 0
+
+
+def test_summarizer_factory(spark):
+    def factory():
+        prefix = "made on executor"
+        return lambda rec: (f"{prefix}: {rec['chunk_id']}", [rec["change_type"]])
+
+    got = {r.chunk_id: r.summary for r in N.enrich_changes(changes(spark), summarizer_factory=factory).collect()}
+    assert got["new"] == "made on executor: new" and got["gone"].startswith("Removed:")

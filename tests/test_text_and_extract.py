@@ -137,3 +137,13 @@ def test_unicode_whitespace_in_heading_and_strip(spark):
     df = spark.createDataFrame([(s,)], "t string")
     assert df.select(T.strip_ws("t")).first()[0] == s.strip()
     assert unicodedata.category(" ") == "Zl"
+
+
+def test_python_extractor_hook(spark):
+    def extractor(html):
+        return "# From hook\n\n" + ("body   text  " if "main" in html else "")
+
+    p = extract_pages(_raw(spark, PAGE), extractor=extractor).first()
+    assert p.markdown == "# From hook\n\nbody text" and p.title == "From hook"
+    empty = extract_pages(_raw(spark, "<html><body><p>x</p></body></html>"), extractor=lambda h: None).first()
+    assert empty.markdown == "x"          # hook found nothing: whole-document fallback

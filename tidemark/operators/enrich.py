@@ -106,19 +106,25 @@ def enrich_parsed(responses: DataFrame, response_col: str = "response") -> DataF
     )
 
 
-def enrich_changes(changes: DataFrame, summarizer: Callable[[dict], tuple[str, list[str]]]) -> DataFrame:
-    """``ENRICHED`` rows for every change; ``summarizer`` sees added/modified rows only.
-
-    ``summarizer(row_dict) -> (summary, tags)`` is called on the executors,
-    one pandas batch at a time (``mapInPandas``), so a client it opens is
-    created per task, not per row.  Removed rows get :func:`removed_labels`.
+def enrich_changes(changes: DataFrame, summarizer: Callable[[dict], tuple[str, list[str]]] | None = None,
+                   summarizer_factory: Callable[[], Callable[[dict], tuple[str, list[str]]]] | None = None
+                   ) -> DataFrame:
+    """``ENRICHED`` rows for every change; the summarizer sees added/modified rows only.
+
+    ``summarizer(row_dict) -> (summary, tags)`` runs on the executors one
+    pandas batch at a time (``mapInPandas``).  With ``summarizer_factory``
+    the summarizer (and any client it holds) is built once per task instead
+    of being shipped from the driver.  Removed rows get :func:`removed_labels`.
     """
+    if (summarizer is None) == (summarizer_factory is None):
+        raise ValueError("give exactly one of summarizer, summarizer_factory")
     cols = ["chunk_id", "change_type", "url", "text", "chunk_hash"]
     todo = upserts(changes).select(*cols, path_text().alias("heading_path_text"), "heading_path")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        summarize = summarizer if summarizer is not None else summarizer_factory()
         for pdf in batches:
-            out = [summarizer(rec) for rec in pdf.to_dict("records")]
+            out = [summarize(rec) for rec in pdf.to_dict("records")]
             yield pd.DataFrame({
                 "chunk_id": pdf["chunk_id"], "change_type": pdf["change_type"],
                 "summary": [s for s, _ in out], "tags": [list(t) for _, t in out],

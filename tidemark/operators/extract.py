@@ -7,27 +7,40 @@ instead of inlining an expensive expression into several consumers.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import html as H
 from ..functions.text import normalize, sha256_hex
 from .parallel import spread
 
 
-def extract_pages(raw: DataFrame, html_col: str = "raw_html") -> DataFrame:
+def extract_pages(raw: DataFrame, html_col: str = "raw_html",
+                  extractor: Callable[[str], str | None] | None = None) -> DataFrame:
     """``RAW_PAGE`` (+ any extra columns) -> ``PAGE`` (+ the same extra columns).
 
     markdown = main content (``<article>``/``<main>``, else body without
     furniture); when that is empty, the whole document.  content_hash is the
-    prefixed SHA-256 of the normalized markdown (our markdown is produced in
-    normal form, so it is hashed as is).
+    prefixed SHA-256 of the normalized markdown.
+
+    ``extractor`` (optional) replaces the built-in main-content step with a
+    Python function ``html -> markdown or None`` (e.g. a third-party
+    extractor), run per Arrow batch on the executors; its output is
+    normalized, and the whole-document fallback still applies.
     """
     extra = [c for c in raw.columns if c not in ("url", html_col, "status", "fetched_at", "depth")]
     raw = spread(raw, "url")
     s1 = raw.select("*", H.strip_code(F.col(html_col)).alias("_code"))
-    s2 = s1.select("*", H.main_fragment_from_code("_code").alias("_frag"))
-    s3 = s2.select("*", H.fragment_to_markdown("_frag").alias("_md"))
+    if extractor is None:
+        s2 = s1.select("*", H.main_fragment_from_code("_code").alias("_frag"))
+        s3 = s2.select("*", H.fragment_to_markdown("_frag").alias("_md"))
+    else:
+        s3 = s1.select("*", normalize(F.coalesce(_python_extractor(extractor)(F.col(html_col)), F.lit("")))
+                       .alias("_md"))
     s4 = s3.select(
         "*",
         F.when(F.col("_md") == "", H.fragment_to_markdown("_code"))
@@ -45,6 +58,14 @@ def extract_pages(raw: DataFrame, html_col: str = "raw_html") -> DataFrame:
     )
 
 
+def _python_extractor(fn: Callable[[str], str | None]):
+    @F.pandas_udf(T.StringType())
+    def run(html: pd.Series) -> pd.Series:
+        return html.map(lambda h: None if h is None else fn(h))
+
+    return run
+
+
 def pages_ok(raw: DataFrame) -> DataFrame:
     """Only status-200 responses are extracted."""
     return raw.where(F.col("status") == 200)
