@@ -69,20 +69,15 @@ def diff_snapshots(prev: DataFrame | None, cur: DataFrame) -> DataFrame:
                         pick("_w"), pick("pos_seq"), pick("pos_order"))
                 .where(F.col("change_type").isNotNull()))
     win = [F.col("_w.page_seq").alias("page_seq"), F.col("_w.order").alias("order"),
-           F.col("_w.chunk_hash").alias("chunk_hash"), F.col("_w.url").alias("url")]
-    fetch_keys = [*KEY, "page_seq", "order", "chunk_hash", "url"]
-
-    def fetch(side: int, table: DataFrame | None) -> DataFrame | None:
-        if table is None:
-            return None
-        want = changed.where(F.col("change_side") == side).select(*KEY, *win, "change_type", "change_side",
-                                                                   "pos_seq", "pos_order", F.col("_w.heading_path")
-                                                                   .alias("_hp"))
-        rows = table.select(*fetch_keys, "heading_path", "text")
-        return (rows.join(want, fetch_keys).where(F.col("heading_path") == F.col("_hp"))
-                    .dropDuplicates(KEY))
-    parts = [x for x in (fetch(0, cur), fetch(1, prev)) if x is not None]
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+           F.col("_w.chunk_hash").alias("chunk_hash"), F.col("_w.url").alias("url"),
+           F.col("_w.heading_path").alias("heading_path")]
+    fetch_keys = ["change_side", *KEY, "page_seq", "order", "chunk_hash", "url", "heading_path"]
+    want = changed.select("change_side", *KEY, *win, "change_type", "pos_seq", "pos_order")
+    # both snapshots in one side-tagged relation, so the change set is joined once
+    rows = cur.select(F.lit(0).alias("change_side"), *fetch_keys[1:], "text")
+    if prev is not None:
+        rows = rows.unionByName(prev.select(F.lit(1).alias("change_side"), *fetch_keys[1:], "text"))
+    out = rows.join(want, fetch_keys).dropDuplicates(["change_side", *KEY])
     return out.select("start_url", "change_type", "chunk_id", *PAYLOAD, "change_side", "pos_seq", "pos_order")
 
 
