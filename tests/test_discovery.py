@@ -94,15 +94,16 @@ def test_sitemap_and_fetch_log(spark):
 H = "https://docs.example.com"
 
 
-def _crawl_fixture(spark, max_pages=100, exclude=None, robots=True):
+def _crawl_fixture(spark, max_pages=100, exclude=None, robots=True, respect=True):
     responses = spark.createDataFrame(
         [(H + "/", 200), (H + "/docs/a", 200), (H + "/docs/b", 200), (H + "/docs/c", 200), (H + "/docs/secret", 200)],
         "url string, status int")
     links = spark.createDataFrame(
         [(H + "/", 0, H + "/docs/a"), (H + "/", 1, H + "/docs/b"), (H + "/", 2, H + "/docs/secret"),
          (H + "/docs/a", 0, H + "/docs/c")], "src_url string, pos int, dst_url string")
-    sites = spark.createDataFrame([(H + "/", max_pages, None, exclude)],
-                                  "start_url string, max_pages int, include array<string>, exclude array<string>")
+    sites = spark.createDataFrame([(H + "/", max_pages, None, exclude, respect)],
+                                  "start_url string, max_pages int, include array<string>, exclude array<string>, "
+                                  "respect_robots boolean")
     rules = SD.robots_rules(spark.createDataFrame([("docs.example.com", "User-agent: *\nDisallow: /docs/secret\n")],
                                                   "host string, text string"), AGENT) if robots else None
     sm = SD.sitemap_urls(spark.createDataFrame(
@@ -119,3 +120,4 @@ def test_crawl_fixture(spark):
     ex = _crawl_fixture(spark, exclude=["/docs/b"])
     assert H + "/docs/b" not in ex and H + "/" in ex
     assert H + "/docs/secret" in _crawl_fixture(spark, robots=False)
+    assert H + "/docs/secret" in _crawl_fixture(spark, respect=False)

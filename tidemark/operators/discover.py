@@ -154,7 +154,8 @@ def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_ru
     toward ``max_pages`` and only status-200 pages are expanded.  When a
     site's link walk drains, its sitemap URLs (same host, allowed by the
     globs, not yet seen) are walked next from depth 0.  ``seq`` is the
-    1-based fetch order within the site.
+    1-based fetch order within the site.  ``sites`` may carry a boolean
+    ``respect_robots`` (default true) to walk a site without its robots rules.
 
     Sites walk in lock step, one level per iteration; the sitemap phase of
     all sites starts when every link walk has drained (a site's result does
@@ -163,9 +164,10 @@ def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_ru
     """
     spark = responses.sparkSession
     store = _LevelStore(spark)
+    respect = F.col("respect_robots") if "respect_robots" in sites.columns else F.lit(True)
     sites = store.put(sites.select(
         "start_url", F.coalesce(F.col("max_pages"), F.lit(DEFAULT_MAX_PAGES)).cast("int").alias("max_pages"),
-        "include", "exclude"), "sites")
+        "include", "exclude", F.coalesce(respect, F.lit(True)).alias("respect_robots")), "sites")
     max_cap = sites.agg(F.max("max_pages")).first()[0] or DEFAULT_MAX_PAGES
     # static inputs are computed once, not once per level
     resp = store.put(responses.select("url", "status"), "responses")
@@ -242,8 +244,8 @@ def _fetch_level(frontier: DataFrame, resp: DataFrame, sites: DataFrame, robots_
     path = F.when(path == "", F.lit("/")).otherwise(path)
     f = f.where((F.col("url") == defrag("start_url")) | glob_ok(path, F.col("include"), F.col("exclude")))
     if robots_rules is not None:
-        f = robots_allowed(f.select("start_url", "url", "depth", "rank", "max_pages"), robots_rules) \
-            .where("robots_ok").drop("robots_ok")
+        f = robots_allowed(f.select("start_url", "url", "depth", "rank", "max_pages", "respect_robots"),
+                           robots_rules).where(F.col("robots_ok") | ~F.col("respect_robots")).drop("robots_ok")
     got = f.join(resp, "url")
     w = Window.partitionBy("start_url").orderBy("rank")
     # rank <= the largest cap: lets Spark keep only that many rows per site
