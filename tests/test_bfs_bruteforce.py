@@ -91,3 +91,43 @@ def test_walk_matches_fifo_crawl(spark, sf):
             expected.append((s.start_url, url, depth, seq, status))
     assert sorted((r.start_url, r.url, r.depth, r.seq, r.status) for r in got) == sorted(expected)
     assert len(expected) > 0
+
+
+def test_numbering_without_a_hot_task(spark):
+    """Range-based numbering equals row_number over the whole group."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.discover import _LevelStore, number_within
+
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), (F.col("id") % 50).cast("string")))
+        .alias("site"), F.struct((F.col("id") * 7919 % 20011).alias("a"), F.col("id").alias("b")).alias("rank"))
+    got = number_within(df.repartition(16), "site", "rank", _LevelStore(spark))
+    want = df.withColumn("_rn", F.row_number().over(Window.partitionBy("site").orderBy("rank")))
+    assert got.select("site", "rank", "_rn").exceptAll(want.select("site", "rank", "_rn")).count() == 0
+    assert got.count() == 20000
+
+
+def test_uncapped_walk_matches_fifo(spark):
+    """site_bfs_depth (no cap) uses the range-based numbering."""
+    from tidemark.plans.queries import REGISTRY
+
+    got = sorted(tuple(r) for r in REGISTRY["site_bfs_depth"](spark, SF_SMALL)
+                 .select("start_url", "url", "depth", "seq", "status").collect())
+    resp_df = I.crawl_responses(spark, SF_SMALL)
+    links_df = I.crawl_links(spark, SF_SMALL)
+    sites_df = I.crawl_sites(spark, SF_SMALL)
+    rules_df = SD.robots_rules(I.crawl_robots(spark, SF_SMALL), I.CRAWL_AGENT)
+    responses = {r.url: r.status for r in resp_df.collect()}
+    links = {}
+    for r in sorted(links_df.collect(), key=lambda r: (r.src_url, r.pos)):
+        links.setdefault(r.src_url, []).append(r.dst_url)
+    urls = spark.createDataFrame([(u,) for u in set(responses) | {d for v in links.values() for d in v}], "url string")
+    verdict = {r.url: r.robots_ok for r in X.robots_allowed(urls, rules_df).collect()}
+    expected = []
+    for s in sites_df.collect():
+        for url, depth, seq, status in fifo_crawl(s.start_url, 1 << 30, s.include, s.exclude, responses, links,
+                                                  lambda u: verdict.get(u, True), []):
+            expected.append((s.start_url, url, depth, seq, status))
+    assert got == sorted(expected)

@@ -212,7 +212,7 @@ def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_ru
             sm = None
             if frontier.isEmpty():
                 break
-        level = store.put(_fetch_level(frontier, resp, sites, robots_rules, counts, max_cap), "level")
+        level = store.put(_fetch_level(frontier, resp, sites, robots_rules, counts, max_cap, store), "level")
         found.append(level)
         # pages fetched so far per site: read from the level tables (at most the cap per site)
         fetched = found[0]
@@ -236,8 +236,12 @@ def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_ru
     return out
 
 
+# Largest cap for which the per-site numbering is a top-k (Spark's window group limit).
+TOP_K_LIMIT = 1000
+
+
 def _fetch_level(frontier: DataFrame, resp: DataFrame, sites: DataFrame, robots_rules: DataFrame | None,
-                 counts: DataFrame, max_cap: int) -> DataFrame:
+                 counts: DataFrame, max_cap: int, store: _LevelStore | None = None) -> DataFrame:
     """Fetch one level: filter, look up responses, number within the site, apply the cap."""
     f = frontier.join(sites, "start_url")
     path = url_path("url")
@@ -246,13 +250,35 @@ def _fetch_level(frontier: DataFrame, resp: DataFrame, sites: DataFrame, robots_
     if robots_rules is not None:
         f = robots_allowed(f.select("start_url", "url", "depth", "rank", "max_pages", "respect_robots"),
                            robots_rules).where(F.col("robots_ok") | ~F.col("respect_robots")).drop("robots_ok")
-    got = f.join(resp, "url")
-    w = Window.partitionBy("start_url").orderBy("rank")
-    # rank <= the largest cap: lets Spark keep only that many rows per site
-    # before the shuffle (a top-k per map task), so a hot site is bounded.
-    numbered = got.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_cap)
+    got = f.join(resp, "url").select("start_url", "url", "depth", "rank", "max_pages", "status")
+    if max_cap <= TOP_K_LIMIT or store is None:
+        # rank <= the largest cap: Spark keeps only that many rows per site before
+        # the shuffle (a top-k per map task), so a hot site is bounded.
+        w = Window.partitionBy("start_url").orderBy("rank")
+        numbered = got.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_cap)
+    else:
+        numbered = number_within(got, "start_url", "rank", store)
     numbered = numbered.join(counts.select("start_url", "n"), "start_url")
     seq = (F.col("n") + F.col("_rn")).cast("long")
     return (numbered.where(seq <= F.col("max_pages"))
                     .select("start_url", "url", F.col("depth").cast("int").alias("depth"), seq.alias("seq"),
                             F.col("status").cast("int").alias("status")))
+
+
+def number_within(df: DataFrame, group: str, order: str, store: _LevelStore) -> DataFrame:
+    """``_rn``: 1-based position within ``group`` by ``order``, with no group in one task.
+
+    The rows are range-partitioned on ``(group, order)`` and the partition id
+    is stored with them; a site then spans consecutive partitions.  Rows per
+    (site, partition) are counted, the small count table gives each
+    partition's offset within its site, and rows are numbered inside their
+    (site, partition) only, which a range partition bounds.
+    """
+    ranged = store.put(df.repartitionByRange(group, order).withColumn("_pid", F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy(group, "_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(group, "_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    local = Window.partitionBy(group, "_pid").orderBy(order)
+    return (ranged.join(offsets, [group, "_pid"])
+                  .withColumn("_rn", F.col("_off") + F.row_number().over(local))
+                  .drop("_pid", "_off"))
