@@ -119,7 +119,7 @@ def ledger_chunks(spark: SparkSession, sf_dir: str, version: str = "cur") -> Dat
 
     li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     if version == "prev":
-        li = li.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp"))
+        li = li.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
         status = F.lit("O")
     else:
         li = li.where(F.col("l_discount") < 0.1)
