@@ -14,7 +14,10 @@ def spread(df: DataFrame, *key: str, min_partitions: int | None = None) -> DataF
     alone: no shuffle is added at scale.  The hash partitioning is
     deterministic, so a retried task sees the same rows.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect): leave as is
         return df
     return df.repartition(target, *key) if key else df.repartition(target)

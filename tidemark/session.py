@@ -42,7 +42,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is configured (tests), a fresh scratch folder is created; on a cluster a
     missing setting is an error, never a machine-local folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: only the configured folder can be used
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
