@@ -157,3 +157,14 @@ def test_narrow_snapshot_diff_equals_full_diff(spark, tmp_path):
     full = rows(D.diff_chunks(p, c))
     assert len(full) > 1000 and rows(D.diff_snapshots(p, c)) == full
     assert rows(D.diff_snapshots(None, c)) == rows(D.diff_chunks(None, c))
+
+
+def test_existing_but_empty_state(spark):
+    root = tempfile.mkdtemp(prefix="tidemark-empty-")
+    state = os.path.join(root, "state")
+    dead = {p: "<html><body></body></html>" for p in SITE_V1}
+    raw_dead = _raw(spark, dead).withColumn("status", F.lit(404))
+    h1 = run_diff_job(spark, raw_dead, state, os.path.join(root, "r1"), "2026-01-01T00:00:00Z").first()
+    assert (h1.summary.added, h1.prev_run_at) == (0, None)
+    h2 = run_diff_job(spark, _raw(spark, SITE_V1), state, os.path.join(root, "r2"), "2026-01-08T00:00:00Z").first()
+    assert h2.summary.added == 4 and h2.prev_run_at == "2026-01-01T00:00:00Z"

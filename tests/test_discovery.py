@@ -121,3 +121,28 @@ def test_crawl_fixture(spark):
     assert H + "/docs/b" not in ex and H + "/" in ex
     assert H + "/docs/secret" in _crawl_fixture(spark, robots=False)
     assert H + "/docs/secret" in _crawl_fixture(spark, respect=False)
+
+
+def test_crawl_fixture_additions(spark):
+    """Sitemap-only orphan at depth 0; orphans still added after a 404; start URL exempt from an
+    include glob; 404 responses count toward the cap."""
+    responses = spark.createDataFrame(
+        [(H + "/", 200), (H + "/docs/a", 200), (H + "/docs/gone", 404), (H + "/orphan", 200)],
+        "url string, status int")
+    links = spark.createDataFrame([(H + "/", 0, H + "/docs/a"), (H + "/", 1, H + "/docs/gone")],
+                                  "src_url string, pos int, dst_url string")
+    sm = SD.sitemap_urls(spark.createDataFrame(
+        [("docs.example.com", f"<urlset><url><loc>{H}/orphan</loc></url></urlset>")], "host string, xml string"))
+
+    def walk(max_pages=100, include=None):
+        sites = spark.createDataFrame([(H + "/", max_pages, include, None)],
+                                      "start_url string, max_pages int, include array<string>, exclude array<string>")
+        return {r.url: r for r in X.site_bfs(responses, links, sites, None, sm).collect()}
+
+    got = walk()
+    assert got[H + "/orphan"].depth == 0 and got[H + "/orphan"].seq == 4
+    assert got[H + "/docs/gone"].status == 404
+    capped = walk(max_pages=3)
+    assert set(capped) == {H + "/", H + "/docs/a", H + "/docs/gone"}      # the 404 used a slot
+    inc = walk(include=["/docs/*"])
+    assert H + "/" in inc and H + "/docs/a" in inc and H + "/orphan" not in inc
