@@ -89,6 +89,11 @@ def _code_point(cp: Column) -> Column:
 
 def fragment_to_markdown(html) -> Column:
     """Convert an HTML fragment to markdown (normalized)."""
+    return finish_markdown(decode_entities(tags_to_markdown(html)))
+
+
+def tags_to_markdown(html) -> Column:
+    """Tags to markdown structure: headings, paragraphs, list items, line breaks; other tags dropped."""
     t = F.regexp_replace(_col(html), r"[ \t\n\r\f]+", " ")
     for level in range(1, 7):
         t = F.regexp_replace(t, rf"(?i)<h{level}\b[^>]*>", "\n\n" + "#" * level + " ")
@@ -98,10 +103,12 @@ def fragment_to_markdown(html) -> Column:
     t = F.regexp_replace(t, r"(?i)</t[dh]\s*>", " ")
     t = F.regexp_replace(t, r"(?i)</?tr\b[^>]*>", "\n")
     t = F.regexp_replace(t, rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})\b[^>]*>", "\n\n")
-    t = F.regexp_replace(t, r"</?[A-Za-z!][^>]*>", "")
-    t = decode_entities(t)
-    t = F.regexp_replace(t, r"\n[ \t]+", "\n")
-    return normalize(t)
+    return F.regexp_replace(t, r"</?[A-Za-z!][^>]*>", "")
+
+
+def finish_markdown(text) -> Column:
+    """Drop the blanks that start lines, then normalize."""
+    return normalize(F.regexp_replace(_col(text), r"\n[ \t]+", "\n"))
 
 
 def main_fragment(html) -> Column:

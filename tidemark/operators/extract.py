@@ -37,7 +37,11 @@ def extract_pages(raw: DataFrame, html_col: str = "raw_html",
     s1 = raw.select("*", H.strip_code(F.col(html_col)).alias("_code"))
     if extractor is None:
         s2 = s1.select("*", H.main_fragment_from_code("_code").alias("_frag"))
-        s3 = s2.select("*", H.fragment_to_markdown("_frag").alias("_md"))
+        # three projections: the entity step uses a higher-order function, which runs
+        # interpreted; kept apart, the regex steps around it stay in generated code
+        s2 = s2.select("*", H.tags_to_markdown("_frag").alias("_tags"))
+        s2 = s2.select("*", H.decode_entities("_tags").alias("_text"))
+        s3 = s2.select("*", H.finish_markdown("_text").alias("_md"))
     else:
         s3 = s1.select("*", normalize(F.coalesce(_python_extractor(extractor)(F.col(html_col)), F.lit("")))
                        .alias("_md"))
