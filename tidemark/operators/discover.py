@@ -77,16 +77,19 @@ def pages_glob_filtered(urls: DataFrame, sites: DataFrame) -> DataFrame:
 def robots_allowed(urls: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
     """Adds ``robots_ok``: the first matching rule of the URL's host decides; no match allows.
 
-    Equi-join on host plus a prefix test; a hot host on the URL side is split
-    by AQE's skew-join handling, the rules side being one file per host.
+    The verdict is computed once per distinct ``(host, path+query)`` (an
+    equi-join on host plus a prefix test, then the first rule per URL by an
+    aggregate) and joined back on that pair, which is unique per URL, so the
+    input rows keep their multiplicity and no host becomes a hot key there.
     """
     u = urls.select("*", netloc(url_col).alias("_host"), _unquote(url_path_and_query(url_col)).alias("_pq"))
     r = rules.select(F.col("host").alias("_host"), F.col("seq").alias("_seq"), F.col("allow").alias("_allow"),
                      F.col("path").alias("_path"))
-    j = u.join(r, (u["_host"] == r["_host"]) & u["_pq"].startswith(r["_path"]), "left").drop(r["_host"])
-    keys = [*urls.columns]
-    verdict = j.groupBy(*keys).agg(F.min_by("_allow", "_seq").alias("_v"))
-    return verdict.select(*keys, F.coalesce("_v", F.lit(True)).alias("robots_ok"))
+    keys = u.select("_host", "_pq").distinct()
+    j = keys.join(r, (keys["_host"] == r["_host"]) & keys["_pq"].startswith(r["_path"]), "left").drop(r["_host"])
+    verdict = j.groupBy("_host", "_pq").agg(F.min_by("_allow", "_seq").alias("_v"))
+    return (u.join(verdict, ["_host", "_pq"], "left")
+             .select(*urls.columns, F.coalesce("_v", F.lit(True)).alias("robots_ok")))
 
 
 # --- fetch log --------------------------------------------------------------------

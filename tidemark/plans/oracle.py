@@ -538,10 +538,12 @@ SQL["pages_glob_filtered"] = with_(
     f"{Q.glob_ok(f'(CASE WHEN {_PATH} = {chr(39)}{chr(39)} THEN {chr(39)}/{chr(39)} ELSE {_PATH} END)', 's.include', 's.exclude')}"
     " AS allowed FROM u LEFT JOIN sites s ON u.start_url = s.start_url")
 SQL["pages_robots_filtered"] = with_(
-    [("cp", CRAWL_PAGES)] + robots_ctes() + [("u", _SITE_URLS)],
-    f"SELECT u.start_url, u.url, coalesce(arg_min(r.allow, r.seq), true) AS robots_ok FROM u LEFT JOIN rules r "
-    f"ON r.host = {Q.netloc('u.url')} AND starts_with({Q.url_path_and_query('u.url')}, r.path) "
-    "GROUP BY ALL")
+    [("cp", CRAWL_PAGES)] + robots_ctes() + [
+        ("u", _SITE_URLS),
+        ("v", f"SELECT d.url, arg_min(r.allow, r.seq) AS v FROM (SELECT DISTINCT url FROM u) d LEFT JOIN rules r "
+              f"ON r.host = {Q.netloc('d.url')} AND starts_with({Q.url_path_and_query('d.url')}, r.path) "
+              "GROUP BY d.url")],
+    "SELECT u.start_url, u.url, coalesce(v.v, true) AS robots_ok FROM u LEFT JOIN v ON u.url = v.url")
 SQL["links_first_seen"] = with_(
     link_ctes() + [
         ("front", "SELECT start_url, url, page_id AS seq FROM cp WHERE status = 200"),
