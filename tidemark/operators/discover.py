@@ -74,17 +74,23 @@ def pages_glob_filtered(urls: DataFrame, sites: DataFrame) -> DataFrame:
     return j.select(*urls.columns, allowed.alias("allowed"))
 
 
-def robots_allowed(urls: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
+def robots_allowed(urls: DataFrame, rules: DataFrame, url_col: str = "url", unique_urls: bool = False) -> DataFrame:
     """Adds ``robots_ok``: the first matching rule of the URL's host decides; no match allows.
 
     The verdict is computed once per distinct ``(host, path+query)`` (an
     equi-join on host plus a prefix test, then the first rule per URL by an
     aggregate) and joined back on that pair, which is unique per URL, so the
     input rows keep their multiplicity and no host becomes a hot key there.
+    With ``unique_urls`` (each input row a different URL, as in a walk
+    frontier) the verdict is aggregated on the input rows directly.
     """
     u = urls.select("*", netloc(url_col).alias("_host"), _unquote(url_path_and_query(url_col)).alias("_pq"))
     r = rules.select(F.col("host").alias("_host"), F.col("seq").alias("_seq"), F.col("allow").alias("_allow"),
                      F.col("path").alias("_path"))
+    if unique_urls:
+        j = u.join(r, (u["_host"] == r["_host"]) & u["_pq"].startswith(r["_path"]), "left").drop(r["_host"])
+        v = j.groupBy(*urls.columns).agg(F.min_by("_allow", "_seq").alias("_v"))
+        return v.select(*urls.columns, F.coalesce("_v", F.lit(True)).alias("robots_ok"))
     keys = u.select("_host", "_pq").distinct()
     j = keys.join(r, (keys["_host"] == r["_host"]) & keys["_pq"].startswith(r["_path"]), "left").drop(r["_host"])
     verdict = j.groupBy("_host", "_pq").agg(F.min_by("_allow", "_seq").alias("_v"))
@@ -252,7 +258,8 @@ def _fetch_level(frontier: DataFrame, resp: DataFrame, sites: DataFrame, robots_
     f = f.where((F.col("url") == defrag("start_url")) | glob_ok(path, F.col("include"), F.col("exclude")))
     if robots_rules is not None:
         f = robots_allowed(f.select("start_url", "url", "depth", "rank", "max_pages", "respect_robots"),
-                           robots_rules).where(F.col("robots_ok") | ~F.col("respect_robots")).drop("robots_ok")
+                           robots_rules, unique_urls=True) \
+            .where(F.col("robots_ok") | ~F.col("respect_robots")).drop("robots_ok")
     got = f.join(resp, "url").select("start_url", "url", "depth", "rank", "max_pages", "status")
     if max_cap <= TOP_K_LIMIT or store is None:
         # rank <= the largest cap: Spark keeps only that many rows per site before
