@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import block_naming, mixing, preference, sharding
+from . import bitslice, block_naming, jaccard, mixing, packing, preference, sharding, substring_dedup, toxicity, warc
 from .common import table
 
 
@@ -15,6 +16,31 @@ def op1_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_turns(*preference.swapped_reply_pairs(turns))
 
 
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % bitslice.QUERY_EVERY == 0)
+
+
+def op4_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_induced_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op7_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_hypergeometric_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -29,13 +55,16 @@ def op10_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_preference_formatting, op8_hypergeometric_sharding, op9_block_naming_dedup, op10_systematic_mixing)
+    f.__name__: f for f in (op1_preference_formatting, op2_warc_round_trip, op3_bit_sliced_top_k, op4_best_two_fit_packing, op5_toxicity_crf,
+                           op6_induced_suffix_dedup, op7_token_combination_join, op8_hypergeometric_sharding, op9_block_naming_dedup, op10_systematic_mixing)
 }
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL: dict[str, str] = {
     "op1_preference_formatting": preference.SQL,
+    "op2_warc_round_trip": warc.SQL,
+    "op3_bit_sliced_top_k": bitslice.SQL,
     "op9_block_naming_dedup": f"""
 WITH t AS (SELECT doc_id, {LOWERED} AS low FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY low) AS keep_id, count(*) OVER (PARTITION BY low) AS group_size,
