@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, group_top, join_on, stored
+from .common import ascii_lower, discard, group_top, join_on, stored
 
 BLOCK_BYTES = 1024
 RANK_BITS = 8
@@ -43,24 +43,26 @@ def _named(rows: DataFrame, content: Column, rank_bits: int, hash_mask: int) ->
 
 
 def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES,
-                   rank_bits: int = RANK_BITS, hash_mask: int = -1) -> DataFrame:
-    """One row per input row: row_id, doc_id, n_bytes, text_sha256, level, name."""
-    text = docs.select(F.col(id_col).alias("doc_id"), ascii_lower(F.coalesce(text_col, F.lit(""))).alias("_t"))
-    raw = text.select("doc_id", F.encode("_t", "utf-8").alias("_b"))
+                   rank_bits: int = RANK_BITS, hash_mask: int = -1, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: row_id, doc_id, n_bytes, text_sha256, level, name and the columns of ``carry``."""
+    heads = ["doc_id", *carry]
+    text = docs.select(F.col(id_col).alias("doc_id"), *carry, ascii_lower(F.coalesce(text_col, F.lit(""))).alias("_t"))
+    raw = text.select(*heads, F.encode("_t", "utf-8").alias("_b"))
     cut = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n_bytes") / block_bytes), F.lit(1)).cast("int") - 1),
                       lambda i: F.substring("_b", i * block_bytes + 1, F.lit(block_bytes)))
-    rows = (raw.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", F.octet_length("_b").cast("long").alias("n_bytes"),
+    rows = (raw.select(F.monotonically_increasing_id().alias("row_id"), *heads, F.octet_length("_b").cast("long").alias("n_bytes"),
                        F.sha2("_b", 256).alias("text_sha256"), "_b")
             .withColumn("_blocks", cut)
-            .select("row_id", "doc_id", "n_bytes", "text_sha256", F.size("_blocks").alias("n"), F.posexplode("_blocks").alias("pos", "block")))
+            .select("row_id", *heads, "n_bytes", "text_sha256", F.size("_blocks").alias("n"), F.posexplode("_blocks").alias("pos", "block")))
     first = F.col("pos") == 0
-    level0 = stored(rows.select("row_id", "pos", "n", "block", *[F.when(first, F.col(c)).alias(c) for c in ("doc_id", "n_bytes", "text_sha256")]),
+    level0 = stored(rows.select("row_id", "pos", "n", "block", *[F.when(first, F.col(c)).alias(c) for c in (*heads, "n_bytes", "text_sha256")]),
                     "block-level0")
-    heads = level0.where("pos = 0").select("row_id", "doc_id", "n_bytes", "text_sha256")
+    first_rows = stored(level0.where("pos = 0").select("row_id", *heads, "n_bytes", "text_sha256"), "block-documents")
     names = _named(level0.select("row_id", "pos", "n", "block"), F.col("block"), rank_bits, hash_mask).drop("block")
     done, level = [], 0
     while True:
         names = stored(names, f"block-names{level}")
+        discard(level0 if not level else pairs)  # their content is named
         done.append(names.where("n = 1").select("row_id", F.lit(level).alias("level"), "name"))
         more = names.where("n > 1")
         if more.isEmpty():
@@ -76,12 +78,12 @@ def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     final = done[0]
     for part in done[1:]:
         final = final.unionByName(part)
-    return heads.join(final, "row_id")
+    return first_rows.join(final, "row_id")
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256 (and row_id, n_bytes)."""
-    named = stored(name_documents(docs, id_col, text_col, **kw), "block-identity")
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), **kw) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, row_id, n_bytes and ``carry``."""
+    named = stored(name_documents(docs, id_col, text_col, carry=carry, **kw), "block-identity")
     grouped = group_top(named, ["level", "n_bytes", "name"], F.struct("doc_id", "row_id"), F.col("row_id"))
     return grouped.select("doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
-                          (F.col("top.row_id") == F.col("row_id")).alias("kept"), "text_sha256", "row_id", "n_bytes")
+                          (F.col("top.row_id") == F.col("row_id")).alias("kept"), "text_sha256", "row_id", "n_bytes", *carry)

@@ -23,7 +23,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that no later result reads."""
+    for t in tables:
+        jvm, jsc = t.sparkSession._jvm, t.sparkSession.sparkContext._jsc
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_path)
+        path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
 
 
 def same(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_on, stored
+from .common import discard, join_on, stored
 from .components import components
 from .shingles import mix, set_key, shingle_sets
 
@@ -65,18 +65,18 @@ def spare(n):
     return np.maximum(1, n // 20)
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list, list[np.ndarray]]]:
     for batch in batches:
         ids, sets = batch.column(0).to_pylist(), []
         for at in range(0, batch.num_rows, TEXTS):
             sets += shingle_sets(batch.column(1).slice(at, TEXTS).to_pylist())
-        yield ids, sets
+        yield batch, ids, sets
 
 
-def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n, cls (key of the set, null if empty), hot (locally frequent elements with their counts, on some rows)."""
+def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, columns of ``carry``, n, cls (key of the set, null if empty), hot (locally frequent elements with their counts, on some rows)."""
     def run(batches):
-        for ids, sets in _batches(batches):
+        for batch, ids, sets in _batches(batches):
             sizes = [len(s) for s in sets]
             keys = [set_key(s) if len(s) else None for s in sets]
             hot = [None] * len(ids)
@@ -85,10 +85,11 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 values, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
                 often = counts >= max(RARE, LOCAL_SHARE * len(distinct))
                 hot[0] = [{"t": int(t), "c": int(c)} for t, c in zip(values[often].astype(np.int64), counts[often], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
-                                              pa.array(hot, pa.list_(pa.struct([("t", pa.int64()), ("c", pa.int64())])))], names=["doc_id", "n", "cls", "hot"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *batch.columns[2:], pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
+                                              pa.array(hot, pa.list_(pa.struct([("t", pa.int64()), ("c", pa.int64())])))], names=["doc_id", *carry, "n", "cls", "hot"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, n long, cls long, hot array<struct<t:long,c:long>>")
+    carried = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carry)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col), *carry).mapInArrow(run, f"doc_id long, {carried}n long, cls long, hot array<struct<t:long,c:long>>")
 
 
 def _pack(array) -> bytes:
@@ -111,7 +112,7 @@ def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str
     def prefixes(batches):
         """Per batch: elements of extended prefixes by element bucket (kind 0), sizes and listed elements by class bucket (kind 1, 2)."""
         last = sent.value
-        for _, sets in _batches(batches):
+        for *_, sets in _batches(batches):
             distinct = {set_key(s): s for s in sets if len(s)}
             if not distinct:
                 continue
@@ -238,7 +239,7 @@ def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str
 def class_sets(docs: DataFrame, reps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(cls, tokens) of the classes in ``reps`` (cls, rep): one document each is read again."""
     def run(batches):
-        for _, sets in _batches(batches):
+        for *_, sets in _batches(batches):
             found = {set_key(s): s.tobytes() for s in sets if len(s)}
             yield pa.RecordBatch.from_pydict({"cls": pa.array(list(found), pa.int64()), "tokens": pa.array(list(found.values()), pa.binary())})
 
@@ -267,10 +268,13 @@ def _similar_size():
     return 4 * F.least("n", "m") >= 3 * F.greatest("n", "m")
 
 
-def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, local_share: float = LOCAL_SHARE) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, cls; component_id is the smallest doc_id reachable."""
+def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, comp and ``carry``.
+
+    component_id is the smallest doc_id reachable; comp is the component's own key, null for empty sets.
+    """
     spark = docs.sparkSession
-    sets = stored(document_sets(docs, id_col, text_col), "sets")
+    sets = stored(document_sets(docs, id_col, text_col, carry), "sets")
     hot = (sets.where("hot is not null").select(F.explode("hot").alias("h")).groupBy("h.t").agg(F.sum("h.c").alias("c"))
            .orderBy(F.desc("c"), "t").limit(LISTED).collect())  # bounded: LISTED values
     listed = np.sort(np.array([r["t"] for r in hot], np.int64).astype(np.uint64))
@@ -309,6 +313,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a component's name is the smallest doc_id of its classes
     placed = classes.select(F.col("cls").alias("node"), "rep").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    by_class = placed.join(names, "comp").select(F.col("node").alias("cls"), "component_id")
-    return (sets.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(by_class, "cls", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "cls"))
+    by_class = stored(placed.join(names, "comp").select(F.col("node").alias("cls"), "component_id", "comp"), "class-components")
+    discard(entries, known)
+    return (sets.select("doc_id", F.col("n").alias("n_shingles"), "cls", *carry).join(by_class, "cls", "left")
+            .select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "comp", *carry))

@@ -58,10 +58,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_co
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST_COPIES, seed: int = 0) -> DataFrame:
-    """One row per input row: row_id, doc_id, source, size, source_size, target, copies, taken."""
+        weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST_COPIES, seed: int = 0,
+        carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: row_id, doc_id, source, size, source_size, target, copies, taken and ``carry``."""
     rows = stored(docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"),
-                              F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "mix-sizes")
+                              F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *carry), "mix-sizes")
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most_copies)
     rate = F.when(F.col("source_size") > 0, F.round(F.col("target") / F.col("source_size") * UNIT)).otherwise(0).cast("long")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("")))), 1, 6), 16, 10).cast("long")
@@ -76,7 +77,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     after = F.expr(f"((position + 1) * rate + offset) div {UNIT}")
     copies = (after - before).cast("int")
     return mixed.select("row_id", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-                        (copies * F.col("size")).alias("taken"))
+                        (copies * F.col("size")).alias("taken"), *carry)
 
 
 #: A table of targets up to so many rows is broadcast; a larger one is joined by shuffle.

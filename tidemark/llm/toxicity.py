@@ -248,10 +248,11 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "
 
 
 def score_documents(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id", text_col: str = "text", spans: bool = False,
-                    span_at: float = 0.5, batch_words: int = 1 << 19) -> DataFrame:
-    """doc_id and score (and spans: start, end, toxic probability, in characters), for whole texts."""
-    spec = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, score double" + (", spans array<struct<start:int,end:int,p:double>>" if spans else "")
-    empty = [F.col(id_col), F.lit(0.0).alias("score")] + ([F.expr("cast(array() as array<struct<start:int,end:int,p:double>>)").alias("spans")] if spans else [])
+                    span_at: float = 0.5, batch_words: int = 1 << 19, carry: tuple[str, ...] = (), score_col: str = "score") -> DataFrame:
+    """The id, the columns of ``carry`` and a score per document, for whole texts (and spans: start, end, probability, in characters)."""
+    head = [id_col, *(c for c in carry if c != id_col)]
+    spec = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in head) + f"{score_col} double" + (", spans array<struct<start:int,end:int,p:double>>" if spans else "")
+    empty = [*[F.col(f"`{c}`") for c in head], F.lit(0.0).alias(score_col)] + ([F.expr("cast(array() as array<struct<start:int,end:int,p:double>>)").alias("spans")] if spans else [])
     if chain is None:
         return docs.select(*empty)
     sent = docs.sparkSession.sparkContext.broadcast((chain.weights.astype(np.float32), chain.moves, chain.start, chain.rule))  # FEATURES weights
@@ -265,7 +266,7 @@ def score_documents(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id"
             while at < batch.num_rows:
                 words, sizes, low, begun = [], [], [], at
                 while at < batch.num_rows and len(words) < batch_words:
-                    text = batch.column(1)[at].as_py() or ""
+                    text = batch.column(text_at)[at].as_py() or ""
                     lower = text.lower()
                     kept = len(lower) == len(text)  # a few letters become two; then places hold in the text as it is
                     found = WORD.findall(lower) if kept else [w.lower() for w in WORD.findall(text)]
@@ -276,13 +277,15 @@ def score_documents(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id"
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 first = np.append(True, doc[1:] != doc[:-1]) if len(doc) else np.zeros(0, bool)
                 p = chain.marginals(chain.emissions(words), first)
-                cols = [batch.column(0).slice(begun, len(sizes)), pa.array(chain.document_scores(p, doc, len(sizes)))]
+                cols = [*(batch.column(i).slice(begun, len(sizes)) for i in range(len(head))), pa.array(chain.document_scores(p, doc, len(sizes)))]
                 if spans:
                     ends = np.cumsum(sizes)
                     cols.append(pa.array([_spans(low[i], p[ends[i] - n:ends[i]], span_at) for i, n in enumerate(sizes)], span_type))
-                yield pa.RecordBatch.from_arrays(cols, names=[id_col, "score", "spans"][:len(cols)])
+                yield pa.RecordBatch.from_arrays(cols, names=[*head, score_col, "spans"][:len(cols)])
 
-    return docs.select(id_col, text_col).mapInArrow(run, spec)
+    sent_cols = head if text_col in head else [*head, text_col]
+    text_at = sent_cols.index(text_col)
+    return docs.select(*[F.col(f"`{c}`") for c in sent_cols]).mapInArrow(run, spec)
 
 
 def _spans(text: str, p: np.ndarray, least: float) -> list[dict]:
