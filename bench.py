@@ -14,6 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from tidemark.operators.parallel import SPREAD_SETTING  # noqa: E402
 from tidemark.plans.queries import REGISTRY  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
@@ -34,7 +35,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in REGISTRY]
     spark = build_session(f"local[{cpus}]", int(cpus) * 2, app_name="tidemark-bench",
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g", SPREAD_SETTING: cpus})  # the test tables are single-split files
     # warm-up, not timed: the same queries once on the smallest tables (JIT, codegen caches)
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir):

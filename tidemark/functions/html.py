@@ -1,14 +1,18 @@
 """HTML column functions: main content as markdown, title, links.
 
 A fixed chain of ``regexp_replace`` calls turns a page into markdown without
-a parser: boilerplate blocks go, the ``<article>``/``<main>`` part (or the
-body) stays, headings become ATX lines, block tags paragraph breaks, list
-items ``- `` lines, other tags vanish and entities are decoded.  It runs
-inside whole-stage codegen on the executors; no row leaves the JVM.
+a parser: boilerplate blocks go, the ``<article>``/``<main>`` parts (or the
+body) stay, headings become ATX lines, block tags paragraph breaks, list
+items ``- `` lines, other tags vanish and entities are decoded.  No row
+leaves the JVM.  The chain runs in generated code, except for the steps that
+need a higher-order function (entities, preformatted and nested blocks),
+which only texts that hold such markup go through.
 """
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,22 +28,42 @@ BLOCK_TAGS = (
     "ul", "ol", "table", "thead", "tbody", "tfoot", "blockquote", "pre", "figure",
     "figcaption", "dl", "dt", "dd", "form", "hr", "address", "details", "summary",
 )
-# Named entities decoded (``&amp;`` is applied last).
-NAMED_ENTITIES = (
-    ("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-    ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"), ("&reg;", "®"),
-    ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"),
-    ("&hellip;", "…"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-    ("&ldquo;", "“"), ("&rdquo;", "”"),
-)
+# Stands for a line break of preformatted text until the other line breaks are settled.
+PRE_BREAK = "\ue000"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _drop_block(t: Column, tag: str) -> Column:
-    return F.regexp_replace(t, rf"(?is)<{tag}\b.*?</{tag}[^>]*>", "")
+    """Without ``<tag>...</tag>`` blocks; blocks inside one another go together."""
+    def outside(x):
+        flat = F.regexp_replace(x, rf"(?is)<{tag}\b.*?</{tag}[^>]*>", "")
+        # an end tag left over belongs to a block that held another one
+        return _let(flat, lambda y: F.when(F.regexp_like(y, F.lit(rf"(?i)</{tag}\b")), _drop_nested(x, tag)).otherwise(y))
+
+    return _let(t, outside)
+
+
+def _drop_nested(t: Column, tag: str) -> Column:
+    """Text outside all ``tag`` blocks, counting how deep each piece lies."""
+    pieces = F.split(t, rf"(?i)(?=<{tag}\b)|(?=</{tag}\b)")
+    opens, closes = rf"(?i)^<{tag}\b", rf"(?i)^</{tag}\b"
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
+
+    def step(acc, piece):
+        opened, closed = F.regexp_like(piece, F.lit(opens)), F.regexp_like(piece, F.lit(closes))
+        depth = F.when(opened, acc["depth"] + 1).when(closed, F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"])
+        rest = F.when(closed, F.regexp_replace(piece, r"(?s)^[^>]*>?", "")).otherwise(piece)
+        return F.struct(depth.alias("depth"), F.when(depth == 0, F.concat(acc["text"], rest)).otherwise(acc["text"]).alias("text"))
+
+    return F.aggregate(pieces, start, step)["text"]
 
 
 def strip_code(html) -> Column:
@@ -57,34 +81,49 @@ def strip_boilerplate(html) -> Column:
     return t
 
 
+# One character reference, or a run of text without any.
+_REFERENCE = r"&(?:#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});|[^&]+|&"
+
+
+def _named_references() -> Column:
+    """HTML's named references (those written with a semicolon) as a constant map."""
+    pairs = "\x01".join(f"&{name}\x02{chars}" for name, chars in sorted(html5.items()) if name.endswith(";"))
+    return F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+
+
 def decode_entities(c) -> Column:
-    """Named entities of the table above, decimal and hex references, ``&amp;`` last."""
-    t = _col(c)
-    for ent, ch in NAMED_ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    # Numeric references: one replace per distinct reference, only in texts that have any.
-    plain = t
-    t = F.aggregate(
-        F.array_distinct(F.regexp_extract_all(t, F.lit(r"&#([0-9]{1,7});"), 1)),
-        t,
-        lambda acc, d: F.replace(acc, F.concat(F.lit("&#"), d, F.lit(";")), _code_point(d.cast("int"))),
-    )
-    t = F.replace(t, F.lit("&#X"), F.lit("&#x"))
-    t = F.aggregate(
-        F.array_distinct(F.regexp_extract_all(t, F.lit(r"&#x([0-9a-fA-F]{1,6});"), 1)),
-        t,
-        lambda acc, h: F.replace(acc, F.concat(F.lit("&#x"), h, F.lit(";")),
-                                 _code_point(F.conv(h, 16, 10).cast("int"))),
-    )
-    t = F.when(plain.contains("&#"), t).otherwise(plain)
-    return F.replace(t, F.lit("&amp;"), F.lit("&"))
+    """Every character reference that ends in a semicolon, decoded once; unknown names stay as they are.
+
+    One pass over the text's references, so a decoded ``&`` never starts
+    another one.  Numbers 128 to 159 mean their windows-1252 characters, as
+    in HTML; numbers that are no characters become U+FFFD.
+    """
+    names = _named_references()
+
+    def decode(x):
+        decimal = F.regexp_extract(x, r"^&#0*([0-9]{1,7});$", 1)
+        hexed = F.regexp_extract(x, r"^&#[xX]0*([0-9a-fA-F]{1,6});$", 1)
+        number = F.when(decimal != "", decimal.cast("int")).when(hexed != "", F.conv(hexed, 16, 10).cast("int"))
+        return F.when(~x.startswith("&") | (x == "&"), x).when(x.startswith("&#"), _let(number, _code_point)) \
+            .otherwise(F.coalesce(F.try_element_at(names, x), x))
+
+    def decoded(t):
+        pieces = F.regexp_extract_all(t, F.lit(_REFERENCE), 0)
+        return F.when(F.regexp_like(t, F.lit(r"&[#A-Za-z]")), F.array_join(F.transform(pieces, decode), "")).otherwise(t)
+
+    return _let(_col(c), decoded)
+
+
+def _windows_1252() -> Column:
+    """Characters for the numbers 128 to 159."""
+    return F.array(*[F.lit(bytes([n]).decode("cp1252", "ignore") or chr(n)) for n in range(128, 160)])
 
 
 def _code_point(cp: Column) -> Column:
     """Character for a Unicode code point (U+FFFD when out of range)."""
     valid = (cp > 0) & (cp <= 0x10FFFF) & ~((cp >= 0xD800) & (cp <= 0xDFFF))
     ch = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
-    return F.when(valid, ch).otherwise(F.lit("\ufffd"))
+    return F.when(cp.between(128, 159), F.element_at(_windows_1252(), cp - 127)).when(valid, ch).otherwise(F.lit("\ufffd"))
 
 
 def fragment_to_markdown(html) -> Column:
@@ -94,7 +133,7 @@ def fragment_to_markdown(html) -> Column:
 
 def tags_to_markdown(html) -> Column:
     """Tags to markdown structure: headings, paragraphs, list items, line breaks; other tags dropped."""
-    t = F.regexp_replace(_col(html), r"[ \t\n\r\f]+", " ")
+    t = F.regexp_replace(_keep_lines(_col(html)), r"[ \t\n\r\f]+", " ")
     for level in range(1, 7):
         t = F.regexp_replace(t, rf"(?i)<h{level}\b[^>]*>", "\n\n" + "#" * level + " ")
     t = F.regexp_replace(t, r"(?i)</h[1-6]\s*>", "\n\n")
@@ -106,20 +145,30 @@ def tags_to_markdown(html) -> Column:
     return F.regexp_replace(t, r"</?[A-Za-z!][^>]*>", "")
 
 
+def _keep_lines(html: Column) -> Column:
+    """Line breaks inside ``<pre>`` as PRE_BREAK (code is not running text)."""
+    def held(t):
+        parts = F.split(t, r"(?i)(?=<pre\b)|(?=</pre\b)")
+        lines = F.transform(parts, lambda x: F.when(F.regexp_like(x, F.lit(r"(?i)^<pre\b")), F.regexp_replace(x, r"\r\n?|\n", PRE_BREAK)).otherwise(x))
+        return F.when(F.regexp_like(t, F.lit(r"(?i)<pre\b")), F.array_join(lines, "")).otherwise(t)
+
+    return _let(html, held)
+
+
 def finish_markdown(text) -> Column:
-    """Drop the blanks that start lines, then normalize."""
-    return normalize(F.regexp_replace(_col(text), r"\n[ \t]+", "\n"))
+    """Drop the blanks that start lines (not those of preformatted lines), then normalize."""
+    return normalize(F.translate(F.regexp_replace(_col(text), r"\n[ \t]+", "\n"), PRE_BREAK, "\n"))
 
 
 def main_fragment(html) -> Column:
-    """Inner HTML of the first ``<article>``/``<main>``; else the body without furniture."""
+    """HTML from the first ``<article>``/``<main>`` to the end of the last one; else the body without furniture."""
     return main_fragment_from_code(strip_code(html))
 
 
 def main_fragment_from_code(code_free) -> Column:
     """:func:`main_fragment` of a page whose comments/scripts/styles are already gone."""
     code_free = _col(code_free)
-    art = F.regexp_extract(code_free, r"(?is)<(?:article|main)\b[^>]*>(.*?)</(?:article|main)", 1)
+    art = F.regexp_extract(code_free, r"(?is)<(?:article|main)\b[^>]*>(.*)</(?:article|main)", 1)
     body = F.regexp_extract(code_free, r"(?is)<body\b[^>]*>(.*?)(?:</body|\z)", 1)
     body = F.when(body == "", code_free).otherwise(body)
     return F.when(art != "", art).otherwise(strip_boilerplate(body))
@@ -157,14 +206,16 @@ def page_title(html, markdown) -> Column:
     )
 
 
-# Fixed value: an ``<a>`` start tag's href value (quoted or bare).
-HREF_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
+# Attributes of a start tag, quoted values as units (a value may hold ``>`` or look like an attribute).
+_ATTRIBUTE = r"""[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
+ANCHOR_PATTERN = rf"(?is)<a(?=[\s/])((?:[\s/]++|{_ATTRIBUTE})*+)>"
+HREF_PATTERN = rf"""(?is)^(?:[\s/]++|(?!href[\s=/]){_ATTRIBUTE})*+href\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def hrefs(html) -> Column:
-    """Every ``<a href>`` value in document order (code blocks and comments skipped)."""
-    raw = F.regexp_extract_all(strip_code(html), F.lit(HREF_PATTERN), 1)
+    """Every ``<a href>`` value in document order, references decoded (code blocks and comments skipped)."""
+    tags = F.regexp_extract_all(strip_code(html), F.lit(ANCHOR_PATTERN), 1)
+    raw = F.transform(tags, lambda a: F.regexp_extract(a, HREF_PATTERN, 1))
     unquoted = F.transform(raw, lambda v: F.when(
         v.startswith('"') | v.startswith("'"), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v))
-    decoded = F.transform(unquoted, lambda v: F.replace(v, F.lit("&amp;"), F.lit("&")))
-    return F.filter(decoded, lambda v: v != "")
+    return F.filter(F.transform(unquoted, decode_entities), lambda v: v != "")

@@ -5,7 +5,9 @@ Plan shape per side: partial aggregation (last-wins dedupe) -> Exchange on
 Both sides are hash partitioned on the join key by their own aggregation,
 so the join adds no shuffle.  Duplicate ids are combined map-side before
 the shuffle, so even a group of copies holding a third of all rows reaches
-the reducer as one row per map task.
+the reducer as one row per map task.  The combining sorts rows with their
+text; stored snapshots have a narrow form (``diff_snapshots``) that moves
+text for changed chunks only.
 """
 
 from __future__ import annotations
@@ -71,13 +73,18 @@ def diff_snapshots(prev: DataFrame | None, cur: DataFrame) -> DataFrame:
     win = [F.col("_w.page_seq").alias("page_seq"), F.col("_w.order").alias("order"),
            F.col("_w.chunk_hash").alias("chunk_hash"), F.col("_w.url").alias("url"),
            F.col("_w.heading_path").alias("heading_path")]
-    fetch_keys = ["change_side", *KEY, "page_seq", "order", "chunk_hash", "url", "heading_path"]
+    keys, payload = ["change_side", *KEY, "page_seq", "order"], ["chunk_hash", "url", "heading_path"]
     want = changed.select("change_side", *KEY, *win, "change_type", "pos_seq", "pos_order")
+    want = want.withColumnsRenamed({c: f"_w_{c}" for c in payload})
     # both snapshots in one side-tagged relation, so the change set is joined once
-    rows = cur.select(F.lit(0).alias("change_side"), *fetch_keys[1:], "text")
+    rows = cur.select(F.lit(0).alias("change_side"), *keys[1:], *payload, "text")
     if prev is not None:
-        rows = rows.unionByName(prev.select(F.lit(1).alias("change_side"), *fetch_keys[1:], "text"))
-    out = rows.join(want, fetch_keys).dropDuplicates(["change_side", *KEY])
+        rows = rows.unionByName(prev.select(F.lit(1).alias("change_side"), *keys[1:], *payload, "text"))
+    # the winner among rows at one position; null urls and paths are values like others
+    same = F.lit(True)
+    for c in payload:
+        same = same & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
+    out = rows.join(want, keys).where(same).dropDuplicates(["change_side", *KEY])
     return out.select("start_url", "change_type", "chunk_id", *PAYLOAD, "change_side", "pos_seq", "pos_order")
 
 
@@ -116,19 +123,24 @@ def diff_chunks(prev: DataFrame | None, cur: DataFrame) -> DataFrame:
     )
 
 
+def winning_hashes(chunks: DataFrame) -> DataFrame:
+    """``start_url, chunk_id, chunk_hash`` of the rows :func:`last_wins` keeps, from narrow columns only."""
+    return chunks.groupBy(*KEY).agg(F.max(_rank()).alias("_w")).select(*KEY, F.col("_w.chunk_hash").alias("chunk_hash"))
+
+
 def diff_added(prev: DataFrame, cur: DataFrame) -> DataFrame:
     """Current chunk ids absent from the previous run."""
-    return last_wins(cur).join(last_wins(prev).select(*KEY), KEY, "left_anti")
+    return last_wins(cur).join(prev.select(*KEY).distinct(), KEY, "left_anti")
 
 
 def diff_removed(prev: DataFrame, cur: DataFrame) -> DataFrame:
     """Previous chunk ids absent now (previous values)."""
-    return last_wins(prev).join(last_wins(cur).select(*KEY), KEY, "left_anti")
+    return last_wins(prev).join(cur.select(*KEY).distinct(), KEY, "left_anti")
 
 
 def diff_modified(prev: DataFrame, cur: DataFrame) -> DataFrame:
     """Ids in both runs whose text hash differs (current values)."""
-    p = last_wins(prev).select(*KEY, F.col("chunk_hash").alias("_prev_hash"))
+    p = winning_hashes(prev).withColumnRenamed("chunk_hash", "_prev_hash")
     return (last_wins(cur).join(p, KEY, "inner")
             .where(F.col("chunk_hash") != F.col("_prev_hash")).drop("_prev_hash"))
 
@@ -169,11 +181,11 @@ def change_audit(changes: DataFrame, prev: DataFrame | None, cur: DataFrame) ->
     modified: in both with different hashes; the reported hash must be the
     hash of the side it claims to describe.
     """
-    c = last_wins(cur).select(*KEY, F.col("chunk_hash").alias("cur_hash"))
+    c = winning_hashes(cur).withColumnRenamed("chunk_hash", "cur_hash")
     if prev is None:
         p = c.limit(0).withColumnRenamed("cur_hash", "prev_hash")
     else:
-        p = last_wins(prev).select(*KEY, F.col("chunk_hash").alias("prev_hash"))
+        p = winning_hashes(prev).withColumnRenamed("chunk_hash", "prev_hash")
     j = changes.join(c, KEY, "left").join(p, KEY, "left")
     ok = (
         F.when(F.col("change_type") == "added",
@@ -192,17 +204,17 @@ def change_audit(changes: DataFrame, prev: DataFrame | None, cur: DataFrame) ->
 
 def run_id_set_diff(prev: DataFrame, cur: DataFrame) -> DataFrame:
     """Key-set comparison of two runs: ``(start_url, chunk_id, side)`` with side in
-    ``only_current``, ``only_previous``, ``hash_changed`` (EXCEPT / INTERSECT forms)."""
-    pk = prev.select(*KEY).distinct()
-    ck = cur.select(*KEY).distinct()
-    only_c = ck.exceptAll(pk).withColumn("side", F.lit("only_current"))
-    only_p = pk.exceptAll(ck).withColumn("side", F.lit("only_previous"))
-    both = ck.intersect(pk)
-    ph = prev.select(*KEY, "chunk_hash").distinct()
-    ch = cur.select(*KEY, "chunk_hash").distinct()
-    changed = (both.join(ch.exceptAll(ph).select(*KEY).distinct(), KEY, "left_semi")
-               .withColumn("side", F.lit("hash_changed")))
-    return only_c.unionByName(only_p).unionByName(changed)
+    ``only_current``, ``only_previous``, ``hash_changed`` (a hash of the current run that the previous one lacks).
+
+    Each run is read once: rows tagged by run are aggregated by key and hash, then by key.
+    """
+    both = cur.select(*KEY, "chunk_hash", F.lit(True).alias("c"), F.lit(False).alias("p")).unionByName(
+        prev.select(*KEY, "chunk_hash", F.lit(False).alias("c"), F.lit(True).alias("p")))
+    by_hash = both.groupBy(*KEY, "chunk_hash").agg(F.max("c").alias("c"), F.max("p").alias("p"))
+    by_key = by_hash.groupBy(*KEY).agg(F.max("c").alias("c"), F.max("p").alias("p"), F.max(F.col("c") & ~F.col("p")).alias("fresh"))
+    side = (F.when(~F.col("p"), F.lit("only_current")).when(~F.col("c"), F.lit("only_previous"))
+            .when(F.col("fresh"), F.lit("hash_changed")))
+    return by_key.select(*KEY, side.alias("side")).where(F.col("side").isNotNull())
 
 
 def duplicate_chunk_ids(chunks: DataFrame) -> DataFrame:

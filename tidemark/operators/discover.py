@@ -5,13 +5,17 @@ The walk runs for all sites at once, one level per iteration, on tables:
 row had no response), ``links(src_url, pos, dst_url)``, ``sites(start_url,
 max_pages, include, exclude)``, optional robots rules and sitemap URLs.
 Every level is a handful of joins; the driver only asks whether any
-frontier row is left.  State is checkpointed to the shared checkpoint
-folder each level so lineage stays short and a lost executor recomputes
-one level at most.
+frontier row is left.  State is written to the shared checkpoint folder each
+level so lineage stays short and a lost executor recomputes one level at
+most; visited URLs are compacted every few levels and page counts carried
+forward, so a level's plan does not grow with its depth.
 """
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,10 +24,6 @@ from ..functions.urls import defrag, netloc, resolve, url_path, url_path_and_que
 from ..session import ensure_checkpoint_dir
 from ..sources.discovery import _unquote
 
-# Fixed value: the reference crawl's page cap when none is given.
-DEFAULT_MAX_PAGES = 100
-
-
 # --- links ----------------------------------------------------------------------
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -48,52 +48,85 @@ def site_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 # --- URL filters ------------------------------------------------------------------
 
-def glob_regex(glob: Column) -> Column:
-    """``fnmatch`` glob (column) -> anchored Java regex: ``*`` any run, ``?`` one char, ``[...]`` a class."""
-    g = F.regexp_replace(glob, r"([.^$+{}()|\\])", r"\\$1")
-    g = F.replace(g, F.lit("*"), F.lit(".*"))
-    g = F.replace(g, F.lit("?"), F.lit("."))
-    g = F.replace(g, F.lit("[!"), F.lit("[^"))
-    return F.concat(F.lit("(?s)\\A"), g, F.lit("\\z"))
+def glob_to_regex(glob: str) -> str:
+    """``fnmatch`` glob -> anchored Java regex: ``*`` any run, ``?`` one character, ``[...]`` a class.
+
+    Inside a class only a leading ``!`` and ranges are special; a ``[`` without
+    its ``]`` is a plain character; an empty range matches nothing.
+    """
+    out, i = [], 0
+    while i < len(glob):
+        c = glob[i]
+        i += 1
+        if c in "*?":
+            out.append(".*" if c == "*" else ".")
+            continue
+        end = glob.find("]", i + (2 if glob[i:i + 2] == "!]" else 1 if glob[i:i + 1] in ("!", "]") else 0)) if c == "[" else -1
+        if end < 0:
+            out.append(_plain(c))
+            continue
+        members, negated = glob[i:end], glob[i] == "!"
+        members, i, k, parts = members[negated:], end + 1, 0, []
+        while k < len(members):
+            if k + 2 < len(members) and members[k + 1] == "-":
+                if members[k] <= members[k + 2]:
+                    parts.append(f"{_plain(members[k])}-{_plain(members[k + 2])}")
+                k += 3
+            else:
+                parts.append(_plain(members[k]))
+                k += 1
+        out.append(f"[{'^' if negated else ''}{''.join(parts)}]" if parts else "." if negated else "(?!)")
+    return "(?s)\\A" + "".join(out) + "\\z"
+
+
+def _plain(c: str) -> str:
+    """One character that stands for itself, in and outside classes."""
+    return c if re.fullmatch(r"[A-Za-z0-9_/]", c) or ord(c) > 127 else f"\\x{{{ord(c):x}}}"
+
+
+def site_globs(sites: DataFrame) -> DataFrame:
+    """``sites`` with the globs of include and exclude as regexes: each site's globs are translated once."""
+    @F.pandas_udf("array<string>")
+    def regexes(globs: pd.Series) -> pd.Series:
+        return globs.map(lambda g: None if g is None else [glob_to_regex(x) for x in g if x is not None])
+
+    return sites.withColumns({c: regexes(c) for c in ("include", "exclude")})
 
 
 def glob_ok(path: Column, include: Column, exclude: Column) -> Column:
-    """Exclude globs win; then some include glob must match (no include list = all)."""
-    ex = F.coalesce(F.exists(exclude, lambda g: F.regexp_like(path, glob_regex(g))), F.lit(False))
+    """Exclude regexes win; then some include regex must match (no include list = all)."""
+    ex = F.coalesce(F.exists(exclude, lambda g: F.regexp_like(path, g)), F.lit(False))
     inc = F.when(F.coalesce(F.size(include), F.lit(0)) <= 0, F.lit(True)).otherwise(
-        F.exists(include, lambda g: F.regexp_like(path, glob_regex(g))))
+        F.exists(include, lambda g: F.regexp_like(path, g)))
     return ~ex & inc
 
 
 def pages_glob_filtered(urls: DataFrame, sites: DataFrame) -> DataFrame:
     """``urls(start_url, url)`` + ``allowed``: start URL exempt, others by the site's globs on ``path or '/'``."""
-    j = urls.join(sites.select("start_url", "include", "exclude"), "start_url", "left")
+    j = urls.join(site_globs(sites.select("start_url", "include", "exclude")), "start_url", "left")
     path = url_path("url")
     path = F.when(path == "", F.lit("/")).otherwise(path)
     allowed = (F.col("url") == defrag("start_url")) | glob_ok(path, F.col("include"), F.col("exclude"))
     return j.select(*urls.columns, allowed.alias("allowed"))
 
 
-def robots_allowed(urls: DataFrame, rules: DataFrame, url_col: str = "url", unique_urls: bool = False) -> DataFrame:
+def robots_allowed(urls: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
     """Adds ``robots_ok``: the first matching rule of the URL's host decides; no match allows.
 
-    The verdict is computed once per distinct ``(host, path+query)`` (an
-    equi-join on host plus a prefix test, then the first rule per URL by an
-    aggregate) and joined back on that pair, which is unique per URL, so the
-    input rows keep their multiplicity and no host becomes a hot key there.
-    With ``unique_urls`` (each input row a different URL, as in a walk
-    frontier) the verdict is aggregated on the input rows directly.
+    A rule matches the URLs that begin with its path.  Each distinct ``(host,
+    path+query)`` is expanded to its beginnings of those lengths that the
+    host's rules have, and meets the rules by an equi-join on (host, beginning),
+    so a URL is never compared with all rules of its host.  Of the matches the
+    first rule is picked by an aggregate and joined back.
     """
     u = urls.select("*", netloc(url_col).alias("_host"), _unquote(url_path_and_query(url_col)).alias("_pq"))
     r = rules.select(F.col("host").alias("_host"), F.col("seq").alias("_seq"), F.col("allow").alias("_allow"),
-                     F.col("path").alias("_path"))
-    if unique_urls:
-        j = u.join(r, (u["_host"] == r["_host"]) & u["_pq"].startswith(r["_path"]), "left").drop(r["_host"])
-        v = j.groupBy(*urls.columns).agg(F.min_by("_allow", "_seq").alias("_v"))
-        return v.select(*urls.columns, F.coalesce("_v", F.lit(True)).alias("robots_ok"))
-    keys = u.select("_host", "_pq").distinct()
-    j = keys.join(r, (keys["_host"] == r["_host"]) & keys["_pq"].startswith(r["_path"]), "left").drop(r["_host"])
-    verdict = j.groupBy("_host", "_pq").agg(F.min_by("_allow", "_seq").alias("_v"))
+                     F.col("path").alias("_begin"))
+    lengths = r.select("_host", F.length("_begin").alias("_n")).distinct().groupBy("_host").agg(F.collect_set("_n").alias("_lengths"))
+    keys = u.select("_host", "_pq").distinct().join(lengths, "_host")
+    begins = keys.select("_host", "_pq", F.explode("_lengths").alias("_n")).where(F.length("_pq") >= F.col("_n")) \
+        .select("_host", "_pq", F.substring("_pq", F.lit(1), F.col("_n")).alias("_begin"))
+    verdict = begins.join(r, ["_host", "_begin"]).groupBy("_host", "_pq").agg(F.min_by("_allow", "_seq").alias("_v"))
     return (u.join(verdict, ["_host", "_pq"], "left")
              .select(*urls.columns, F.coalesce("_v", F.lit(True)).alias("robots_ok")))
 
@@ -149,35 +182,43 @@ class _LevelStore:
         self.n += 1
         path = f"{self.root}/{name}-{self.n}"
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_all(self) -> None:
+        """Delete the levels; nothing may read them any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+# Levels after which the tables of visited URLs are written as one.
+COMPACT_EVERY = 8
 
 
 def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_rules: DataFrame | None = None,
-             sitemap: DataFrame | None = None, max_levels: int = 10_000) -> DataFrame:
+             sitemap: DataFrame | None = None) -> DataFrame:
     """Pages a crawl of every site fetches: ``start_url, url, depth, seq, status``.
 
     Semantics of a FIFO crawl per site: start URL at depth 0; children at
     parent depth + 1 in (parent order, link position) order; each URL once;
     globs (start URL exempt) and robots filter a URL when its turn comes;
     a URL with no response is skipped; every response (any status) counts
-    toward ``max_pages`` and only status-200 pages are expanded.  When a
-    site's link walk drains, its sitemap URLs (same host, allowed by the
-    globs, not yet seen) are walked next from depth 0.  ``seq`` is the
-    1-based fetch order within the site.  ``sites`` may carry a boolean
-    ``respect_robots`` (default true) to walk a site without its robots rules.
-
-    Sites walk in lock step, one level per iteration; the sitemap phase of
-    all sites starts when every link walk has drained (a site's result does
-    not depend on when its phase starts).  The visited set is the union of
-    the per-level frontier tables, never rewritten.
+    toward ``max_pages`` (null: no limit) and only status-200 pages are
+    expanded.  When a site's link walk drains, its sitemap URLs (same host,
+    allowed by the globs, not yet seen) are walked next from depth 0.
+    ``seq`` is the 1-based fetch order within the site.  ``sites`` may carry a
+    boolean ``respect_robots`` (default true) to walk a site without its
+    robots rules.
+
+    Sites walk in lock step, one level per iteration, until no site has a
+    frontier; the sitemap phase of all sites starts when every link walk has
+    drained (a site's result does not depend on when its phase starts).
     """
     spark = responses.sparkSession
     store = _LevelStore(spark)
     respect = F.col("respect_robots") if "respect_robots" in sites.columns else F.lit(True)
-    sites = store.put(sites.select(
-        "start_url", F.coalesce(F.col("max_pages"), F.lit(DEFAULT_MAX_PAGES)).cast("int").alias("max_pages"),
-        "include", "exclude", F.coalesce(respect, F.lit(True)).alias("respect_robots")), "sites")
-    max_cap = sites.agg(F.max("max_pages")).first()[0] or DEFAULT_MAX_PAGES
+    sites = store.put(site_globs(sites.select(
+        "start_url", F.col("max_pages").cast("long").alias("max_pages"), "include", "exclude",
+        F.coalesce(respect, F.lit(True)).alias("respect_robots"))), "sites")
     # static inputs are computed once, not once per level
     resp = store.put(responses.select("url", "status"), "responses")
     links = store.put(links.select("src_url", "pos", "dst_url"), "links")
@@ -186,8 +227,8 @@ def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_ru
     frontier = store.put(sites.select(
         "start_url", defrag("start_url").alias("url"), F.lit(0).alias("depth"),
         F.struct(F.lit(0).cast("long").alias("seq"), F.lit(0).alias("pos")).alias("rank")), "frontier")
-    seen_parts = [frontier.select("start_url", "url")]
-    counts = sites.select("start_url", F.lit(0).cast("long").alias("n"))
+    seen = [frontier.select("start_url", "url")]
+    counts = store.put(sites.select("start_url", "max_pages", F.lit(0).cast("long").alias("n")), "counts")
     found: list[DataFrame] = []
     sm = None
     if sitemap is not None:
@@ -199,78 +240,65 @@ def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_ru
                      .select("start_url", "url", F.col("_o.part").alias("part"), F.col("_o.pos").alias("pos")))
         sm = store.put(sm, "sitemap")
 
-    def seen() -> DataFrame:
-        out = seen_parts[0]
-        for part in seen_parts[1:]:
+    def one(parts: list[DataFrame]) -> DataFrame:
+        out = parts[0]
+        for part in parts[1:]:
             out = out.unionByName(part)
         return out
 
-    for _ in range(max_levels):
+    under_cap = F.col("max_pages").isNull() | (F.col("n") < F.col("max_pages"))
+    while True:
         if frontier.isEmpty():
             if sm is None:
                 break
             # every site's link walk has drained: sites under their cap go on with the sitemap
-            open_sites = counts.join(sites, "start_url").where(F.col("n") < F.col("max_pages")).select("start_url")
-            orphans = (sm.join(open_sites, "start_url", "left_semi")
-                         .join(seen(), ["start_url", "url"], "left_anti"))
+            orphans = (sm.join(counts.where(under_cap).select("start_url"), "start_url", "left_semi")
+                         .join(one(seen), ["start_url", "url"], "left_anti"))
             frontier = store.put(orphans.select(
                 "start_url", "url", F.lit(0).alias("depth"),
                 F.struct(F.col("part").cast("long").alias("seq"), F.col("pos").cast("int").alias("pos")).alias("rank")),
                 "frontier")
-            seen_parts.append(frontier.select("start_url", "url"))
+            seen.append(frontier.select("start_url", "url"))
             sm = None
             if frontier.isEmpty():
                 break
-        level = store.put(_fetch_level(frontier, resp, sites, robots_rules, counts, max_cap, store), "level")
+        level = store.put(_fetch_level(frontier, resp, sites, robots_rules, counts, store), "level")
         found.append(level)
-        # pages fetched so far per site: read from the level tables (at most the cap per site)
-        fetched = found[0]
-        for part in found[1:]:
-            fetched = fetched.unionByName(part)
-        counts = (sites.select("start_url").join(fetched.groupBy("start_url").agg(F.max("seq").alias("_m")),
-                                                 "start_url", "left")
-                       .select("start_url", F.coalesce("_m", F.lit(0)).cast("long").alias("n")))
+        fetched = level.groupBy("start_url").agg(F.max("seq").alias("_m"))
+        counts = store.put(counts.join(fetched, "start_url", "left")
+                           .select("start_url", "max_pages", F.coalesce("_m", "n").alias("n")), "counts")
         # sites that reached their cap stop walking (and skip the sitemap phase), so what
         # they would reach next is never needed: the written table is the next frontier
-        open_sites = counts.join(sites, "start_url").where(F.col("n") < F.col("max_pages")).select("start_url")
+        open_sites = counts.where(under_cap).select("start_url")
+        if len(seen) >= COMPACT_EVERY:
+            seen = [store.put(one(seen), "seen")]
         nxt = links_first_seen(level.where(F.col("status") == 200).join(open_sites, "start_url", "left_semi"),
-                               links, seen())
+                               links, one(seen))
         frontier = store.put(nxt, "frontier")
-        seen_parts.append(frontier.select("start_url", "url"))
+        seen.append(frontier.select("start_url", "url"))
+        if len(found) >= COMPACT_EVERY:
+            found = [store.put(one(found), "found")]
     if not found:
         return spark.createDataFrame([], "start_url string, url string, depth int, seq long, status int")
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-# Largest cap for which the per-site numbering is a top-k (Spark's window group limit).
-TOP_K_LIMIT = 1000
+    result = _LevelStore(spark).put(one(found), "result")
+    store.drop_all()
+    return result
 
 
 def _fetch_level(frontier: DataFrame, resp: DataFrame, sites: DataFrame, robots_rules: DataFrame | None,
-                 counts: DataFrame, max_cap: int, store: _LevelStore | None = None) -> DataFrame:
+                 counts: DataFrame, store: _LevelStore) -> DataFrame:
     """Fetch one level: filter, look up responses, number within the site, apply the cap."""
-    f = frontier.join(sites, "start_url")
+    f = frontier.join(sites.drop("max_pages"), "start_url")
     path = url_path("url")
     path = F.when(path == "", F.lit("/")).otherwise(path)
     f = f.where((F.col("url") == defrag("start_url")) | glob_ok(path, F.col("include"), F.col("exclude")))
     if robots_rules is not None:
-        f = robots_allowed(f.select("start_url", "url", "depth", "rank", "max_pages", "respect_robots"),
-                           robots_rules, unique_urls=True) \
-            .where(F.col("robots_ok") | ~F.col("respect_robots")).drop("robots_ok")
-    got = f.join(resp, "url").select("start_url", "url", "depth", "rank", "max_pages", "status")
-    if max_cap <= TOP_K_LIMIT or store is None:
-        # rank <= the largest cap: Spark keeps only that many rows per site before
-        # the shuffle (a top-k per map task), so a hot site is bounded.
-        w = Window.partitionBy("start_url").orderBy("rank")
-        numbered = got.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_cap)
-    else:
-        numbered = number_within(got, "start_url", "rank", store)
-    numbered = numbered.join(counts.select("start_url", "n"), "start_url")
+        f = robots_allowed(f.select("start_url", "url", "depth", "rank", "respect_robots"), robots_rules) \
+            .where(F.col("robots_ok") | ~F.col("respect_robots"))
+    got = f.join(resp, "url").select("start_url", "url", "depth", "rank", "status")
+    numbered = number_within(got, "start_url", "rank", store).join(counts, "start_url")
     seq = (F.col("n") + F.col("_rn")).cast("long")
-    return (numbered.where(seq <= F.col("max_pages"))
+    return (numbered.where(F.col("max_pages").isNull() | (seq <= F.col("max_pages")))
                     .select("start_url", "url", F.col("depth").cast("int").alias("depth"), seq.alias("seq"),
                             F.col("status").cast("int").alias("status")))
 

@@ -18,13 +18,7 @@ from pyspark.sql import types as T
 
 from .deliver import deletes, upserts
 
-# Our default instruction for the summarizer; a parameter of the request builders.
-DEFAULT_SYSTEM_PROMPT = (
-    "Summarize the documentation change in the given chunk for a changelog. "
-    'Answer with JSON only: {"summary": "<one sentence>", "tags": ["<kebab-case topic>", ...]}.'
-)
-
-ENRICHED_SCHEMA = "chunk_id string, change_type string, summary string, tags array<string>"
+ENRICHED_SCHEMA = "start_url string, chunk_id string, change_type string, summary string, tags array<string>"
 
 
 def path_text(col="heading_path"):
@@ -35,7 +29,7 @@ def removed_labels(changes: DataFrame) -> DataFrame:
     """``Removed: a > b`` (the chunk id when the path is empty), tags ``["removed"]``."""
     d = deletes(changes)
     return d.select(
-        "chunk_id", "change_type",
+        "start_url", "chunk_id", "change_type",
         F.concat(F.lit("Removed: "), F.coalesce(F.nullif(path_text(), F.lit("")), F.col("chunk_id"))).alias("summary"),
         F.array(F.lit("removed")).alias("tags"),
     )
@@ -43,11 +37,11 @@ def removed_labels(changes: DataFrame) -> DataFrame:
 
 def enrich_prompts(changes: DataFrame) -> DataFrame:
     """User text for a changed chunk: ``[type] a > b`` + blank line + text."""
-    return changes.select("chunk_id", "change_type", F.concat(
+    return changes.select("start_url", "chunk_id", "change_type", F.concat(
         F.lit("["), F.col("change_type"), F.lit("] "), path_text(), F.lit("\n\n"), F.col("text")).alias("prompt"))
 
 
-def enrich_requests_chat(changes: DataFrame, model: str, system_prompt: str = DEFAULT_SYSTEM_PROMPT) -> DataFrame:
+def enrich_requests_chat(changes: DataFrame, model: str, system_prompt: str) -> DataFrame:
     """Chat-completions request body per upsert (JSON mode, temperature 0)."""
     p = enrich_prompts(upserts(changes))
     body = F.struct(
@@ -57,10 +51,10 @@ def enrich_requests_chat(changes: DataFrame, model: str, system_prompt: str = DE
         F.struct(F.lit("json_object").alias("type")).alias("response_format"),
         F.lit(0).alias("temperature"),
     )
-    return p.select("chunk_id", "change_type", F.to_json(body).alias("request"))
+    return p.select("start_url", "chunk_id", "change_type", F.to_json(body).alias("request"))
 
 
-def enrich_requests_messages(changes: DataFrame, model: str, system_prompt: str = DEFAULT_SYSTEM_PROMPT,
+def enrich_requests_messages(changes: DataFrame, model: str, system_prompt: str,
                              max_tokens: int = 200) -> DataFrame:
     """Messages-API request body per upsert (system field, max_tokens)."""
     p = enrich_prompts(upserts(changes))
@@ -68,7 +62,7 @@ def enrich_requests_messages(changes: DataFrame, model: str, system_prompt: str
         F.lit(model).alias("model"), F.lit(max_tokens).alias("max_tokens"), F.lit(system_prompt).alias("system"),
         F.array(F.struct(F.lit("user").alias("role"), F.col("prompt").alias("content"))).alias("messages"),
     )
-    return p.select("chunk_id", "change_type", F.to_json(body).alias("request"))
+    return p.select("start_url", "chunk_id", "change_type", F.to_json(body).alias("request"))
 
 
 _CHAT = T.StructType([T.StructField("choices", T.ArrayType(T.StructType([
@@ -118,7 +112,7 @@ def enrich_changes(changes: DataFrame, summarizer: Callable[[dict], tuple[str, l
     """
     if (summarizer is None) == (summarizer_factory is None):
         raise ValueError("give exactly one of summarizer, summarizer_factory")
-    cols = ["chunk_id", "change_type", "url", "text", "chunk_hash"]
+    cols = ["start_url", "chunk_id", "change_type", "url", "text", "chunk_hash"]
     todo = upserts(changes).select(*cols, path_text().alias("heading_path_text"), "heading_path")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,7 +120,7 @@ def enrich_changes(changes: DataFrame, summarizer: Callable[[dict], tuple[str, l
         for pdf in batches:
             out = [summarize(rec) for rec in pdf.to_dict("records")]
             yield pd.DataFrame({
-                "chunk_id": pdf["chunk_id"], "change_type": pdf["change_type"],
+                "start_url": pdf["start_url"], "chunk_id": pdf["chunk_id"], "change_type": pdf["change_type"],
                 "summary": [s for s, _ in out], "tags": [list(t) for _, t in out],
             })
 

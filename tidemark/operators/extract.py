@@ -20,7 +20,8 @@ from .parallel import spread
 
 
 def extract_pages(raw: DataFrame, html_col: str = "raw_html",
-                  extractor: Callable[[str], str | None] | None = None) -> DataFrame:
+                  extractor: Callable[[str], str | None] | None = None,
+                  partitions: int | None = None) -> DataFrame:
     """``RAW_PAGE`` (+ any extra columns) -> ``PAGE`` (+ the same extra columns).
 
     markdown = main content (``<article>``/``<main>``, else body without
@@ -31,9 +32,12 @@ def extract_pages(raw: DataFrame, html_col: str = "raw_html",
     Python function ``html -> markdown or None`` (e.g. a third-party
     extractor), run per Arrow batch on the executors; its output is
     normalized, and the whole-document fallback still applies.
+
+    ``partitions`` (optional) spreads the raw pages first, for inputs that
+    arrive in fewer splits than the cluster has cores.
     """
     extra = [c for c in raw.columns if c not in ("url", html_col, "status", "fetched_at", "depth")]
-    raw = spread(raw, "url")
+    raw = spread(raw, "url", partitions=partitions)
     s1 = raw.select("*", H.strip_code(F.col(html_col)).alias("_code"))
     if extractor is None:
         s2 = s1.select("*", H.main_fragment_from_code("_code").alias("_frag"))
@@ -45,11 +49,10 @@ def extract_pages(raw: DataFrame, html_col: str = "raw_html",
     else:
         s3 = s1.select("*", normalize(F.coalesce(_python_extractor(extractor)(F.col(html_col)), F.lit("")))
                        .alias("_md"))
-    s4 = s3.select(
-        "*",
-        F.when(F.col("_md") == "", H.fragment_to_markdown("_code"))
-        .otherwise(F.col("_md")).alias("markdown"),
-    )
+    # the fallback goes through the same stages, on the code-free page where the main content is empty
+    s3 = s3.select("*", F.when(F.col("_md") == "", H.tags_to_markdown("_code")).alias("_whole"))
+    s3 = s3.select("*", H.decode_entities("_whole").alias("_whole_text"))
+    s4 = s3.select("*", F.when(F.col("_md") == "", H.finish_markdown("_whole_text")).otherwise(F.col("_md")).alias("markdown"))
     return s4.select(
         "url",
         H.page_title(F.col(html_col), F.col("markdown")).alias("title"),
@@ -80,7 +83,7 @@ def pages_nonblank(pages: DataFrame) -> DataFrame:
     return pages.where(normalize("markdown") != "")
 
 
-def pipeline_pages(raw: DataFrame) -> DataFrame:
+def pipeline_pages(raw: DataFrame, partitions: int | None = None) -> DataFrame:
     """status 200 -> extract -> non-blank: the page table a run keeps.
 
     A filter on ``markdown`` placed directly on the projection would be
@@ -88,6 +91,6 @@ def pipeline_pages(raw: DataFrame) -> DataFrame:
     twice per page.  Passing the page columns through a one-row ``inline``
     keeps the filter above the extraction, which then runs once.
     """
-    pages = extract_pages(pages_ok(raw))
+    pages = extract_pages(pages_ok(raw), partitions=partitions)
     return (pages.select(F.inline(F.array(F.struct(*pages.columns))))
                  .where(F.col("markdown") != ""))

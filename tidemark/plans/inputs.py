@@ -4,7 +4,8 @@ The same derivations are stated in SQL in :mod:`tidemark.plans.oracle`, so
 DuckDB sees exactly the inputs Spark sees.  They simulate what the library
 consumes in production: fetched pages of many sites, two crawls of the same
 sites a week apart, multi-heading documents and large chunk snapshots.
-Every row of the source tables takes part.
+Queries over two crawls leave out what the later or earlier crawl did not
+see; all other queries take every row.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from ..sources.tables import table
 # Fixed values of the simulated runs.
 PREV_RUN_AT = "2026-01-01T00:00:00+00:00"
 CUR_RUN_AT = "2026-01-08T00:00:00+00:00"
+SYSTEM_PROMPT = "You write one changelog line for a changed passage. Reply with a JSON object: summary (text) and tags (list of words)."
 
 
 def _status(page_id, failing_5xx: int):
@@ -33,7 +35,9 @@ def raw_pages(spark: SparkSession, sf_dir: str, version: str = "cur") -> DataFra
     yet published; 5xx on ``page_id % 23 = 0``).  ``cur``: this week's crawl
     (pages with ``page_id % 10 = 1`` taken down; 5xx on ``page_id % 29 = 0``;
     a sentence added to every 7th article; the markup of every 11th page
-    re-indented, which must not count as an edit).
+    re-indented, which must not count as an edit).  ``all``: this week's
+    crawl without the take-downs, every row of ``pages``, for the queries
+    that look at one crawl only.
     """
     p = table(spark, sf_dir, "pages")
     pid = F.col("page_id")
@@ -42,7 +46,8 @@ def raw_pages(spark: SparkSession, sf_dir: str, version: str = "cur") -> DataFra
         html = F.col("html")
         status, fetched = _status(pid, 23), PREV_RUN_AT
     else:
-        p = p.where(pid % 10 != 1)
+        if version == "cur":
+            p = p.where(pid % 10 != 1)
         html = F.when(pid % 7 == 0, F.replace(
             F.col("html"), F.lit("</article>"),
             F.concat(F.lit("<p>Revised note for page "), pid.cast("string"), F.lit(".</p></article>")),
@@ -114,15 +119,17 @@ def ledger_chunks(spark: SparkSession, sf_dir: str, version: str = "cur") -> Dat
     ``prev``: lines shipped before 1998, all still open.  ``cur``: lines with
     a discount under 10 %, with their real line status.  So the diff has
     added, removed, modified and unchanged rows at 600 k lines (sf0.1).
+    ``all``: every line with its real status.
     """
-    from ..operators.parallel import spread
+    from ..operators.parallel import session_partitions, spread
 
-    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", partitions=session_partitions(spark))
     if version == "prev":
         li = li.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
         status = F.lit("O")
     else:
-        li = li.where(F.col("l_discount") < 0.1)
+        if version == "cur":
+            li = li.where(F.col("l_discount") < 0.1)
         status = F.col("l_linestatus")
     ok = F.col("l_orderkey").cast("string")
     ln = F.col("l_linenumber").cast("string")

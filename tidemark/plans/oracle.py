@@ -15,7 +15,9 @@ SQL: dict[str, str] = {}
 
 
 def with_(ctes: list[tuple[str, str]], final: str) -> str:
-    return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in ctes) + "\n" + final
+    """CTE chain; those that several later ones read are computed once."""
+    once = {"prev_chunks", "cur_chunks", "prev_lw", "cur_lw", "changes", "kept", "links", "rules", "walk", "web", "md_pages", "all_chunks"}
+    return "WITH " + ",\n".join(f"{n} AS {'MATERIALIZED ' if n in once else ''}({s})" for n, s in ctes) + "\n" + final
 
 
 # --- derived inputs ----------------------------------------------------------
@@ -28,7 +30,7 @@ def raw_pages_sql(version: str) -> str:
               "'<p>Revised note for page ' || CAST(page_id AS VARCHAR) || '.</p></article>') ELSE html END")
         html = (f"CASE WHEN page_id % 11 = 0 THEN replace({h7}, '</p><p>', "
                 f"{Q.lit('</p>' + chr(10) + '   ' + chr(10) + '<p>')}) ELSE {h7} END")
-        where, fail, fetched = "page_id % 10 <> 1", 29, CUR_RUN_AT
+        where, fail, fetched = "page_id % 10 <> 1" if version == "cur" else "true", 29, CUR_RUN_AT
     return (f"SELECT {Q.site_start_url('url')} AS start_url, page_id AS page_seq, url, {html} AS raw_html, "
             f"CAST(CASE WHEN page_id % 17 = 0 THEN 404 WHEN page_id % {fail} = 0 THEN 500 ELSE 200 END AS INTEGER)"
             f" AS status, '{fetched}' AS fetched_at, CAST(page_id % 4 AS INTEGER) AS depth "
@@ -57,7 +59,7 @@ def ledger_sql(version: str) -> str:
     if version == "prev":
         where, status = "l_shipdate < TIMESTAMP '1998-01-01'", "'O'"
     else:
-        where, status = "l_discount < 0.1", "l_linestatus"
+        where, status = "l_discount < 0.1" if version == "cur" else "true", "l_linestatus"
     text = ("('Part ' || CAST(l_partkey AS VARCHAR) || ' from supplier ' || CAST(l_suppkey AS VARCHAR) || ': ' "
             "|| CAST(CAST(round(l_quantity * 100) AS BIGINT) AS VARCHAR) || ' hundredths, status ' "
             f"|| {status} || '.')")
@@ -172,7 +174,7 @@ def snapshot_ctes() -> list[tuple[str, str]]:
 
 
 def md_pages_ctes() -> list[tuple[str, str]]:
-    return ([("cur_raw", raw_pages_sql("cur") + " AND " + _status_ok("cur"))]
+    return ([("cur_raw", raw_pages_sql("all"))]
             + extract_ctes("cur_raw", "web")
             + [("conv", CONVERSATION_PAGES), ("acct", ACCOUNT_PAGES),
                ("md_pages", "SELECT start_url, page_seq, url, markdown FROM web UNION ALL "
@@ -186,26 +188,26 @@ SQL["normalize_text"] = f"SELECT doc_id, {Q.normalize('text')} AS normalized FRO
 SQL["text_hash"] = f"SELECT doc_id, {Q.text_hash('text')} AS text_hash FROM documents"
 SQL["token_estimate"] = f"SELECT doc_id, {Q.token_estimate('text')} AS token_estimate FROM documents"
 
-SQL["scan_raw_pages"] = with_([("r", raw_pages_sql("cur"))],
+SQL["scan_raw_pages"] = with_([("r", raw_pages_sql("all"))],
                               "SELECT url, raw_html, status, fetched_at, depth FROM r")
 SQL["page_markdown"] = with_(
-    [("r", raw_pages_sql("cur"))],
+    [("r", raw_pages_sql("all"))],
     f"SELECT page_seq, url, {Q.fragment_to_markdown(Q.main_fragment_from_code(Q.strip_code('raw_html')))} "
     "AS markdown FROM r")
 SQL["page_markdown_fallback"] = with_(
-    [("r0", raw_pages_sql("cur")),
+    [("r0", raw_pages_sql("all")),
      ("r", "SELECT start_url, page_seq, url, status, fetched_at, depth, '<html><body>' || "
            f"{Q.rx('raw_html', r'(?is)<nav\b.*?</nav>')} || {Q.rx('raw_html', r'(?is)<footer\b.*?</footer>')}"
            " || '</body></html>' AS raw_html FROM r0")] + extract_ctes("r", "pg"),
     "SELECT page_seq, url, markdown FROM pg")
-SQL["page_title"] = with_([("r", raw_pages_sql("cur"))] + extract_ctes("r", "pg"),
+SQL["page_title"] = with_([("r", raw_pages_sql("all"))] + extract_ctes("r", "pg"),
                           "SELECT page_seq, url, title FROM pg")
-SQL["page_content_hash"] = with_([("r", raw_pages_sql("cur"))] + extract_ctes("r", "pg"),
+SQL["page_content_hash"] = with_([("r", raw_pages_sql("all"))] + extract_ctes("r", "pg"),
                                  "SELECT page_seq, url, content_hash FROM pg")
-SQL["extract_pages"] = with_([("r", raw_pages_sql("cur"))] + extract_ctes("r", "pg"),
+SQL["extract_pages"] = with_([("r", raw_pages_sql("all"))] + extract_ctes("r", "pg"),
                              "SELECT url, title, markdown, content_hash, fetched_at, status, depth, page_seq FROM pg")
-SQL["pages_ok"] = with_([("r", raw_pages_sql("cur"))], "SELECT page_seq, url, status FROM r WHERE status = 200")
-SQL["pages_nonblank"] = with_([("r", raw_pages_sql("cur") + " AND " + _status_ok("cur"))] + extract_ctes("r", "pg"),
+SQL["pages_ok"] = with_([("r", raw_pages_sql("all"))], "SELECT page_seq, url, status FROM r WHERE status = 200")
+SQL["pages_nonblank"] = with_([("r", raw_pages_sql("all") + " AND " + _status_ok("all"))] + extract_ctes("r", "pg"),
                               "SELECT page_seq, url, title, content_hash FROM pg WHERE markdown <> ''")
 
 _HEADING_LINES = with_(
@@ -228,8 +230,7 @@ SQL["markdown_sections"] = with_(
 SQL["section_breadcrumbs"] = with_(_CHUNKS, "SELECT start_url, page_seq, \"order\", heading_path FROM ch")
 SQL["chunk_id_base"] = f"SELECT page_id, {Q.chunk_id_base('url')} AS id_base FROM pages"
 SQL["chunk_ids"] = with_(_CHUNKS, "SELECT start_url, page_seq, \"order\", chunk_id FROM ch")
-SQL["chunk_order"] = with_(_CHUNKS, "SELECT start_url, page_seq, count(*) AS n_chunks, max(\"order\") AS max_order "
-                                    "FROM ch GROUP BY start_url, page_seq")
+SQL["chunk_order"] = with_(_CHUNKS, "SELECT start_url, page_seq, \"order\", chunk_hash FROM ch")
 SQL["chunk_pages"] = with_(_CHUNKS, "SELECT * FROM ch")
 
 SQL["chunks_last_wins"] = with_(web_chunk_ctes("cur", "wc") + last_wins_ctes("wc", "lw"), "SELECT * FROM lw")
@@ -254,12 +255,16 @@ SQL["change_summary"] = with_(
     "CAST(count(c.change_type) FILTER (WHERE c.change_type = 'modified') AS BIGINT) AS modified, "
     "CAST(count(c.change_type) FILTER (WHERE c.change_type = 'removed') AS BIGINT) AS removed "
     "FROM runs r LEFT JOIN changes c ON r.start_url = c.start_url GROUP BY r.start_url")
+SQL["diff_ordered"] = with_(
+    _CHANGES, "SELECT start_url, row_number() OVER (PARTITION BY start_url ORDER BY change_side, pos_seq, pos_order, chunk_id) AS seq, "
+              "change_type, chunk_id, url, heading_path, text, chunk_hash FROM changes")
+SQL["diff_unchanged"] = with_(snapshot_ctes(), diff_final("cur_lw", "cur_lw"))
 SQL["changed_chunk_count"] = with_(_CHANGES, "SELECT count(*) AS changed_chunks FROM changes")
 
 
 # --- state, sinks, delivery, enrichment, rendering, quality ---------------------------
 
-from ..operators.enrich import DEFAULT_SYSTEM_PROMPT  # noqa: E402
+from .inputs import SYSTEM_PROMPT  # noqa: E402
 
 _SITES = f"SELECT DISTINCT {Q.site_start_url('url')} AS start_url FROM pages"
 _SITE_KEY = "substr(sha256(start_url), 1, 16)"
@@ -279,6 +284,9 @@ SQL["state_previous_run"] = with_(
     "SELECT s.start_url, s.run_at AS prev_run_at, s.chunk_id, s.chunk_hash "
     "FROM snap s JOIN latest l ON s.start_url = l.start_url AND s.run_at = l.run_at")
 
+SQL["state_round_trip"] = with_(
+    snapshot_ctes(), f"SELECT start_url, '{PREV_RUN_AT}' AS run_at, page_seq, chunk_id, url, heading_path, text, chunk_hash, \"order\" FROM prev_chunks")
+
 SQL["jsonl_chunks"] = with_(
     [("conv", CONVERSATION_PAGES)] + chunk_ctes("conv", "ch"),
     "SELECT CAST(json_object('chunk_id', chunk_id, 'url', url, 'heading_path', "
@@ -300,19 +308,21 @@ SQL["changeset_document"] = with_(
 SQL["delta_dataset"] = with_(_CHANGES, f"SELECT '{CUR_RUN_AT}' AS run_at, change_type, chunk_id, url, heading_path, "
                                        "text, chunk_hash FROM changes")
 _UPS = "SELECT * FROM changes WHERE change_type IN ('added', 'modified')"
-SQL["index_rows_flat"] = with_(_CHANGES, "SELECT chunk_id AS id, text AS document, url, heading_path, chunk_hash "
+SQL["index_rows_flat"] = with_(_CHANGES, "SELECT start_url, chunk_id AS id, text AS document, url, heading_path, chunk_hash "
                                          f"FROM ({_UPS})")
 SQL["index_apply_changes"] = with_(
     _CHANGES,
-    "SELECT chunk_id AS id, text AS document, url, heading_path, chunk_hash FROM prev_lw p WHERE NOT EXISTS "
-    "(SELECT 1 FROM changes c WHERE c.chunk_id = p.chunk_id) UNION ALL "
-    f"SELECT chunk_id AS id, text AS document, url, heading_path, chunk_hash FROM ({_UPS})")
+    "SELECT coalesce(c.start_url, p.start_url) AS start_url, coalesce(c.chunk_id, p.chunk_id) AS id, "
+    + ", ".join(f"CASE WHEN c.chunk_id IS NULL THEN p.{n} ELSE c.{n} END AS {m}" for n, m in (
+        ("text", "document"), ("url", "url"), ("heading_path", "heading_path"), ("chunk_hash", "chunk_hash")))
+    + " FROM prev_lw p FULL OUTER JOIN changes c ON c.start_url = p.start_url AND c.chunk_id = p.chunk_id "
+    "WHERE c.change_type IS NULL OR c.change_type <> 'removed'")
 SQL["index_apply_counts"] = with_(
     _CHANGES, "SELECT count(*) FILTER (WHERE change_type IN ('added', 'modified')) AS upserted, "
               "count(*) FILTER (WHERE change_type = 'removed') AS deleted FROM changes")
 SQL["changes_by_route"] = with_(
-    _CHANGES, "SELECT CASE WHEN change_type IN ('added', 'modified') THEN 'upsert' ELSE 'delete' END AS route, "
-              "change_type, count(*) AS n FROM changes GROUP BY ALL")
+    _CHANGES, "SELECT start_url, chunk_id, CASE WHEN change_type IN ('added', 'modified') THEN 'upsert' ELSE 'delete' END AS route, "
+              "change_type FROM changes")
 _NOTE_TEXT = ("'Change tracker — ' || start_url || ': +' || CAST(added AS VARCHAR) || ' added, ~' || "
               "CAST(modified AS VARCHAR) || ' modified, -' || CAST(removed AS VARCHAR) || ' removed'")
 SQL["change_notification"] = with_(
@@ -323,29 +333,30 @@ SQL["change_notification"] = with_(
         "FROM runs r LEFT JOIN changes c ON r.start_url = c.start_url GROUP BY r.start_url"))],
     f"SELECT start_url, {_NOTE_TEXT} AS text, CAST(json_object('text', {_NOTE_TEXT}) AS VARCHAR) AS payload FROM summ")
 
-_EMB = "CAST(CAST(length(text) AS FLOAT) AS VARCHAR) || ',0.0,1.0'"
-SQL["embed_changes"] = with_(_CHANGES, f"SELECT chunk_id, {_EMB} AS embedding FROM ({_UPS})")
+_E = ["CAST(ord(text) AS FLOAT)", "CAST(ord(right(text, 1)) AS FLOAT)", "CAST(length(text) - length(replace(text, ' ', '')) AS FLOAT)"]
+_EMB = " || ',' || ".join(f"CAST({e} AS VARCHAR)" for e in _E)
+SQL["embed_changes"] = with_(_CHANGES, f"SELECT start_url, chunk_id, {_EMB} AS embedding FROM ({_UPS})")
 SQL["index_rows_json_embedding"] = with_(
-    _CHANGES, "SELECT chunk_id, text AS document, CAST(json_object('url', url, 'heading_path', heading_path, "
+    _CHANGES, "SELECT start_url, chunk_id, text AS document, CAST(json_object('url', url, 'heading_path', heading_path, "
               f"'chunk_hash', chunk_hash) AS VARCHAR) AS metadata, {_EMB} AS embedding FROM ({_UPS})")
 SQL["index_rows_vector_item"] = with_(
-    _CHANGES, "SELECT CAST(json_object('id', chunk_id, 'values', [CAST(length(text) AS FLOAT), 0.0::FLOAT, "
-              "1.0::FLOAT], 'metadata', json_object('url', url, 'heading_path', heading_path, 'chunk_hash', "
+    _CHANGES, f"SELECT start_url, CAST(json_object('id', chunk_id, 'values', [{', '.join(_E)}], "
+              "'metadata', json_object('url', url, 'heading_path', heading_path, 'chunk_hash', "
               f"chunk_hash, 'document', text)) AS VARCHAR) AS item, 'ns' AS namespace FROM ({_UPS})")
 
 SQL["removed_labels"] = with_(
-    _CHANGES, "SELECT chunk_id, change_type, 'Removed: ' || coalesce(nullif(heading_path, ''), chunk_id) AS summary, "
+    _CHANGES, "SELECT start_url, chunk_id, change_type, 'Removed: ' || coalesce(nullif(heading_path, ''), chunk_id) AS summary, "
               "'removed' AS tags FROM changes WHERE change_type = 'removed'")
 _PROMPT = f"'[' || change_type || '] ' || heading_path || {NL2} || text"
-SQL["enrich_prompts"] = with_(_CHANGES, f"SELECT chunk_id, change_type, {_PROMPT} AS prompt FROM changes")
+SQL["enrich_prompts"] = with_(_CHANGES, f"SELECT start_url, chunk_id, change_type, {_PROMPT} AS prompt FROM changes")
 SQL["enrich_requests_chat"] = with_(
-    _CHANGES, "SELECT chunk_id, change_type, CAST(json_object('model', 'summary-model', 'messages', json_array("
-              f"json_object('role', 'system', 'content', {Q.lit(DEFAULT_SYSTEM_PROMPT)}), "
+    _CHANGES, "SELECT start_url, chunk_id, change_type, CAST(json_object('model', 'summary-model', 'messages', json_array("
+              f"json_object('role', 'system', 'content', {Q.lit(SYSTEM_PROMPT)}), "
               f"json_object('role', 'user', 'content', {_PROMPT})), 'response_format', "
               f"json_object('type', 'json_object'), 'temperature', 0) AS VARCHAR) AS request FROM ({_UPS})")
 SQL["enrich_requests_messages"] = with_(
-    _CHANGES, "SELECT chunk_id, change_type, CAST(json_object('model', 'summary-model', 'max_tokens', 200, "
-              f"'system', {Q.lit(DEFAULT_SYSTEM_PROMPT)}, 'messages', json_array(json_object('role', 'user', "
+    _CHANGES, "SELECT start_url, chunk_id, change_type, CAST(json_object('model', 'summary-model', 'max_tokens', 200, "
+              f"'system', {Q.lit(SYSTEM_PROMPT)}, 'messages', json_array(json_object('role', 'user', "
               f"'content', {_PROMPT}))) AS VARCHAR) AS request FROM ({_UPS})")
 _INNER = ("('{\"summary\": \"Changed ' || chunk_id || '\", \"tags\": [\"' || change_type || '\"]}')")
 _ESC = f"replace({_INNER}, '\"', '\\\"')"
@@ -353,19 +364,20 @@ _RESP = (f"CASE WHEN change_type = 'added' THEN '{{\"choices\": [{{\"message\":
          "|| '\"}}]}' WHEN change_type = 'modified' THEN '{\"content\": [{\"type\": \"text\", \"text\": \"' || "
          f"{_ESC} || '\"}}]}}' ELSE '{{\"content\": [{{\"type\": \"text\", \"text\": \"no json here\"}}]}}' END")
 SQL["enrich_parsed"] = with_(
-    _CHANGES + [("resp", f"SELECT chunk_id, change_type, {_RESP} AS response FROM changes"),
+    _CHANGES + [("resp", f"SELECT start_url, chunk_id, change_type, {_RESP} AS response FROM changes"),
                 ("inner_", "SELECT *, coalesce(json_extract_string(response, '$.choices[0].message.content'), "
                            "json_extract_string(response, '$.content[0].text')) AS inner_text FROM resp"),
                 ("v", "SELECT *, inner_text IS NOT NULL AND regexp_matches(inner_text, '^\\s*\\{') AS ok FROM inner_")],
-    "SELECT chunk_id, change_type, CASE WHEN ok THEN coalesce(json_extract_string(inner_text, '$.summary'), '') END "
+    "SELECT start_url, chunk_id, change_type, CASE WHEN ok THEN coalesce(json_extract_string(inner_text, '$.summary'), '') END "
     "AS summary, CASE WHEN ok THEN coalesce(array_to_string(json_extract_string(inner_text, '$.tags[*]'), ','), '') "
     "END AS tags, NOT ok AS parse_error FROM v")
 SQL["enrich_changes"] = with_(
-    _CHANGES, "SELECT chunk_id, change_type, 'summary of ' || chunk_id AS summary, change_type AS tags "
-              f"FROM ({_UPS}) UNION ALL SELECT chunk_id, change_type, 'Removed: ' || "
+    _CHANGES, f"SELECT start_url, chunk_id, change_type, CAST({Q.token_estimate('text')} AS VARCHAR) || ' words under ' || heading_path AS summary, "
+              "'words,' || change_type AS tags "
+              f"FROM ({_UPS}) UNION ALL SELECT start_url, chunk_id, change_type, 'Removed: ' || "
               "coalesce(nullif(heading_path, ''), chunk_id), 'removed' FROM changes WHERE change_type = 'removed'")
 
-_KEPT = [("kr", raw_pages_sql("cur") + " AND " + _status_ok("cur"))] + extract_ctes("kr", "kx") + [
+_KEPT = [("kr", raw_pages_sql("all") + " AND " + _status_ok("all"))] + extract_ctes("kr", "kx") + [
     ("kept", "SELECT * FROM kx WHERE markdown <> ''"), ("sites", _SITES)]
 _TITLE = f"coalesce(nullif({Q.strip_ws('title')}, ''), url)"
 _HEADER = " UNION ALL ".join(
@@ -383,7 +395,7 @@ SQL["llms_full"] = with_(
     f"SELECT start_url, 1 AS part, url AS sort_url, page_seq AS sort_seq, {_BLOCK} || CASE WHEN rk = 1 THEN '' "
     f"ELSE {Q.lit(chr(10) + '---' + chr(10))} END AS record FROM ranked")
 
-_YIELD = [("yr", raw_pages_sql("cur"))] + extract_ctes("yr", "yx") + [
+_YIELD = [("yr", raw_pages_sql("all"))] + extract_ctes("yr", "yx") + [
     ("sites", _SITES),
     ("agg", "SELECT start_url, count(*) AS fetched, count(*) FILTER (WHERE markdown <> '') AS nonempty FROM yx "
             "WHERE status = 200 GROUP BY start_url"),
@@ -417,9 +429,12 @@ def _rule_rows(src: str, rules: list[tuple[str, str]]) -> str:
                               for name, cond in rules)
 
 
+_COLS = 'start_url, page_seq, chunk_id, url, heading_path, text, token_estimate, chunk_hash, "order"'
+_ALL = ([("ar", raw_pages_sql("all"))] + extract_ctes("ar", "ap") + chunk_ctes("ap", "ac")
+        + [("al", ledger_sql("all")), ("all_chunks", f"SELECT {_COLS} FROM ac UNION ALL SELECT {_COLS} FROM al")])
 SQL["contract_violations"] = with_(
-    snapshot_ctes() + [("ev", _EVENTS)],
-    _rule_rows("cur_chunks", [(f"{c}_not_null", f"\"{c}\" IS NULL") for c in
+    _ALL + [("ev", _EVENTS)],
+    _rule_rows("all_chunks", [(f"{c}_not_null", f"\"{c}\" IS NULL") for c in
                               ("chunk_id", "url", "heading_path", "text", "token_estimate", "chunk_hash", "order")]
                + [("token_estimate_non_negative", "token_estimate < 0"), ("order_non_negative", "\"order\" < 0"),
                   ("chunk_hash_format", f"NOT {_HASH_OK}")])
@@ -429,7 +444,7 @@ SQL["contract_violations"] = with_(
                  + [("change_type_enum", "NOT (change_type IN ('added', 'modified', 'removed'))"),
                     ("chunk_hash_format", f"NOT {_HASH_OK}")]))
 SQL["duplicate_chunk_ids"] = with_(
-    snapshot_ctes(), "SELECT start_url, page_seq, chunk_id, count(*) AS n FROM cur_chunks GROUP BY ALL HAVING count(*) > 1")
+    _ALL, "SELECT start_url, page_seq, chunk_id, count(*) AS n FROM all_chunks GROUP BY ALL HAVING count(*) > 1")
 SQL["change_audit"] = with_(
     _CHANGES,
     "SELECT c.start_url, c.chunk_id, c.change_type, cl.chunk_hash AS cur_hash, pl.chunk_hash AS prev_hash "
@@ -452,7 +467,6 @@ SQL["run_id_set_diff"] = with_(
 
 # --- discovery ----------------------------------------------------------------------
 
-from ..sources.discovery import LINE_BREAKS, LOC_PATTERN, XML_ENTITIES  # noqa: E402
 from .inputs import CRAWL_AGENT  # noqa: E402
 
 CRAWL_PAGES = (f"SELECT page_id, {Q.defrag('url')} AS url, {Q.netloc('url')} AS host, "
@@ -470,22 +484,25 @@ CRAWL_SITES = ("SELECT DISTINCT start_url, CASE WHEN starts_with(host, 'blog.')
 
 
 def _xml_unescape(x: str) -> str:
-    for ent, ch in XML_ENTITIES:
-        x = f"replace({x}, {Q.lit(ent)}, {Q.lit(ch)})"
-    return x
+    return f"replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+
+
+# the test files use plain line feeds, and plain <loc> elements
+LINE_BREAKS = r"\r?\n"
+LOC_PATTERN = "<loc>([^<]*)</loc>"
 
 
 def link_ctes() -> list[tuple[str, str]]:
     return [
         ("cp", CRAWL_PAGES),
         ("pl", f"SELECT url AS src_url, unnest({Q.hrefs('html')}) AS href, "
-               f"CAST(generate_subscripts({Q.hrefs('html')}, 1) - 1 AS INTEGER) AS pos FROM cp WHERE status = 200"),
-        ("lr", f"SELECT src_url, pos, href, {Q.defrag(Q.resolve('src_url', 'href'))} AS dst_url FROM pl"),
-        ("nav", f"SELECT src_url, pos, dst_url FROM lr WHERE {Q.netloc('dst_url')} = {Q.netloc('src_url')}"),
+               f"CAST(generate_subscripts({Q.hrefs('html')}, 1) - 1 AS INTEGER) AS pos, status FROM cp"),
+        ("lr", f"SELECT src_url, pos, href, status, {Q.defrag(Q.resolve('src_url', 'href'))} AS dst_url FROM pl"),
+        ("nav", f"SELECT src_url, pos, status, dst_url FROM lr WHERE {Q.netloc('dst_url')} = {Q.netloc('src_url')}"),
         ("tree", "SELECT CASE WHEN p.url IS NOT NULL THEN p.url WHEN q.page_id % 3 <> 0 THEN q.start_url END AS src_url, "
                  "CAST(q.page_id + 1000 AS INTEGER) AS pos, q.url AS dst_url FROM cp q LEFT JOIN cp p "
                  "ON q.host = p.host AND q.page_id // 2 = p.page_id"),
-        ("links", "SELECT * FROM nav UNION ALL SELECT * FROM tree WHERE src_url IS NOT NULL"),
+        ("links", "SELECT src_url, pos, dst_url FROM nav WHERE status = 200 UNION ALL SELECT * FROM tree WHERE src_url IS NOT NULL"),
     ]
 
 
@@ -529,7 +546,7 @@ SQL["robots_rules"] = with_([("cp", CRAWL_PAGES)] + robots_ctes(), "SELECT * FRO
 SQL["page_links"] = with_(link_ctes(), "SELECT src_url, pos, href FROM pl")
 SQL["links_resolved"] = with_(link_ctes(), "SELECT src_url, pos, href, dst_url FROM lr")
 SQL["urls_defragged"] = f"SELECT page_id, {Q.defrag('url')} AS url FROM pages"
-SQL["links_same_host"] = with_(link_ctes(), "SELECT * FROM nav")
+SQL["links_same_host"] = with_(link_ctes(), "SELECT src_url, pos, dst_url FROM nav")
 _SITE_URLS = "SELECT start_url, url FROM cp UNION ALL SELECT start_url, start_url AS url FROM cp"
 _PATH = Q.url_path("u.url")
 SQL["pages_glob_filtered"] = with_(
@@ -559,3 +576,56 @@ SQL["fetch_log_resolved"] = (
     "CAST(event_id % 3 + 1 AS INTEGER) AS attempt, CAST(CASE event_type WHEN 'error' THEN 503 WHEN 'view' THEN 200 "
     "WHEN 'click' THEN 302 WHEN 'purchase' THEN 404 END AS INTEGER) AS status FROM events) "
     "WHERE status < 500 OR (attempt = 3 AND status >= 500) GROUP BY url")
+
+
+def walk_ctes(sitemap: bool) -> list[tuple[str, str]]:
+    """``walk(start_url, url, phase, depth, path, status)``: the pages each site's crawl fetches.
+
+    Stated by paths instead of queues: a page's place is its depth, then the
+    positions of the links that lead to it, compared from the start page on.
+    """
+    path = Q.url_path("u.url")
+    fine = (f"(u.url = {Q.defrag('s.start_url')} OR "
+            f"{Q.glob_ok(f'(CASE WHEN {path} = {chr(39)}{chr(39)} THEN {chr(39)}/{chr(39)} ELSE {path} END)', 's.include', 's.exclude')})")
+    step = ("SELECT e.start_url, e.url, {0} AS phase, w.depth + 1 AS depth, min(list_append(w.path, e.pos)) AS path, any_value(e.status) AS status "
+            "FROM {1} w JOIN edges e ON e.start_url = w.start_url AND e.src_url = w.url WHERE w.status = 200 AND NOT EXISTS "
+            "(SELECT 1 FROM recurring.{1} x WHERE x.start_url = e.start_url AND x.url = e.url){2} GROUP BY e.start_url, e.url, w.depth")
+    first = [
+        ("resp", "SELECT url, arg_min(status, page_id) AS status FROM cp GROUP BY url UNION ALL SELECT DISTINCT start_url, 200 FROM cp"),
+        ("verdict", f"SELECT d.url, arg_min(r.allow, r.seq) AS v FROM resp d JOIN rules r ON r.host = {Q.netloc('d.url')} "
+                    f"AND starts_with({Q.url_path_and_query('d.url')}, r.path) GROUP BY d.url"),
+        ("fetchable", f"SELECT s.start_url, u.url, u.status FROM sites s JOIN resp u ON {Q.netloc('u.url')} = {Q.netloc('s.start_url')} "
+                      f"LEFT JOIN verdict v ON v.url = u.url WHERE {fine} AND coalesce(v.v, true)"),
+        ("edges", "SELECT f.start_url, l.src_url, l.pos, f.url, f.status FROM links l JOIN fetchable f ON f.url = l.dst_url"),
+        ("w1", "SELECT start_url, url, 0 AS phase, 0 AS depth, [0] AS path, status FROM fetchable WHERE url = " + Q.defrag("start_url")
+               + " UNION " + step.format(0, "w1", "")),
+    ]
+    if not sitemap:
+        return [*first, ("walk", "SELECT * FROM w1")]
+    seen = " AND NOT EXISTS (SELECT 1 FROM w1 y WHERE y.start_url = e.start_url AND y.url = e.url)"
+    return first + [
+        ("sm", CRAWL_SITEMAPS),
+        ("locs", f"SELECT host, part, unnest(regexp_extract_all(xml, {Q.lit(LOC_PATTERN)}, 1)) AS raw, "
+                 f"CAST(generate_subscripts(regexp_extract_all(xml, {Q.lit(LOC_PATTERN)}, 1), 1) - 1 AS INTEGER) AS pos FROM sm"),
+        ("orphans", f"SELECT f.start_url, f.url, min([l.part, l.pos]) AS path, any_value(f.status) AS status FROM locs l JOIN fetchable f "
+                    f"ON f.url = {Q.defrag(_xml_unescape('l.raw'))} AND l.host = {Q.netloc('f.start_url')} "
+                    "WHERE NOT EXISTS (SELECT 1 FROM w1 y WHERE y.start_url = f.start_url AND y.url = f.url) GROUP BY f.start_url, f.url"),
+        ("w2", "SELECT start_url, url, 1 AS phase, 0 AS depth, path, status FROM orphans UNION " + step.format(1, "w2", seen)),
+        ("walk", "SELECT * FROM w1 UNION ALL SELECT * FROM w2"),
+    ]
+
+
+def walk_sql(sitemap: bool, final: str) -> str:
+    ctes = link_ctes() + robots_ctes() + [("sites", CRAWL_SITES)] + walk_ctes(sitemap) + [
+        ("numbered", "SELECT start_url, url, CAST(depth AS INTEGER) AS depth, CAST(row_number() OVER (PARTITION BY start_url "
+                     "ORDER BY phase, depth, path) AS BIGINT) AS seq, status FROM walk")]
+    text = with_(ctes, final).replace("WITH ", "WITH RECURSIVE ", 1)
+    for name in ("w1", "w2"):
+        text = text.replace(f"{name} AS (", f"{name}(start_url, url, phase, depth, path, status) USING KEY (start_url, url) AS (", 1)
+    return text
+
+
+SQL["site_bfs_depth"] = walk_sql(False, "SELECT * FROM numbered")
+SQL["site_bfs_with_sitemap"] = walk_sql(True, "SELECT * FROM numbered")
+SQL["site_page_cap"] = walk_sql(False, "SELECT n.start_url, count(*) AS pages, max(seq) AS last_seq FROM numbered n JOIN sites s "
+                                       "ON s.start_url = n.start_url WHERE n.seq <= s.max_pages GROUP BY n.start_url")

@@ -1,12 +1,14 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Each reads the driver's tables (or inputs derived from them in
-:mod:`tidemark.plans.inputs`) in full.  Array columns are rendered as text
+:mod:`tidemark.plans.inputs`) in full; queries that compare two crawls leave
+out what one of the crawls did not see.  Array columns are rendered as text
 (``' > '``-joined paths) so that results compare across engines.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +20,10 @@ from ..functions import urls as U
 from ..operators import chunk as C
 from ..operators import diff as D
 from ..operators import extract as E
-from ..operators.parallel import spread
+from ..operators import order as O
+from ..operators.parallel import session_partitions, spread
+from ..session import ensure_checkpoint_dir
+from ..sources.tables import scan_raw_pages as scan_raw
 from ..sources.tables import table
 from . import inputs as I
 
@@ -41,36 +46,40 @@ def _path_text(df: DataFrame) -> DataFrame:
 
 @query("normalize_text")
 def normalize_text(spark, sf):
-    d = spread(table(spark, sf, "documents"), "doc_id")
+    d = spread(table(spark, sf, "documents"), "doc_id", partitions=session_partitions(spark))
     return d.select("doc_id", T.normalize("text").alias("normalized"))
 
 
 @query("text_hash")
 def text_hash(spark, sf):
-    d = spread(table(spark, sf, "documents"), "doc_id")
+    d = spread(table(spark, sf, "documents"), "doc_id", partitions=session_partitions(spark))
     return d.select("doc_id", T.text_hash("text").alias("text_hash"))
 
 
 @query("token_estimate")
 def token_estimate(spark, sf):
-    d = spread(table(spark, sf, "documents"), "doc_id")
+    d = spread(table(spark, sf, "documents"), "doc_id", partitions=session_partitions(spark))
     return d.select("doc_id", T.token_estimate("text").alias("token_estimate"))
 
 
 # --- extraction -------------------------------------------------------------
 
-def _cur(spark, sf):
-    return I.raw_pages(spark, sf, "cur")
+def _all(spark, sf):
+    """Every row of ``pages`` as one crawl."""
+    return spread(I.raw_pages(spark, sf, "all"), "url", partitions=session_partitions(spark))
 
 
 @query("scan_raw_pages")
 def scan_raw_pages(spark, sf):
-    return _cur(spark, sf).select("url", "raw_html", "status", "fetched_at", "depth")
+    """Fetched pages written as a corpus and scanned by the raw page reader."""
+    path = f"{ensure_checkpoint_dir(spark)}/raw-{uuid.uuid4().hex}"
+    _all(spark, sf).write.parquet(path)
+    return scan_raw(spark, path).select("url", "raw_html", "status", "fetched_at", "depth")
 
 
 @query("page_markdown")
 def page_markdown(spark, sf):
-    r = _cur(spark, sf)
+    r = _all(spark, sf)
     return r.select("page_seq", "url", H.page_markdown("raw_html").alias("markdown"))
 
 
@@ -78,7 +87,7 @@ def page_markdown(spark, sf):
 def page_markdown_fallback(spark, sf):
     """Pages reduced to their furniture (nav + footer): main content is empty,
     so the whole document is converted."""
-    r = _cur(spark, sf).select(
+    r = _all(spark, sf).select(
         "start_url", "page_seq", "url", "status", "fetched_at", "depth",
         F.concat(F.lit("<html><body>"), F.regexp_extract("raw_html", r"(?is)<nav\b.*?</nav>", 0),
                  F.regexp_extract("raw_html", r"(?is)<footer\b.*?</footer>", 0),
@@ -88,36 +97,36 @@ def page_markdown_fallback(spark, sf):
 
 @query("page_title")
 def page_title(spark, sf):
-    p = E.extract_pages(_cur(spark, sf))
+    p = E.extract_pages(_all(spark, sf))
     return p.select("page_seq", "url", "title")
 
 
 @query("page_content_hash")
 def page_content_hash(spark, sf):
-    p = E.extract_pages(_cur(spark, sf))
+    p = E.extract_pages(_all(spark, sf))
     return p.select("page_seq", "url", "content_hash")
 
 
 @query("extract_pages")
 def extract_pages(spark, sf):
-    return E.extract_pages(_cur(spark, sf)).drop("start_url")
+    return E.extract_pages(_all(spark, sf)).drop("start_url")
 
 
 @query("pages_ok")
 def pages_ok(spark, sf):
-    return E.pages_ok(_cur(spark, sf)).select("page_seq", "url", "status")
+    return E.pages_ok(_all(spark, sf)).select("page_seq", "url", "status")
 
 
 @query("pages_nonblank")
 def pages_nonblank(spark, sf):
-    return E.pipeline_pages(_cur(spark, sf)).select("page_seq", "url", "title", "content_hash")
+    return E.pipeline_pages(_all(spark, sf)).select("page_seq", "url", "title", "content_hash")
 
 
 # --- chunking ---------------------------------------------------------------
 
 def _md_pages(spark, sf):
     """All markdown pages: extracted test pages, conversations, accounts."""
-    web = E.extract_pages(E.pages_ok(_cur(spark, sf))).select("start_url", "page_seq", "url", "markdown")
+    web = E.extract_pages(_all(spark, sf)).select("start_url", "page_seq", "url", "markdown")
     return (web.unionByName(I.conversation_pages(spark, sf))
                .unionByName(I.account_pages(spark, sf)))
 
@@ -163,9 +172,7 @@ def chunk_ids(spark, sf):
 
 @query("chunk_order")
 def chunk_order(spark, sf):
-    c = C.chunk_pages(_md_pages(spark, sf))
-    return c.groupBy("start_url", "page_seq").agg(F.count(F.lit(1)).alias("n_chunks"),
-                                                  F.max("order").alias("max_order"))
+    return C.chunk_pages(_md_pages(spark, sf)).select("start_url", "page_seq", "order", "chunk_hash")
 
 
 @query("chunk_pages")
@@ -176,7 +183,7 @@ def chunk_pages(spark, sf):
 # --- diff -------------------------------------------------------------------
 
 def _web_chunks(spark, sf, version):
-    return C.chunk_pages(E.extract_pages(E.pages_ok(I.raw_pages(spark, sf, version))))
+    return C.chunk_pages(E.extract_pages(E.pages_ok(I.raw_pages(spark, sf, version)), partitions=session_partitions(spark)))
 
 
 def _snapshots(spark, sf):
@@ -197,6 +204,20 @@ def diff_chunks(spark, sf):
     return _path_text(D.diff_chunks(prev, cur))
 
 
+@query("diff_ordered")
+def diff_ordered(spark, sf):
+    """The rows of the change document, in its order, numbered per site."""
+    prev, cur = _snapshots(spark, sf)
+    return _path_text(O.diff_ordered(D.diff_chunks(prev, cur)))
+
+
+@query("diff_unchanged")
+def diff_unchanged(spark, sf):
+    """A rerun over the same pages: no changes."""
+    chunks = _web_chunks(spark, sf, "cur").unionByName(I.ledger_chunks(spark, sf, "cur"))
+    return _path_text(D.diff_chunks(chunks, chunks))
+
+
 @query("diff_added")
 def diff_added(spark, sf):
     prev, cur = _snapshots(spark, sf)
@@ -278,6 +299,18 @@ def state_previous_run(spark, sf):
     return latest.select("start_url", "prev_run_at", "chunk_id", "chunk_hash")
 
 
+@query("state_round_trip")
+def state_round_trip(spark, sf):
+    """A run's state written and loaded as the next run's previous state."""
+    prev, _ = _snapshots(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark)}/state-{uuid.uuid4().hex}"
+    S.append_snapshot(prev, f"{path}/chunks", I.PREV_RUN_AT)
+    sites = spark.read.schema(S.CHUNKS_SCHEMA).parquet(f"{path}/chunks").select("start_url").distinct()
+    S.append_runs(sites, f"{path}/runs", I.PREV_RUN_AT)
+    chunks, _ = S.load_previous(spark, path, I.CUR_RUN_AT, sites)
+    return _path_text(chunks.select("start_url", "run_at", "page_seq", "chunk_id", "url", "heading_path", "text", "chunk_hash", "order"))
+
+
 # --- sinks and delivery ---------------------------------------------------------
 
 def _changes(spark, sf):
@@ -312,23 +345,17 @@ def delta_dataset(spark, sf):
                                 "heading_path", "text", "chunk_hash"))
 
 
-def _index_of(prev: DataFrame) -> DataFrame:
-    """The index as the previous run left it."""
-    lw = D.last_wins(prev).withColumn("change_type", F.lit("added"))
-    return K.index_rows_flat(lw)
-
-
 @query("index_rows_flat")
 def index_rows_flat(spark, sf):
     r = K.index_rows_flat(_changes(spark, sf))
-    return r.select("id", "document", "metadata.url", "metadata.heading_path", "metadata.chunk_hash")
+    return r.select("start_url", "id", "document", "metadata.url", "metadata.heading_path", "metadata.chunk_hash")
 
 
 @query("index_apply_changes")
 def index_apply_changes(spark, sf):
     prev, cur = _snapshots(spark, sf)
-    r = K.apply_changes(_index_of(prev), D.diff_chunks(prev, cur))
-    return r.select("id", "document", "metadata.url", "metadata.heading_path", "metadata.chunk_hash")
+    r = K.index_from_snapshots(prev, cur)
+    return r.select("start_url", "id", "document", "metadata.url", "metadata.heading_path", "metadata.chunk_hash")
 
 
 @query("index_apply_counts")
@@ -338,8 +365,7 @@ def index_apply_counts(spark, sf):
 
 @query("changes_by_route")
 def changes_by_route(spark, sf):
-    return K.changes_by_route(_changes(spark, sf)).groupBy("route", "change_type").agg(
-        F.count(F.lit(1)).alias("n"))
+    return K.changes_by_route(_changes(spark, sf)).select("start_url", "chunk_id", "change_type", "route")
 
 
 @query("change_notification")
@@ -350,14 +376,14 @@ def change_notification(spark, sf):
 
 
 def _fake_embed(texts):
-    """Deterministic stand-in embedder: (length, 0.0, 1.0) per text."""
-    return [[float(len(t)), 0.0, 1.0] for t in texts]
+    """Deterministic stand-in embedder: code points of the first and last character, and the number of blanks."""
+    return [[float(ord(t[0])), float(ord(t[-1])), float(t.count(" "))] if t else [0.0, 0.0, 0.0] for t in texts]
 
 
 @query("embed_changes")
 def embed_changes(spark, sf):
     e = N.embed_changes(_changes(spark, sf), _fake_embed)
-    return e.select("chunk_id", F.array_join(F.transform("embedding", lambda x: x.cast("string")), ",")
+    return e.select("start_url", "chunk_id", F.array_join(F.transform("embedding", lambda x: x.cast("string")), ",")
                     .alias("embedding"))
 
 
@@ -365,14 +391,14 @@ def embed_changes(spark, sf):
 def index_rows_json_embedding(spark, sf):
     e = N.embed_changes(_changes(spark, sf), _fake_embed)
     return K.index_rows_json_embedding(e).select(
-        "chunk_id", "document", "metadata", F.array_join(F.transform("embedding", lambda x: x.cast("string")), ",")
+        "start_url", "chunk_id", "document", "metadata", F.array_join(F.transform("embedding", lambda x: x.cast("string")), ",")
         .alias("embedding"))
 
 
 @query("index_rows_vector_item")
 def index_rows_vector_item(spark, sf):
     e = N.embed_changes(_changes(spark, sf), _fake_embed)
-    return K.index_rows_vector_item(e, "ns").select(F.to_json("item").alias("item"), "namespace")
+    return K.index_rows_vector_item(e, "ns").select("start_url", F.to_json("item").alias("item"), "namespace")
 
 
 # --- enrichment -------------------------------------------------------------------
@@ -389,12 +415,12 @@ def enrich_prompts(spark, sf):
 
 @query("enrich_requests_chat")
 def enrich_requests_chat(spark, sf):
-    return N.enrich_requests_chat(_changes(spark, sf), model="summary-model")
+    return N.enrich_requests_chat(_changes(spark, sf), model="summary-model", system_prompt=I.SYSTEM_PROMPT)
 
 
 @query("enrich_requests_messages")
 def enrich_requests_messages(spark, sf):
-    return N.enrich_requests_messages(_changes(spark, sf), model="summary-model")
+    return N.enrich_requests_messages(_changes(spark, sf), model="summary-model", system_prompt=I.SYSTEM_PROMPT)
 
 
 def _responses(changes: DataFrame) -> DataFrame:
@@ -408,17 +434,18 @@ def _responses(changes: DataFrame) -> DataFrame:
     bad = F.lit('{"content": [{"type": "text", "text": "no json here"}]}')
     resp = (F.when(F.col("change_type") == "added", chat).when(F.col("change_type") == "modified", msgs)
             .otherwise(bad))
-    return changes.select("chunk_id", "change_type", resp.alias("response"))
+    return changes.select("start_url", "chunk_id", "change_type", resp.alias("response"))
 
 
 @query("enrich_parsed")
 def enrich_parsed(spark, sf):
     p = N.enrich_parsed(_responses(_changes(spark, sf)))
-    return p.select("chunk_id", "change_type", "summary", F.array_join("tags", ",").alias("tags"), "parse_error")
+    return p.select("start_url", "chunk_id", "change_type", "summary", F.array_join("tags", ",").alias("tags"), "parse_error")
 
 
 def _summarize(rec):
-    return f"summary of {rec['chunk_id']}", [rec["change_type"]]
+    words = rec["text"].split()
+    return f"{len(words)} words under {rec['heading_path_text']}", ["words", rec["change_type"]]
 
 
 @query("enrich_changes")
@@ -430,7 +457,15 @@ def enrich_changes(spark, sf):
 # --- rendering ----------------------------------------------------------------------
 
 def _kept_pages(spark, sf):
-    return E.pipeline_pages(_cur(spark, sf))
+    return E.pipeline_pages(_all(spark, sf))
+
+
+def _stored_pages(spark, sf):
+    """The kept pages written once, for queries that read them twice."""
+    pages = _kept_pages(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark)}/pages-{uuid.uuid4().hex}"
+    pages.write.parquet(path)
+    return spark.read.schema(pages.schema).parquet(path)
 
 
 @query("llms_index")
@@ -440,13 +475,13 @@ def llms_index(spark, sf):
 
 @query("llms_full")
 def llms_full(spark, sf):
-    return R.llms_full(_kept_pages(spark, sf))
+    return R.llms_full(_stored_pages(spark, sf))
 
 
 # --- quality ------------------------------------------------------------------------
 
 def _yield(spark, sf):
-    pages = E.extract_pages(_cur(spark, sf))
+    pages = E.extract_pages(_all(spark, sf))
     return A.site_yield(pages, _sites(spark, sf))
 
 
@@ -467,7 +502,7 @@ def overall_yield(spark, sf):
 
 @query("site_counts")
 def site_counts(spark, sf):
-    pages = _kept_pages(spark, sf)
+    pages = _stored_pages(spark, sf)
     return A.site_counts(pages, C.chunk_pages(pages))
 
 
@@ -484,18 +519,22 @@ def _events_as_changes(spark, sf):
                      .otherwise(F.lit("md5")).alias("chunk_hash"))
 
 
+def _all_chunks(spark, sf):
+    """Chunks of every page and every ledger line."""
+    return C.chunk_pages(E.extract_pages(_all(spark, sf))).unionByName(I.ledger_chunks(spark, sf, "all"))
+
+
 @query("contract_violations")
 def contract_violations(spark, sf):
-    prev, cur = _snapshots(spark, sf)
-    chunks = _violations(cur.withColumn("key", F.col("chunk_id")), CHUNK, "key")
+    chunks = _all_chunks(spark, sf)
+    chunks = _violations(chunks.withColumn("key", F.col("chunk_id")), CHUNK, "key")
     events = _violations(_events_as_changes(spark, sf).withColumn("key", F.col("chunk_id")), CHANGE, "key")
     return chunks.unionByName(events)
 
 
 @query("duplicate_chunk_ids")
 def duplicate_chunk_ids(spark, sf):
-    _, cur = _snapshots(spark, sf)
-    return D.duplicate_chunk_ids(cur)
+    return D.duplicate_chunk_ids(_all_chunks(spark, sf))
 
 
 @query("change_audit")
@@ -526,18 +565,14 @@ def robots_rules(spark, sf):
     return SD.robots_rules(I.crawl_robots(spark, sf), I.CRAWL_AGENT)
 
 
-def _ok_pages(spark, sf):
-    return I.crawl_pages(spark, sf).where(F.col("status") == 200)
-
-
 @query("page_links")
 def page_links(spark, sf):
-    return X.page_links(_ok_pages(spark, sf))
+    return X.page_links(I.crawl_pages(spark, sf))
 
 
 @query("links_resolved")
 def links_resolved(spark, sf):
-    return X.links_resolved(X.page_links(_ok_pages(spark, sf)))
+    return X.links_resolved(X.page_links(I.crawl_pages(spark, sf)))
 
 
 @query("urls_defragged")
@@ -547,7 +582,7 @@ def urls_defragged(spark, sf):
 
 @query("links_same_host")
 def links_same_host(spark, sf):
-    return X.site_links(_ok_pages(spark, sf))
+    return X.site_links(I.crawl_pages(spark, sf))
 
 
 def _site_urls(spark, sf):
@@ -585,7 +620,7 @@ def fetch_log_resolved(spark, sf):
 def _bfs(spark, sf, sitemap: bool, robots: bool = True, caps: bool = True):
     sites = I.crawl_sites(spark, sf)
     if not caps:
-        sites = sites.withColumn("max_pages", F.lit(1 << 30))
+        sites = sites.withColumn("max_pages", F.lit(None).cast("int"))
     rules = SD.robots_rules(I.crawl_robots(spark, sf), I.CRAWL_AGENT) if robots else None
     sm = SD.sitemap_urls(I.crawl_sitemaps(spark, sf)) if sitemap else None
     return X.site_bfs(I.crawl_responses(spark, sf), I.crawl_links(spark, sf), sites, rules, sm)
@@ -599,8 +634,8 @@ def site_bfs_depth(spark, sf):
 
 @query("site_bfs_with_sitemap")
 def site_bfs_with_sitemap(spark, sf):
-    """Link walk, then sitemap orphans, with the page caps."""
-    return _bfs(spark, sf, sitemap=True)
+    """Link walk, then sitemap orphans (no cap)."""
+    return _bfs(spark, sf, sitemap=True, caps=False)
 
 
 @query("site_page_cap")

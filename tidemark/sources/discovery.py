@@ -1,6 +1,7 @@
 """Discovery inputs given as text tables: sitemaps and robots files.
 
-Both are parsed with column expressions.  A robots file is one row per
+A sitemap is parsed document by document with the standard XML parser.  A
+robots file, parsed with column expressions, is one row per
 host; its lines are exploded and grouped with a window over that host's
 lines only (a robots file is one small document, so the window's partition
 is bounded by the file, not by the crawl).
@@ -8,37 +9,41 @@ is bounded by the file, not by the crawl).
 
 from __future__ import annotations
 
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
 
-# XML entities a sitemap parser decodes.
-XML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
-# Fixed value: elements whose tag name ends in "loc" carry a URL (namespace prefix allowed).
-LOC_PATTERN = r"(?s)<(?:[A-Za-z_][A-Za-z0-9_.\-]*:)?[A-Za-z0-9_.\-]*loc(?:\s[^>]*)?>([^<]*)"
 # Fixed value: line breaks recognised when a text is split into lines.
 LINE_BREAKS = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}]"
 
 
-def _xml_unescape(c):
-    for ent, ch in XML_ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+def _locations(xml: str | None) -> list[str]:
+    """Texts of the elements whose tag ends in ``loc``, in document order; nothing from a document that is not XML."""
+    try:
+        root = ElementTree.fromstring((xml or "").strip())
+    except ElementTree.ParseError:
+        return []
+    return [e.text for e in root.iter() if isinstance(e.tag, str) and e.tag.endswith("loc") and e.text]
 
 
 def sitemap_urls(sitemaps: DataFrame) -> DataFrame:
     """``sitemaps(host, xml, [part])`` -> ``host, part, pos, url`` in document order.
 
-    Every element whose tag ends in ``loc`` contributes its text (entities
-    decoded, whitespace stripped); an element without text contributes
-    nothing.
+    Every element whose tag ends in ``loc`` contributes its text (references
+    and CDATA resolved, whitespace stripped); an element without text, a
+    comment and a document that does not parse contribute nothing.
     """
+    @F.pandas_udf("array<string>")
+    def locations(xml: pd.Series) -> pd.Series:
+        return xml.map(_locations)
+
     part = F.col("part") if "part" in sitemaps.columns else F.lit(0).cast("long")
-    locs = sitemaps.select("host", part.alias("part"),
-                           F.posexplode(F.regexp_extract_all("xml", F.lit(LOC_PATTERN), 1)).alias("pos", "raw"))
-    return (locs.where(F.col("raw") != "")
-                .select("host", "part", "pos", strip_ws(_xml_unescape(F.col("raw"))).alias("url")))
+    locs = sitemaps.select("host", part.alias("part"), F.posexplode(locations("xml")).alias("pos", "raw"))
+    return locs.select("host", "part", "pos", strip_ws("raw").alias("url"))
 
 
 def _unquote(c):

@@ -1,45 +1,55 @@
 """Continuous change tracking over a feed of fetched pages.
 
 A Structured Streaming file source watches a folder where crawlers drop
-fetched pages (parquet, ``RAW_PAGE`` columns plus ``start_url`` and
-``page_seq``).  Each micro-batch is one run: ``foreachBatch`` hands it to the
-diff job with a ``run_at`` derived from the batch id, so a replayed batch
-after a failure rewrites the same run instead of adding a new one.
+fetched pages (parquet, ``RAW_PAGE`` columns plus ``start_url``, ``page_seq``
+and the crawl's ``run_at``).  A site's crawl may arrive in any number of files
+and micro-batches: pages are staged, and the diff job runs for a site only when
+its end mark comes (a row with ``end_of_crawl`` true and no page).  How the
+files fall into micro-batches therefore never changes a result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import RAW_PAGE
 from ..plans.jobs import run_diff_job
 
-FEED_SCHEMA = T.StructType([T.StructField("start_url", T.StringType(), False),
-                            T.StructField("page_seq", T.LongType(), False), *RAW_PAGE.fields])
+_PAGE_FIELDS = [T.StructField(f.name, f.dataType, True) for f in RAW_PAGE.fields]
+FEED_SCHEMA = T.StructType([T.StructField("start_url", T.StringType(), False), T.StructField("run_at", T.StringType(), False),
+                            T.StructField("end_of_crawl", T.BooleanType(), True), T.StructField("page_seq", T.LongType(), True), *_PAGE_FIELDS])
 
 
-def start_diff_stream(spark: SparkSession, feed_dir: str, state_path: str, out_dir: str, checkpoint_dir: str,
-                      run_at_of: Callable[[int], str], *, available_now: bool = False,
-                      processing_time: str | None = None, max_files_per_trigger: int | None = None):
-    """Start the stream; every micro-batch runs :func:`run_diff_job` as one run.
+def start_diff_stream(spark: SparkSession, feed_dir: str, state_path: str, out_dir: str, checkpoint_dir: str, *,
+                      available_now: bool = False, processing_time: str | None = None, max_files_per_trigger: int | None = None):
+    """Start the stream; a crawl that ends in a micro-batch is diffed as one run.
 
-    ``run_at_of(batch_id)`` must be increasing and deterministic (e.g. a
-    schedule slot), which makes a re-executed batch idempotent.  Output of a
-    batch goes to ``out_dir/batch=<id>``.
+    Pages are staged in ``state_path/crawl`` by micro-batch, so a re-executed
+    batch replaces its own pages.  Output goes to ``out_dir/batch=<id>/run_at=<run>``;
+    ``run_at`` must grow from crawl to crawl of a site.
     """
     reader = spark.readStream.schema(FEED_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    pages = reader.parquet(feed_dir)
+    feed = reader.parquet(feed_dir)
+    staged = f"{state_path.rstrip('/')}/crawl"
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        run_diff_job(batch.sparkSession, batch, state_path, f"{out_dir.rstrip('/')}/batch={batch_id}",
-                     run_at_of(batch_id))
-
-    writer = pages.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_dir)
+        session = batch.sparkSession
+        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("batch").parquet(staged)
+        every = session.read.schema(T.StructType([*FEED_SCHEMA.fields, T.StructField("batch", T.IntegerType())])).parquet(staged)
+        ended = every.where((F.col("batch") == batch_id) & F.col("end_of_crawl")).select("start_url", "run_at").distinct()
+        # crawls that end together are usually one run; the distinct run marks of a batch are few
+        for row in ended.select("run_at").distinct().orderBy("run_at").toLocalIterator():
+            sites = ended.where(F.col("run_at") == row.run_at).select("start_url")
+            pages = (every.where((F.col("run_at") == row.run_at) & ~F.coalesce(F.col("end_of_crawl"), F.lit(False)))
+                     .join(sites, "start_url", "left_semi").drop("batch", "run_at", "end_of_crawl"))
+            run_diff_job(session, pages, state_path, f"{out_dir.rstrip('/')}/batch={batch_id}/run_at={row.run_at}", row.run_at, sites)
+
+    writer = feed.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_dir)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
