@@ -9,7 +9,7 @@ each share at least j (the extended prefix).
    with equal sets are one class from here on.  Elements that are frequent
    within a batch are noted; the most frequent ones, a bounded list, come last
    in the order of elements.
-2. Extended prefixes (j = n/20) of all classes meet by element; an element met
+2. Extended prefixes (j = n/5) of all classes meet by element; an element met
    in one class only says nothing and goes.  A class that keeps fewer than j
    elements has no partner.
 3. Index: the remaining elements in order of frequency, again cut to a prefix.
@@ -17,11 +17,15 @@ each share at least j (the extended prefix).
    combination: two linked classes share a rare element, or at least j frequent
    ones, and then two of those stand close together in both lists, so only
    pairs within that distance are keys.
-4. Candidates: classes under one key are compared with the key's first class;
-   then, where a key's classes are still in several components, with its last
-   one; and at last all pairs of different components that were not compared.
-   Nothing is capped: every pair under a key is compared or known connected.
-5. Verification: exact intersection of the whole sets.
+4. Candidates: classes under one key are compared with the key's first class.
+   Where a key's classes are still in several components, all pairs of
+   different components are: pair by pair under keys of few classes, and under
+   larger ones by blocks of classes in order of size, block against block,
+   where only blocks of compatible sizes meet and a block pair gives at most
+   one link per pair of components.  Nothing is capped: every pair under a key
+   is compared or known to be connected.
+5. Verification: exact intersection of the whole sets, as merged lists, or
+   for blocks as a product of their element matrices.
 
 Sets are held as 64-bit hashes of shingles, classes as 64-bit hashes of sets:
 the chance that any two of n differing ones collide is below n**2 / 2**65.
@@ -41,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, join_on, stored
+from .common import discard, join_on, prefix_sum, stored
 from .components import components
 from .shingles import mix, set_key, shingle_sets
 
@@ -50,6 +54,8 @@ RARE = 32
 #: Share of a batch's classes that makes an element locally frequent, and how many such elements are listed (8 bytes each).
 LOCAL_SHARE, LISTED = 0.02, 100_000
 TEXTS = 512
+#: Keys of more classes go by blocks of so many classes.
+FEW, BLOCK = 8, 256
 #: Prefix elements a bucket should hold.
 BUCKET_ENTRIES = 1 << 20
 LAST = np.uint32(0xFFFFFFFF)
@@ -62,7 +68,7 @@ def needed(n):
 
 def spare(n):
     """j: elements by which prefixes are extended."""
-    return np.maximum(1, n // 20)
+    return np.maximum(1, n // 5)
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list, list[np.ndarray]]]:
@@ -97,6 +103,7 @@ def _pack(array) -> bytes:
 
 
 def _by_bucket(bucket: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    bucket = bucket.astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     return order, np.searchsorted(bucket[order], np.arange(count + 1))
 
@@ -129,7 +136,7 @@ def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str
                 kept.append(rest)
                 kept_owner.append(np.full(len(rest), i))
             tokens, owner = np.concatenate(tokens), np.concatenate(owner)
-            order, cut = _by_bucket((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), buckets)
+            order, cut = _by_bucket(((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64), buckets)
             out = {c: [] for c in row}
 
             def emit(bucket, kind, a, b, c, out=out):
@@ -140,7 +147,7 @@ def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str
                 at = order[cut[b]:cut[b + 1]]
                 if len(at):
                     used, local = np.unique(owner[at], return_inverse=True)
-                    emit(b, 0, tokens[at], local.astype(np.uint32), keys[used])
+                    emit(b, 0, tokens[at], local.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32), keys[used])
             order, cut = _by_bucket(keys.astype(np.uint64) % np.uint64(buckets), buckets)
             kept, kept_owner = np.concatenate(kept), np.concatenate(kept_owner).astype(np.int64)
             for b in range(buckets):
@@ -170,7 +177,8 @@ def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str
                 held.setdefault(r["bucket"], []).append((r["a"], r["b"], r["c"]))
         for parts in held.values():
             token = np.concatenate([np.frombuffer(a, np.uint64) for a, _, _ in parts])
-            cls = np.concatenate([np.frombuffer(c, np.int64)[np.frombuffer(b, np.uint32)] for _, b, c in parts])
+            # owners are 2 bytes each where the batch has few classes
+            cls = np.concatenate([np.frombuffer(c, np.int64)[np.frombuffer(b, np.uint16 if 4 * len(b) == len(a) else np.uint32)] for a, b, c in parts])
             order = np.lexsort((cls, token))
             token, cls = token[order], cls[order]
             new = np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]))  # copies of a class in several batches
@@ -268,6 +276,63 @@ def _similar_size():
     return 4 * F.least("n", "m") >= 3 * F.greatest("n", "m")
 
 
+def shared_counts(xs: list[np.ndarray], ys: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all xs with all ys, as a product of element matrices."""
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    common = np.intersect1d(np.concatenate(xs), np.concatenate(ys))
+    sides = []
+    for sets in (xs, ys):
+        element = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(common, element), max(len(common) - 1, 0))
+        hit = common[at] == element if len(common) else np.zeros(len(element), bool)
+        order = np.argsort(at[hit])
+        sides.append((at[hit][order], owner[hit][order]))
+    for begin in range(0, len(common), columns):
+        parts = []
+        for (at, owner), sets in zip(sides, (xs, ys), strict=True):
+            a, b = np.searchsorted(at, [begin, begin + columns])
+            m = np.zeros((len(sets), min(columns, len(common) - begin)), np.float32)
+            m[owner[a:b], at[a:b] - begin] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def block_links(members: DataFrame, known: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between classes of one cluster and different components, from (cluster, cls, n, comp).
+
+    Block against block; of several links that join the same two components one is enough.
+    """
+    ranked = prefix_sum(members, ["cluster"], "n", ["cls"], F.lit(1).cast("long"), "rank")
+    ranked = stored(ranked.withColumn("block", F.expr(f"rank div {block}")), "cluster-members")
+    # at most ``block`` classes a row
+    blocks = ranked.join(known, "cls").groupBy("cluster", "block").agg(F.collect_list(F.struct("cls", "comp", "tokens")).alias("sets"))
+    blocks = stored(blocks, "cluster-blocks")
+    sizes = ranked.groupBy("cluster", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    left = sizes.select("cluster", *[F.col(c).alias(f"{c}_x") for c in ("block", "lo", "hi", "c0", "c1")])
+    right = sizes.select("cluster", *[F.col(c).alias(f"{c}_y") for c in ("block", "lo", "hi", "c0", "c1")])
+    units = left.join(right, "cluster").where("block_x <= block_y and 4 * hi_x >= 3 * lo_y and (c0_x <> c1_x or c0_y <> c1_y or c0_x <> c0_y)") \
+        .select("cluster", "block_x", "block_y")
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                x, y = batch.column("x")[i].as_py(), batch.column("y")[i].as_py()
+                xs, ys = ([np.frombuffer(m["tokens"], np.uint64) for m in side] for side in (x, y))
+                both = shared_counts(xs, ys)
+                total = np.array([len(t) for t in xs])[:, None] + np.array([len(t) for t in ys]) - both
+                cx, cy = (np.array([m["comp"] for m in side], np.int64) for side in (x, y))
+                row, col = np.nonzero((100 * both >= 75 * total) & (cx[:, None] != cy))
+                first = np.unique(np.stack([np.minimum(cx[row], cy[col]), np.maximum(cx[row], cy[col])]), axis=1, return_index=True)[1]
+                yield pa.RecordBatch.from_pydict({"a": pa.array([x[row[k]]["cls"] for k in first], pa.int64()),
+                                                  "b": pa.array([y[col[k]]["cls"] for k in first], pa.int64())})
+
+    pairs = (units.join(blocks.select("cluster", F.col("block").alias("block_x"), F.col("sets").alias("x")), ["cluster", "block_x"])
+             .join(blocks.select("cluster", F.col("block").alias("block_y"), F.col("sets").alias("y")), ["cluster", "block_y"]))
+    return pairs.select("x", "y").repartition(max(8, members.sparkSession.sparkContext.defaultParallelism)).mapInArrow(run, "a long, b long")
+
+
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, comp and ``carry``.
 
@@ -293,23 +358,23 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tested = stored(against(entries, "lo"), "pairs1")
     links = stored(linked(tested, known), "links1")
     comp = stored(components(links), "components1")
-    for step in ("hi", "all"):
-        placed = entries.where("classes > 2").join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        split = placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x <> _y").select("key")
-        apart = stored(placed.join(split, "key", "left_semi"), f"apart-{step}")
-        if apart.isEmpty():
-            break
-        if step == "hi":
-            pairs = against(apart, "hi")
-        else:
-            other = apart.select("key", F.col("cls").alias("cls2"), F.col("n").alias("m"), F.col("comp").alias("comp2"))
-            pairs = (apart.select("key", "cls", "n", "comp").join(other, "key").where("cls > cls2 and comp <> comp2").where(_similar_size())
-                     .select(F.col("cls").alias("a"), F.col("cls2").alias("b")).distinct())
-        fresh = stored(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
-        more = stored(linked(fresh, known), f"links-{step}")
-        tested, links = tested.union(fresh), links.union(more)
+    placed = entries.where("classes > 2").join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    split = placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x <> _y").select("key")
+    apart = stored(placed.join(split, "key", "left_semi"), "apart")
+    if not apart.isEmpty():
+        few, many = apart.where(F.col("classes") <= FEW), apart.where(F.col("classes") > FEW)
+        other = few.select("key", F.col("cls").alias("cls2"), F.col("n").alias("m"), F.col("comp").alias("comp2"))
+        pairs = (few.select("key", "cls", "n", "comp").join(other, "key").where("cls > cls2 and comp <> comp2").where(_similar_size())
+                 .select(F.col("cls").alias("a"), F.col("cls2").alias("b")).distinct())
+        fresh = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs2")
+        more = linked(fresh, known)
+        if not many.isEmpty():
+            cluster = components(many.select(F.col("cls").alias("a"), F.col("lo.cls").alias("b")))
+            members = many.select("cls", "n", "comp").distinct().join(cluster.select(F.col("node").alias("cls"), F.col("comp").alias("cluster")), "cls")
+            more = more.union(block_links(stored(members, "clusters"), known))
+        more = stored(more, "links2")
         if not more.isEmpty():
-            comp = stored(components(links), f"components-{step}")
+            comp = stored(components(links.union(more)), "components2")
     # a component's name is the smallest doc_id of its classes
     placed = classes.select(F.col("cls").alias("node"), "rep").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
