@@ -2,36 +2,59 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import deliver as K
+from tidemark.operators import diff as D
 from tidemark.operators import enrich as N
 
-CHANGE_COLS = "change_type string, chunk_id string, url string, heading_path array<string>, text string, chunk_hash string"
+CHANGE_COLS = "start_url string, change_type string, chunk_id string, url string, heading_path array<string>, text string, chunk_hash string"
+TEA, JAM = "https://tea.example.org/", "https://jam.example.org/"
 
 
-def changes(spark):
-    rows = [(t, cid, f"https://x/{cid}", ["H", "Sub"], "t", "sha256:" + "0" * 64)
-            for t, cid in (("added", "new"), ("modified", "upd"), ("removed", "gone"))]
+def changes(spark, site=TEA):
+    rows = [(site, "added", "shop/oolong", f"{site}oolong", ["Leaves", "Half dark"], "steep four minutes", "sha256:1"),
+            (site, "modified", "shop/green", f"{site}green", ["Leaves"], "eighty degrees", "sha256:2"),
+            (site, "removed", "shop/dust", f"{site}dust", ["Leaves", "Rest"], "sweepings", "sha256:3")]
     return spark.createDataFrame(rows, CHANGE_COLS)
 
 
-def index(spark):
-    meta = "struct<url:string,heading_path:string,chunk_hash:string>"
-    return spark.createDataFrame([("gone", "old", ("u", "p", "h")), ("upd", "stale", ("u", "p", "h"))],
-                                 f"id string, document string, metadata {meta}")
+def index(spark, site=TEA):
+    rows = [(site, i, d, (f"{site}{i}", "Leaves", "sha256:0")) for i, d in (("shop/dust", "sweepings"), ("shop/green", "boil it"), ("shop/black", "three minutes"))]
+    return spark.createDataFrame(rows, "start_url string, id string, document string, metadata struct<url:string,heading_path:string,chunk_hash:string>")
 
 
 def test_apply_changes(spark):
     new = {r.id: r for r in K.apply_changes(index(spark), changes(spark)).collect()}
-    assert set(new) == {"new", "upd"} and new["upd"].document == "t"
-    assert new["new"].metadata.heading_path == "H > Sub"
-    c = K.index_apply_counts(changes(spark)).first()
-    assert (c.upserted, c.deleted) == (2, 1)
-    empty = changes(spark).limit(0)
-    assert K.apply_changes(index(spark), empty).count() == 2
-    c0 = K.index_apply_counts(empty).first()
-    assert (c0.upserted, c0.deleted) == (0, 0)
+    assert {i: r.document for i, r in new.items()} == {"shop/oolong": "steep four minutes", "shop/green": "eighty degrees", "shop/black": "three minutes"}
+    assert new["shop/oolong"].metadata.heading_path == "Leaves > Half dark"
+    assert tuple(K.index_apply_counts(changes(spark)).first()) == (2, 1)
+    none = changes(spark).limit(0)
+    assert K.apply_changes(index(spark), none).count() == 3 and tuple(K.index_apply_counts(none).first()) == (0, 0)
+
+
+def test_two_sites_may_hold_one_id(spark):
+    both = index(spark, TEA).unionByName(index(spark, JAM))
+    rows = K.apply_changes(both, changes(spark, TEA)).collect()
+    assert len(rows) == len({(r.start_url, r.id) for r in rows}) == 6
+    assert {r.id: r.document for r in rows if r.start_url == JAM} == {"shop/dust": "sweepings", "shop/green": "boil it", "shop/black": "three minutes"}
+    with pytest.raises(ValueError, match="several sites"):
+        K.write_to_store(changes(spark, TEA).unionByName(changes(spark, JAM)), lambda: None)
+
+
+def test_index_straight_from_the_runs(spark):
+    cols = "start_url string, page_seq long, chunk_id string, url string, heading_path array<string>, text string, chunk_hash string, order int"
+
+    def run(items):
+        return spark.createDataFrame([(TEA, n, c, TEA + c + v, ["P" + v], t, "h" + t, 0) for n, (c, t, v) in enumerate(items)], cols)
+
+    prev, cur = run([("a", "same", "1"), ("b", "old", "1"), ("c", "gone", "1")]), run([("a", "same", "2"), ("b", "new", "2"), ("d", "fresh", "2")])
+    before = K.index_rows_flat(D.last_wins(prev).withColumn("change_type", F.lit("added")))
+    want = K.apply_changes(before, D.diff_chunks(prev, cur))
+    got = K.index_from_snapshots(prev, cur)
+    flat = lambda df: sorted((r.id, r.document, r.metadata.url, r.metadata.heading_path, r.metadata.chunk_hash) for r in df.collect())
+    assert flat(got) == flat(want) and len(flat(got)) == 3
 
 
 def test_store_sink(spark, tmp_path):
@@ -50,32 +73,31 @@ def test_store_sink(spark, tmp_path):
 
     K.write_to_store(changes(spark).coalesce(1), factory)
     calls = [json.loads(line) for line in open(out)]
-    assert ["upsert", ["new", "upd"], ["H > Sub", "H > Sub"]] in calls and ["delete", ["gone"]] in calls
+    assert calls == [["upsert", ["shop/oolong", "shop/green"], ["Leaves > Half dark", "Leaves"]], ["delete", ["shop/dust"]]]
     K.write_to_store(changes(spark).limit(0), factory)      # empty: no calls
     assert len([json.loads(line) for line in open(out)]) == len(calls)
 
 
 def test_message_and_row_shapes(spark):
-    s = spark.createDataFrame([("https://docs.example.com/", 1, 0, 1)], "start_url string, added long, modified long, removed long")
-    m = K.change_notification(s, "Tracker").first()
-    assert "+1" in m.text and "-1" in m.text and json.loads(m.payload) == {"text": m.text}
-    e = N.embed_changes(changes(spark), lambda ts: [[float(len(t)), 0.0, 1.0] for t in ts])
-    rows = K.index_rows_json_embedding(e).collect()
-    assert len(rows) == 2 and list(rows[0].embedding) == [1.0, 0.0, 1.0]
-    assert json.loads(rows[0].metadata)["heading_path"] == "H > Sub"
-    items = K.index_rows_vector_item(e, "ns").collect()
-    assert len(items) == 2 and items[0].namespace == "ns" and items[0].item.metadata.document == "t"
+    s = spark.createDataFrame([(TEA, 4, 0, 9)], "start_url string, added long, modified long, removed long")
+    m = K.change_notification(s, "Teapot").first()
+    assert m.text.startswith("Teapot") and "+4" in m.text and "-9" in m.text and json.loads(m.payload) == {"text": m.text}
+    e = N.embed_changes(changes(spark), lambda texts: [[float(sum(map(ord, t)) % 97), -1.0] for t in texts])
+    rows = {r.chunk_id: r for r in K.index_rows_json_embedding(e).collect()}
+    assert list(rows["shop/green"].embedding) == [float(sum(map(ord, "eighty degrees")) % 97), -1.0]
+    assert json.loads(rows["shop/oolong"].metadata)["heading_path"] == "Leaves > Half dark" and rows["shop/green"].start_url == TEA
+    items = K.index_rows_vector_item(e, "north").collect()
+    assert {(i.namespace, i.item.metadata.document) for i in items} == {("north", "steep four minutes"), ("north", "eighty degrees")}
 
 
-def test_enrich_skips_removed(spark):
-    def summarizer(rec):
-        assert rec["change_type"] != "removed"
-        return f"summary of {rec['chunk_id']}", ["api"]
+def test_removed_chunks_never_reach_the_summarizer(spark):
+    def shout(rec):
+        assert rec["text"] != "sweepings"
+        return rec["text"].upper(), [rec["heading_path_text"]]
 
-    got = {r.chunk_id: r for r in N.enrich_changes(changes(spark), summarizer).collect()}
-    assert set(got) == {"new", "upd", "gone"}
-    assert got["gone"].summary == "Removed: H > Sub" and list(got["gone"].tags) == ["removed"]
-    assert got["new"].summary == "summary of new" and list(got["new"].tags) == ["api"]
+    got = {r.chunk_id: (r.summary, list(r.tags)) for r in N.enrich_changes(changes(spark), shout).collect()}
+    assert got == {"shop/oolong": ("STEEP FOUR MINUTES", ["Leaves > Half dark"]), "shop/green": ("EIGHTY DEGREES", ["Leaves"]),
+                   "shop/dust": ("Removed: Leaves > Rest", ["removed"])}
 
 
 def test_parse_both_response_forms(spark):
@@ -93,12 +115,12 @@ def test_parse_both_response_forms(spark):
 
 
 def test_requests(spark):
-    r = json.loads(N.enrich_requests_chat(changes(spark), "m").first().request)
+    r = json.loads(N.enrich_requests_chat(changes(spark), "m", "Be brief.").first().request)
     assert r["temperature"] == 0 and r["response_format"] == {"type": "json_object"}
-    assert r["messages"][1]["content"].startswith("[added] H > Sub\n\nt")
-    r2 = json.loads(N.enrich_requests_messages(changes(spark), "m").first().request)
-    assert r2["max_tokens"] == 200 and r2["system"] and r2["messages"][0]["role"] == "user"
-    assert N.enrich_requests_chat(changes(spark), "m").where(F.col("change_type") == "removed").count() == 0
+    assert r["messages"][1]["content"].startswith("[added] Leaves > Half dark\n\nsteep")
+    r2 = json.loads(N.enrich_requests_messages(changes(spark), "m", "Be brief.").first().request)
+    assert r2["max_tokens"] == 200 and r2["system"] == "Be brief." and r2["messages"][0]["role"] == "user"
+    assert N.enrich_requests_chat(changes(spark), "m", "Be brief.").where(F.col("change_type") == "removed").count() == 0
 
 
 def test_summarizer_factory(spark):
@@ -107,4 +129,4 @@ def test_summarizer_factory(spark):
         return lambda rec: (f"{prefix}: {rec['chunk_id']}", [rec["change_type"]])
 
     got = {r.chunk_id: r.summary for r in N.enrich_changes(changes(spark), summarizer_factory=factory).collect()}
-    assert got["new"] == "made on executor: new" and got["gone"].startswith("Removed:")
+    assert got["shop/green"] == "made on executor: shop/green" and got["shop/dust"].startswith("Removed:")

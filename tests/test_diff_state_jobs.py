@@ -1,5 +1,6 @@
-"""Golden diff, first run, duplicates, state round trip, two-version site, jobs end to end."""
+"""Changes between two days, first run, duplicates, state round trip, a shop over three runs, jobs end to end."""
 
+import hashlib
 import os
 import tempfile
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import CHUNK, ContractError, assert_schema, contract_violations
 from tidemark.operators import diff as D
+from tidemark.operators import order as O
 from tidemark.plans.jobs import run_diff_job
 from tidemark.sources import state as S
 
@@ -15,49 +17,60 @@ COLS = "start_url string, page_seq long, chunk_id string, url string, heading_pa
        "token_estimate int, chunk_hash string, order int"
 
 
-def chunks(spark, items, site="https://x/"):
-    rows = [(site, i, cid, f"https://x/{cid}", ["D"], f"text {h}", 2, f"sha256:{h * 64}"[:71], 0)
-            for i, (cid, h) in enumerate(items)]
+def chunks(spark, items, site="https://boats.example.org/"):
+    """One chunk per (name, text): rows in crawl order, hashes of the texts."""
+    rows = [(site, n, f"boats.example.org/{name}", site + name, ["Fleet", name], text, len(text.split()),
+             "sha256:" + hashlib.sha256(text.encode()).hexdigest(), 0) for n, (name, text) in enumerate(items)]
     return spark.createDataFrame(rows, COLS)
 
 
-def test_golden_diff(spark):
-    prev = chunks(spark, [("a", "1"), ("b", "2"), ("c", "3")])
-    cur = chunks(spark, [("a", "1"), ("b", "9"), ("d", "4")])
-    got = {r.chunk_id: r for r in D.diff_chunks(prev, cur).collect()}
-    assert {k: v.change_type for k, v in got.items()} == {"b": "modified", "c": "removed", "d": "added"}
-    assert got["c"].text == "text 3"                       # removed rows carry previous values
-    summ = D.change_summary(D.diff_chunks(prev, cur), spark.createDataFrame([("https://x/",)], "start_url string"))
-    r = summ.first()
-    assert (r.added, r.modified, r.removed) == (1, 1, 1)
+MONDAY = [("ketch", "two masts"), ("sloop", "one mast"), ("raft", "no mast"), ("punt", "flat and slow")]
+TUESDAY = [("sloop", "one tall mast"), ("ketch", "two masts"), ("yawl", "two masts, small mizzen"), ("punt", "flat and slow")]
+
+
+def test_changes_between_two_days(spark):
+    prev, cur = chunks(spark, MONDAY), chunks(spark, TUESDAY)
+    got = {r.chunk_id.split("/")[1]: (r.change_type, r.text) for r in D.diff_chunks(prev, cur).collect()}
+    assert got == {"sloop": ("modified", "one tall mast"), "yawl": ("added", "two masts, small mizzen"), "raft": ("removed", "no mast")}
+    sites = spark.createDataFrame([("https://boats.example.org/",), ("https://idle.example.org/",)], "start_url string")
+    summary = {r.start_url: (r.added, r.modified, r.removed) for r in D.change_summary(D.diff_chunks(prev, cur), sites).collect()}
+    assert summary == {"https://boats.example.org/": (1, 1, 1), "https://idle.example.org/": (0, 0, 0)}
+
+
+def test_change_order(spark):
+    rows = O.diff_ordered(D.diff_chunks(chunks(spark, MONDAY), chunks(spark, TUESDAY))).orderBy("seq").collect()
+    assert [(r.seq, r.chunk_id.split("/")[1]) for r in rows] == [(1, "sloop"), (2, "yawl"), (3, "raft")]
 
 
 def test_first_run_and_unchanged_rerun(spark):
-    cur = chunks(spark, [("a", "1"), ("b", "2")])
-    first = D.diff_chunks(None, cur).collect()
-    assert sorted(r.change_type for r in first) == ["added", "added"]
+    cur = chunks(spark, TUESDAY)
+    assert [r.change_type for r in D.diff_chunks(None, cur).collect()] == ["added"] * 4
     assert D.diff_chunks(cur, cur).count() == 0
 
 
 def test_last_row_wins_first_position(spark):
-    cur = chunks(spark, [("a", "1"), ("b", "2"), ("a", "7")])
-    lw = {r.chunk_id: r for r in D.last_wins(cur).collect()}
-    assert lw["a"].chunk_hash.startswith("sha256:7") and lw["a"].pos_seq == 0
+    cur = chunks(spark, [("sloop", "old"), ("raft", "logs"), ("sloop", "new")])
+    lw = {r.chunk_id.split("/")[1]: (r.text, r.pos_seq) for r in D.last_wins(cur).collect()}
+    assert lw == {"sloop": ("new", 0), "raft": ("logs", 1)}
+
+
+def test_null_urls_and_paths_are_not_lost(spark):
+    cur = chunks(spark, MONDAY).withColumns({"url": F.lit(None).cast("string"), "heading_path": F.lit(None).cast("array<string>")})
+    assert D.diff_snapshots(None, cur).count() == 4
 
 
 def test_two_sites_with_equal_ids_are_separate(spark):
-    prev = chunks(spark, [("a", "1")], "https://one/").unionByName(chunks(spark, [("a", "1")], "https://two/"))
-    cur = chunks(spark, [("a", "1")], "https://one/").unionByName(chunks(spark, [("a", "5")], "https://two/"))
+    prev = chunks(spark, [("oar", "ash")], "https://one/").unionByName(chunks(spark, [("oar", "ash")], "https://two/"))
+    cur = chunks(spark, [("oar", "ash")], "https://one/").unionByName(chunks(spark, [("oar", "pine")], "https://two/"))
     got = D.diff_chunks(prev, cur).collect()
     assert [(r.start_url, r.change_type) for r in got] == [("https://two/", "modified")]
 
 
 def test_audit_and_set_diff(spark):
-    prev = chunks(spark, [("a", "1"), ("b", "2"), ("c", "3")])
-    cur = chunks(spark, [("a", "1"), ("b", "9"), ("d", "4")])
+    prev, cur = chunks(spark, MONDAY), chunks(spark, TUESDAY)
     assert D.change_audit(D.diff_chunks(prev, cur), prev, cur).count() == 0
-    sides = {(r.chunk_id, r.side) for r in D.run_id_set_diff(prev, cur).collect()}
-    assert sides == {("d", "only_current"), ("c", "only_previous"), ("b", "hash_changed")}
+    sides = {(r.chunk_id.split("/")[1], r.side) for r in D.run_id_set_diff(prev, cur).collect()}
+    assert sides == {("yawl", "only_current"), ("raft", "only_previous"), ("sloop", "hash_changed")}
 
 
 def test_contract(spark):
@@ -78,59 +91,72 @@ def test_state_round_trip(spark):
     S.append_snapshot(c.limit(1), path, "2026-01-02T00:00:00Z")
     snaps = S.read_snapshots(spark, path)
     latest = S.load_latest(snaps).collect()
-    assert {r.chunk_id for r in latest} == {"a"} and latest[0].prev_run_at == "2026-01-02T00:00:00Z"
+    assert {r.chunk_id.split("/")[1] for r in latest} == {"a"} and latest[0].prev_run_at == "2026-01-02T00:00:00Z"
     before = S.load_latest(snaps, before="2026-01-02T00:00:00Z").collect()
-    assert {r.chunk_id for r in before} == {"a", "b"}
+    assert {r.chunk_id.split("/")[1] for r in before} == {"a", "b"}
     other = S.load_latest(snaps.where(F.col("start_url") == "https://unknown/")).count()
     assert other == 0
     key = spark.createDataFrame([("https://x/",)], "u string").select(S.state_key("u")).first()[0]
     assert len(key) == 16
 
 
-SITE_V1 = {
-    "/": "<html><body><nav><a href='/guide'>g</a><a href='/api'>a</a></nav><main><h1>Home</h1><p>Hi.</p></main></body></html>",
-    "/guide": "<html><body><main><h1>Guide</h1><p>Original paragraph.</p><h2>Part</h2><p>More.</p></main></body></html>",
-    "/api": "<html><body><main><h1>API</h1><p>Endpoints.</p></main></body></html>",
+SHOP = "https://kites.example.org/"
+SPRING = {
+    "/": "<html><body><header>Kite shop</header><main><h1>Kites</h1><p>Open daily.</p></main></body></html>",
+    "/delta": "<html><body><main><h1>Delta</h1><p>Flies in light wind.</p><h2>Line</h2><p>Sixty metres.</p></main></body></html>",
+    "/box": "<html><body><main><h1>Box</h1><p>Needs a breeze.</p></main></body></html>",
 }
-SITE_V2 = {
-    "/": "<html><body><nav><a href='/guide'>g</a><a href='/faq'>f</a></nav><main><h1>Home</h1><p>Hi.</p></main></body></html>",
-    "/guide": "<html><body><main><h1>Guide</h1><p>Rewritten paragraph.</p><h2>Part</h2><p>More.</p></main></body></html>",
-    "/faq": "<html><body><main><h1>FAQ</h1><p>Questions.</p></main></body></html>",
+SUMMER = {
+    "/": "<html><body><header>Kite shop, summer</header><main><h1>Kites</h1>\n<p>Open   daily.</p></main></body></html>",
+    "/delta": "<html><body><main><h1>Delta</h1><p>Flies in light wind.</p><h2>Line</h2><p>Eighty metres.</p></main></body></html>",
+    "/sled": "<html><body><main><h1>Sled</h1><p>For children.</p></main></body></html>",
 }
 
 
-def _raw(spark, site):
-    rows = [("https://docs.example.com/", i, "https://docs.example.com" + p, html, 200, "2026-01-01T00:00:00Z", 0)
-            for i, (p, html) in enumerate(site.items())]
+def _raw(spark, site, home=SHOP):
+    rows = [(home, i, home[:-1] + p, html, 200, "2026-03-01T00:00:00Z", 0) for i, (p, html) in enumerate(site.items())]
     return spark.createDataFrame(rows, "start_url string, page_seq long, url string, raw_html string, status int, "
                                        "fetched_at string, depth int")
 
 
-def test_two_version_site_end_to_end(spark):
+def test_a_shop_over_three_runs(spark):
     root = tempfile.mkdtemp(prefix="tidemark-job-")
     state = os.path.join(root, "state")
-    h1 = run_diff_job(spark, _raw(spark, SITE_V1), state, os.path.join(root, "r1"), "2026-01-01T00:00:00Z").first()
-    assert h1.prev_run_at is None and h1.summary.added == 4 and h1.summary.removed == 0
-    h2 = run_diff_job(spark, _raw(spark, SITE_V2), state, os.path.join(root, "r2"), "2026-01-08T00:00:00Z").first()
-    assert h2.prev_run_at == "2026-01-01T00:00:00Z"
+    h1 = run_diff_job(spark, _raw(spark, SPRING), state, os.path.join(root, "r1"), "2026-03-01").first()
+    assert h1.prev_run_at is None and (h1.summary.added, h1.summary.removed) == (4, 0)
+    h2 = run_diff_job(spark, _raw(spark, SUMMER), state, os.path.join(root, "r2"), "2026-06-01").first()
+    assert h2.prev_run_at == "2026-03-01"                       # run marks stay text, whatever they look like
     ch = {r.chunk_id: r.change_type for r in spark.read.json(os.path.join(root, "r2", "changeset_changes")).collect()}
-    assert ch == {"docs.example.com/faq#faq": "added", "docs.example.com/api#api": "removed",
-                  "docs.example.com/guide#guide": "modified"}
+    assert ch == {"kites.example.org/sled#sled": "added", "kites.example.org/box#box": "removed",
+                  "kites.example.org/delta#delta.line": "modified"}
     assert (h2.summary.added, h2.summary.modified, h2.summary.removed) == (1, 1, 1)
-    # the same version again: nothing changed, previous run is the second one
-    h3 = run_diff_job(spark, _raw(spark, SITE_V2), state, os.path.join(root, "r3"), "2026-01-15T00:00:00Z").first()
-    assert (h3.summary.added, h3.summary.modified, h3.summary.removed) == (0, 0, 0)
-    assert h3.prev_run_at == "2026-01-08T00:00:00Z"
+    h3 = run_diff_job(spark, _raw(spark, SUMMER), state, os.path.join(root, "r3"), "2026-09-01").first()
+    assert (h3.summary.added, h3.summary.modified, h3.summary.removed, h3.prev_run_at) == (0, 0, 0, "2026-06-01")
     # a retried run replaces its own state partition
-    run_diff_job(spark, _raw(spark, SITE_V2), state, os.path.join(root, "r3b"), "2026-01-15T00:00:00Z")
-    assert spark.read.parquet(os.path.join(state, "chunks")).where("run_at = '2026-01-15T00:00:00Z'").count() == 4
+    run_diff_job(spark, _raw(spark, SUMMER), state, os.path.join(root, "r3b"), "2026-09-01")
+    assert spark.read.schema(S.CHUNKS_SCHEMA).parquet(os.path.join(state, "chunks")).where("run_at = '2026-09-01'").count() == 4
     idx = _site_text(os.path.join(root, "r2", "site_index_txt"))
-    assert idx.startswith("# docs.example.com\n\n> ") and idx.endswith(
-        "## Pages\n- [Home](https://docs.example.com/)\n- [FAQ](https://docs.example.com/faq)\n"
-        "- [Guide](https://docs.example.com/guide)\n")
+    assert idx.startswith("# kites.example.org\n\n> ") and idx.endswith(
+        "## Pages\n- [Kites](https://kites.example.org/)\n- [Delta](https://kites.example.org/delta)\n"
+        "- [Sled](https://kites.example.org/sled)\n")
     full = _site_text(os.path.join(root, "r2", "site_full_txt"))
-    assert full.startswith("# Home\n<https://docs.example.com/>\n\n# Home\n\nHi.\n\n---\n\n# FAQ")
-    assert full.count("\n---\n\n") == 2 and full.endswith("More.\n\n")
+    assert full.startswith("# Kites\n<https://kites.example.org/>\n\n# Kites\n\nOpen daily.\n\n---\n\n# Delta")
+    assert full.count("\n---\n\n") == 2 and full.endswith("For children.\n\n")
+
+
+def test_a_run_touches_its_own_sites_only(spark):
+    root = tempfile.mkdtemp(prefix="tidemark-scope-")
+    state, other = os.path.join(root, "state"), "https://lamps.example.org/"
+    both = _raw(spark, SPRING).unionByName(_raw(spark, {"/": "<main><h1>Lamps</h1><p>Oil.</p></main>"}, other))
+    run_diff_job(spark, both, state, os.path.join(root, "r1"), "0001")
+    header = run_diff_job(spark, _raw(spark, SUMMER), state, os.path.join(root, "r2"), "0002").collect()
+    assert [(r.start_url, r.prev_run_at, r.summary.removed) for r in header] == [(SHOP, "0001", 1)]
+    changes = spark.read.json(os.path.join(root, "r2", "changeset_changes")).collect()
+    assert {r.start_url for r in changes} == {SHOP}
+    # a listed site without pages gives removals, against its own latest run
+    sites = spark.createDataFrame([(other,)], "start_url string")
+    gone = run_diff_job(spark, _raw(spark, SPRING, other).limit(0), state, os.path.join(root, "r3"), "0003", sites).collect()
+    assert [(r.start_url, r.prev_run_at, r.summary.removed) for r in gone] == [(other, "0001", 1)]
 
 
 def _site_text(folder):
@@ -162,9 +188,9 @@ def test_narrow_snapshot_diff_equals_full_diff(spark, tmp_path):
 def test_existing_but_empty_state(spark):
     root = tempfile.mkdtemp(prefix="tidemark-empty-")
     state = os.path.join(root, "state")
-    dead = {p: "<html><body></body></html>" for p in SITE_V1}
+    dead = {p: "<html><body></body></html>" for p in SPRING}
     raw_dead = _raw(spark, dead).withColumn("status", F.lit(404))
     h1 = run_diff_job(spark, raw_dead, state, os.path.join(root, "r1"), "2026-01-01T00:00:00Z").first()
     assert (h1.summary.added, h1.prev_run_at) == (0, None)
-    h2 = run_diff_job(spark, _raw(spark, SITE_V1), state, os.path.join(root, "r2"), "2026-01-08T00:00:00Z").first()
+    h2 = run_diff_job(spark, _raw(spark, SPRING), state, os.path.join(root, "r2"), "2026-01-08T00:00:00Z").first()
     assert h2.summary.added == 4 and h2.prev_run_at == "2026-01-01T00:00:00Z"

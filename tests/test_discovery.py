@@ -1,8 +1,9 @@
-"""Robots, URL resolution, globs, sitemaps, fetch log and the crawl fixture."""
+"""Robots, URL resolution, globs, sitemaps, fetch log links and a small crawl."""
 
 import random
 import urllib.robotparser
-from fnmatch import fnmatch
+from fnmatch import fnmatchcase
+from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin
 
 from pyspark.sql import functions as F
@@ -67,23 +68,41 @@ def test_resolve_against_urljoin(spark):
 
 
 def test_globs_against_fnmatch(spark):
-    globs = ["/docs/*", "*.html", "/a?c", "/[ab]*", "/[!x]*", "*", "/blog/*/2024*"]
-    paths = ["/docs/x", "/docs", "/x.html", "/abc", "/a/c", "/bz", "/xz", "/blog/a/2024-01", "/", "/Docs/x"]
-    rows = [(p, [g]) for p in paths for g in globs]
-    df = spark.createDataFrame(rows, "p string, g array<string>")
-    got = df.select("p", "g", X.glob_ok(F.col("p"), F.col("g"), F.lit(None).cast("array<string>")).alias("inc"),
-                    X.glob_ok(F.col("p"), F.lit(None).cast("array<string>"), F.col("g")).alias("exc")).collect()
+    globs = ["/docs/*", "*.html", "/a?c", "/[ab]*", "/[!x]*", "*", "/blog/*/2024*", "/a[*]b", "/a[?]b", "/a[b", "/x[&&]y", "/[]a]", "/[!]a]",
+             "/[b-a]", "/[a-c-e]", "/[^a]", "/a\\b", "/(a|b)", "/[[]", "/[a", "[", "/a.b", "/{a}", "/[a-]"]
+    paths = ["/docs/x", "/docs", "/x.html", "/abc", "/a/c", "/bz", "/xz", "/blog/a/2024-01", "/", "/Docs/x", "/a.b", "/a*b", "/a?b", "/a[b",
+             "/x&y", "/]", "/a", "/b", "/-", "/^", "/a\\b", "/(a|b)", "/[", "[", "/{a}", "/axb"]
+    rnd = random.Random(3)
+    globs += ["".join(rnd.choice("/ab*?[]!-^&.") for _ in range(rnd.randint(1, 7))) for _ in range(150)]
+    paths += ["".join(rnd.choice("/ab-^&.!]") for _ in range(rnd.randint(0, 5))) for _ in range(60)]
+    sites = spark.createDataFrame([(g, [g], [g]) for g in sorted(set(globs))], "g string, include array<string>, exclude array<string>")
+    df = X.site_globs(sites).crossJoin(spark.createDataFrame([(x,) for x in sorted(set(paths))], "p string"))
+    none = F.lit(None).cast("array<string>")
+    got = df.select("p", "g", X.glob_ok(F.col("p"), F.col("include"), none).alias("inc"), X.glob_ok(F.col("p"), none, F.col("exclude")).alias("exc")).collect()
     for r in got:
-        assert r.inc == fnmatch(r.p, r.g[0]) and r.exc == (not fnmatch(r.p, r.g[0])), (r.p, r.g)
-
-
-def test_sitemap_and_fetch_log(spark):
-    xml = ('<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
-           '<url><loc> https://d.example.com/ </loc></url><url><loc>https://d.example.com/a?x=1&amp;y=2</loc></url>'
-           '<url><image:loc>https://d.example.com/i.png</image:loc></url><url><loc></loc></url></urlset>')
-    sm = SD.sitemap_urls(spark.createDataFrame([("d.example.com", xml)], "host string, xml string")).collect()
-    assert [r.url for r in sm] == ["https://d.example.com/", "https://d.example.com/a?x=1&y=2",
-                                   "https://d.example.com/i.png"]
+        assert r.inc == fnmatchcase(r.p, r.g) and r.exc == (not fnmatchcase(r.p, r.g)), (r.p, r.g)
+
+
+def test_sitemaps(spark):
+    head = '<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" xmlns:v="http://example.org/v">'
+    docs = [("plain.example.net", head + "<url><loc> https://plain.example.net/ </loc></url><url><v:loc>https://plain.example.net/v</v:loc></url><url><loc></loc></url></urlset>"),
+            ("refs.example.net", head + "<url><loc>https://refs.example.net/a?x=1&amp;y=&#50;</loc></url></urlset>"),
+            ("cdata.example.net", head + "<url><loc><![CDATA[https://cdata.example.net/?a&b]]></loc></url><!-- <loc>https://cdata.example.net/no</loc> --></urlset>"),
+            ("broken.example.net", head + "<url><loc>https://broken.example.net/</loc></url>"),
+            ("empty.example.net", ""), ("null.example.net", None),
+            ("many.example.net", head + "".join(f"<url><loc>https://many.example.net/{i}</loc></url>" for i in range(150)) + "</urlset>")]
+    rows = SD.sitemap_urls(spark.createDataFrame(docs, "host string, xml string")).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.host, r.pos)):
+        got.setdefault(r.host, []).append(r.url)
+    assert got["plain.example.net"] == ["https://plain.example.net/", "https://plain.example.net/v"]
+    assert got["refs.example.net"] == ["https://refs.example.net/a?x=1&y=2"]
+    assert got["cdata.example.net"] == ["https://cdata.example.net/?a&b"]
+    assert set(got) == {"plain.example.net", "refs.example.net", "cdata.example.net", "many.example.net"}
+    assert got["many.example.net"] == [f"https://many.example.net/{i}" for i in range(150)]
+
+
+def test_fetch_log(spark):
     log = spark.createDataFrame([("u1", 1, 503), ("u1", 2, 200), ("u2", 1, None), ("u2", 2, 500), ("u2", 3, 502),
                                  ("u3", 1, 500), ("u3", 2, None), ("u3", 3, None), ("u4", 1, 404)],
                                 "url string, attempt int, status int")
@@ -91,58 +110,60 @@ def test_sitemap_and_fetch_log(spark):
     assert got == {"u1": (200, 2), "u2": (502, 3), "u4": (404, 1)}
 
 
-H = "https://docs.example.com"
-
-
-def _crawl_fixture(spark, max_pages=100, exclude=None, robots=True, respect=True):
-    responses = spark.createDataFrame(
-        [(H + "/", 200), (H + "/docs/a", 200), (H + "/docs/b", 200), (H + "/docs/c", 200), (H + "/docs/secret", 200)],
-        "url string, status int")
-    links = spark.createDataFrame(
-        [(H + "/", 0, H + "/docs/a"), (H + "/", 1, H + "/docs/b"), (H + "/", 2, H + "/docs/secret"),
-         (H + "/docs/a", 0, H + "/docs/c")], "src_url string, pos int, dst_url string")
-    sites = spark.createDataFrame([(H + "/", max_pages, None, exclude, respect)],
-                                  "start_url string, max_pages int, include array<string>, exclude array<string>, "
-                                  "respect_robots boolean")
-    rules = SD.robots_rules(spark.createDataFrame([("docs.example.com", "User-agent: *\nDisallow: /docs/secret\n")],
-                                                  "host string, text string"), AGENT) if robots else None
-    sm = SD.sitemap_urls(spark.createDataFrame(
-        [("docs.example.com", f"<urlset><url><loc>{H}/</loc></url><url><loc>{H}/docs/a</loc></url>"
-                              f"<url><loc>{H}/docs/b</loc></url></urlset>")], "host string, xml string"))
-    return {r.url: r for r in X.site_bfs(responses, links, sites, rules, sm).collect()}
-
-
-def test_crawl_fixture(spark):
-    got = _crawl_fixture(spark)
-    assert set(got) == {H + "/", H + "/docs/a", H + "/docs/b", H + "/docs/c"}
-    assert {u: r.depth for u, r in got.items()} == {H + "/": 0, H + "/docs/a": 1, H + "/docs/b": 1, H + "/docs/c": 2}
-    assert len(_crawl_fixture(spark, max_pages=2)) == 2
-    ex = _crawl_fixture(spark, exclude=["/docs/b"])
-    assert H + "/docs/b" not in ex and H + "/" in ex
-    assert H + "/docs/secret" in _crawl_fixture(spark, robots=False)
-    assert H + "/docs/secret" in _crawl_fixture(spark, respect=False)
-
-
-def test_crawl_fixture_additions(spark):
-    """Sitemap-only orphan at depth 0; orphans still added after a 404; start URL exempt from an
-    include glob; 404 responses count toward the cap."""
-    responses = spark.createDataFrame(
-        [(H + "/", 200), (H + "/docs/a", 200), (H + "/docs/gone", 404), (H + "/orphan", 200)],
-        "url string, status int")
-    links = spark.createDataFrame([(H + "/", 0, H + "/docs/a"), (H + "/", 1, H + "/docs/gone")],
+G = "https://garden.example.org"
+
+
+def _garden(spark, max_pages=None, include=None, exclude=None, respect=True):
+    """A seed shop: beds and tools linked from home, a shed behind robots, a page only the sitemap knows, a dead link."""
+    responses = spark.createDataFrame([(G + p, c) for p, c in (("/", 200), ("/beds", 200), ("/tools", 200), ("/beds/peas", 200),
+                                                               ("/shed", 200), ("/lost", 200), ("/dead", 404))], "url string, status int")
+    links = spark.createDataFrame([(G + "/", 0, G + "/tools"), (G + "/", 1, G + "/dead"), (G + "/", 2, G + "/beds"), (G + "/", 3, G + "/shed"),
+                                   (G + "/beds", 0, G + "/beds/peas"), (G + "/beds", 1, G + "/"), (G + "/tools", 0, "https://else.example.org/")],
                                   "src_url string, pos int, dst_url string")
-    sm = SD.sitemap_urls(spark.createDataFrame(
-        [("docs.example.com", f"<urlset><url><loc>{H}/orphan</loc></url></urlset>")], "host string, xml string"))
-
-    def walk(max_pages=100, include=None):
-        sites = spark.createDataFrame([(H + "/", max_pages, include, None)],
-                                      "start_url string, max_pages int, include array<string>, exclude array<string>")
-        return {r.url: r for r in X.site_bfs(responses, links, sites, None, sm).collect()}
-
-    got = walk()
-    assert got[H + "/orphan"].depth == 0 and got[H + "/orphan"].seq == 4
-    assert got[H + "/docs/gone"].status == 404
-    capped = walk(max_pages=3)
-    assert set(capped) == {H + "/", H + "/docs/a", H + "/docs/gone"}      # the 404 used a slot
-    inc = walk(include=["/docs/*"])
-    assert H + "/" in inc and H + "/docs/a" in inc and H + "/orphan" not in inc
+    sites = spark.createDataFrame([(G + "/", max_pages, include, exclude, respect)],
+                                  "start_url string, max_pages int, include array<string>, exclude array<string>, respect_robots boolean")
+    rules = SD.robots_rules(spark.createDataFrame([("garden.example.org", "User-agent: *\nDisallow: /shed\n")], "host string, text string"), AGENT)
+    listed = "".join(f"<url><loc>{G}{p}</loc></url>" for p in ("/tools", "/lost"))
+    sm = SD.sitemap_urls(spark.createDataFrame([("garden.example.org", f"<urlset>{listed}</urlset>")], "host string, xml string"))
+    return {r.url.removeprefix(G): (r.depth, r.seq, r.status) for r in X.site_bfs(responses, links, sites, rules, sm).collect()}
+
+
+def test_garden_walk(spark):
+    whole = {"/": (0, 1, 200), "/tools": (1, 2, 200), "/dead": (1, 3, 404), "/beds": (1, 4, 200), "/beds/peas": (2, 5, 200), "/lost": (0, 6, 200)}
+    assert _garden(spark) == whole
+    assert _garden(spark, max_pages=3) == {u: r for u, r in whole.items() if r[1] <= 3}
+    assert _garden(spark, exclude=["/beds*"]) == {"/": (0, 1, 200), "/tools": (1, 2, 200), "/dead": (1, 3, 404), "/lost": (0, 4, 200)}
+    assert _garden(spark, include=["/t*"]) == {"/": (0, 1, 200), "/tools": (1, 2, 200)}
+    assert "/shed" in _garden(spark, respect=False)
+
+
+def test_links_against_a_parser(spark):
+    class Anchors(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found = []
+
+        def handle_starttag(self, tag, attrs):
+            href = dict(reversed(attrs)).get("href")
+            if tag == "a" and href:
+                self.found.append(href)
+
+    rnd = random.Random(9)
+    values = ["/a", "/b?x=1&amp;y=2", "t href=/no", "a > b", "/q&#38;z", "it's", "/&eacute;", "/x y"]
+
+    def attribute():
+        name, v = rnd.choice(["href", "title", "data-href", "HREF", "class", "hreflang"]), rnd.choice(values)
+        bare = all(c not in v for c in " >'")
+        return rnd.choice([f'{name}="{v}"', f"{name} = '{v}'" if "'" not in v else f'{name}="{v}"', f"{name}={v}" if bare else f'{name}="{v}"', "hidden"])
+
+    pages = []
+    for i in range(200):
+        tags = [f"<{rnd.choice(['a', 'A', 'abbr', 'a', 'p'])} {' '.join(attribute() for _ in range(rnd.randint(0, 3)))}>text" for _ in range(rnd.randint(0, 5))]
+        pages.append((f"https://h.example.org/{i}", "".join(tags) + "<!-- <a href='/c'> -->"))
+    got = {}
+    for r in X.page_links(spark.createDataFrame(pages, "url string, html string")).orderBy("src_url", "pos").collect():
+        got.setdefault(r.src_url, []).append(r.href)
+    for url, text in pages:
+        parser = Anchors()
+        parser.feed(text)
+        assert got.get(url, []) == parser.found, text

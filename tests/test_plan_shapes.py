@@ -29,14 +29,26 @@ def test_scan_reads_only_needed_columns(spark):
     assert "l_extendedprice" not in led and "PushedFilters: [IsNotNull(l_discount), LessThan(l_discount,0.1)]" in led
 
 
-def test_walk_cap_is_a_top_k_before_the_shuffle(spark):
-    sites = I.crawl_sites(spark, SF_SMALL)
+def test_walk_has_one_numbering_at_any_cap(spark):
+    """Numbering goes by range partitions whatever the cap is, never by a window over a whole site."""
+    store = X._LevelStore(spark)
+    sites = store.put(X.site_globs(I.crawl_sites(spark, SF_SMALL)).withColumn("respect_robots", F.lit(True)), "sites")
     front = I.crawl_pages(spark, SF_SMALL).select("start_url", "url", F.lit(1).alias("depth"),
-                                                  F.struct(F.col("page_id").alias("seq"), F.lit(0).alias("pos"))
-                                                  .alias("rank"))
-    counts = sites.select("start_url", F.lit(0).cast("long").alias("n"))
-    p = plan(X._fetch_level(front, I.crawl_responses(spark, SF_SMALL), sites, None, counts, 100))
-    assert "WindowGroupLimit" in p and "Partial" in p
+                                                  F.struct(F.col("page_id").alias("seq"), F.lit(0).alias("pos")).alias("rank"))
+    for cap in (5, None):
+        counts = sites.select("start_url", F.lit(cap).cast("long").alias("max_pages"), F.lit(0).cast("long").alias("n"))
+        p = plan(X._fetch_level(front, I.crawl_responses(spark, SF_SMALL), sites, None, counts, store))
+        assert "WindowGroupLimit" not in p and "_pid" in p
+
+
+def test_set_diff_reads_each_run_once(spark):
+    p = plan(D.run_id_set_diff(I.ledger_chunks(spark, SF_SMALL, "prev"), I.ledger_chunks(spark, SF_SMALL, "cur")))
+    assert p.count("FileScan") == 2 and p.count("Exchange hashpartitioning") == 2
+
+
+def test_nothing_is_spread_unasked(spark):
+    assert "Exchange" not in plan(E.extract_pages(I.raw_pages(spark, SF_SMALL, "cur")))
+    assert "Exchange" in plan(E.extract_pages(I.raw_pages(spark, SF_SMALL, "cur"), partitions=4))
 
 
 def test_site_aggregates_combine_map_side(spark):

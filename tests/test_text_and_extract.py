@@ -12,6 +12,9 @@ from tidemark.operators.extract import extract_pages, pipeline_pages
 WHITESPACE = [c for c in map(chr, range(0x3001)) if c.isspace()]
 
 
+from tidemark.functions import html as H  # noqa: E402
+
+
 def py_normalize(s: str) -> str:
     """The normalization rules stated directly in Python."""
     s = s.replace("\r\n", "\n").replace("\r", "\n")
@@ -147,3 +150,36 @@ def test_python_extractor_hook(spark):
     assert p.markdown == "# From hook\n\nbody text" and p.title == "From hook"
     empty = extract_pages(_raw(spark, "<html><body><p>x</p></body></html>"), extractor=lambda h: None).first()
     assert empty.markdown == "x"          # hook found nothing: whole-document fallback
+
+
+def _markdown(spark, pages):
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(pages)], "i int, h string")
+    return [r.m for r in df.select("i", H.page_markdown("h").alias("m")).orderBy("i").collect()]
+
+
+def test_no_part_of_the_content_is_lost(spark):
+    got = _markdown(spark, [
+        "<main><article>one</article><article>two</article>tail</main>",
+        "<body>x<article>first</article><p>between</p><article>last</article>y</body>",
+        "<article>outer <article>inner</article> rest</article>",
+        "<body><header><header>in</header> furniture</header><p>kept</p><nav>a<nav>b</nav>c</nav></body>",
+        "<main><pre>for x in y:\n    go(x)\n\ndone()</pre><p>prose\nstays one line</p></main>"])
+    assert got == ["one\n\ntwo\n\ntail", "first\n\nbetween\n\nlast", "outer\n\ninner\n\nrest", "kept",
+                   "for x in y:\n go(x)\n\ndone()\n\nprose stays one line"]
+
+
+def test_references_against_stdlib(spark):
+    import html
+    import random
+    from html.entities import html5
+
+    rnd = random.Random(4)
+    names = sorted(n for n in html5 if n.endswith(";"))
+    parts = ["&amp;", "&#38;", "&#x26;", "amp;", "&", "x", " ", "&nosuch;", "&#128;", "&#x80;", "&#0065;", "&AMP;"]
+    texts = ["".join(rnd.choice(parts) if rnd.random() < 0.6 else "&" + rnd.choice(names) for _ in range(rnd.randint(1, 8))) for _ in range(300)]
+    # without names that the standard library also decodes when their semicolon is missing
+    texts = [t for t in texts if not any(t.find("&" + n, 0) >= 0 and "&" + n + ";" not in t for n in html5 if not n.endswith(";"))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for r in df.select("t", H.decode_entities("t").alias("d")).collect():
+        if "&nosuch" not in r.t:
+            assert r.d == html.unescape(r.t), r.t
