@@ -52,14 +52,33 @@ def beginnings(word: str) -> list[str]:
     return [word, *(word[:n] + "-" for n in (4, 5) if len(word) > n)]
 
 
-def toxic_terms(texts: list[list[str]], labels: list[int], least_docs: int = 4, least_odds: float = 3.0) -> set[str]:
-    """Words and beginnings whose share of toxic documents is ``e**least_odds`` times that of clean ones."""
+def toxic_terms(texts: list[list[str]], labels: list[int], least_docs: int = 3, least_odds: float = 1.0, errors: float = 2.0) -> set[str]:
+    """Words and beginnings that toxic documents use more: the log-odds of their document counts for the
+    words read, less ``errors`` times their standard error, reach ``least_odds``."""
     df = (Counter(), Counter())
     for words, y in zip(texts, labels, strict=True):
         df[y].update({b for w in set(words) for b in beginnings(w)})
-    n = [max(1, sum(1 for y in labels if y == v)) for v in (0, 1)]
-    return {t for t, c in df[1].items()
-            if c >= least_docs and math.log((c + 0.5) / n[1]) - math.log((df[0][t] + 0.5) / n[0]) >= least_odds}
+    n = [max(1, sum(len(t) for t, y in zip(texts, labels, strict=True) if y == v)) for v in (0, 1)]
+
+    def sure(c, k):
+        odds = math.log((c + 0.5) / n[1]) - math.log((k + 0.5) / n[0])
+        return odds - errors * math.sqrt(1 / (c + 0.5) + 1 / (k + 0.5)) >= least_odds
+
+    return {t for t, c in df[1].items() if c >= least_docs and sure(c, df[0][t])}
+
+
+def without_copies(texts: list[list[str]], labels: list[int]) -> tuple[list[list[str]], list[int]]:
+    """One text of each group of copies (most near copies too): texts whose two least five-word hashes agree.
+
+    Words of a text that was copied often would otherwise look like words of many texts.
+    """
+    seen, kept = set(), []
+    for i, t in enumerate(texts):
+        runs = sorted({zlib.crc32(" ".join(t[k:k + 5]).encode()) for k in range(max(1, len(t) - 4))})
+        if (key := (labels[i], *runs[:2])) not in seen:
+            seen.add(key)
+            kept.append(i)
+    return [texts[i] for i in kept], [labels[i] for i in kept]
 
 
 class Chain:
@@ -240,7 +259,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "
     y = [int(r["_y"]) for r in rows]
     if not 0 < sum(y) < len(y):
         return None
-    texts = [WORD.findall(r["t"].lower()) for r in rows]
+    texts, y = without_copies([WORD.findall(r["t"].lower()) for r in rows], y)
     # the document rule is fitted on rows that the chain was not fitted on
     chain = fit_chain(texts[::2] + texts[1::4], y[::2] + y[1::4])
     fit_rule(chain, texts[3::4], y[3::4]) if 0 < sum(y[3::4]) < len(y[3::4]) else fit_rule(chain, texts, y)
