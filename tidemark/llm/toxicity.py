@@ -32,8 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the training sample: documents of each label, and the longest text used to learn from.
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 20_000
+#: Segments of SEGMENT words that the chain is fitted to at most.
+SEGMENTS = 25_000
 THRESHOLD = 0.3
 FEATURES = 1 << 18
 SEGMENT = 64
@@ -159,7 +161,7 @@ def fit_chain(texts: list[list[str]], labels: list[int], rounds: int = 40, rate:
             if y == 0 or any(t[at:at + SEGMENT]):
                 rows.append(words[at:at + SEGMENT])
                 tags.append(t[at:at + SEGMENT])
-    rows, tags = rows[:40_000], tags[:40_000]
+    rows, tags = rows[:SEGMENTS], tags[:SEGMENTS]
     table = {w: features(w) for r in rows for w in r}
     ids = {w: i for i, w in enumerate(table)}
     width = 4
