@@ -37,8 +37,8 @@ from .suffix import Files, Induction
 
 LENGTH = 400
 LEADER = 100
-SHARD_BYTES = 8 << 20
-QUEUE_BYTES = 128 << 20
+SHARD_BYTES = 4 << 20
+QUEUE_BYTES = 64 << 20
 _LOW = np.uint64((1 << 22) - 1)
 KEY = ["fp", "sh"]
 
