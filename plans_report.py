@@ -83,10 +83,11 @@ def main() -> None:
     prev.write.parquet(os.path.join(tmp, "p"))
     cur.write.parquet(os.path.join(tmp, "c"))
     sp, sc = spark.read.parquet(os.path.join(tmp, "p")), spark.read.parquet(os.path.join(tmp, "c"))
-    sites = I.crawl_sites(spark, sf)
+    store = X._LevelStore(spark)
+    sites = store.put(X.site_globs(I.crawl_sites(spark, sf)).withColumn("respect_robots", F.lit(True)), "sites")
     front = I.crawl_pages(spark, sf).select("start_url", "url", F.lit(1).alias("depth"),
                                             F.struct(F.col("page_id").alias("seq"), F.lit(0).alias("pos")).alias("rank"))
-    counts = sites.select("start_url", F.lit(0).cast("long").alias("n"))
+    counts = sites.select("start_url", "max_pages", F.lit(0).cast("long").alias("n"))
     rules = SD.robots_rules(I.crawl_robots(spark, sf), I.CRAWL_AGENT)
     cases = [
         ("extract + non-blank filter", E.pipeline_pages(raw)),
@@ -96,8 +97,9 @@ def main() -> None:
         ("ledger diff (600k chunks at sf0.1)", D.diff_chunks(I.ledger_chunks(spark, sf, "prev"),
                                                                I.ledger_chunks(spark, sf, "cur"))),
         ("full text records", R.llms_full(E.pipeline_pages(raw))),
-        ("one walk level (cap as per-task top-k)", X._fetch_level(front, I.crawl_responses(spark, sf), sites, rules,
-                                                                   counts, 100)),
+        ("comparison of two runs by id", D.run_id_set_diff(sp, sc)),
+        ("one walk level (after its range numbering was written)", X._fetch_level(front, I.crawl_responses(spark, sf), sites, rules,
+                                                                                   counts, store)),
     ]
     print("# Physical plans of the headline operators\n")
     print(f"Generated by `python plans_report.py {sf}` (Spark {spark.version}, AQE on; "
