@@ -53,7 +53,7 @@ from .shingles import mix, set_key, shingle_sets
 RARE = 32
 #: Share of a batch's classes that makes an element locally frequent, and how many such elements are listed (8 bytes each).
 LOCAL_SHARE, LISTED = 0.02, 100_000
-TEXTS = 512
+TEXTS, BATCH = 256, 2048
 #: Keys of more classes go by blocks of so many classes.
 FEW, BLOCK = 8, 256
 #: Prefix elements a bucket should hold.
@@ -72,11 +72,14 @@ def spare(n):
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list, list[np.ndarray]]]:
-    for batch in batches:
-        ids, sets = batch.column(0).to_pylist(), []
-        for at in range(0, batch.num_rows, TEXTS):
-            sets += shingle_sets(batch.column(1).slice(at, TEXTS).to_pylist())
-        yield batch, ids, sets
+    """Parts of BATCH documents at most, so that a worker holds few sets at a time."""
+    for whole in batches:
+        for begin in range(0, whole.num_rows, BATCH):
+            batch = whole.slice(begin, BATCH)
+            sets = []
+            for at in range(0, batch.num_rows, TEXTS):
+                sets += shingle_sets(batch.column(1).slice(at, TEXTS).to_pylist())
+            yield batch, batch.column(0).to_pylist(), sets
 
 
 def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -175,7 +178,8 @@ def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str
                 yield batch.filter(pa.array(kind > 0))
             for r in batch.filter(pa.array(kind == 0)).to_pylist():
                 held.setdefault(r["bucket"], []).append((r["a"], r["b"], r["c"]))
-        for parts in held.values():
+        while held:
+            parts = held.popitem()[1]
             token = np.concatenate([np.frombuffer(a, np.uint64) for a, _, _ in parts])
             # owners are 2 bytes each where the batch has few classes
             cls = np.concatenate([np.frombuffer(c, np.int64)[np.frombuffer(b, np.uint16 if 4 * len(b) == len(a) else np.uint32)] for a, b, c in parts])
@@ -202,7 +206,8 @@ def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str
         for batch in batches:
             for r in batch.to_pylist():
                 held.setdefault(r["bucket"], ([], []))[r["kind"] - 1].append((r["a"], r["b"], r["c"]))
-        for sizes, parts in held.values():
+        while held:
+            sizes, parts = held.popitem()[1]
             if not sizes or not parts:
                 continue
             known = np.concatenate([np.frombuffer(a, np.int64) for a, _, _ in sizes])
@@ -249,6 +254,7 @@ def class_sets(docs: DataFrame, reps: DataFrame, id_col: str = "doc_id", text_co
     def run(batches):
         for *_, sets in _batches(batches):
             found = {set_key(s): s.tobytes() for s in sets if len(s)}
+            del sets
             yield pa.RecordBatch.from_pydict({"cls": pa.array(list(found), pa.int64()), "tokens": pa.array(list(found.values()), pa.binary())})
 
     wanted = join_on(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")), reps.select("rep").distinct(), ["rep"])
@@ -261,11 +267,11 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("x", "y"))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= 75 * (len(x) + len(y) - both))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
