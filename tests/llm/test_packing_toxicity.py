@@ -53,6 +53,15 @@ def test_coder_is_the_tokenizer():
     assert other.ranked is None and np.frombuffer(other.encode(["A bee"])[0], "<u4").tolist() == plain.encode("A bee", add_special_tokens=False).ids
 
 
+def test_long_white_space():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.vocabulary_path())
+    coder = packing.Coder(packing.vocabulary_path())
+    for text in (" " * 2_000_000, "a" + "\n" * 2_000_000 + "b c", "x " * 200_000 + "\t" * packing.BLANKS + " y", " " * (packing.BLANKS - 1) + "z"):
+        assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_pieces_and_sequences(spark):
     rows = [(1, None), (2, ""), (3, "one two"), (3, "one two"), (None, "null id"), (4, "far " * 700)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("length", F.lit("clash")).withColumn("offset", F.lit(1))

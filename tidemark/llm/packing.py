@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,6 +35,9 @@ VOCABULARY = "byte_bpe_50k.json"
 BUCKETS = 256
 #: Fixed value: the pattern that splits text before the merges of byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The rank coder's pattern engine steps back through white space on a stack that ends near a million characters.
+BLANKS = 1 << 16
+_BLANK = re.compile(r"\s+")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -73,17 +77,26 @@ class Coder:
     """Texts to the vocabulary's ids, as little-endian unsigned 32-bit bytes; special tokens' names are ordinary text."""
 
     def __init__(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as f:
             self.ranked = _ranked(json.load(f))
-        if self.ranked is None:
-            from tokenizers import Tokenizer
 
-            self.coder = Tokenizer.from_file(path)
-            self.coder.encode_special_tokens = True
+    @functools.cached_property
+    def coder(self):
+        from tokenizers import Tokenizer
+
+        coder = Tokenizer.from_file(self.path)
+        coder.encode_special_tokens = True
+        return coder
+
+    def fits(self, text: str) -> bool:
+        """Whether the rank coder takes the text; runs of ``BLANKS`` and more go to ``tokenizers``."""
+        return len(text) < BLANKS or all(m.end() - m.start() < BLANKS for m in _BLANK.finditer(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.ranked is not None:
-            return [np.array(self.ranked.encode_ordinary(t), "<u4").tobytes() for t in texts]
+            coded = (self.ranked.encode_ordinary(t) if self.fits(t) else self.coder.encode(t, add_special_tokens=False).ids for t in texts)
+            return [np.array(ids, "<u4").tobytes() for ids in coded]
         return [np.array(e.ids, "<u4").tobytes() for e in self.coder.encode_batch(texts, add_special_tokens=False)]
 
 
