@@ -62,6 +62,17 @@ def test_long_white_space():
         assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_in_texts(spark):
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\ny", "<|endoftext", "a <|pad|> </s> [UNK] b"]
+    for name in (packing.VOCABULARY, "word_bpe_49k.json"):
+        path = packing.vocabulary_path(name)
+        plain = Tokenizer.from_file(path)
+        rows = packing.token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary=path, with_ids=True).collect()
+        assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == {i: plain.encode(t, add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+
+
 def test_pieces_and_sequences(spark):
     rows = [(1, None), (2, ""), (3, "one two"), (3, "one two"), (None, "null id"), (4, "far " * 700)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("length", F.lit("clash")).withColumn("offset", F.lit(1))

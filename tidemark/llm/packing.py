@@ -74,23 +74,30 @@ def _ranked(spec: dict):
 
 
 class Coder:
-    """Texts to the vocabulary's ids, as little-endian unsigned 32-bit bytes; special tokens' names are ordinary text."""
+    """Texts to the vocabulary's ids, as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str):
-        self.path = path
+    Names of added tokens are ordinary text, or with ``added`` become those tokens, as ``tokenizers`` does it by itself.
+    """
+
+    def __init__(self, path: str, added: bool = False):
+        self.path, self.added = path, added
         with open(path, encoding="utf-8") as f:
-            self.ranked = _ranked(json.load(f))
+            spec = json.load(f)
+        self.ranked = _ranked(spec)
+        self.names = [t["content"] for t in spec.get("added_tokens", [])] if added else []
 
     @functools.cached_property
     def coder(self):
         from tokenizers import Tokenizer
 
         coder = Tokenizer.from_file(self.path)
-        coder.encode_special_tokens = True
+        coder.encode_special_tokens = not self.added
         return coder
 
     def fits(self, text: str) -> bool:
-        """Whether the rank coder takes the text; runs of ``BLANKS`` and more go to ``tokenizers``."""
+        """Whether the rank coder takes the text; runs of ``BLANKS`` and more, and added tokens, go to ``tokenizers``."""
+        if any(name in text for name in self.names):
+            return False
         return len(text) < BLANKS or all(m.end() - m.start() < BLANKS for m in _BLANK.finditer(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -103,7 +110,7 @@ class Coder:
 @functools.lru_cache(maxsize=2)
 def coder_of(path: str) -> Coder:
     """One coder a worker process, whatever the number of its tasks."""
-    return Coder(path)
+    return Coder(path, added=True)
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY,
