@@ -80,6 +80,29 @@ def test_rows_that_repeat_and_keep(spark):
     assert substring_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_hot_leader_is_divided(spark, monkeypatch):
+    rnd = random.Random(11)
+
+    def some(n):
+        return "".join(rnd.choice("abcdefgh") for _ in range(n))
+
+    near, exact = some(39), some(60)      # one byte short of a repeat, and a passage that goes
+    texts = [some(rnd.randint(0, 50)) + near + some(rnd.randint(0, 50)) for _ in range(150)]
+    texts += [some(30) + exact[rnd.randint(0, 25):] + near + some(30) for _ in range(60)] + [near[:k] + some(50) for k in (12, 25, 39)]
+    texts += texts[:5] + [t[10:] for t in texts[150:170]] + [None, "", "a" * 90, near, "\u00e9" * 45]
+    largest, sort = [], substring_dedup.repeated_windows
+
+    def watched(contents, *args):
+        largest.append(contents.groupBy("fp").agg(F.sum((F.length("raw") + 1) * F.col("times")).alias("b")).agg(F.max("b")).first()[0])
+        return sort(contents, *args)
+
+    monkeypatch.setattr(substring_dedup, "repeated_windows", watched)
+    for length, leader, bound in ((40, 10, 1500), (40, 10, 100), (40, 39, 100), (40, 10, 1 << 30)):
+        got = _removed(spark, texts, length=length, leader=leader, shard_bytes=4000, group_bytes=bound)
+        assert got == _expected(texts, length), (leader, bound)
+    assert max(largest[0] / 1500, *(x / 100 for x in largest[1:3])) <= 1 and largest[3] > 6000
+
+
 def test_long_texts_in_pieces(spark, monkeypatch):
     rnd = random.Random(8)
     a = "".join(rnd.choice("abcd") for _ in range(3000))

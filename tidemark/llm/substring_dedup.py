@@ -13,6 +13,12 @@ windows have equal leaders at equal places, so:
    values).  A window is repeated exactly if its suffix shares LENGTH bytes
    with a neighbour in that order.  A segment holds no window of another one,
    so a text never meets itself at one place.
+   A leader with more than GROUP_BYTES of distinct segments is divided first.
+   Every window has at least half of the bytes that the leader leaves open on
+   its left, or as many on its right; so each segment falls into the windows
+   of either kind, grouped by the leader with those bytes.  Equal windows stay
+   together.  Groups that are still too large are divided again by the wider
+   string in common, at the end by the whole window.
 3. Repeated windows go back to all places of their segment, and each text
    joins its spans and loses them.
 
@@ -23,7 +29,9 @@ copies; an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,18 +39,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_on, shared_folder, stored
+from .common import discard, join_on, shared_folder, stored
 from .shingles import _BYTES, _DOWN, _UP, PIECE, mix
 from .suffix import Files, Induction
 
 LENGTH = 400
 LEADER = 100
 SHARD_BYTES = 4 << 20
+#: Distinct segments under one leader beyond this are divided; a shard holds a few such groups.
+GROUP_BYTES = 4 << 20
 QUEUE_BYTES = 64 << 20
 _LOW = np.uint64((1 << 22) - 1)
 KEY = ["fp", "sh"]
 
 
+def _hashed(raw: np.ndarray, leader: int) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of the bytes, and hashes of the strings of ``leader`` bytes."""
+    m = len(raw) - leader + 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[raw] * _UP[:len(raw)], dtype=np.uint64)])
+    return sums, mix((sums[leader:] - sums[:m]) * _DOWN[:m])
+
+
+def leader_place(raw: bytes, length: int, leader: int) -> int:
+    """Where the leader stands in a segment; all its windows hold the first one's."""
+    return int((_hashed(np.frombuffer(raw, np.uint8, length), leader)[1] & ~_LOW).argmin())
+
+
 def segments(raw: np.ndarray, ends: np.ndarray, length: int, leader: int) -> tuple[np.ndarray, ...]:
     """Segments of documents laid end to end (``ends``: where each stops), at most PIECE bytes in all.
 
@@ -51,9 +73,8 @@ def segments(raw: np.ndarray, ends: np.ndarray, length: int, leader: int) -> tup
     n, none = len(raw), tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     if n < length:
         return none
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[raw] * _UP[:n], dtype=np.uint64)])
     m = n - leader + 1
-    hashes = mix((sums[leader:] - sums[:m]) * _DOWN[:m])
+    sums, hashes = _hashed(raw, leader)
     key = (hashes & ~_LOW) | np.arange(m, dtype=np.uint64)  # equal hashes: the first place leads
     wide = length - leader + 1
     blocks = -(-m // wide)
@@ -121,15 +142,19 @@ def segment_table(texts: DataFrame, length: int, leader: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, th long, a long, own int, fp long, sh long")
 
 
-def _contents(groups: DataFrame, texts: DataFrame, length: int) -> DataFrame:
-    """Bytes of each distinct segment: fp, sh, own, times (1, or 2 if it occurs again), raw."""
+def _contents(groups: DataFrame, texts: DataFrame, length: int, leader: int | None = None) -> DataFrame:
+    """Bytes of each distinct segment: fp, sh, own, times (1, or 2 if it occurs again), raw (with ``leader`` its place, too)."""
+    fields = [("fp", pa.int64()), ("sh", pa.int64()), ("own", pa.int32()), ("times", pa.int32()), ("raw", pa.binary())]
+    spec = "fp long, sh long, own int, times int, raw binary"
+    if leader:
+        fields, spec = [*fields, ("at", pa.int32())], spec + ", at int"
     wanted = groups.select("rep.doc_id", "rep.th", F.struct("fp", "sh", "rep.a", "rep.own", F.least("n", F.lit(2)).cast("int").alias("times")).alias("s"))
     wanted = wanted.groupBy("doc_id", "th").agg(F.collect_list("s").alias("s"))  # bounded by the text's own length
 
     def cut(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                out = {k: [] for k in ("fp", "sh", "own", "times", "raw")}
+                out = {k: [] for k, _ in fields}
                 part = batch.slice(at, 256)
                 for text, s in zip(part.column("text").to_pylist(), part.column("s").to_pylist(), strict=True):
                     raw = (text or "").encode("utf-8")
@@ -137,9 +162,52 @@ def _contents(groups: DataFrame, texts: DataFrame, length: int) -> DataFrame:
                         for k in ("fp", "sh", "own", "times"):
                             out[k].append(x[k])
                         out["raw"].append(raw[x["a"]:x["a"] + x["own"] - 1 + length])
-                yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("fp", pa.int64()), ("sh", pa.int64()), ("own", pa.int32()), ("times", pa.int32()), ("raw", pa.binary())]))
+                        if leader:
+                            out["at"].append(leader_place(out["raw"][-1], length, leader))
+                yield pa.RecordBatch.from_pydict(out, schema=pa.schema(fields))
+
+    return join_on(texts, wanted, ["doc_id", "th"]).select("text", "s").mapInArrow(cut, spec)
 
-    return join_on(texts, wanted, ["doc_id", "th"]).select("text", "s").mapInArrow(cut, "fp long, sh long, own int, times int, raw binary")
+
+def _halves(pieces: DataFrame, length: int, core: int) -> DataFrame:
+    """Each piece as two, whose windows hold ``half`` more bytes left of the ``core`` bytes at ``at``, or right of them."""
+    half = (length - core + 1) // 2
+    left = F.greatest(F.lit(0), F.least(F.col("own"), F.col("at") - half + 1))
+    raw = F.col("raw")
+    both = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("off").alias("off"), left.alias("own"), (F.col("at") - half).alias("at"),
+                 raw.substr(F.lit(1), left - 1 + length).alias("raw")),
+        F.struct(F.lit(1).alias("side"), (F.col("off") + left).alias("off"), (F.col("own") - left).alias("own"), (F.col("at") - left).alias("at"),
+                 raw.substr(left + 1, F.col("own") - left - 1 + length).alias("raw")))
+    out = pieces.select("fp", "sh", "times", "key", F.explode(both).alias("x")).where("x.own > 0").select("fp", "sh", "times", "key", "x.*")
+    key = F.xxhash64("key", "side", F.col("raw").substr(F.col("at") + 1, F.lit(core + half)))
+    return out.select("fp", "sh", "off", "own", "times", key.alias("key"), F.xxhash64("raw").alias("h"), "at", "raw")
+
+
+def divided(contents: DataFrame, length: int, leader: int, group_bytes: int) -> list[tuple[DataFrame, DataFrame | None]]:
+    """Segments under hot leaders as pieces: fp, sh, off (first window in the segment), own, times, key, h, at, raw.
+
+    Stored tables, each with the keys that the next one holds in halves (see _cool).  The pieces of any other
+    key have at most ``group_bytes`` of distinct contents (key, h), or are one window.
+    """
+    rest = contents.select("fp", "sh", F.lit(0).alias("off"), "own", "times", F.col("fp").alias("key"), "at", "raw")
+    core, done = leader, []
+    while core < length:
+        pieces, core = stored(_halves(rest, length, core), "pieces"), core + (length - core + 1) // 2
+        distinct = pieces.groupBy("key", "h").agg(F.least(F.sum("times"), F.lit(2)).alias("times"), F.first("own").alias("own"))
+        sizes = distinct.groupBy("key").agg(F.sum((F.col("own") + length) * F.col("times")).alias("bytes"))
+        hot = stored(sizes.where(F.col("bytes") > group_bytes).select("key"), "hot-pieces")  # at most one per ``group_bytes`` of the data
+        if core >= length or hot.isEmpty():
+            return [*done, (pieces, None)]
+        done.append((pieces, hot))
+        rest = pieces.join(F.broadcast(hot), "key", "left_semi")
+    return [(stored(rest.withColumn("h", F.col("sh")), "pieces"), None)]  # a leader as long as a window
+
+
+def _cool(tables: list, *cols: str) -> DataFrame:
+    """The named columns of all pieces that are not divided further."""
+    parts = [t.select(*cols) if hot is None else t.join(F.broadcast(hot), "key", "left_anti").select(*cols) for t, hot in tables]
+    return functools.reduce(DataFrame.union, parts)
 
 
 def repeated_windows(contents: DataFrame, shards: int, length: int, folder: str, queue_bytes: int = QUEUE_BYTES, base: int = 1 << 23) -> DataFrame:
@@ -153,6 +221,11 @@ def repeated_windows(contents: DataFrame, shards: int, length: int, folder: str,
                     parts.append((raw, times))
                     owns.append(own)
                     keys.append((fp, sh))
+        count = Counter()
+        for (fp, _), (_, times) in zip(keys, parts, strict=True):
+            count[fp] += times
+        several = [i for i, (fp, _) in enumerate(keys) if count[fp] > 1]  # a lone piece of a divided leader repeats nothing
+        parts, owns, keys = ([x[i] for i in several] for x in (parts, owns, keys))
         if not parts:
             return
         size = sum((len(r) + 1) * t for r, t in parts)
@@ -185,16 +258,33 @@ def repeated_windows(contents: DataFrame, shards: int, length: int, folder: str,
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, leader: int = LEADER, shard_bytes: int = SHARD_BYTES,
-                   queue_bytes: int = QUEUE_BYTES, base: int = 1 << 23) -> DataFrame:
+                   queue_bytes: int = QUEUE_BYTES, base: int = 1 << 23, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(doc_id, th, text) -> doc_id, th, found: places and repeated windows of its segments, for texts that have any."""
-    listed = stored(segment_table(texts, length, leader), "segments")
-    again = listed.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
-    listed = stored(listed.join(again, "fp", "left_semi"), "repeated-leaders")
+    every = stored(segment_table(texts, length, leader), "segments")
+    again = every.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
+    listed = stored(every.join(again, "fp", "left_semi"), "repeated-leaders")
+    discard(every)
     groups = stored(listed.groupBy("fp", "sh").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "a", "own")).alias("rep")), "distinct-segments")
-    size = groups.agg(F.sum((F.col("rep.own") + length) * F.least("n", F.lit(2)))).first()[0] or 0
-    runs = repeated_windows(_contents(groups, texts, length), max(1, -(-size // shard_bytes)), length,
+    sizes = stored(groups.groupBy("fp").agg(F.sum((F.col("rep.own") + length) * F.least("n", F.lit(2))).alias("bytes")), "leaders")
+    size = sizes.where(F.col("bytes") <= group_bytes).agg(F.sum("bytes")).first()[0] or 0
+    hot, tables = sizes.where(F.col("bytes") > group_bytes).select("fp"), []  # at most one per ``group_bytes`` of the data
+    contents = _contents(groups, texts, length)
+    if not hot.isEmpty():
+        tables = divided(_contents(groups.join(F.broadcast(hot), "fp", "left_semi"), texts, length, leader), length, leader, group_bytes)
+        pieces = _cool(tables, "key", "h", "own", "times", "raw").groupBy("key", "h")
+        pieces = pieces.agg(F.first("own").alias("own"), F.least(F.sum("times"), F.lit(2)).cast("int").alias("times"), F.first("raw").alias("raw"))
+        size += _cool(tables, "own").agg(F.sum(F.col("own") + length)).first()[0] or 0
+        contents = _contents(groups.join(F.broadcast(hot), "fp", "left_anti"), texts, length).union(pieces)
+    runs = repeated_windows(contents, max(1, -(-size // shard_bytes)), length,
                             shared_folder(texts.sparkSession, "suffix-queues"), queue_bytes, base)
     runs = stored(runs, "repeated-windows")
+    if tables:
+        # rows that agree in id and text bring a piece again
+        places = _cool(tables, "fp", "sh", "off", "key", "h").distinct().select(F.col("fp").alias("_fp"), F.col("sh").alias("_sh"), "off", F.col("key").alias("fp"), F.col("h").alias("sh"))
+        found = places.join(runs, KEY).select("_fp", "_sh", F.transform("runs", lambda x: x + F.col("off")).alias("runs"))
+        runs = stored(runs.union(found), "repeated-windows")
+        discard(*(t for t, _ in tables))
+    discard(groups, sizes)
     return listed.join(runs, KEY).groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "runs")).alias("found"))  # bounded by the text's own length
 
 
