@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from conftest import SF_MID
 from pyspark.sql import functions as F
 
@@ -159,3 +160,14 @@ def test_held_out_accuracy_on_the_tables(spark):
     held = [(truth[r.doc_id], r.predicted) for r in toxicity.toxicity(docs, labels).collect() if r.held_out and r.doc_id in truth]
     hit, missed, wrong = (held.count(x) for x in ((1, 1), (1, 0), (0, 1)))
     assert hit / (hit + missed) >= 0.85 and hit / (hit + wrong) >= 0.9
+
+
+def test_sample_is_drawn_from_usable_texts(spark):
+    docs, labels = _corpus(spark, 240)
+    short = F.col("doc_id") % 4 == 0      # the others are too long to learn from, empty or absent
+    docs = docs.where("doc_id % 4 < 3").withColumn("text", F.when(short, F.col("text")).when(F.col("doc_id") % 4 == 1, F.repeat("text", 400)).otherwise(F.lit("")))
+    few = toxicity.train(docs, labels, F.lit(True), sample_rows=12, sample_chars=3000)
+    usable = toxicity.train(docs.where(short), labels.where(short), F.lit(True), sample_rows=12, sample_chars=3000)
+    assert few is not None and (few.weights == usable.weights).all() and few.rule == usable.rule
+    with pytest.warns(UserWarning, match="label"):
+        assert toxicity.train(docs.where("doc_id % 4 = 1"), labels, F.lit(True), sample_chars=10) is None

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -253,13 +254,17 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "
     """Fit on at most ``sample_rows`` documents per label, chosen by a hash of the id, of at most ``sample_chars``."""
     order = F.md5(F.col(id_col).cast("string"))
     known = labels.where(may_learn).where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("_y"))
-    # drawn before text lengths are known, so a few more are drawn
-    picked = known.where("_y = 1").orderBy(order, id_col).limit(sample_rows).unionByName(known.where("_y = 0").orderBy(order, id_col).limit(sample_rows))
-    sample = docs.select(id_col, text_col).where(F.length(text_col).between(1, sample_chars)).join(F.broadcast(picked), id_col)
+    texts = docs.select(id_col, text_col).where(F.length(text_col).between(1, sample_chars))
+    usable = known.join(texts.select(id_col), id_col, "left_semi")
+    picked = usable.where("_y = 1").orderBy(order, id_col).limit(sample_rows).unionByName(usable.where("_y = 0").orderBy(order, id_col).limit(sample_rows))
+    sample = texts.join(F.broadcast(picked), id_col)
     rows = sample.dropDuplicates([id_col]).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), "_y").collect()  # bounded by the sample
     rows.sort(key=lambda r: (zlib.crc32(str(r["i"]).encode()), r["i"]))
     y = [int(r["_y"]) for r in rows]
     if not 0 < sum(y) < len(y):
+        unused = {r["_y"] for r in known.select("_y").distinct().collect()} - set(y)
+        if unused:
+            warnings.warn(f"no text of 1 to {sample_chars} characters has label {sorted(unused)}: every score is 0", stacklevel=2)
         return None
     texts, y = without_copies([WORD.findall(r["t"].lower()) for r in rows], y)
     # the document rule is fitted on rows that the chain was not fitted on
