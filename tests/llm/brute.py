@@ -1,6 +1,7 @@
 """Plain single-machine versions of the llm operators, for tests."""
 
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -53,3 +54,40 @@ def removed_bytes(texts, length):
         spans = len(re.findall(b"\1+", bytes(gone)))
         out.append((kept, spans))
     return out
+
+
+def spelled_words(docs):
+    """{word: n} of runs of letters after the typing rule, at least 7 letters and twice."""
+    out = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{word}".encode())
+            if h % 31 == 0:
+                word = word[:h % len(word)] + word[h % len(word) + 1:]
+            out[word] += 1
+    return {w: n for w, n in out.items() if len(w) >= 7 and n >= 2}
+
+
+def spelling_forms(words):
+    """(word, form, root, n, n_near, form_n) by deleting and replacing at every place."""
+    holes = defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            holes[w[:i] + "\0" + w[i + 1:]].add(w)
+    near = {w: set() for w in words}
+    for w in words:
+        for i in range(len(w)):
+            near[w] |= holes[w[:i] + "\0" + w[i + 1:]] - {w}
+            if (short := w[:i] + w[i + 1:]) in words:
+                near[w].add(short)
+                near[short].add(w)
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-words[o], o), default=None)
+        form[w] = best if best is not None and words[best] >= 10 * words[w] else None
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        yield w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None

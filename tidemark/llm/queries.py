@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslice, block_naming, jaccard, mixing, packing, preference, sharding, substring_dedup, toxicity, warc
+from . import (bitslice, block_naming, jaccard, mixing, packing, piece_coding, preference, sharding, spelling, substring_dedup, toxicity, warc,
+               whitening)
 from .common import table
 
 
@@ -54,9 +55,22 @@ def op10_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_distinct_chunk_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_coding.encode_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_preference_formatting, op2_warc_round_trip, op3_bit_sliced_top_k, op4_best_two_fit_packing, op5_toxicity_crf,
-                           op6_induced_suffix_dedup, op7_token_combination_join, op8_hypergeometric_sharding, op9_block_naming_dedup, op10_systematic_mixing)
+                           op6_induced_suffix_dedup, op7_token_combination_join, op8_hypergeometric_sharding, op9_block_naming_dedup, op10_systematic_mixing,
+                           op11_distinct_chunk_coding, op12_spelling_variants, op13_embedding_whitening)
 }
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
