@@ -84,20 +84,24 @@ def test_contract(spark):
     assert '"heading_path"' in CHUNK.json()
 
 
-def test_state_round_trip(spark):
-    path = tempfile.mkdtemp(prefix="tidemark-state-")
+def _ids(df):
+    return {r.chunk_id.split("/")[1] for r in df.collect()}
+
+
+def test_state_round_trip(spark, tmp_path):
+    state = S.Snapshots(spark, str(tmp_path / "state"))
     c = chunks(spark, [("a", "1"), ("b", "2")])
-    S.append_snapshot(c, path, "2026-01-01T00:00:00Z")
-    S.append_snapshot(c.limit(1), path, "2026-01-02T00:00:00Z")
-    snaps = S.read_snapshots(spark, path)
-    latest = S.load_latest(snaps).collect()
-    assert {r.chunk_id.split("/")[1] for r in latest} == {"a"} and latest[0].prev_run_at == "2026-01-02T00:00:00Z"
-    before = S.load_latest(snaps, before="2026-01-02T00:00:00Z").collect()
-    assert {r.chunk_id.split("/")[1] for r in before} == {"a", "b"}
-    other = S.load_latest(snaps.where(F.col("start_url") == "https://unknown/")).count()
-    assert other == 0
+    state.save(c, "2026-01-01T00:00:00Z")
+    state.save(c.limit(1), "2026-01-02T00:00:00Z")
+    latest = state.chunks(state.previous())
+    assert _ids(latest) == {"a"} and latest.first().run_at == "2026-01-02T00:00:00Z"
+    assert _ids(state.chunks(state.previous("2026-01-02T00:00:00Z"))) == {"a", "b"}
+    unknown = spark.createDataFrame([("https://unknown/",)], "start_url string")
+    assert state.chunks(state.previous(sites=unknown)).count() == 0
     key = spark.createDataFrame([("https://x/",)], "u string").select(S.state_key("u")).first()[0]
     assert len(key) == 16
+    frames = S.load_latest(c.withColumn("run_at", F.lit("1")).union(c.limit(1).withColumn("run_at", F.lit("2"))))
+    assert _ids(frames) == {"a"}
 
 
 SHOP = "https://kites.example.org/"
@@ -134,7 +138,8 @@ def test_a_shop_over_three_runs(spark):
     assert (h3.summary.added, h3.summary.modified, h3.summary.removed, h3.prev_run_at) == (0, 0, 0, "2026-06-01")
     # a retried run replaces its own state partition
     run_diff_job(spark, _raw(spark, SUMMER), state, os.path.join(root, "r3b"), "2026-09-01")
-    assert spark.read.schema(S.CHUNKS_SCHEMA).parquet(os.path.join(state, "chunks")).where("run_at = '2026-09-01'").count() == 4
+    saved = S.Snapshots(spark, state)
+    assert saved.chunks(saved.runs.manifest(run_at="2026-09-01")).count() == 4
     idx = _site_text(os.path.join(root, "r2", "site_index_txt"))
     assert idx.startswith("# kites.example.org\n\n> ") and idx.endswith(
         "## Pages\n- [Kites](https://kites.example.org/)\n- [Delta](https://kites.example.org/delta)\n"

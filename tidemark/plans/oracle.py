@@ -233,7 +233,6 @@ SQL["chunk_ids"] = with_(_CHUNKS, "SELECT start_url, page_seq, \"order\", chunk_
 SQL["chunk_order"] = with_(_CHUNKS, "SELECT start_url, page_seq, \"order\", chunk_hash FROM ch")
 SQL["chunk_pages"] = with_(_CHUNKS, "SELECT * FROM ch")
 
-SQL["chunks_last_wins"] = with_(web_chunk_ctes("cur", "wc") + last_wins_ctes("wc", "lw"), "SELECT * FROM lw")
 SQL["diff_chunks"] = with_(snapshot_ctes(), diff_final("prev_lw", "cur_lw"))
 SQL["diff_added"] = with_(snapshot_ctes(), "SELECT start_url, chunk_id, chunk_hash FROM cur_lw c WHERE NOT EXISTS "
                           "(SELECT 1 FROM prev_lw p WHERE p.start_url = c.start_url AND p.chunk_id = c.chunk_id)")
@@ -241,10 +240,6 @@ SQL["diff_removed"] = with_(snapshot_ctes(), "SELECT start_url, chunk_id, chunk_
                             "(SELECT 1 FROM cur_lw c WHERE p.start_url = c.start_url AND p.chunk_id = c.chunk_id)")
 SQL["diff_modified"] = with_(snapshot_ctes(), "SELECT c.start_url, c.chunk_id, c.chunk_hash FROM cur_lw c JOIN prev_lw p "
                              "ON p.start_url = c.start_url AND p.chunk_id = c.chunk_id WHERE c.chunk_hash <> p.chunk_hash")
-SQL["diff_first_run"] = with_(
-    web_chunk_ctes("cur", "wc") + last_wins_ctes("wc", "lw"),
-    "SELECT start_url, 'added' AS change_type, chunk_id, url, heading_path, text, chunk_hash, 0 AS change_side, "
-    "pos_seq, pos_order FROM lw")
 _CHANGES = snapshot_ctes() + [
     ("changes", diff_final("prev_lw", "cur_lw")),
     ("runs", f"SELECT start_url FROM ({raw_pages_sql('prev')}) UNION SELECT start_url FROM ({raw_pages_sql('cur')}) "
@@ -258,7 +253,6 @@ SQL["change_summary"] = with_(
 SQL["diff_ordered"] = with_(
     _CHANGES, "SELECT start_url, row_number() OVER (PARTITION BY start_url ORDER BY change_side, pos_seq, pos_order, chunk_id) AS seq, "
               "change_type, chunk_id, url, heading_path, text, chunk_hash FROM changes")
-SQL["diff_unchanged"] = with_(snapshot_ctes(), diff_final("cur_lw", "cur_lw"))
 SQL["changed_chunk_count"] = with_(_CHANGES, "SELECT count(*) AS changed_chunks FROM changes")
 
 
@@ -287,6 +281,20 @@ SQL["state_previous_run"] = with_(
 SQL["state_round_trip"] = with_(
     snapshot_ctes(), f"SELECT start_url, '{PREV_RUN_AT}' AS run_at, page_seq, chunk_id, url, heading_path, text, chunk_hash, \"order\" FROM prev_chunks")
 
+SQL["state_two_jobs"] = with_(
+    snapshot_ctes(), f"SELECT start_url, '{PREV_RUN_AT}' AS run_at, count(*) AS chunks, count(DISTINCT chunk_id) AS ids, "
+                     "CAST(sum(length(text)) AS BIGINT) AS letters FROM prev_chunks GROUP BY start_url")
+SQL["diff_by_digests"] = SQL["diff_chunks"]
+SQL["run_manifest"] = with_(
+    _CHANGES + [("ps", f"SELECT start_url, '{PREV_RUN_AT}' AS prev_run_at FROM prev_chunks GROUP BY start_url"),
+                ("cs", "SELECT start_url, count(*) AS chunks, count(DISTINCT chunk_id) AS ids FROM cur_chunks GROUP BY start_url"),
+                ("every", "SELECT start_url FROM ps UNION SELECT start_url FROM cs"),
+                ("counts", "SELECT start_url, " + ", ".join(f"count(*) FILTER (WHERE change_type = '{t}') AS {t}" for t in ("added", "modified", "removed"))
+                 + " FROM changes GROUP BY start_url")],
+    f"SELECT b.start_url, {_SITE_KEY.replace('start_url', 'b.start_url')} AS site_key, '{CUR_RUN_AT}' AS run_at, ps.prev_run_at, coalesce(cs.chunks, 0) AS chunks, coalesce(cs.ids, 0) AS ids, "
+    "coalesce(n.added, 0) AS added, coalesce(n.modified, 0) AS modified, coalesce(n.removed, 0) AS removed "
+    "FROM every b LEFT JOIN ps ON ps.start_url = b.start_url LEFT JOIN cs ON cs.start_url = b.start_url LEFT JOIN counts n ON n.start_url = b.start_url")
+
 SQL["jsonl_chunks"] = with_(
     [("conv", CONVERSATION_PAGES)] + chunk_ctes("conv", "ch"),
     "SELECT CAST(json_object('chunk_id', chunk_id, 'url', url, 'heading_path', "
@@ -317,6 +325,7 @@ SQL["index_apply_changes"] = with_(
         ("text", "document"), ("url", "url"), ("heading_path", "heading_path"), ("chunk_hash", "chunk_hash")))
     + " FROM prev_lw p FULL OUTER JOIN changes c ON c.start_url = p.start_url AND c.chunk_id = p.chunk_id "
     "WHERE c.change_type IS NULL OR c.change_type <> 'removed'")
+SQL["index_merge_stored"] = SQL["index_apply_changes"]
 SQL["index_apply_counts"] = with_(
     _CHANGES, "SELECT count(*) FILTER (WHERE change_type IN ('added', 'modified')) AS upserted, "
               "count(*) FILTER (WHERE change_type = 'removed') AS deleted FROM changes")
@@ -443,6 +452,12 @@ SQL["contract_violations"] = with_(
                         ("change_type", "chunk_id", "url", "heading_path", "text", "chunk_hash")]
                  + [("change_type_enum", "NOT (change_type IN ('added', 'modified', 'removed'))"),
                     ("chunk_hash_format", f"NOT {_HASH_OK}")]))
+SQL["chunks_last_wins"] = with_(_ALL + last_wins_ctes("all_chunks", "lw"), "SELECT * FROM lw")
+SQL["diff_first_run"] = with_(
+    _ALL + last_wins_ctes("all_chunks", "lw"),
+    "SELECT start_url, 'added' AS change_type, chunk_id, url, heading_path, text, chunk_hash, 0 AS change_side, "
+    "pos_seq, pos_order FROM lw")
+SQL["diff_unchanged"] = with_(_ALL + last_wins_ctes("all_chunks", "lw"), diff_final("lw", "lw"))
 SQL["duplicate_chunk_ids"] = with_(
     _ALL, "SELECT start_url, page_seq, chunk_id, count(*) AS n FROM all_chunks GROUP BY ALL HAVING count(*) > 1")
 SQL["change_audit"] = with_(

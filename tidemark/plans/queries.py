@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
@@ -195,7 +195,8 @@ def _snapshots(spark, sf):
 
 @query("chunks_last_wins")
 def chunks_last_wins(spark, sf):
-    return _path_text(D.last_wins(_web_chunks(spark, sf, "cur")))
+    """Pages and every ledger line; lines of one part and order share an id."""
+    return _path_text(D.last_wins(_all_chunks(spark, sf)))
 
 
 @query("diff_chunks")
@@ -214,7 +215,7 @@ def diff_ordered(spark, sf):
 @query("diff_unchanged")
 def diff_unchanged(spark, sf):
     """A rerun over the same pages: no changes."""
-    chunks = _web_chunks(spark, sf, "cur").unionByName(I.ledger_chunks(spark, sf, "cur"))
+    chunks = _all_chunks(spark, sf)
     return _path_text(D.diff_chunks(chunks, chunks))
 
 
@@ -238,7 +239,7 @@ def diff_removed(spark, sf):
 
 @query("diff_first_run")
 def diff_first_run(spark, sf):
-    return _path_text(D.diff_chunks(None, _web_chunks(spark, sf, "cur")))
+    return _path_text(D.diff_chunks(None, _all_chunks(spark, sf)))
 
 
 def _crawl_sites(spark, sf) -> DataFrame:
@@ -268,6 +269,8 @@ from ..operators import enrich as N  # noqa: E402
 from ..operators import quality as A  # noqa: E402
 from ..operators import render as R  # noqa: E402
 from ..sources import state as S  # noqa: E402
+from ..sources.index_store import IndexStore  # noqa: E402
+from . import jobs as J  # noqa: E402
 from ..contract import CHANGE, CHUNK, contract_violations as _violations  # noqa: E402
 
 
@@ -281,21 +284,30 @@ def state_key(spark, sf):
                                     S.kv_state_key("start_url").alias("kv_key"))
 
 
-def _snapshot_table(spark, sf):
-    prev, cur = _snapshots(spark, sf)
-    return S.to_snapshot(prev, I.PREV_RUN_AT).unionByName(S.to_snapshot(cur, I.CUR_RUN_AT))
+def _state(spark) -> S.Snapshots:
+    return S.Snapshots(spark, f"{ensure_checkpoint_dir(spark)}/state-{uuid.uuid4().hex}")
+
+
+def _saved_state(spark, sf) -> S.Snapshots:
+    """Both runs saved, as two jobs leave them."""
+    state = _state(spark)
+    for chunks, run_at in zip(_snapshots(spark, sf), (I.PREV_RUN_AT, I.CUR_RUN_AT), strict=True):
+        state.save(chunks, run_at)
+    return state
 
 
 @query("state_load_latest")
 def state_load_latest(spark, sf):
-    latest = S.load_latest(_snapshot_table(spark, sf))
+    state = _saved_state(spark, sf)
+    latest = state.chunks(state.previous()).withColumnRenamed("run_at", "prev_run_at")
     return latest.select("start_url", "site_key", "prev_run_at", "chunk_id", "chunk_hash", "page_seq", "order")
 
 
 @query("state_previous_run")
 def state_previous_run(spark, sf):
     """State as the current run sees it: the latest run strictly before it."""
-    latest = S.load_latest(_snapshot_table(spark, sf), before=I.CUR_RUN_AT)
+    state = _saved_state(spark, sf)
+    latest = state.chunks(state.previous(I.CUR_RUN_AT)).withColumnRenamed("run_at", "prev_run_at")
     return latest.select("start_url", "prev_run_at", "chunk_id", "chunk_hash")
 
 
@@ -303,14 +315,59 @@ def state_previous_run(spark, sf):
 def state_round_trip(spark, sf):
     """A run's state written and loaded as the next run's previous state."""
     prev, _ = _snapshots(spark, sf)
-    path = f"{ensure_checkpoint_dir(spark)}/state-{uuid.uuid4().hex}"
-    S.append_snapshot(prev, f"{path}/chunks", I.PREV_RUN_AT)
-    sites = spark.read.schema(S.CHUNKS_SCHEMA).parquet(f"{path}/chunks").select("start_url").distinct()
-    S.append_runs(sites, f"{path}/runs", I.PREV_RUN_AT)
-    chunks, _ = S.load_previous(spark, path, I.CUR_RUN_AT, sites)
+    state = _state(spark)
+    commit = state.save(prev, I.PREV_RUN_AT)
+    chunks, _ = S.load_previous(spark, state.runs.root, I.CUR_RUN_AT, state.staged_chunks(commit).select("start_url").distinct())
     return _path_text(chunks.select("start_url", "run_at", "page_seq", "chunk_id", "url", "heading_path", "text", "chunk_hash", "order"))
 
 
+def _is_web() -> Column:
+    """The sites of crawled pages; the others are ledgers."""
+    return ~F.col("start_url").contains(".ledger.")
+
+
+@query("state_two_jobs")
+def state_two_jobs(spark, sf):
+    """Two jobs of one run, each with its own sites, and a retry of the first: both keep their state."""
+    prev, _ = _snapshots(spark, sf)
+    state = _state(spark)
+    web, ledger = prev.where(_is_web()), prev.where(~_is_web())
+    state.save(web, I.PREV_RUN_AT)
+    state.save(ledger, I.PREV_RUN_AT)
+    state.save(web, I.PREV_RUN_AT)
+    state.stage(web)  # a job that dies before it publishes
+    found = state.chunks(state.previous(I.CUR_RUN_AT))
+    return found.groupBy("start_url", "run_at").agg(F.count(F.lit(1)).alias("chunks"), F.countDistinct("chunk_id").alias("ids"),
+                                                    F.sum(F.length("text")).alias("letters"))
+
+
+def _digest_changes(spark, sf):
+    """The change rows of two stored runs by way of their digests, and the second run's manifest row per site."""
+    state = _state(spark)
+    prev, cur = _snapshots(spark, sf)
+    state.save(prev, I.PREV_RUN_AT)
+    commit = state.stage(cur)
+    previous = state.previous(I.CUR_RUN_AT)
+    return state, commit, previous, J.changes_since(state, commit, previous)
+
+
+@query("diff_by_digests")
+def diff_by_digests(spark, sf):
+    """The diff of two stored runs; only key ranges whose digests differ are read."""
+    return _path_text(_digest_changes(spark, sf)[-1])
+
+
+@query("run_manifest")
+def run_manifest(spark, sf):
+    """Sites and counts of a run as its manifest keeps them."""
+    state, commit, previous, changes = _digest_changes(spark, sf)
+    sites = state.staged_chunks(commit).select("start_url").union(previous.select("start_url")).distinct()
+    counts = D.change_summary(changes, sites.join(previous.select("start_url", F.col("run_at").alias("prev_run_at")), "start_url", "left"))
+    state.save(None, I.CUR_RUN_AT, sites, counts, commit)
+    found = state.runs.manifest(run_at=I.CUR_RUN_AT)
+    return found.select("start_url", "site_key", "run_at", "prev_run_at", F.col("rows").alias("chunks"), F.col("keys").alias("ids"), "added", "modified", "removed")
+
+
 # --- sinks and delivery ---------------------------------------------------------
 
 def _changes(spark, sf):
@@ -320,7 +377,7 @@ def _changes(spark, sf):
 
 def _run_rows(spark, sf):
     prev, cur = _snapshots(spark, sf)
-    prev_state = S.load_latest(S.to_snapshot(prev, I.PREV_RUN_AT))
+    prev_state = prev.select("start_url", F.lit(I.PREV_RUN_AT).alias("prev_run_at"))
     return S.run_table(cur, prev_state, I.CUR_RUN_AT)
 
 
@@ -358,6 +415,18 @@ def index_apply_changes(spark, sf):
     return r.select("start_url", "id", "document", "metadata.url", "metadata.heading_path", "metadata.chunk_hash")
 
 
+@query("index_merge_stored")
+def index_merge_stored(spark, sf):
+    """The change table merged into a stored index of the previous run: only touched buckets are rewritten."""
+    prev, cur = _snapshots(spark, sf)
+    root = f"{ensure_checkpoint_dir(spark)}/index-{uuid.uuid4().hex}"
+    store = IndexStore(spark, f"{root}/index")
+    store.create(K.index_from_snapshots(None, prev))
+    D.diff_chunks(prev, cur).write.parquet(f"{root}/changes")
+    store.merge(spark.read.parquet(f"{root}/changes"))
+    return store.read().select("start_url", "id", "document", "metadata.url", "metadata.heading_path", "metadata.chunk_hash")
+
+
 @query("index_apply_counts")
 def index_apply_counts(spark, sf):
     return K.index_apply_counts(_changes(spark, sf))
