@@ -53,12 +53,25 @@ def test_coding_of_nothing_and_carried_columns(spark):
     assert piece_coding.encode_documents(docs, carry=("kind",)).select("doc_id", "kind", "n_tokens").collect() == [(1, 5, 4)]
 
 
+def test_documents_that_differ_between_readings(spark):
+    def noise(batches):
+        import os
+
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([os.urandom(8).hex() for _ in range(b.num_rows)])], names=["doc_id", "text"])
+
+    with pytest.raises(Exception, match="store them first"):
+        piece_coding.encode_documents(spark.range(40).mapInArrow(noise, "doc_id long, text string")).collect()
+
+
 def test_a_block_holds_each_chunk_once():
     coder, block = piece_coding.Segmenter(piece_coding.model_path()), piece_coding.Block()
     for t in ("to be or not to be", "", "be to  be"):
         block.add(t, coder.chunks(t))
-    rows, sizes, numbers = block.rows(4)
-    assert list(block.seen) == ["▁to", "▁be", "▁or", "▁not", "▁▁be"]
+    rows, (sizes, numbers) = block.parts(4), block.codes()
+    assert list(block.seen) == ["to", "be", "or", "not", "▁be"]
     assert sorted(n for _, part, _, _ in rows for n in piece_coding.unsqueeze(part)) == [0, 1, 2, 3, 4]
     assert piece_coding.unsqueeze(sizes).tolist() == [6, 0, 3] and len(piece_coding.unsqueeze(numbers)) == 9
 
