@@ -135,7 +135,7 @@ class Tree:
             if parent >= 0:
                 (self.right if is_right else self.left)[parent] = at
         self.root = 0 if self.letter else -1
-        self.nodes = np.array([self.letter, self.most, self.low, self.high, self.left, self.right], np.int64).reshape(6, -1)
+        self.nodes = np.array([self.letter, self.most, self.low, self.high, self.left, self.right], np.int32).reshape(6, -1)
         del self.letter, self.most, self.low, self.high, self.left, self.right
 
     @staticmethod
@@ -155,7 +155,7 @@ class Tree:
     def visit(self, counts: np.ndarray, up: int, down: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, leaf) of all boxes within ``up`` steps up and ``down`` steps down of the queries' counts."""
         query = np.arange(len(counts))
-        node = np.full(len(counts), self.root, np.int64)
+        node = np.full(len(counts), self.root, np.int32)
         ups, downs = np.zeros(len(counts), np.int32), np.zeros(len(counts), np.int32)
         queries, leaves = [], []
         while len(query):
@@ -166,7 +166,7 @@ class Tree:
                 query, node, ups, downs = query[~done], node[~done], ups[~done], downs[~done]
                 if not len(query):
                     break
-            letter, most, low, high, left, right = self.nodes[:, node]
+            letter, most, low, high, left, right = (column[node] for column in self.nodes)
             x = counts[query, letter]
             # the part of the distance that this letter has already
             was_up, was_down = np.maximum(low - x, 0), np.maximum(x - high, 0)
@@ -177,7 +177,7 @@ class Tree:
                                        np.concatenate([ups[a], r_up[b]]), np.concatenate([l_down[a], downs[b]]))
         if not queries:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(queries), np.concatenate(leaves)
+        return np.concatenate(queries), np.concatenate(leaves).astype(np.int64)
 
 
 #: A query of length L searches L, L + 1 and L - 1: (difference of length, steps up, steps down).
@@ -308,21 +308,24 @@ def _forms(words: list[str], length: int) -> tuple[np.ndarray, list[np.ndarray],
     return codes, packed, np.stack([large.sum(axis=1), (large * large).sum(axis=1)])
 
 
+def _bytes_set(x: np.ndarray) -> np.ndarray:
+    """How many of the eight bytes are not zero."""
+    x = x | (x >> np.uint64(4))
+    x |= x >> np.uint64(2)
+    x |= x >> np.uint64(1)
+    x &= np.uint64(0x0101010101010101)
+    return np.bitwise_count(x)
+
+
 def _one_replaced(a: list[np.ndarray], left: np.ndarray, b: list[np.ndarray], right: np.ndarray) -> np.ndarray:
     """Pairs that differ in exactly one byte."""
-    live, seen = np.arange(len(left)), np.zeros(len(left), bool)
+    live, seen = None, 0
     for x, y in zip(a, b, strict=True):
-        diff = x[left[live]] ^ y[right[live]]
-        some = diff != 0
-        lowest = diff & (~diff + np.uint64(1))
-        # the differing byte, moved down: only one byte differs if nothing is above it
-        shift = np.zeros(len(diff), np.uint64)
-        for k in (32, 16, 8):
-            shift += np.where((lowest >> shift) >= np.uint64(1) << np.uint64(k), np.uint64(k), np.uint64(0))
-        ok = ~(some & seen[live]) & ((diff >> shift) < 256)
-        seen[live[some]] = True
-        live = live[ok]
-    return live[seen[live]]
+        found = _bytes_set(x[left] ^ y[right]) + seen
+        keep = np.flatnonzero(found <= 1)
+        live, seen = (keep if live is None else live[keep]), found[keep]
+        left, right = left[keep], right[keep]
+    return live[seen == 1]
 
 
 def _one_inserted(short: np.ndarray, long: np.ndarray) -> np.ndarray:
