@@ -44,7 +44,7 @@ MARK = "▁"
 #: Characters of a block of documents; a longer document is a block of its own.
 BLOCK_CHARS = 32 << 20
 #: Characters of the corpus for each part of the distinct chunks.
-PART_CHARS = 16 << 20
+PART_CHARS = 32 << 20
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -256,7 +256,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, id_col: str = "d
              .mapInArrow(segment, "block long, digest binary, numbers binary, sizes binary, ids binary"))
     coded = docs.mapInArrow(codes, f"block long, kind int, digest binary, numbers binary, sizes binary, ids binary, owners {owned}")
     back = (found.select("block", F.lit(0).alias("kind"), "digest", "numbers", "sizes", "ids", F.lit(None).cast(owned).alias("owners")).union(coded)
-            .repartition(parts, "block").sortWithinPartitions("block", "kind"))
+            .repartition(2 * parts, "block").sortWithinPartitions("block", "kind"))
     spec = ", ".join(f"c{i} {docs.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(head)))
     out = back.mapInArrow(lay, f"{spec}, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(f", {n} {t}" for n, _, t in extra))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(head)], "n_tokens", "ids_sha256", "decoded_sha256", *[n for n, _, _ in extra])
