@@ -53,6 +53,21 @@ def join_on(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inne
     return left.join(ren, cond, how).drop(*[f"_r_{c}" for c in cols])
 
 
+def hot_keys(counted: DataFrame, count_col: str, total: int, most: int = 1024) -> DataFrame:
+    """Rows of a table of counts by key that hold more than 1 / ``most`` of ``total``: fewer than ``most`` rows, whatever the data."""
+    return counted.where(F.col(count_col) * F.lit(most) > F.lit(total))
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, row: list[str], how: str = "inner", salts: int = 64) -> DataFrame:
+    """Equi-join that deals the left rows of ``hot`` keys (see :func:`hot_keys`) over ``salts`` sub-keys by ``row``; right rows are repeated there."""
+    mark = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*row), F.lit(salts)).cast("int")).otherwise(0)
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    dealt = left.join(mark, keys, "left").withColumn("_salt", salt).drop("_hot")
+    copied = right.join(mark, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
+
+
 def prefix_sum(df: DataFrame, keys: list[str], bucket: str, order: list, value: Column, out: str) -> DataFrame:
     """Exclusive prefix sum of ``value`` within ``keys`` in the order (bucket, order).
 

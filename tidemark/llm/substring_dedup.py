@@ -6,9 +6,11 @@ its K-byte strings; windows in a row with one leader form a segment.  Equal
 windows have equal leaders at equal places, so:
 
 1. Segments of all texts are listed (places and hashes only).  Segments whose
-   leader occurs once hold no repeated window and go.
-2. Segments of one leader go to one shard, each distinct content at most
-   twice, and every shard sorts the suffixes of its segments (see suffix.py:
+   leader occurs once hold no repeated window and go.  Contents are told apart
+   by XXH3 hashes of all their bytes (64 bits, besides the leader's hash).  The
+   only content of a leader needs no sorting: all its windows are repeated.
+2. Other segments of one leader go to one shard, each distinct content once
+   (one that occurs again is repeated throughout), and every shard sorts the suffixes of its segments (see suffix.py:
    induced sorting, disk-backed queues in the shared folder, common-prefix
    values).  A window is repeated exactly if its suffix shares LENGTH bytes
    with a neighbour in that order.  A segment holds no window of another one,
@@ -36,10 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, join_on, shared_folder, stored
+from .common import discard, hot_keys, join_on, shared_folder, spread_join, stored
 from .shingles import _BYTES, _DOWN, _UP, PIECE, mix
 from .suffix import Files, Induction
 
@@ -53,16 +56,16 @@ _LOW = np.uint64((1 << 22) - 1)
 KEY = ["fp", "sh"]
 
 
-def _hashed(raw: np.ndarray, leader: int) -> tuple[np.ndarray, np.ndarray]:
-    """Running sums of the bytes, and hashes of the strings of ``leader`` bytes."""
+def _hashed(raw: np.ndarray, leader: int) -> np.ndarray:
+    """Rolling hashes of the strings of ``leader`` bytes: they choose leaders and groups, where a collision costs time only."""
     m = len(raw) - leader + 1
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[raw] * _UP[:len(raw)], dtype=np.uint64)])
-    return sums, mix((sums[leader:] - sums[:m]) * _DOWN[:m])
+    return mix((sums[leader:] - sums[:m]) * _DOWN[:m])
 
 
 def leader_place(raw: bytes, length: int, leader: int) -> int:
     """Where the leader stands in a segment; all its windows hold the first one's."""
-    return int((_hashed(np.frombuffer(raw, np.uint8, length), leader)[1] & ~_LOW).argmin())
+    return int((_hashed(np.frombuffer(raw, np.uint8, length), leader) & ~_LOW).argmin())
 
 
 def segments(raw: np.ndarray, ends: np.ndarray, length: int, leader: int) -> tuple[np.ndarray, ...]:
@@ -74,7 +77,7 @@ def segments(raw: np.ndarray, ends: np.ndarray, length: int, leader: int) -> tup
     if n < length:
         return none
     m = n - leader + 1
-    sums, hashes = _hashed(raw, leader)
+    hashes = _hashed(raw, leader)
     key = (hashes & ~_LOW) | np.arange(m, dtype=np.uint64)  # equal hashes: the first place leads
     wide = length - leader + 1
     blocks = -(-m // wide)
@@ -95,7 +98,8 @@ def segments(raw: np.ndarray, ends: np.ndarray, length: int, leader: int) -> tup
     limit = np.append(first[1:], windows)
     limit = np.minimum(limit, ends[doc[first]] - length + 1)
     stop = limit - 1 + length
-    content = mix((sums[stop] - sums[first]) * _DOWN[first] + (stop - first).astype(np.uint64))
+    bytes_ = memoryview(raw)
+    content = np.fromiter((xxhash.xxh3_64_intdigest(bytes_[a:b]) for a, b in zip(first.tolist(), stop.tolist(), strict=True)), np.uint64, len(first))
     return doc[first], first - begins[doc[first]], limit - first, hashes[lead[first]], content
 
 
@@ -194,8 +198,8 @@ def divided(contents: DataFrame, length: int, leader: int, group_bytes: int) ->
     core, done = leader, []
     while core < length:
         pieces, core = stored(_halves(rest, length, core), "pieces"), core + (length - core + 1) // 2
-        distinct = pieces.groupBy("key", "h").agg(F.least(F.sum("times"), F.lit(2)).alias("times"), F.first("own").alias("own"))
-        sizes = distinct.groupBy("key").agg(F.sum((F.col("own") + length) * F.col("times")).alias("bytes"))
+        distinct = pieces.groupBy("key", "h").agg(F.first("own").alias("own"))
+        sizes = distinct.groupBy("key").agg(F.sum(F.col("own") + length).alias("bytes"))
         hot = stored(sizes.where(F.col("bytes") > group_bytes).select("key"), "hot-pieces")  # at most one per ``group_bytes`` of the data
         if core >= length or hot.isEmpty():
             return [*done, (pieces, None)]
@@ -213,45 +217,48 @@ def _cool(tables: list, *cols: str) -> DataFrame:
 def repeated_windows(contents: DataFrame, shards: int, length: int, folder: str, queue_bytes: int = QUEUE_BYTES, base: int = 1 << 23) -> DataFrame:
     """fp, sh, runs (first and last+1 repeated window of the segment), by suffix sorting in shards."""
     def run(batches):
-        seen, parts, owns, keys = set(), [], [], []
+        seen, parts, owns, keys, several = set(), [], [], [], []
         for batch in batches:
             for fp, sh, own, times, raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if (fp, sh) not in seen:  # rows that agree in id and text bring a segment again
                     seen.add((fp, sh))
-                    parts.append((raw, times))
+                    parts.append(raw)
                     owns.append(own)
                     keys.append((fp, sh))
-        count = Counter()
-        for (fp, _), (_, times) in zip(keys, parts, strict=True):
-            count[fp] += times
-        several = [i for i, (fp, _) in enumerate(keys) if count[fp] > 1]  # a lone piece of a divided leader repeats nothing
-        parts, owns, keys = ([x[i] for i in several] for x in (parts, owns, keys))
-        if not parts:
-            return
-        size = sum((len(r) + 1) * t for r, t in parts)
-        text, starts, at = np.empty(size + 1, np.uint16), [], 0
-        for raw, times in parts:
-            starts.append(at)
-            for _ in range(times):
+                    several.append(times > 1)
+        kinds = Counter(fp for fp, _ in keys)
+        out = {"fp": [], "sh": [], "runs": []}
+
+        def add(key, run_edges):
+            for k, v in zip(out, (*key, run_edges), strict=True):
+                out[k].append(v)
+
+        for key, own, again in zip(keys, owns, several, strict=True):
+            if again:  # every window of it is repeated
+                add(key, [0, own])
+        # the only content of its leader meets no other one
+        open_ = [i for i, (fp, _) in enumerate(keys) if kinds[fp] > 1]
+        parts, owns, keys, several = ([x[i] for i in open_] for x in (parts, owns, keys, several))
+        if not all(several):
+            text, starts, at = np.empty(sum(len(r) + 1 for r in parts) + 1, np.uint16), [], 0
+            for raw in parts:
+                starts.append(at)
                 text[at:at + len(raw)] = np.frombuffer(raw, np.uint8)
                 text[at:at + len(raw)] += 2
                 at += len(raw)
                 text[at] = 1  # no text goes on here
                 at += 1
-        text[at] = 0
-        del parts, seen
-        files = Files(folder)
-        try:
-            again = Induction(length, files, queue_bytes, base).repeated(text)
-        finally:
-            files.close()
-        out = {"fp": [], "sh": [], "runs": []}
-        for (fp, sh), a, own in zip(keys, starts, owns, strict=True):
-            hit = again[a:a + own]
-            if hit.any():
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
-                for k, v in zip(out, (fp, sh, edge.tolist()), strict=True):
-                    out[k].append(v)
+            text[at] = 0
+            del parts, seen
+            files = Files(folder)
+            try:
+                hits = Induction(length, files, queue_bytes, base).repeated(text)
+            finally:
+                files.close()
+            for key, a, own, again in zip(keys, starts, owns, several, strict=True):
+                hit = hits[a:a + own]
+                if not again and hit.any():
+                    add(key, np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))).tolist())
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("fp", pa.int64()), ("sh", pa.int64()), ("runs", pa.list_(pa.int32()))]))
 
     return contents.repartition(shards, "fp").mapInArrow(run, "fp long, sh long, runs array<int>")
@@ -261,31 +268,37 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, leader: int = LEADER,
                    queue_bytes: int = QUEUE_BYTES, base: int = 1 << 23, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(doc_id, th, text) -> doc_id, th, found: places and repeated windows of its segments, for texts that have any."""
     every = stored(segment_table(texts, length, leader), "segments")
-    again = every.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
-    listed = stored(every.join(again, "fp", "left_semi"), "repeated-leaders")
+    leaders = stored(every.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "repeated-leaders")
+    total = every.count()
+    listed = stored(spread_join(every, leaders.select("fp"), ["fp"], hot_keys(leaders, "c", total), ["doc_id", "a"], "left_semi"), "repeated-segments")
     discard(every)
-    groups = stored(listed.groupBy("fp", "sh").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "a", "own")).alias("rep")), "distinct-segments")
-    sizes = stored(groups.groupBy("fp").agg(F.sum((F.col("rep.own") + length) * F.least("n", F.lit(2))).alias("bytes")), "leaders")
+    distinct = stored(listed.groupBy("fp", "sh").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "a", "own")).alias("rep")), "distinct-segments")
+    sizes = stored(distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("rep.own") + length).alias("bytes")), "leaders")
+    # the only content of a leader: all its windows are repeated, and no other segment has any of them
+    groups = stored(spread_join(distinct, sizes, ["fp"], hot_keys(sizes, "kinds", distinct.count()), ["sh"]), "sized-segments")
+    alone = groups.where("kinds = 1").select("fp", "sh", F.array(F.lit(0), F.col("rep.own")).alias("runs"))
+    contested, sizes = groups.where("kinds > 1"), sizes.where("kinds > 1")
     size = sizes.where(F.col("bytes") <= group_bytes).agg(F.sum("bytes")).first()[0] or 0
     hot, tables = sizes.where(F.col("bytes") > group_bytes).select("fp"), []  # at most one per ``group_bytes`` of the data
-    contents = _contents(groups, texts, length)
+    contents = _contents(contested, texts, length)
     if not hot.isEmpty():
-        tables = divided(_contents(groups.join(F.broadcast(hot), "fp", "left_semi"), texts, length, leader), length, leader, group_bytes)
+        tables = divided(_contents(contested.where(F.col("bytes") > group_bytes), texts, length, leader), length, leader, group_bytes)
         pieces = _cool(tables, "key", "h", "own", "times", "raw").groupBy("key", "h")
         pieces = pieces.agg(F.first("own").alias("own"), F.least(F.sum("times"), F.lit(2)).cast("int").alias("times"), F.first("raw").alias("raw"))
         size += _cool(tables, "own").agg(F.sum(F.col("own") + length)).first()[0] or 0
-        contents = _contents(groups.join(F.broadcast(hot), "fp", "left_anti"), texts, length).union(pieces)
+        contents = _contents(contested.where(F.col("bytes") <= group_bytes), texts, length).union(pieces)
     runs = repeated_windows(contents, max(1, -(-size // shard_bytes)), length,
                             shared_folder(texts.sparkSession, "suffix-queues"), queue_bytes, base)
-    runs = stored(runs, "repeated-windows")
+    runs = stored(runs.union(alone), "repeated-windows")
     if tables:
         # rows that agree in id and text bring a piece again
         places = _cool(tables, "fp", "sh", "off", "key", "h").distinct().select(F.col("fp").alias("_fp"), F.col("sh").alias("_sh"), "off", F.col("key").alias("fp"), F.col("h").alias("sh"))
         found = places.join(runs, KEY).select("_fp", "_sh", F.transform("runs", lambda x: x + F.col("off")).alias("runs"))
         runs = stored(runs.union(found), "repeated-windows")
         discard(*(t for t, _ in tables))
-    discard(groups, sizes)
-    return listed.join(runs, KEY).groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "runs")).alias("found"))  # bounded by the text's own length
+    often = stored(hot_keys(groups, "n", total).select(*KEY), "frequent-segments")
+    discard(distinct, groups)
+    return spread_join(listed, runs, KEY, often, ["doc_id", "a"]).groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "runs")).alias("found"))  # bounded by the text's own length
 
 
 def merged_spans(found: list[dict], length: int) -> list[tuple[int, int]]:
