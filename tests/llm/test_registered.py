@@ -96,6 +96,8 @@ def test_op8(spark):
 
 def test_op5_rows(spark):
     rows = REGISTRY["op5_toxicity_crf"](spark, SF_SMALL).collect()
-    assert len(rows) == len(_documents(spark))
+    docs = dict(_documents(spark))
+    assert len(rows) == len(docs)
     for r in rows:
+        assert all(docs[r.doc_id][s.start:s.end].strip() and s.p >= 0.5 for s in r.spans)
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)

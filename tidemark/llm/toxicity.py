@@ -24,17 +24,21 @@ import math
 import re
 import warnings
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import discard, stored
+
 #: Bounds of the training sample: documents of each label, and the longest text used to learn from.
 SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 20_000
+#: Characters of the sample's texts, in all, for each label: what training holds in memory is bounded by it.
+SAMPLE_TOTAL = 16 << 20
 #: Segments of SEGMENT words that the chain is fitted to at most.
 SEGMENTS = 25_000
 THRESHOLD = 0.3
@@ -55,33 +59,88 @@ def beginnings(word: str) -> list[str]:
     return [word, *(word[:n] + "-" for n in (4, 5) if len(word) > n)]
 
 
-def toxic_terms(texts: list[list[str]], labels: list[int], least_docs: int = 3, least_odds: float = 1.0, errors: float = 2.0) -> set[str]:
-    """Words and beginnings that toxic documents use more: the log-odds of their document counts for the
-    words read, less ``errors`` times their standard error, reach ``least_odds``."""
-    df = (Counter(), Counter())
-    for words, y in zip(texts, labels, strict=True):
-        df[y].update({b for w in set(words) for b in beginnings(w)})
-    n = [max(1, sum(len(t) for t, y in zip(texts, labels, strict=True) if y == v)) for v in (0, 1)]
+class Sample:
+    """Coded texts: each word is a row of two tables, its hashed features and the numbers of its beginnings."""
+
+    def __init__(self, texts: list[np.ndarray], labels: list[int], features: np.ndarray, begins: np.ndarray):
+        self.texts, self.labels, self.features, self.begins = texts, labels, features, begins
 
-    def sure(c, k):
-        odds = math.log((c + 0.5) / n[1]) - math.log((k + 0.5) / n[0])
-        return odds - errors * math.sqrt(1 / (c + 0.5) + 1 / (k + 0.5)) >= least_odds
+    def part(self, which: list[int]) -> Sample:
+        return Sample([self.texts[i] for i in which], [self.labels[i] for i in which], self.features, self.begins)
 
-    return {t for t, c in df[1].items() if c >= least_docs and sure(c, df[0][t])}
 
+def code_words(texts: Iterator[str], ids: dict[str, int]) -> Iterator[np.ndarray]:
+    """Each text as 64-bit hashes of its words; ``ids`` gathers them."""
+    for text in texts:
+        words = WORD.findall(text.lower())
+        for w in set(words) - ids.keys():
+            ids[w] = xxhash.xxh3_64_intdigest(w)
+        yield np.fromiter(map(ids.__getitem__, words), np.uint64, len(words))
 
-def without_copies(texts: list[list[str]], labels: list[int]) -> tuple[list[list[str]], list[int]]:
+
+def coded_sample(sample: DataFrame) -> Sample:
+    """The sample (i, t, y) in arrays; its words never reach the driver, only their codes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: dict[str, int] = {}
+        for batch in batches:
+            keys, known = batch.column(0).to_pylist(), len(ids)
+            texts = list(code_words(batch.column(1).to_pylist(), ids))
+            fresh = list(ids)[known:]
+            told = [np.array((features(w) + [FEATURES] * 4)[:4], "<i4").tobytes() for w in fresh]
+            begun = [np.array(([xxhash.xxh3_64_intdigest(b) for b in beginnings(w)] + [0, 0])[:3], "<u8").tobytes() for w in fresh]
+            n, m = len(keys), len(fresh)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys + [None] * m, pa.string()), pa.array(batch.column(2).to_pylist() + [None] * m, pa.int32()), pa.array([t.astype("<u8").tobytes() for t in texts] + [None] * m, pa.binary()),
+                 pa.array([None] * n + [ids[w] - (1 << 63) for w in fresh], pa.int64()), pa.array([None] * n + told, pa.binary()), pa.array([None] * n + begun, pa.binary())],
+                names=["i", "y", "words", "id", "features", "begins"])
+
+    coded = stored(sample.select(F.col("i").cast("string"), "t", F.col("y").cast("int")).mapInArrow(run, "i string, y int, words binary, id long, features binary, begins binary"), "coded-sample")
+    words = coded.where("id is not null").dropDuplicates(["id"]).select("id", "features", "begins").orderBy("id").toArrow()  # bounded by the sample
+    docs = coded.where("i is not null").select("i", "y", "words").toArrow().to_pylist()
+    discard(coded)
+    docs.sort(key=lambda r: (zlib.crc32(r["i"].encode()), r["i"]))
+    known = words.column("id").to_numpy()
+    begins = np.frombuffer(b"".join(words.column("begins").to_pylist()), "<u8").reshape(-1, 3)
+    _, numbered = np.unique(np.append(begins.ravel(), 0), return_inverse=True)  # 0 stands for no beginning, and comes first
+    texts = [np.searchsorted(known, (np.frombuffer(r["words"], "<u8") ^ np.uint64(1 << 63)).view(np.int64)).astype(np.int32) for r in docs]
+    return Sample(texts, [r["y"] for r in docs], np.frombuffer(b"".join(words.column("features").to_pylist()), "<i4").reshape(-1, 4),
+                  numbered[:-1].reshape(-1, 3).astype(np.int32))
+
+
+def toxic_terms(sample: Sample, least_docs: int = 3, least_odds: float = 1.0, errors: float = 2.0) -> np.ndarray:
+    """Which beginnings (a flag for each number) toxic documents use more: the log-odds of their document counts for the
+    words read, less ``errors`` times their standard error, reach ``least_odds``."""
+    many = int(sample.begins.max(initial=0)) + 1
+    df, n = np.zeros((2, many), np.int64), [1, 1]
+    for words, y in zip(sample.texts, sample.labels, strict=True):
+        df[y, np.unique(sample.begins[np.unique(words)])] += 1
+        n[y] += len(words)
+    c, k = df[1] + 0.5, df[0] + 0.5
+    odds = np.log(c) - math.log(n[1]) - np.log(k) + math.log(n[0])
+    flags = (df[1] >= least_docs) & (odds - errors * np.sqrt(1 / c + 1 / k) >= least_odds)
+    flags[0] = False
+    return flags
+
+
+def without_copies(sample: Sample) -> Sample:
     """One text of each group of copies (most near copies too): texts whose two least five-word hashes agree.
 
     Words of a text that was copied often would otherwise look like words of many texts.
     """
     seen, kept = set(), []
-    for i, t in enumerate(texts):
-        runs = sorted({zlib.crc32(" ".join(t[k:k + 5]).encode()) for k in range(max(1, len(t) - 4))})
-        if (key := (labels[i], *runs[:2])) not in seen:
+    turns = np.random.default_rng(3).integers(1, 1 << 63, 5, dtype=np.uint64)
+    for i, t in enumerate(sample.texts):
+        t = t.astype(np.uint64) + np.uint64(1)
+        m = max(1, len(t) - 4)
+        runs = np.zeros(m, np.uint64)
+        for j in range(5):
+            part = t[j:j + m] * turns[j]
+            runs[:len(part)] += part
+        runs = np.unique(runs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16))
+        if (key := (sample.labels[i], *runs[:2].tolist())) not in seen:
             seen.add(key)
             kept.append(i)
-    return [texts[i] for i in kept], [labels[i] for i in kept]
+    return sample.part(kept)
 
 
 class Chain:
@@ -151,31 +210,28 @@ def _recur(m11, m12, m21, m22) -> np.ndarray:
     return out.T.reshape(-1)[:n]
 
 
-def fit_chain(texts: list[list[str]], labels: list[int], rounds: int = 40, rate: float = 0.5, penalty: float = 1e-3) -> Chain:
+def fit_chain(sample: Sample, rounds: int = 40, rate: float = 0.5, penalty: float = 1e-3) -> Chain:
     """Chain fitted to token labels derived from document labels."""
-    terms = toxic_terms(texts, labels)
-    toxic = {}
+    toxic = toxic_terms(sample)[sample.begins].any(axis=1)
     rows, tags = [], []
-    for words, y in zip(texts, labels, strict=True):
-        t = [toxic.setdefault(w, any(b in terms for b in beginnings(w))) and y == 1 for w in words]
+    for words, y in zip(sample.texts, sample.labels, strict=True):
+        t = toxic[words] & (y == 1)
         for at in range(0, len(words), SEGMENT):
-            if y == 0 or any(t[at:at + SEGMENT]):
+            if y == 0 or t[at:at + SEGMENT].any():
                 rows.append(words[at:at + SEGMENT])
                 tags.append(t[at:at + SEGMENT])
     rows, tags = rows[:SEGMENTS], tags[:SEGMENTS]
-    table = {w: features(w) for r in rows for w in r}
-    ids = {w: i for i, w in enumerate(table)}
+    if not rows:  # texts without words
+        return Chain(np.zeros(FEATURES), np.ones((2, 2)), -3.0)
+    used, x_flat = np.unique(np.concatenate(rows), return_inverse=True)
     width = 4
-    feats = np.full((len(table) + 1, width), FEATURES, np.int64)
-    for w, i in ids.items():
-        feats[i, :len(table[w])] = table[w]
+    feats = np.concatenate([sample.features[used], np.full((1, width), FEATURES)]).astype(np.int64)
     n = len(rows)
-    x = np.full((n, SEGMENT), len(table), np.int64)
-    y = np.zeros((n, SEGMENT))
     size = np.array([len(r) for r in rows])
-    for k, (r, t) in enumerate(zip(rows, tags, strict=True)):
-        x[k, :len(r)] = [ids[w] for w in r]
-        y[k, :len(r)] = t
+    x = np.full((n, SEGMENT), len(used), np.int64)
+    y = np.zeros((n, SEGMENT))
+    inside = np.arange(SEGMENT) < size[:, None]
+    x[inside], y[inside] = x_flat, np.concatenate(tags)
     mask = np.arange(SEGMENT) < size[:, None]
     y_next = y[:, 1:]
     both = mask[:, 1:]
@@ -228,12 +284,13 @@ def fit_chain(texts: list[list[str]], labels: list[int], rounds: int = 40, rate:
     return Chain(weights[:FEATURES], np.exp(moves), start)
 
 
-def fit_rule(chain: Chain, texts: list[list[str]], labels: list[int], rounds: int = 300) -> None:
+def fit_rule(chain: Chain, sample: Sample, rounds: int = 300) -> None:
     """Logistic rule from the marginals' maximum and sum to the document label."""
+    texts, labels = sample.texts, sample.labels
     doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    words = [w for t in texts for w in t]
     first = np.append(True, doc[1:] != doc[:-1]) if len(doc) else np.zeros(0, bool)
-    p = chain.marginals(chain.emissions(words), first)
+    weight = np.clip(np.append(chain.weights, 0.0)[sample.features].sum(axis=1), -30, 30)
+    p = chain.marginals(weight[np.concatenate(texts)], first)
     most, total = np.full(len(texts), 1e-6), np.zeros(len(texts))
     np.maximum.at(most, doc, np.clip(p, 1e-6, 1 - 1e-6))
     np.add.at(total, doc, np.where(p > 0.05, p, 0.0))
@@ -250,26 +307,32 @@ def fit_rule(chain: Chain, texts: list[list[str]], labels: list[int], rounds: in
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Chain | None:
-    """Fit on at most ``sample_rows`` documents per label, chosen by a hash of the id, of at most ``sample_chars``."""
+          sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS, sample_total: int = SAMPLE_TOTAL) -> Chain | None:
+    """Fit on at most ``sample_rows`` documents per label, chosen by a hash of the id, of at most ``sample_chars`` and ``sample_total`` in all."""
     order = F.md5(F.col(id_col).cast("string"))
     known = labels.where(may_learn).where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("_y"))
     texts = docs.select(id_col, text_col).where(F.length(text_col).between(1, sample_chars))
-    usable = known.join(texts.select(id_col), id_col, "left_semi")
+    sizes = texts.groupBy(id_col).agg(F.max(F.length(text_col)).alias("_n"))
+    usable = known.join(sizes, id_col)
     picked = usable.where("_y = 1").orderBy(order, id_col).limit(sample_rows).unionByName(usable.where("_y = 0").orderBy(order, id_col).limit(sample_rows))
-    sample = texts.join(F.broadcast(picked), id_col)
-    rows = sample.dropDuplicates([id_col]).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), "_y").collect()  # bounded by the sample
-    rows.sort(key=lambda r: (zlib.crc32(str(r["i"]).encode()), r["i"]))
-    y = [int(r["_y"]) for r in rows]
-    if not 0 < sum(y) < len(y):
-        unused = {r["_y"] for r in known.select("_y").distinct().collect()} - set(y)
+    rows, held = [], {0: 0, 1: 0}
+    for r in picked.withColumn("_o", order).orderBy("_o", id_col).collect():  # ids, bounded by the sample
+        held[r["_y"]] += r["_n"]
+        if held[r["_y"]] <= sample_total:
+            rows.append((r[id_col], r["_y"]))
+    y = {v for _, v in rows}
+    if y != {0, 1}:
+        unused = {r["_y"] for r in known.select("_y").distinct().collect()} - y
         if unused:
             warnings.warn(f"no text of 1 to {sample_chars} characters has label {sorted(unused)}: every score is 0", stacklevel=2)
         return None
-    texts, y = without_copies([WORD.findall(r["t"].lower()) for r in rows], y)
+    chosen = docs.sparkSession.createDataFrame(rows, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, y int")
+    sample = texts.join(F.broadcast(chosen), id_col).groupBy(F.col(id_col).alias("i")).agg(F.min(text_col).alias("t"), F.max("y").alias("y"))
+    sample = without_copies(coded_sample(sample))
     # the document rule is fitted on rows that the chain was not fitted on
-    chain = fit_chain(texts[::2] + texts[1::4], y[::2] + y[1::4])
-    fit_rule(chain, texts[3::4], y[3::4]) if 0 < sum(y[3::4]) < len(y[3::4]) else fit_rule(chain, texts, y)
+    n = range(len(sample.texts))
+    chain, rule = fit_chain(sample.part([*n[::2], *n[1::4]])), sample.part([*n[3::4]])
+    fit_rule(chain, rule if {0, 1} <= set(rule.labels) else sample)
     return chain
 
 
@@ -335,6 +398,6 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted for every document."""
-    scored = score_documents(docs, train(docs, labels, ~held_out()))
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    """doc_id, held_out, score, predicted and the offending spans for every document."""
+    scored = score_documents(docs, train(docs, labels, ~held_out()), spans=True)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "spans")
