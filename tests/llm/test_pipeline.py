@@ -98,3 +98,20 @@ def test_empty_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in cp.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_rows_that_differ_in_places_of_nulls(spark, folder, tmp_path):
+    """Nulls, names that the stages use themselves, arrays: no row is taken for another one."""
+    rows = [(None, None, "hello", "a", 1, "x", [None, "p"]), (None, "hello", None, "a", 1, "x", [None, "p"]), (None, "hello b", None, "a", None, "x", ["p", None]),
+            (None, "hello b", "a", None, None, "x", ["p", None]), (5, "hello five", "en", "a", 1, None, None), (5, "hello six", "en", "a", 1, None, [])]
+    docs = _run(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _key1 long, _toxicity string, _Times array<string>"), tmp_path, "docs")
+    assert Counter(map(str, cp.without_copies(spark, docs, folder).collect())) <= Counter(map(str, docs.collect()))
+    assert sorted(r.text or "" for r in cp.without_copies(spark, docs, folder).collect()) == ["", "hello", "hello b", "hello five", "hello six"]
+    for _, stage in cp.STAGES[:-1]:
+        kept = stage(spark, docs, folder)
+        assert kept.columns == docs.columns
+        if stage is not cp.without_copies:
+            assert {str(r) for r in kept.collect()} <= {str(r) for r in docs.collect()}
+    keyed, key = cp._keyed(docs)
+    assert key == ("__key1", "_key2") and keyed.select(*key).distinct().count() == 6
+    assert cp.without_toxic(spark, docs, folder).count() == 6
