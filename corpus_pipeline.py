@@ -2,14 +2,17 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next one's docs.  All but the last return the
-columns of documents; rows are told apart by hashes of all their columns, so
-null or repeated ids and further columns do no harm.
+columns of documents.  Rows are told apart by two hashes of all their columns in
+which a null counts as a value of its own, so null or repeated ids and further
+columns, whatever their names, do no harm; rows equal in every column are one row
+with its copies.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import block_naming, jaccard, mixing, packing, toxicity
 from tidemark.llm.common import stored, table
@@ -17,45 +20,70 @@ from tidemark.llm.common import stored, table
 #: No SQL: toxicity is a trained model and packing a combinatorial plan; tests/llm hold the stages against plain versions.
 ORACLE_SQL = None
 
-KEY = ("_key1", "_key2")
+def _fresh(docs: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, with underscores before them as long as a column has that name."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name in taken:
+            name = "_" + name
+        taken.add(name)
+        out.append(name)
+    return tuple(out)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """With two independent hashes of the whole row: rows that agree in both are equal."""
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.withColumns({KEY[0]: F.xxhash64(*cols), KEY[1]: F.xxhash64(F.lit(1), *cols)})
+def _value(docs: DataFrame, name: str) -> Column:
+    """A column as something whose hash sees every null in it."""
+    col = F.col(f"`{name}`")
+    return col if isinstance(docs.schema[name].dataType, T.AtomicType) else F.to_json(F.struct(col.alias("v")), {"ignoreNullFields": "false"})
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, tuple[str, str]]:
+    """With two independent hashes of the whole row, and their names: rows that agree in both are equal."""
+    key = _fresh(docs, "_key1", "_key2")
+    cols = [x for c in docs.columns for x in (F.isnull(F.col(f"`{c}`")), _value(docs, c))]
+    return docs.withColumns({key[0]: F.xxhash64(*cols), key[1]: F.xxhash64(F.lit(1), *cols)}), key
+
+
+def _plain(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def _only(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows with the given keys, one of each."""
-    return _keyed(docs).join(keys, list(KEY)).dropDuplicates(list(KEY)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed, key = _keyed(docs)
+    return keyed.join(keys, list(key)).dropDuplicates(list(key)).select(*_plain(docs))
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold."""
+    (score,) = _fresh(docs, "_toxicity")
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
-    scored = toxicity.score_documents(docs, chain, carry=tuple(docs.columns), score_col="_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = toxicity.score_documents(docs, chain, carry=tuple(docs.columns), score_col=score)
+    return scored.where(F.col(score) < toxicity.THRESHOLD).select(*_plain(docs))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the row with the largest doc_id."""
-    found = block_naming.exact_duplicates(_keyed(docs), carry=KEY)
-    return _only(docs, found.where("kept").select(*KEY))
+    keyed, key = _keyed(docs)
+    found = block_naming.exact_duplicates(keyed, carry=key)
+    return _only(docs, found.where("kept").select(*key))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that n-gram links connect the one with the smallest doc_id; texts without words stay."""
-    found = stored(jaccard.link_components(_keyed(docs), carry=KEY), "near-copies")
-    first = found.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc_id", *KEY)).alias("k")).select(*[F.col(f"k.{c}") for c in KEY])
-    return _only(docs, first.union(found.where("comp is null").select(*KEY)).distinct())
+    keyed, key = _keyed(docs)
+    found = stored(jaccard.link_components(keyed, carry=key), "near-copies")
+    first = found.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc_id", *key)).alias("k")).select(*[F.col(f"k.{c}") for c in key])
+    return _only(docs, first.union(found.where("comp is null").select(*key)).distinct())
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as systematic sampling takes it."""
-    taken = mixing.mix(_keyed(docs), carry=KEY).where("copies > 0").groupBy(*KEY).agg(F.sum("copies").cast("int").alias("_copies"))
-    rows = _keyed(docs).join(taken, list(KEY)).dropDuplicates(list(KEY))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed, key = _keyed(docs)
+    times, copy = _fresh(keyed, "_times", "_copy")
+    taken = mixing.mix(keyed, carry=key).where("copies > 0").groupBy(*key).agg(F.sum("copies").cast("int").alias(times))
+    rows = keyed.join(taken, list(key)).dropDuplicates(list(key))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*_plain(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
