@@ -50,14 +50,14 @@ def extract_pages(raw: DataFrame, html_col: str = "raw_html",
         s3 = s1.select("*", normalize(F.coalesce(_python_extractor(extractor)(F.col(html_col)), F.lit("")))
                        .alias("_md"))
     # the fallback goes through the same stages, on the code-free page where the main content is empty
-    s3 = s3.select("*", F.when(F.col("_md") == "", H.tags_to_markdown("_code")).alias("_whole"))
+    s3 = s3.select("*", F.when(F.col("_md") == "", H.tags_to_markdown("_code", links=True)).alias("_whole"))
     s3 = s3.select("*", H.decode_entities("_whole").alias("_whole_text"))
     s4 = s3.select("*", F.when(F.col("_md") == "", H.finish_markdown("_whole_text")).otherwise(F.col("_md")).alias("markdown"))
     return s4.select(
         "url",
         H.page_title(F.col(html_col), F.col("markdown")).alias("title"),
         "markdown",
-        sha256_hex("markdown").alias("content_hash"),
+        sha256_hex(H.normalized_markdown("markdown")).alias("content_hash"),
         "fetched_at",
         F.col("status").cast("int").alias("status"),
         F.col("depth").cast("int").alias("depth"),

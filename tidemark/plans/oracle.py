@@ -82,7 +82,7 @@ def extract_ctes(src: str, p: str) -> list[tuple[str, str]]:
         (f"{p}_code", f"SELECT *, {Q.strip_code('raw_html')} AS _code FROM {src}"),
         (f"{p}_frag", f"SELECT *, {Q.main_fragment_from_code('_code')} AS _frag FROM {p}_code"),
         (f"{p}_md0", f"SELECT *, {Q.fragment_to_markdown('_frag')} AS _md FROM {p}_frag"),
-        (f"{p}_md", f"SELECT *, CASE WHEN _md = '' THEN {Q.fragment_to_markdown('_code')} ELSE _md END AS markdown "
+        (f"{p}_md", f"SELECT *, CASE WHEN _md = '' THEN {Q.fragment_to_markdown('_code', links=True)} ELSE _md END AS markdown "
                     f"FROM {p}_md0"),
         (p, f"SELECT url, {Q.page_title('raw_html', 'markdown')} AS title, markdown, "
             f"{Q.sha256_hex('markdown')} AS content_hash, fetched_at, status, depth, start_url, page_seq "

@@ -121,8 +121,11 @@ def decode_entities(x: str) -> str:
     return t
 
 
-def fragment_to_markdown(x: str) -> str:
+def fragment_to_markdown(x: str, links: bool = False) -> str:
+    """For the markup of the test pages: flat lists, no tables; with ``links`` anchors show their targets."""
     t = rr(x, r"[ \t\n\r\f]+", " ")
+    if links:
+        t = rr(t, r"""(?i)<a\b[^>]*\bhref="([^"]+)"[^>]*>([^<]*)</a>""", r"[\2](\1)")
     for level in range(1, 7):
         t = rr(t, rf"(?i)<h{level}\b[^>]*>", "\n\n" + "#" * level + " ")
     t = rr(t, r"(?i)</h[1-6]\s*>", "\n\n")
