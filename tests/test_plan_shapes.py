@@ -29,16 +29,25 @@ def test_scan_reads_only_needed_columns(spark):
     assert "l_extendedprice" not in led and "PushedFilters: [IsNotNull(l_discount), LessThan(l_discount,0.1)]" in led
 
 
-def test_walk_has_one_numbering_at_any_cap(spark):
-    """Numbering goes by range partitions whatever the cap is, never by a window over a whole site."""
-    store = X._LevelStore(spark)
-    sites = store.put(X.site_globs(I.crawl_sites(spark, SF_SMALL)).withColumn("respect_robots", F.lit(True)), "sites")
-    front = I.crawl_pages(spark, SF_SMALL).select("start_url", "url", F.lit(1).alias("depth"),
-                                                  F.struct(F.col("page_id").alias("seq"), F.lit(0).alias("pos")).alias("rank"))
-    for cap in (5, None):
-        counts = sites.select("start_url", F.lit(cap).cast("long").alias("max_pages"), F.lit(0).cast("long").alias("n"))
-        p = plan(X._fetch_level(front, I.crawl_responses(spark, SF_SMALL), sites, None, counts, store))
-        assert "WindowGroupLimit" not in p and "_pid" in p
+def test_pages_are_numbered_by_range_partitions(spark):
+    """Never by a window over a whole site."""
+    pages = I.crawl_pages(spark, SF_SMALL).select("start_url", "url", F.struct(F.col("page_id").alias("seq"), F.lit(0).alias("pos")).alias("rank"))
+    p = plan(X.number_within(pages, "start_url", "rank", X._LevelStore(spark)))
+    assert "WindowGroupLimit" not in p and "_pid" in p
+
+
+def test_a_level_opens_the_folders_of_its_pages(spark, monkeypatch):
+    monkeypatch.setattr(X, "LINKS_PER_FOLDER", 50)
+    links = I.crawl_links(spark, SF_SMALL).select(F.lit("s").alias("start_url"), "src_url", "pos", "dst_url", F.lit(200).alias("edge_status"))
+    edges = X._Edges(links, X._LevelStore(spark))
+    assert edges.folders > 4
+    one = links.limit(1).select("start_url", F.col("src_url").alias("url"))
+    near, all_ = edges.of(one), edges.of(links.select("start_url", F.col("src_url").alias("url")))
+    assert len({f.split("folder=")[1].split("/")[0] for f in near.inputFiles()}) == 1
+    assert near.count() < all_.count() == links.count()
+    want = links.join(one.withColumnRenamed("url", "src_url"), ["start_url", "src_url"]).count()
+    assert near.join(one.withColumnRenamed("url", "src_url"), ["start_url", "src_url"]).count() == want > 0
+    assert edges.of(one.limit(0)).count() == 0
 
 
 def test_set_diff_reads_each_run_once(spark):

@@ -4,15 +4,16 @@ The walk runs for all sites at once, one level per iteration, on tables:
 ``responses(url, status)`` (what fetching a URL returned; a URL without a
 row had no response), ``links(src_url, pos, dst_url)``, ``sites(start_url,
 max_pages, include, exclude)``, optional robots rules and sitemap URLs.
-Every level is a handful of joins; the driver only asks whether any
-frontier row is left.  State is written to the shared checkpoint folder each
-level so lineage stays short and a lost executor recomputes one level at
-most; visited URLs are compacted every few levels and page counts carried
-forward, so a level's plan does not grow with its depth.
+Which URLs a site may fetch is settled once for all links; a level is then one
+join of its pages with their links and one written table, and the driver only
+asks whether any page is left.  State goes to the shared checkpoint folder each
+level, so lineage stays short and a lost executor recomputes one level at most;
+visited URLs are compacted every few levels.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 
 import pandas as pd
@@ -23,6 +24,7 @@ from ..functions.html import hrefs
 from ..functions.urls import defrag, netloc, resolve, url_path, url_path_and_query
 from ..session import ensure_checkpoint_dir
 from ..sources.discovery import _unquote
+from ..sources.site_runs import _names
 
 # --- links ----------------------------------------------------------------------
 
@@ -190,8 +192,40 @@ class _LevelStore:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-# Levels after which the tables of visited URLs are written as one.
+# Levels after which the tables of visited URLs are written as one, and order keys become numbers again.
 COMPACT_EVERY = 8
+#: Links of a folder of the walk's link table: a level opens the folders its pages fall into.
+LINKS_PER_FOLDER = 1_000_000
+MOST_FOLDERS = 1024
+
+
+class _Edges:
+    """The links a walk may follow, in folders by a hash of (site, page): a level reads only those of its frontier."""
+
+    def __init__(self, edges: DataFrame, store: _LevelStore):
+        self.store = store
+        whole = store.put(edges, "edges")
+        self.folders = min(MOST_FOLDERS, 1 + whole.count() // LINKS_PER_FOLDER)
+        self.schema, self.path = whole.schema, None
+        if self.folders == 1:
+            self.whole = whole
+            return
+        store.n += 1
+        self.path = f"{store.root}/edges-{store.n}"
+        whole.withColumn("folder", self._folder("src_url")).repartition("folder").sortWithinPartitions("folder", "start_url", "src_url") \
+            .write.partitionBy("folder").parquet(self.path)
+
+    def _folder(self, url: str):
+        return F.pmod(F.xxhash64("start_url", url), F.lit(self.folders)).cast("int")
+
+    def of(self, pages: DataFrame) -> DataFrame:
+        """The links of the folders that ``pages(start_url, url)`` fall into (at most MOST_FOLDERS numbers reach the driver)."""
+        if self.path is None:
+            return self.whole
+        touched = sorted(r[0] for r in pages.select(self._folder("url")).distinct().collect())
+        have = set(_names(self.store.spark, self.path))
+        paths = [f"{self.path}/folder={n}" for n in touched if f"folder={n}" in have]
+        return self.store.spark.read.schema(self.schema).parquet(*paths) if paths else self.store.spark.createDataFrame([], self.schema)
 
 
 def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_rules: DataFrame | None = None,
@@ -209,9 +243,13 @@ def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_ru
     boolean ``respect_robots`` (default true) to walk a site without its
     robots rules.
 
-    Sites walk in lock step, one level per iteration, until no site has a
-    frontier; the sitemap phase of all sites starts when every link walk has
-    drained (a site's result does not depend on when its phase starts).
+    Whether a site may fetch a URL depends on neither its turn nor the page
+    that links to it, so that is settled once: the walk runs over the links to
+    fetchable pages.  Sites walk in lock step, one level and one written table
+    per iteration; a page's place in its level is its order key (parent's key,
+    link position), and pages are numbered at the end.  The sitemap phase of
+    all sites starts when every link walk has drained (a site's result does not
+    depend on when its phase starts).
     """
     spark = responses.sparkSession
     store = _LevelStore(spark)
@@ -219,88 +257,86 @@ def site_bfs(responses: DataFrame, links: DataFrame, sites: DataFrame, robots_ru
     sites = store.put(site_globs(sites.select(
         "start_url", F.col("max_pages").cast("long").alias("max_pages"), "include", "exclude",
         F.coalesce(respect, F.lit(True)).alias("respect_robots"))), "sites")
-    # static inputs are computed once, not once per level
-    resp = store.put(responses.select("url", "status"), "responses")
-    links = store.put(links.select("src_url", "pos", "dst_url"), "links")
-    if robots_rules is not None:
-        robots_rules = store.put(robots_rules.select("host", "seq", "allow", "path"), "robots")
-    frontier = store.put(sites.select(
-        "start_url", defrag("start_url").alias("url"), F.lit(0).alias("depth"),
-        F.struct(F.lit(0).cast("long").alias("seq"), F.lit(0).alias("pos")).alias("rank")), "frontier")
-    seen = [frontier.select("start_url", "url")]
-    counts = store.put(sites.select("start_url", "max_pages", F.lit(0).cast("long").alias("n")), "counts")
-    found: list[DataFrame] = []
+    responses = responses.select("url", F.col("status").cast("int").alias("status"))
+    hosts = sites.select("start_url", netloc("start_url").alias("host"))
+    edges = (links.select("src_url", F.col("pos").cast("int").alias("pos"), "dst_url").withColumn("host", netloc("dst_url")).join(hosts, "host").drop("host"))
+    roots = sites.select("start_url", defrag("start_url").alias("url"))
+    targets = edges.select("start_url", F.col("dst_url").alias("url")).union(roots)
     sm = None
     if sitemap is not None:
-        sm = (sitemap.select("host", "part", "pos", defrag("url").alias("url"))
-                     .join(sites.select("start_url", netloc("start_url").alias("host"), "include", "exclude"), "host")
-                     .where(netloc("url") == F.col("host"))
-                     .where(glob_ok(url_path("url"), F.col("include"), F.col("exclude")))
-                     .groupBy("start_url", "url").agg(F.min(F.struct("part", "pos")).alias("_o"))
-                     .select("start_url", "url", F.col("_o.part").alias("part"), F.col("_o.pos").alias("pos")))
-        sm = store.put(sm, "sitemap")
+        sm = (sitemap.select("host", "part", "pos", defrag("url").alias("url")).join(hosts, "host").where(netloc("url") == F.col("host"))
+                     .groupBy("start_url", "url").agg(F.min(F.struct(F.col("part").cast("int").alias("part"), F.col("pos").cast("int").alias("pos"))).alias("_o"))
+                     .select("start_url", "url", F.array("_o.part", "_o.pos").alias("key")))
+        targets = targets.union(sm.select("start_url", "url"))
+    pages = store.put(_fetchable(targets.distinct(), responses, sites, robots_rules), "pages")
+    edges = _Edges(edges.join(pages.select("start_url", F.col("url").alias("dst_url"), F.col("status").alias("edge_status")), ["start_url", "dst_url"]), store)
+    if sm is not None:
+        sm = store.put(sm.join(pages, ["start_url", "url"]), "sitemap")
+    capped = not sites.where(F.col("max_pages").isNotNull()).isEmpty()
+    found: list[DataFrame] = []
+    full = None      # sites that reached their cap
 
     def one(parts: list[DataFrame]) -> DataFrame:
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
-
-    under_cap = F.col("max_pages").isNull() | (F.col("n") < F.col("max_pages"))
+        return functools.reduce(DataFrame.unionByName, parts)
+
+    def without_full(df: DataFrame) -> DataFrame:
+        return df if full is None else df.join(full, "start_url", "left_anti")
+
+    def admitted(rows: DataFrame, phase: int) -> DataFrame:
+        """The level, cut where a site's cap falls into it."""
+        nonlocal full
+        level = store.put(rows.select("start_url", "url", F.lit(phase).alias("phase"), F.col("depth").cast("int").alias("depth"), "key", "status"), "level")
+        if not capped:
+            return level
+        here = level.groupBy("start_url").agg(F.count(F.lit(1)).alias("m"))
+        before = one([*found, level.limit(0)]).groupBy("start_url").agg(F.count(F.lit(1)).alias("n"))
+        room = F.col("max_pages") - F.coalesce("n", F.lit(0))
+        over = store.put(here.join(sites.select("start_url", "max_pages"), "start_url").join(before, "start_url", "left")
+                         .where(F.col("m") >= room).select("start_url", room.alias("room")), "over")
+        if over.isEmpty():
+            return level
+        full = over.select("start_url") if full is None else full.union(over.select("start_url"))
+        cut = number_within(level.join(over, "start_url"), "start_url", "key", store).where(F.col("_rn") <= F.col("room"))
+        return store.put(level.join(over, "start_url", "left_anti").union(cut.select(*level.columns)), "level")
+
+    level, phase = admitted(roots.join(pages, ["start_url", "url"]).select("*", F.lit(0).alias("depth"), F.array(F.lit(0)).alias("key")), 0), 0
     while True:
-        if frontier.isEmpty():
+        if level.isEmpty():
             if sm is None:
                 break
             # every site's link walk has drained: sites under their cap go on with the sitemap
-            orphans = (sm.join(counts.where(under_cap).select("start_url"), "start_url", "left_semi")
-                         .join(one(seen), ["start_url", "url"], "left_anti"))
-            frontier = store.put(orphans.select(
-                "start_url", "url", F.lit(0).alias("depth"),
-                F.struct(F.col("part").cast("long").alias("seq"), F.col("pos").cast("int").alias("pos")).alias("rank")),
-                "frontier")
-            seen.append(frontier.select("start_url", "url"))
-            sm = None
-            if frontier.isEmpty():
-                break
-        level = store.put(_fetch_level(frontier, resp, sites, robots_rules, counts, store), "level")
+            orphans, sm, phase = without_full(sm).join(one([*found, level]), ["start_url", "url"], "left_anti"), None, 1
+            level = admitted(orphans.withColumn("depth", F.lit(0)), phase)
+            continue
         found.append(level)
-        fetched = level.groupBy("start_url").agg(F.max("seq").alias("_m"))
-        counts = store.put(counts.join(fetched, "start_url", "left")
-                           .select("start_url", "max_pages", F.coalesce("_m", "n").alias("n")), "counts")
-        # sites that reached their cap stop walking (and skip the sitemap phase), so what
-        # they would reach next is never needed: the written table is the next frontier
-        open_sites = counts.where(under_cap).select("start_url")
-        if len(seen) >= COMPACT_EVERY:
-            seen = [store.put(one(seen), "seen")]
-        nxt = links_first_seen(level.where(F.col("status") == 200).join(open_sites, "start_url", "left_semi"),
-                               links, one(seen))
-        frontier = store.put(nxt, "frontier")
-        seen.append(frontier.select("start_url", "url"))
-        if len(found) >= COMPACT_EVERY:
+        if len(found) % COMPACT_EVERY == 0:
             found = [store.put(one(found), "found")]
-    if not found:
-        return spark.createDataFrame([], "start_url string, url string, depth int, seq long, status int")
-    result = _LevelStore(spark).put(one(found), "result")
+            numbered = number_within(level, "start_url", "key", store)
+            level = store.put(numbered.select("start_url", "url", "depth", F.array(F.col("_rn").cast("int")).alias("key"), "status"), "numbered")
+        frontier = without_full(level.where("status = 200")).select("start_url", F.col("url").alias("src_url"), "depth", "key")
+        reached = frontier.join(edges.of(frontier.withColumnRenamed("src_url", "url")), ["start_url", "src_url"])
+        # a page that a third of all pages link to is reduced before the shuffle
+        first = reached.groupBy("start_url", F.col("dst_url").alias("url")).agg(
+            F.min(F.struct("key", "pos", "depth")).alias("f"), F.first(F.col("edge_status")).alias("status"))
+        first = first.select("start_url", "url", (F.col("f.depth") + 1).alias("depth"), F.concat("f.key", F.array("f.pos")).alias("key"), "status")
+        level = admitted(first.join(one(found), ["start_url", "url"], "left_anti"), phase)
+    order = F.struct("phase", "depth", "key")
+    every = number_within(one([*found, level]).withColumn("_order", order), "start_url", "_order", store)
+    result = _LevelStore(spark).put(every.select("start_url", "url", "depth", F.col("_rn").cast("long").alias("seq"), "status"), "result")
     store.drop_all()
     return result
 
 
-def _fetch_level(frontier: DataFrame, resp: DataFrame, sites: DataFrame, robots_rules: DataFrame | None,
-                 counts: DataFrame, store: _LevelStore) -> DataFrame:
-    """Fetch one level: filter, look up responses, number within the site, apply the cap."""
-    f = frontier.join(sites.drop("max_pages"), "start_url")
+def _fetchable(targets: DataFrame, responses: DataFrame, sites: DataFrame, robots_rules: DataFrame | None) -> DataFrame:
+    """``start_url, url, status`` of the URLs that a site's globs and robots rules allow and that have a response."""
+    f = targets.join(sites.drop("max_pages"), "start_url")
     path = url_path("url")
     path = F.when(path == "", F.lit("/")).otherwise(path)
     f = f.where((F.col("url") == defrag("start_url")) | glob_ok(path, F.col("include"), F.col("exclude")))
     if robots_rules is not None:
-        f = robots_allowed(f.select("start_url", "url", "depth", "rank", "respect_robots"), robots_rules) \
+        f = robots_allowed(f.select("start_url", "url", "respect_robots"), robots_rules.select("host", "seq", "allow", "path")) \
             .where(F.col("robots_ok") | ~F.col("respect_robots"))
-    got = f.join(resp, "url").select("start_url", "url", "depth", "rank", "status")
-    numbered = number_within(got, "start_url", "rank", store).join(counts, "start_url")
-    seq = (F.col("n") + F.col("_rn")).cast("long")
-    return (numbered.where(F.col("max_pages").isNull() | (seq <= F.col("max_pages")))
-                    .select("start_url", "url", F.col("depth").cast("int").alias("depth"), seq.alias("seq"),
-                            F.col("status").cast("int").alias("status")))
+    return f.select("start_url", "url").join(responses, "url").select("start_url", "url", "status")
 
 
 def number_within(df: DataFrame, group: str, order: str, store: _LevelStore) -> DataFrame:
