@@ -42,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,9 +54,9 @@ from .shingles import mix, set_key, shingle_sets
 RARE = 32
 #: Share of a batch's classes that makes an element locally frequent, and how many such elements are listed (8 bytes each).
 LOCAL_SHARE, LISTED = 0.02, 100_000
-TEXTS, BATCH = 256, 2048
+TEXTS, BATCH, BATCH_BYTES = 256, 2048, 8 << 20
 #: Keys of more classes go by blocks of so many classes.
-FEW, BLOCK = 8, 256
+FEW, BLOCK, BLOCK_TOKENS = 8, 256, 1 << 17
 #: Prefix elements a bucket should hold.
 BUCKET_ENTRIES = 1 << 20
 LAST = np.uint32(0xFFFFFFFF)
@@ -72,10 +73,14 @@ def spare(n):
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list, list[np.ndarray]]]:
-    """Parts of BATCH documents at most, so that a worker holds few sets at a time."""
+    """Parts of at most BATCH documents and about BATCH_BYTES of text, so that a worker holds few sets at a time."""
     for whole in batches:
-        for begin in range(0, whole.num_rows, BATCH):
-            batch = whole.slice(begin, BATCH)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy(), dtype=np.int64)
+        begin = 0
+        while begin < whole.num_rows:
+            most = np.searchsorted(ends, (int(ends[begin - 1]) if begin else 0) + BATCH_BYTES, side="right")
+            batch = whole.slice(begin, min(BATCH, max(1, int(most) - begin)))
+            begin += batch.num_rows
             sets = []
             for at in range(0, batch.num_rows, TEXTS):
                 sets += shingle_sets(batch.column(1).slice(at, TEXTS).to_pylist())
@@ -105,10 +110,28 @@ def _pack(array) -> bytes:
     return np.ascontiguousarray(array).tobytes()
 
 
-def _by_bucket(bucket: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    bucket = bucket.astype(np.int64)
+def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of each bucket that occurs."""
+    if not len(bucket):
+        return iter(())
     order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(count + 1))
+    there, first = np.unique(bucket[order], return_index=True)
+    return zip(there.tolist(), np.split(order, first[1:]), strict=True)
+
+
+def _buckets(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows of one bucket after another, from batches in order of their buckets."""
+    at, held = None, []
+    for batch in batches:
+        for r in zip(*(batch.column(c) for c in ("bucket", *columns)), strict=True):
+            bucket, *row = (v.as_py() for v in r)
+            if bucket != at:
+                if held:
+                    yield at, held
+                at, held = bucket, []
+            held.append(tuple(row))
+    if held:
+        yield at, held
 
 
 def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE) -> DataFrame:
@@ -139,50 +162,34 @@ def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str
                 kept.append(rest)
                 kept_owner.append(np.full(len(rest), i))
             tokens, owner = np.concatenate(tokens), np.concatenate(owner)
-            order, cut = _by_bucket(((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64), buckets)
+            place = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             out = {c: [] for c in row}
 
             def emit(bucket, kind, a, b, c, out=out):
                 for k, v in zip(row, (bucket, kind, _pack(a), _pack(b), _pack(c)), strict=True):
                     out[k].append(v)
 
-            for b in range(buckets):
-                at = order[cut[b]:cut[b + 1]]
-                if len(at):
-                    used, local = np.unique(owner[at], return_inverse=True)
-                    emit(b, 0, tokens[at], local.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32), keys[used])
-            order, cut = _by_bucket(keys.astype(np.uint64) % np.uint64(buckets), buckets)
+            for b, at in _by_bucket(place):
+                used, local = np.unique(owner[at], return_inverse=True)
+                emit(b, 0, tokens[at], local.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32), keys[used])
             kept, kept_owner = np.concatenate(kept), np.concatenate(kept_owner).astype(np.int64)
-            for b in range(buckets):
-                at = order[cut[b]:cut[b + 1]]
-                if len(at):
-                    emit(b, 1, keys[at], sizes[at].astype(np.uint32), [])
-            if len(kept):
-                mine = keys[kept_owner]
-                order, cut = _by_bucket(mine.astype(np.uint64) % np.uint64(buckets), buckets)
-                for b in range(buckets):
-                    at = order[cut[b]:cut[b + 1]]
-                    if len(at):
-                        emit(b, 2, mine[at], kept[at], np.full(len(at), LAST))
+            for b, at in _by_bucket((keys.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)):
+                emit(b, 1, keys[at], sizes[at].astype(np.uint32), [])
+            mine = keys[kept_owner]
+            for b, at in _by_bucket((mine.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)):
+                emit(b, 2, mine[at], kept[at], np.full(len(at), LAST))
             yield pa.RecordBatch.from_pydict(out, schema=packed)
 
     packed = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
     spec = "bucket int, kind int, a binary, b binary, c binary"
 
     def meet(batches):
-        """Elements met in several classes, back to their classes (kind 2); kinds 1 and 2 pass."""
-        held: dict[int, list] = {}
-        for batch in batches:
-            kind = batch.column("kind").to_numpy()
-            if (kind > 0).any():
-                yield batch.filter(pa.array(kind > 0))
-            for r in batch.filter(pa.array(kind == 0)).to_pylist():
-                held.setdefault(r["bucket"], []).append((r["a"], r["b"], r["c"]))
-        while held:
-            parts = held.popitem()[1]
+        """Elements met in several classes, back to their classes (kind 2); one bucket at a time."""
+        for _, parts in _buckets(batches, ("a", "b", "c")):
             token = np.concatenate([np.frombuffer(a, np.uint64) for a, _, _ in parts])
             # owners are 2 bytes each where the batch has few classes
             cls = np.concatenate([np.frombuffer(c, np.int64)[np.frombuffer(b, np.uint16 if 4 * len(b) == len(a) else np.uint32)] for a, b, c in parts])
+            del parts
             order = np.lexsort((cls, token))
             token, cls = token[order], cls[order]
             new = np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]))  # copies of a class in several batches
@@ -191,23 +198,17 @@ def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str
             df = np.diff(np.append(start, len(token)))
             shared = np.repeat(df > 1, df)
             token, cls, df = token[shared], cls[shared], np.repeat(df, df)[shared].astype(np.uint32)
-            order, cut = _by_bucket(cls.astype(np.uint64) % np.uint64(buckets), buckets)
             out = {c: [] for c in row}
-            for b in range(buckets):
-                at = order[cut[b]:cut[b + 1]]
-                if len(at):
-                    for k, v in zip(row, (b, 2, _pack(cls[at]), _pack(token[at]), _pack(df[at])), strict=True):
-                        out[k].append(v)
+            for b, at in _by_bucket((cls.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)):
+                for k, v in zip(row, (b, 2, _pack(cls[at]), _pack(token[at]), _pack(df[at])), strict=True):
+                    out[k].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=packed)
 
     def index(batches):
-        """Index keys of the classes of a bucket."""
-        held: dict[int, tuple[list, list]] = {}
-        for batch in batches:
-            for r in batch.to_pylist():
-                held.setdefault(r["bucket"], ([], []))[r["kind"] - 1].append((r["a"], r["b"], r["c"]))
-        while held:
-            sizes, parts = held.popitem()[1]
+        """Index keys of the classes of a bucket, one bucket at a time."""
+        for _, rows in _buckets(batches, ("kind", "a", "b", "c")):
+            sizes, parts = ([r[1:] for r in rows if r[0] == kind] for kind in (1, 2))
+            del rows
             if not sizes or not parts:
                 continue
             known = np.concatenate([np.frombuffer(a, np.int64) for a, _, _ in sizes])
@@ -244,38 +245,35 @@ def index_entries(docs: DataFrame, listed: np.ndarray, buckets: int, id_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(ns))],
                                                  names=["key", "cls", "n"])
 
-    out = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(prefixes, spec)
-    out = out.repartition(buckets, "bucket").mapInArrow(meet, spec)
-    return out.repartition(buckets, "bucket").mapInArrow(index, "key long, cls long, n long")
+    # by element bucket, then by class bucket; sizes and listed elements go to their class at once
+    out = stored(docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(prefixes, spec), "prefixes")
+    met = out.where("kind = 0").repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, spec)
+    entries = met.union(out.where("kind > 0")).repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(index, "key long, cls long, n long")
+    return entries
 
 
 def class_sets(docs: DataFrame, reps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(cls, tokens) of the classes in ``reps`` (cls, rep): one document each is read again."""
     def run(batches):
         for *_, sets in _batches(batches):
-            found = {set_key(s): s.tobytes() for s in sets if len(s)}
+            found = {set_key(s): s for s in sets if len(s)}
             del sets
-            yield pa.RecordBatch.from_pydict({"cls": pa.array(list(found), pa.int64()), "tokens": pa.array(list(found.values()), pa.binary())})
+            if found:
+                values = pa.array(np.concatenate(list(found.values())).view(np.int64))
+                tokens = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found.values())]), pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), tokens], names=["cls", "tokens"])
 
     wanted = join_on(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")), reps.select("rep").distinct(), ["rep"])
     # ids may repeat: other texts of the same id go again, and equal ones are one
-    return wanted.select("rep", "text").mapInArrow(run, "cls long, tokens binary").join(reps.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+    return wanted.select("rep", "text").mapInArrow(run, "cls long, tokens array<long>").join(reps.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("x", "y"))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= 75 * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
+    """The pairs (a, b) whose sets link; row by row, as two sets may be long."""
     left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", (F.size("x") + F.size("y")).cast("long").alias("n"), F.size(F.array_intersect("x", "y")).cast("long").alias("both"))
+    return met.where("100 * both >= 75 * (n - both)").select("a", "b")
 
 
 def _similar_size():
@@ -305,14 +303,15 @@ def shared_counts(xs: list[np.ndarray], ys: list[np.ndarray], columns: int = 409
     return out
 
 
-def block_links(members: DataFrame, known: DataFrame, block: int = BLOCK) -> DataFrame:
+def block_links(members: DataFrame, known: DataFrame, block: int = BLOCK, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Links (a, b) between classes of one cluster and different components, from (cluster, cls, n, comp).
 
-    Block against block; of several links that join the same two components one is enough.
+    Block against block: at most ``block`` classes and ``block_tokens`` elements, or one class that begins before
+    that bound.  Of several links that join the same two components one is enough.
     """
-    ranked = prefix_sum(members, ["cluster"], "n", ["cls"], F.lit(1).cast("long"), "rank")
-    ranked = stored(ranked.withColumn("block", F.expr(f"rank div {block}")), "cluster-members")
-    # at most ``block`` classes a row
+    share = block_tokens // block
+    ranked = prefix_sum(members, ["cluster"], "n", ["cls"], F.greatest(F.col("n"), F.lit(share)).cast("long"), "rank")
+    ranked = stored(ranked.withColumn("block", F.expr(f"rank div {share * block}")), "cluster-members")
     blocks = ranked.join(known, "cls").groupBy("cluster", "block").agg(F.collect_list(F.struct("cls", "comp", "tokens")).alias("sets"))
     blocks = stored(blocks, "cluster-blocks")
     sizes = ranked.groupBy("cluster", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
@@ -321,22 +320,29 @@ def block_links(members: DataFrame, known: DataFrame, block: int = BLOCK) -> Dat
     units = left.join(right, "cluster").where("block_x <= block_y and 4 * hi_x >= 3 * lo_y and (c0_x <> c1_x or c0_y <> c1_y or c0_x <> c0_y)") \
         .select("cluster", "block_x", "block_y")
 
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                x, y = batch.column("x")[i].as_py(), batch.column("y")[i].as_py()
-                xs, ys = ([np.frombuffer(m["tokens"], np.uint64) for m in side] for side in (x, y))
-                both = shared_counts(xs, ys)
-                total = np.array([len(t) for t in xs])[:, None] + np.array([len(t) for t in ys]) - both
-                cx, cy = (np.array([m["comp"] for m in side], np.int64) for side in (x, y))
-                row, col = np.nonzero((100 * both >= 75 * total) & (cx[:, None] != cy))
-                first = np.unique(np.stack([np.minimum(cx[row], cy[col]), np.maximum(cx[row], cy[col])]), axis=1, return_index=True)[1]
-                yield pa.RecordBatch.from_pydict({"a": pa.array([x[row[k]]["cls"] for k in first], pa.int64()),
-                                                  "b": pa.array([y[col[k]]["cls"] for k in first], pa.int64())})
+    def classes_of(column) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        members = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
+        cls, comp, tokens = members.flatten()
+        ends = tokens.offsets.to_numpy()
+        values = tokens.values.to_numpy().view(np.uint64)
+        return cls.to_numpy(), comp.to_numpy(), [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def run(unit: pa.Table) -> pa.Table:
+        """One unit at a time: its sets, not a batch of units, fit a worker."""
+        out = {"a": [], "b": []}
+        for i in range(unit.num_rows):
+            (x, cx, xs), (y, cy, ys) = (classes_of(unit.column(c).slice(i, 1)) for c in ("x", "y"))
+            both = shared_counts(xs, ys)
+            total = np.array([len(t) for t in xs])[:, None] + np.array([len(t) for t in ys]) - both
+            row, col = np.nonzero((100 * both >= 75 * total) & (cx[:, None] != cy))
+            first = np.unique(np.stack([np.minimum(cx[row], cy[col]), np.maximum(cx[row], cy[col])]), axis=1, return_index=True)[1]
+            out["a"].append(x[row[first]])
+            out["b"].append(y[col[first]])
+        return pa.table({k: pa.array(np.concatenate([*v, np.zeros(0, np.int64)])) for k, v in out.items()})
 
     pairs = (units.join(blocks.select("cluster", F.col("block").alias("block_x"), F.col("sets").alias("x")), ["cluster", "block_x"])
              .join(blocks.select("cluster", F.col("block").alias("block_y"), F.col("sets").alias("y")), ["cluster", "block_y"]))
-    return pairs.select("x", "y").repartition(max(8, members.sparkSession.sparkContext.defaultParallelism)).mapInArrow(run, "a long, b long")
+    return pairs.groupBy("cluster", "block_x", "block_y").applyInArrow(run, "a long, b long")
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, carry: tuple[str, ...] = ()) -> DataFrame:
