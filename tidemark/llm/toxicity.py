@@ -47,7 +47,7 @@ SEGMENT = 64
 WORD = re.compile(r"\w+")
 STEP = 128
 #: Words whose weights a worker remembers (memory only).
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def features(word: str) -> list[int]:
@@ -81,18 +81,18 @@ def code_words(texts: Iterator[str], ids: dict[str, int]) -> Iterator[np.ndarray
 def coded_sample(sample: DataFrame) -> Sample:
     """The sample (i, t, y) in arrays; its words never reach the driver, only their codes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: dict[str, int] = {}
-        for batch in batches:
-            keys, known = batch.column(0).to_pylist(), len(ids)
-            texts = list(code_words(batch.column(1).to_pylist(), ids))
-            fresh = list(ids)[known:]
-            told = [np.array((features(w) + [FEATURES] * 4)[:4], "<i4").tobytes() for w in fresh]
-            begun = [np.array(([xxhash.xxh3_64_intdigest(b) for b in beginnings(w)] + [0, 0])[:3], "<u8").tobytes() for w in fresh]
-            n, m = len(keys), len(fresh)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys + [None] * m, pa.string()), pa.array(batch.column(2).to_pylist() + [None] * m, pa.int32()), pa.array([t.astype("<u8").tobytes() for t in texts] + [None] * m, pa.binary()),
-                 pa.array([None] * n + [ids[w] - (1 << 63) for w in fresh], pa.int64()), pa.array([None] * n + told, pa.binary()), pa.array([None] * n + begun, pa.binary())],
-                names=["i", "y", "words", "id", "features", "begins"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):
+                batch, ids = whole.slice(at, 64), {}
+                keys, texts = batch.column(0).to_pylist(), list(code_words(batch.column(1).to_pylist(), ids))
+                told = [np.array((features(w) + [FEATURES] * 4)[:4], "<i4").tobytes() for w in ids]
+                begun = [np.array(([xxhash.xxh3_64_intdigest(b) for b in beginnings(w)] + [0, 0])[:3], "<u8").tobytes() for w in ids]
+                n, m = len(keys), len(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys + [None] * m, pa.string()), pa.array(batch.column(2).to_pylist() + [None] * m, pa.int32()),
+                     pa.array([t.astype("<u8").tobytes() for t in texts] + [None] * m, pa.binary()), pa.array([None] * n + [i - (1 << 63) for i in ids.values()], pa.int64()),
+                     pa.array([None] * n + told, pa.binary()), pa.array([None] * n + begun, pa.binary())],
+                    names=["i", "y", "words", "id", "features", "begins"])
 
     coded = stored(sample.select(F.col("i").cast("string"), "t", F.col("y").cast("int")).mapInArrow(run, "i string, y int, words binary, id long, features binary, begins binary"), "coded-sample")
     words = coded.where("id is not null").dropDuplicates(["id"]).select("id", "features", "begins").orderBy("id").toArrow()  # bounded by the sample
@@ -337,7 +337,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "
 
 
 def score_documents(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id", text_col: str = "text", spans: bool = False,
-                    span_at: float = 0.5, batch_words: int = 1 << 19, carry: tuple[str, ...] = (), score_col: str = "score") -> DataFrame:
+                    span_at: float = 0.5, batch_words: int = 1 << 18, carry: tuple[str, ...] = (), score_col: str = "score") -> DataFrame:
     """The id, the columns of ``carry`` and a score per document, for whole texts (and spans: start, end, probability, in characters)."""
     head = [id_col, *(c for c in carry if c != id_col)]
     spec = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in head) + f"{score_col} double" + (", spans array<struct<start:int,end:int,p:double>>" if spans else "")
