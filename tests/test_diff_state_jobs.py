@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.contract import CHUNK, ContractError, assert_schema, contract_violations
+from tidemark.contract import CHUNK, ContractError, assert_schema, contract_violations, record_violations
 from tidemark.operators import diff as D
 from tidemark.operators import order as O
 from tidemark.plans.jobs import run_diff_job
@@ -73,6 +73,41 @@ def test_audit_and_set_diff(spark):
     assert sides == {("yawl", "only_current"), ("raft", "only_previous"), ("sloop", "hash_changed")}
 
 
+def test_audit_finds_every_kind(spark):
+    prev, cur = chunks(spark, MONDAY), chunks(spark, TUESDAY)
+    right = D.diff_chunks(prev, cur)
+
+    def found(**changed):
+        spoilt = right
+        for name, value in changed.items():
+            kind, column = name.split("_of_")[1], name.split("_of_")[0]
+            spoilt = spoilt.withColumn(column, F.when(F.col("chunk_id").endswith(kind), F.lit(value)).otherwise(F.col(column)))
+        return sorted((r.chunk_id.split("/")[1], r.change_type) for r in D.change_audit(spoilt, prev, cur).collect())
+
+    assert found() == []
+    assert found(change_type_of_yawl="modified") == [("yawl", "modified")]          # not in the previous run
+    assert found(change_type_of_raft="added") == [("raft", "added")]                # gone
+    assert found(change_type_of_sloop="removed") == [("sloop", "removed")]          # still there
+    assert found(chunk_hash_of_sloop="sha256:0") == [("sloop", "modified")]         # of neither run
+    assert found(chunk_id_of_yawl="boats.example.org/nowhere") == [("nowhere", "added")]
+    assert D.change_audit(right, None, cur).count() == 2                            # modified and removed need a previous run
+    same = D.diff_chunks(prev, prev.limit(0)).withColumn("change_type", F.lit("modified"))
+    assert D.change_audit(same, prev, prev).count() == 4                            # nothing changed
+
+
+def test_records_of_a_contract(spark):
+    good = '{"chunk_id":"a","url":"u","heading_path":["x"],"text":"t","token_estimate":1,"chunk_hash":"h","order":0}'
+    lines = {"good": good, "empty path": good.replace('["x"]', "[]"), "text": good.replace('"order":0', '"order":"0"'), "null": good.replace('"t"', "null"),
+             "gone": good.replace('"url":"u",', ""), "more": good.replace('"order"', '"Order":1,"order"'), "half": good[:-1], "list": "[1]", "none": None,
+             "numbers": good.replace('["x"]', "[1]"), "fraction": good.replace('"token_estimate":1', '"token_estimate":1.5')}
+    df = spark.createDataFrame(list(lines.items()), "name string, value string")
+    got = {}
+    for r in record_violations(df, CHUNK).collect():
+        got.setdefault(r.name, []).append((r.field, r.rule))
+    assert got == {"text": [("order", "type")], "null": [("text", "null")], "gone": [("url", "missing")], "more": [("Order", "unknown")], "half": [("", "not_json")],
+                   "list": [("", "not_json")], "none": [("", "not_json")], "numbers": [("heading_path", "type")], "fraction": [("token_estimate", "type")]}
+
+
 def test_contract(spark):
     c = chunks(spark, [("a", "1")]).drop("start_url", "page_seq")
     assert_schema(c, CHUNK)

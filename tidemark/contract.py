@@ -111,3 +111,35 @@ def contract_violations(df: DataFrame, schema: T.StructType, key: str | list[str
     verdicts = F.array(*[F.when(pred, F.lit(name)) for name, pred in rules])
     return (df.select(*[F.col(k) for k in keys], F.explode(verdicts).alias("rule"))
               .where(F.col("rule").isNotNull()))
+
+
+def _json_kinds(t: T.DataType) -> tuple[str, ...]:
+    """Kinds of JSON values that a type takes, as a variant's schema names them (an empty array has no element kind)."""
+    if isinstance(t, T.ArrayType):
+        return ("ARRAY<VOID>", *[f"ARRAY<{k}>" for k in _json_kinds(t.elementType)])
+    if isinstance(t, T.StructType):
+        return ("OBJECT",)
+    return {"string": ("STRING",), "boolean": ("BOOLEAN",), "double": ("DOUBLE", "DECIMAL", "BIGINT")}.get(t.simpleString(), ("BIGINT",))
+
+
+def record_violations(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """One row ``(other columns..., field, rule)`` per way in which a JSON line is not a record of the contract.
+
+    Rules: ``not_json`` (no object; the only finding of its line), ``missing``,
+    ``unknown`` (a field that the contract doesn't have), ``null``, ``type``.
+    Values are never converted: a number in quotes is text.
+    """
+    value = F.col(value_col)
+    parsed = lines.withColumn("_v", F.try_parse_json(value)).withColumn("_names", F.json_object_keys(value))
+    found = []
+    for f in schema.fields:
+        kind = F.regexp_extract(F.schema_of_variant(F.try_variant_get(F.col("_v"), f"$.{f.name}", "variant")), r"^(?:OBJECT|[A-Z]+(?:<[A-Z]+>)?)", 0)
+        there = F.array_contains("_names", f.name)
+        rule = (F.when(~there, F.lit("missing")).when(kind == "VOID", F.lit(None if f.nullable else "null"))
+                .when(~kind.isin(*_json_kinds(f.dataType)), F.lit("type")))
+        found.append(F.struct(F.lit(f.name).alias("field"), rule.alias("rule")))
+    unknown = F.transform(F.array_except("_names", F.array(*[F.lit(n) for n in schema.fieldNames()])), lambda n: F.struct(n.alias("field"), F.lit("unknown").alias("rule")))
+    broken = F.filter(F.concat(F.array(*found), unknown), lambda x: x["rule"].isNotNull())
+    whole = F.when(F.col("_v").isNull() | F.col("_names").isNull(), F.array(F.struct(F.lit("").alias("field"), F.lit("not_json").alias("rule")))).otherwise(broken)
+    keep = [c for c in lines.columns if c != value_col]
+    return parsed.select(*keep, F.inline(whole))

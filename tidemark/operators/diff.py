@@ -181,12 +181,13 @@ def change_audit(changes: DataFrame, prev: DataFrame | None, cur: DataFrame) ->
     modified: in both with different hashes; the reported hash must be the
     hash of the side it claims to describe.
     """
-    c = winning_hashes(cur).withColumnRenamed("chunk_hash", "cur_hash")
-    if prev is None:
-        p = c.limit(0).withColumnRenamed("cur_hash", "prev_hash")
-    else:
-        p = winning_hashes(prev).withColumnRenamed("chunk_hash", "prev_hash")
-    j = changes.join(c, KEY, "left").join(p, KEY, "left")
+    # both runs in one pass: rows tagged by run, the last one of each run by key
+    narrow = [*KEY, "page_seq", "order", "chunk_hash", "url", "heading_path"]
+    rows = cur.select(*narrow, F.lit(True).alias("_cur"))
+    if prev is not None:
+        rows = rows.unionByName(prev.select(*narrow, F.lit(False).alias("_cur")))
+    won = rows.groupBy(*KEY).agg(F.max(F.when(F.col("_cur"), _rank())).alias("c"), F.max(F.when(~F.col("_cur"), _rank())).alias("p"))
+    j = changes.join(won.select(*KEY, F.col("c.chunk_hash").alias("cur_hash"), F.col("p.chunk_hash").alias("prev_hash")), KEY, "left")
     ok = (
         F.when(F.col("change_type") == "added",
                F.col("cur_hash").isNotNull() & F.col("prev_hash").isNull()

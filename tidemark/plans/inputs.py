@@ -65,6 +65,14 @@ def raw_pages(spark: SparkSession, sf_dir: str, version: str = "cur") -> DataFra
     )
 
 
+def crawled_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``start_url`` of every site that one of the two crawls, or ledgers, saw; each table is read once."""
+    pid = F.col("page_id")
+    web = table(spark, sf_dir, "pages").where((pid % 10 != 0) | (pid % 10 != 1)).select(site_start_url("url").alias("start_url"))
+    lines = table(spark, sf_dir, "lineitem").where((F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")) | (F.col("l_discount") < 0.1))
+    return web.union(lines.select(F.concat(F.lit("https://"), F.lower("l_returnflag"), F.lit(".ledger.example.com/")))).distinct()
+
+
 def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One markdown page per conversation: ``# Conversation n`` then ``## role`` per turn.
 

@@ -458,12 +458,31 @@ SQL["diff_first_run"] = with_(
     "SELECT start_url, 'added' AS change_type, chunk_id, url, heading_path, text, chunk_hash, 0 AS change_side, "
     "pos_seq, pos_order FROM lw")
 SQL["diff_unchanged"] = with_(_ALL + last_wins_ctes("all_chunks", "lw"), diff_final("lw", "lw"))
+_DAMAGED = "page_seq % 13 = 3"
+SQL["record_violations"] = with_(
+    [("conv", CONVERSATION_PAGES)] + chunk_ctes("conv", "ch") + [("whole", f"SELECT * FROM ch WHERE NOT ({_DAMAGED})")],
+    f"SELECT page_seq, chunk_id, '' AS field, 'not_json' AS rule FROM ch WHERE {_DAMAGED} "
+    "UNION ALL SELECT page_seq, chunk_id, 'token_estimate', 'missing' FROM whole WHERE page_seq % 5 = 0 "
+    "UNION ALL SELECT page_seq, chunk_id, 'token_estimates', 'unknown' FROM whole WHERE page_seq % 5 = 0 "
+    "UNION ALL SELECT page_seq, chunk_id, 'order', 'type' FROM whole WHERE page_seq % 7 = 1 "
+    "UNION ALL SELECT page_seq, chunk_id, 'chunk_hash', 'null' FROM whole WHERE page_seq % 11 = 2")
+SQL["job_chunk_lines"] = with_(
+    _KEPT + chunk_ctes("kept", "ch"),
+    "SELECT CAST(json_object('chunk_id', chunk_id, 'url', url, 'heading_path', "
+    "CASE WHEN heading_path = '' THEN []::VARCHAR[] ELSE string_split(heading_path, ' > ') END, "
+    "'text', text, 'token_estimate', token_estimate, 'chunk_hash', chunk_hash, 'order', \"order\") AS VARCHAR) AS line FROM ch")
+SQL["job_site_index"] = with_(
+    _KEPT + [("lines", _HEADER + " UNION ALL SELECT start_url, 1, url, page_seq, '- [' || " + _TITLE + " || '](' || url || ')' FROM kept")],
+    f"SELECT {_SITE_KEY} AS site_key, line FROM lines")
+SQL["store_ledger"] = with_(
+    _CHANGES, "SELECT CASE change_type WHEN 'removed' THEN 'delete' ELSE 'upsert' END AS route, count(*) AS rows FROM changes GROUP BY 1")
 SQL["duplicate_chunk_ids"] = with_(
     _ALL, "SELECT start_url, page_seq, chunk_id, count(*) AS n FROM all_chunks GROUP BY ALL HAVING count(*) > 1")
 SQL["change_audit"] = with_(
-    _CHANGES,
+    _CHANGES + [("spoilt", "SELECT start_url, chunk_id, CASE length(chunk_id) % 9 WHEN 3 THEN 'removed' WHEN 5 THEN 'modified' ELSE change_type END AS change_type, "
+                           "CASE WHEN length(chunk_id) % 9 = 7 THEN 'sha256:0' ELSE chunk_hash END AS chunk_hash FROM changes")],
     "SELECT c.start_url, c.chunk_id, c.change_type, cl.chunk_hash AS cur_hash, pl.chunk_hash AS prev_hash "
-    "FROM changes c LEFT JOIN cur_lw cl ON c.start_url = cl.start_url AND c.chunk_id = cl.chunk_id "
+    "FROM spoilt c LEFT JOIN cur_lw cl ON c.start_url = cl.start_url AND c.chunk_id = cl.chunk_id "
     "LEFT JOIN prev_lw pl ON c.start_url = pl.start_url AND c.chunk_id = pl.chunk_id WHERE NOT coalesce("
     "CASE c.change_type WHEN 'added' THEN cl.chunk_hash IS NOT NULL AND pl.chunk_hash IS NULL AND "
     "c.chunk_hash = cl.chunk_hash WHEN 'removed' THEN cl.chunk_hash IS NULL AND pl.chunk_hash IS NOT NULL AND "

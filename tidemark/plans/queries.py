@@ -243,11 +243,8 @@ def diff_first_run(spark, sf):
 
 
 def _crawl_sites(spark, sf) -> DataFrame:
-    """Sites of the two runs, from the crawl inputs themselves (no chunking needed)."""
-    web = I.raw_pages(spark, sf, "prev").select("start_url").union(I.raw_pages(spark, sf, "cur").select("start_url"))
-    led = I.ledger_chunks(spark, sf, "prev").select("start_url").union(
-        I.ledger_chunks(spark, sf, "cur").select("start_url"))
-    return web.union(led).distinct()
+    """Sites of the two runs, from the crawl inputs themselves (no chunking needed), each table read once."""
+    return I.crawled_sites(spark, sf)
 
 
 @query("change_summary")
@@ -271,7 +268,8 @@ from ..operators import render as R  # noqa: E402
 from ..sources import state as S  # noqa: E402
 from ..sources.index_store import IndexStore  # noqa: E402
 from . import jobs as J  # noqa: E402
-from ..contract import CHANGE, CHUNK, contract_violations as _violations  # noqa: E402
+from ..contract import CHANGE, CHUNK, contract_violations as _violations, record_violations as _record_violations  # noqa: E402
+from ..operators.outbox import deliver  # noqa: E402
 
 
 def _sites(spark, sf):
@@ -375,12 +373,6 @@ def _changes(spark, sf):
     return D.diff_chunks(prev, cur)
 
 
-def _run_rows(spark, sf):
-    prev, cur = _snapshots(spark, sf)
-    prev_state = prev.select("start_url", F.lit(I.PREV_RUN_AT).alias("prev_run_at"))
-    return S.run_table(cur, prev_state, I.CUR_RUN_AT)
-
-
 @query("jsonl_chunks")
 def jsonl_chunks(spark, sf):
     c = C.chunk_pages(I.conversation_pages(spark, sf))
@@ -390,7 +382,12 @@ def jsonl_chunks(spark, sf):
 
 @query("changeset_document")
 def changeset_document(spark, sf):
-    h = D.changeset_header(_changes(spark, sf), _run_rows(spark, sf))
+    """The document heads of a run, from the manifest that its job wrote."""
+    state, commit, previous, changes = _digest_changes(spark, sf)
+    sites = state.staged_chunks(commit).select("start_url").distinct()
+    counts = D.change_summary(changes, sites.join(previous.select("start_url", F.col("run_at").alias("prev_run_at")), "start_url", "left"))
+    state.save(None, I.CUR_RUN_AT, sites, counts, commit)
+    h = J.run_document(spark, state.runs.root, I.CUR_RUN_AT)
     return h.select("run_at", "prev_run_at", "start_url", "summary.added", "summary.modified", "summary.removed")
 
 
@@ -449,6 +446,23 @@ def _fake_embed(texts):
     return [[float(ord(t[0])), float(ord(t[-1])), float(t.count(" "))] if t else [0.0, 0.0, 0.0] for t in texts]
 
 
+class _NoStore:
+    """Takes everything."""
+
+    def upsert(self, batch_id, ids, documents, metadatas):
+        pass
+
+    def delete(self, batch_id, ids):
+        pass
+
+
+@query("store_ledger")
+def store_ledger(spark, sf):
+    """The change rows sent to a store through the outbox; what its ledger records, by route."""
+    ledger = deliver(spark, _changes(spark, sf), f"{ensure_checkpoint_dir(spark)}/outbox-{uuid.uuid4().hex}", _NoStore)
+    return ledger.groupBy("route").agg(F.sum("rows").alias("rows"))
+
+
 @query("embed_changes")
 def embed_changes(spark, sf):
     e = N.embed_changes(_changes(spark, sf), _fake_embed)
@@ -547,6 +561,22 @@ def llms_full(spark, sf):
     return R.llms_full(_stored_pages(spark, sf))
 
 
+def _chunk_job(spark, sf) -> dict:
+    return J.run_chunk_job(spark, _all(spark, sf), f"{ensure_checkpoint_dir(spark)}/job-{uuid.uuid4().hex}")
+
+
+@query("job_chunk_lines")
+def job_chunk_lines(spark, sf):
+    """The chunk job's JSON lines, read back from its folder."""
+    return spark.read.text(_chunk_job(spark, sf)["chunks_jsonl"]).select(F.col("value").alias("line"))
+
+
+@query("job_site_index")
+def job_site_index(spark, sf):
+    """The lines of the chunk job's index text of every site, read back."""
+    return spark.read.schema("value string, site_key string").text(_chunk_job(spark, sf)["site_index_txt"]).select("site_key", F.col("value").alias("line"))
+
+
 # --- quality ------------------------------------------------------------------------
 
 def _yield(spark, sf):
@@ -601,6 +631,20 @@ def contract_violations(spark, sf):
     return chunks.unionByName(events)
 
 
+@query("record_violations")
+def record_violations(spark, sf):
+    """JSON lines of the conversation chunks, some of them damaged, against the chunk contract."""
+    c = C.chunk_pages(I.conversation_pages(spark, sf))
+    value = F.to_json(F.struct(*CHUNK.fieldNames()))
+    page = F.col("page_seq")
+    value = F.when(page % 5 == 0, F.replace(value, F.lit('"token_estimate":'), F.lit('"token_estimates":'))).otherwise(value)
+    value = F.when(page % 7 == 1, F.replace(value, F.concat(F.lit('"order":'), F.col("order").cast("string"), F.lit("}")), F.lit('"order":"last"}'))).otherwise(value)
+    value = F.when(page % 11 == 2, F.replace(value, F.concat(F.lit('"chunk_hash":"'), F.col("chunk_hash"), F.lit('"')), F.lit('"chunk_hash":null'))).otherwise(value)
+    lines = c.select("page_seq", "chunk_id", value.alias("value"))
+    lines = lines.withColumn("value", F.when(F.col("page_seq") % 13 == 3, F.substring("value", F.lit(1), F.length("value") - 1)).otherwise(F.col("value")))
+    return _record_violations(lines, CHUNK)
+
+
 @query("duplicate_chunk_ids")
 def duplicate_chunk_ids(spark, sf):
     return D.duplicate_chunk_ids(_all_chunks(spark, sf))
@@ -608,8 +652,12 @@ def duplicate_chunk_ids(spark, sf):
 
 @query("change_audit")
 def change_audit(spark, sf):
-    prev, cur = _snapshots(spark, sf)
-    return D.change_audit(D.diff_chunks(prev, cur), prev, cur)
+    """The change rows of two stored runs, some of them spoilt, against the runs."""
+    state, commit, previous, changes = _digest_changes(spark, sf)
+    part = F.pmod(F.length("chunk_id"), F.lit(9))
+    spoilt = changes.withColumn("change_type", F.when(part == 3, F.lit("removed")).when(part == 5, F.lit("modified")).otherwise(F.col("change_type"))) \
+        .withColumn("chunk_hash", F.when(part == 7, F.lit("sha256:0")).otherwise(F.col("chunk_hash")))
+    return D.change_audit(spoilt, state.chunks(previous), state.staged_chunks(commit))
 
 
 @query("run_id_set_diff")
