@@ -15,8 +15,10 @@ pair of them is one unit of work, and only each unit's best rows go on.
 Defined results: vectors that are null or hold null or non-finite components
 take no part; shorter vectors count as padded with zeros; rows that share the
 query's id are its own rows and no candidates; repeated rows are candidates of
-their own; ties go to the smaller id; empty tables give no rows; further
-columns are ignored.  Components whose scores could pass 63 bits raise an error.
+their own, and queries of their own with a ranking each; ties go to the smaller
+id; empty tables give no rows; further columns are ignored.  A component whose
+integer takes more than 62 bits, or a score among the best that no long holds,
+raises an error.
 """
 
 from __future__ import annotations
@@ -42,10 +44,10 @@ def quantised(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     """(vec_id, ints) of the vectors that take part."""
     v = F.transform(vector_col, lambda x: x.cast("double"))
     rows = rows.select(F.col(id_col).alias("vec_id"), v.alias("_v")).where("vec_id is not null and _v is not null")
-    fine = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float(1 << 31) / scale))
+    fine = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < float(1 << 62)))
     finite = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < math.inf))
     checked = F.when(fine, F.transform("_v", lambda x: F.floor(x * scale).cast("long"))) \
-        .otherwise(F.raise_error(F.lit("a component is too large for 63-bit scores")).cast("array<bigint>"))
+        .otherwise(F.raise_error(F.lit("a component is too large for a long")).cast("array<bigint>"))
     return rows.where(finite).select("vec_id", checked.alias("ints"))
 
 
@@ -67,7 +69,7 @@ def slices_of(ints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """rows x dims -> (bitmaps as words, lows, bits): slices of dim d are ``bits[d]`` rows, least significant first."""
     n, dims = ints.shape
     lows = ints.min(axis=0).astype(np.int64)
-    shifted = (ints - lows).astype(np.uint64)
+    shifted = ints.astype(np.uint64) - lows.astype(np.uint64)  # modulo 2**64: right for any longs
     bits = np.array([int(x).bit_length() for x in shifted.max(axis=0)], np.int64)
     words = -(-n // 64)
     maps = np.zeros((int(bits.sum()), words * 64), np.uint8)
@@ -95,7 +97,7 @@ def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
         for batch in batches:
             ids.append(batch.column(0).to_numpy(zero_copy_only=False))
-            parts.append(_matrix(batch.column(1), width).astype(np.int32))
+            parts.append(_matrix(batch.column(1), width))
             held += batch.num_rows
             if held >= block_rows:
                 yield block()
@@ -205,8 +207,6 @@ class Block:
                 for b in range(bits):
                     levels.setdefault(w + b, []).append(first + b + (self.count if sign < 0 else 0))
         slices = add_slices(self.maps, {w: np.array(x) for w, x in levels.items()})
-        if len(slices) > 62:
-            raise ValueError("a component is too large for 63-bit scores")
         live = self.live
         own = np.arange(*np.searchsorted(self.ids, [query_id, query_id + 1]))
         if len(own):
@@ -214,28 +214,32 @@ class Block:
             for i in own:
                 live[i >> 6] &= ~(np.uint64(1) << np.uint64(i & 63))
         at = top_rows(slices, live, k)
-        scores = np.full(len(at), constant, np.int64)
-        for w, s in enumerate(slices):
-            scores += (((s[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64)) << w
-        return self.ids[at], scores
+        chosen = [((s[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) for s in slices]
+        if len(slices) <= 62 and abs(constant) < 1 << 62:
+            return self.ids[at], sum((c << w for w, c in enumerate(chosen)), np.full(len(at), constant, np.int64))
+        exact = [constant + sum(int(c[i]) << w for w, c in enumerate(chosen)) for i in range(len(at))]
+        if any(not -(1 << 63) <= x < 1 << 63 for x in exact):
+            raise ValueError("a score is too large for a long")
+        return self.ids[at], np.array(exact, np.int64)
 
 
 def search(queries: DataFrame, index: DataFrame, k: int = TOP, query_block: int = QUERY_BLOCK) -> DataFrame:
     """(vec_id, ints) x index -> query_id, rank, vec_id, score: each query's k best rows."""
-    queries = stored(queries, "queries")
+    queries = stored(queries.withColumn("query_row", F.monotonically_increasing_id()), "queries")
     total, width = queries.agg(F.count(F.lit(1)), F.max(F.size("ints"))).first()
     width = max(1, width or 0)
     parts = max(1, -(-(total or 0) // query_block))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            part, ids = batch.column("part").to_numpy(), batch.column("vec_id").to_numpy()
+            part, ids, places = (batch.column(c).to_numpy() for c in ("part", "vec_id", "query_row"))
             m = _matrix(batch.column("ints"), width)
             for p in np.unique(part):
-                yield pa.RecordBatch.from_pydict({"part": [int(p)], "query_ids": [ids[part == p].tobytes()], "vectors": [m[part == p].tobytes()]})
+                mine = part == p
+                yield pa.RecordBatch.from_pydict({"part": [int(p)], "query_rows": [places[mine].tobytes()], "query_ids": [ids[mine].tobytes()], "vectors": [m[mine].tobytes()]})
 
-    dealt = queries.withColumn("part", hash_bucket(parts, "vec_id")).repartition("part")
-    packed = dealt.select("part", "vec_id", "ints").mapInArrow(pack, "part long, query_ids binary, vectors binary")
+    dealt = queries.withColumn("part", hash_bucket(parts, "query_row")).repartition("part")  # by row: equal ids are dealt, too
+    packed = dealt.select("part", "vec_id", "ints", "query_row").mapInArrow(pack, "part long, query_rows binary, query_ids binary, vectors binary")
     units = index.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))).join(packed, "part").repartition("block_id", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,11 +253,11 @@ def search(queries: DataFrame, index: DataFrame, k: int = TOP, query_block: int
                 vectors = np.frombuffer(unit["vectors"], np.int64).reshape(len(ids), width)
                 found = [block.search(int(q), v, k) for q, v in zip(ids, vectors, strict=True)]
                 sizes = [len(f[0]) for f in found]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, sizes)), pa.array(np.concatenate([f[0] for f in found])),
-                                                  pa.array(np.concatenate([f[1] for f in found]))], names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.frombuffer(unit["query_rows"], np.int64), sizes)), pa.array(np.repeat(ids, sizes)), pa.array(np.concatenate([f[0] for f in found])),
+                                                  pa.array(np.concatenate([f[1] for f in found]))], names=["query_row", "query_id", "vec_id", "score"])
 
-    best = units.mapInArrow(run, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    best = units.mapInArrow(run, "query_row long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -266,7 +270,8 @@ SQL = f"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {SCALE}) AS BIGINT)) AS e FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id % {QUERY_EVERY} = 0 AND q.vec_id <> c.vec_id)
+q AS (SELECT *, row_number() OVER () AS query_row FROM v WHERE vec_id % {QUERY_EVERY} = 0),
+s AS (SELECT q.query_row, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+      FROM q JOIN v c ON q.vec_id <> c.vec_id)
 SELECT query_id, rank, vec_id, score FROM
-  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= {TOP}"""
+  (SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= {TOP}"""
