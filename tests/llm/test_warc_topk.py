@@ -71,6 +71,37 @@ def test_damage_is_an_error():
             _read(bad, 16)
 
 
+def test_long_urls(spark):
+    rows = [(1, "http://a/" + "é" * 1_500_000, "x"), (2, "http://b/" + "\n" * 700_000, "x"), (3, "c" * 3_000_000, "y")]
+    back = {r.page_id: r for r in warc.round_trip(pages(spark, rows)).collect()}
+    assert {i: (r.payload_bytes, r.record_type, r.refers_to) for i, r in back.items()} == {1: (1, "revisit", 2), 2: (1, "response", None), 3: (1, "response", None)}
+    assert back[1].target_uri == rows[0][1] and back[2].target_uri == "http://b/" + "%0A" * 700_000 and back[3].target_uri == rows[2][1]
+
+
+def _foreign(kind, name, block, *more):
+    fields = [("WARC-Type", kind), ("WARC-Record-ID", name), ("WARC-Target-URI", "<http://w.example.org/>"), *more]
+    return warc._record(fields, block)
+
+
+def test_foreign_archives(spark, tmp_path):
+    http = ("Content-Type", "application/http;msgtype=response")
+    body = b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\nplain body"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nContent-Length: 3\r\n\r\n5\r\nhello\r\n0\r\n\r\n"
+    data = (_foreign("warcinfo", "<urn:uuid:0>", b"software: x") + _foreign("request", "<urn:uuid:1>", b"GET / HTTP/1.1\r\n", ("Content-Type", "application/http;msgtype=request"))
+            + _foreign("response", "<urn:uuid:2>", body, http) + _foreign("response", "<urn:uuid:3>", chunked, http, ("WARC-Payload-Digest", "sha1:" + "A" * 32))
+            + _foreign("revisit", "<urn:uuid:4>", b"HTTP/1.1 200 OK\r\n\r\n", http, ("WARC-Refers-To", "<urn:uuid:2>"), ("WARC-Payload-Digest", "sha256:00"))
+            + _foreign("response", "<urn:uuid:5>", b"\x00dns answer", ("Content-Type", "text/dns")) + _foreign("metadata", "<urn:uuid:6>", b"\r\n\r\n")
+            + _foreign("response", "<urn:uuid:7>", b"", http))
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    rows = {r.record_id: r for r in warc.load(spark, f"file:{tmp_path}", keep_payload=True).collect()}
+    assert set(rows) == {f"<urn:uuid:{i}>" for i in (2, 3, 4, 5, 7)} and {r.page_id for r in rows.values()} == {None}
+    assert (rows["<urn:uuid:2>"].payload, rows["<urn:uuid:2>"].payload_bytes) == (b"plain body", 10)
+    assert rows["<urn:uuid:2>"].payload_digest == base64.b32encode(hashlib.sha1(b"plain body").digest()).decode()
+    assert rows["<urn:uuid:3>"].payload_bytes == 15 and rows["<urn:uuid:5>"].payload == b"\x00dns answer"
+    assert (rows["<urn:uuid:4>"].refers_to_id, rows["<urn:uuid:4>"].refers_to, rows["<urn:uuid:4>"].payload_bytes) == ("<urn:uuid:2>", None, None)
+    assert rows["<urn:uuid:7>"].payload_bytes == 0 and {r.target_uri for r in rows.values()} == {"http://w.example.org/"}
+
+
 def test_a_lost_attempt_is_not_read(spark):
     rows = warc.with_record_types(pages(spark, [(1, "u", "one"), (2, "u", "two")]))
     records = warc.write_archives(rows)
@@ -118,9 +149,29 @@ def test_small_blocks_and_few_rows(spark):
     assert bitslice.top_k(_vectors(spark, rows).limit(0), F.lit(True)).count() == 0
 
 
-def test_too_large_components_are_refused(spark):
-    with pytest.raises(Exception, match="too large"):
-        bitslice.top_k(_vectors(spark, [(0, [1e30]), (1, [1.0])]), F.lit(True)).collect()
+def _doubles(spark, rows):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+
+
+def test_only_scores_beyond_a_long_are_refused(spark):
+    big = 2.0 ** 55                                               # an integer of 61 bits
+    rows = [(0, [big, 1 / 64]), (1, [1 / 64, 1 / 64]), (2, [-1 / 64, 1 / 64]), (3, [0.0, -big])]
+    got = bitslice.top_k(_doubles(spark, rows), F.col("vec_id") % 5 != 3, k=3)
+    assert sorted(tuple(r) for r in got.collect()) == [x for x in _best(rows, 3, 1) if x[0] != 3]
+    for wrong in ([(0, [1e30]), (1, [1.0])], [(0, [big]), (1, [big])]):
+        with pytest.raises(Exception, match="too large for a long"):
+            bitslice.top_k(_doubles(spark, wrong), F.lit(True)).collect()
+
+
+def test_repeated_queries_have_rankings_of_their_own(spark):
+    rows = [(20, [0.5, 0.25]), (20, [-0.5, 1.0]), *[(i, [i / 64, (15 - i) / 64]) for i in range(1, 16)]]
+    got = [tuple(r) for r in bitslice.top_k(_vectors(spark, rows), F.col("vec_id") == 20, k=20).collect()]
+    assert len(got) == 30 and sorted(r[1] for r in got) == sorted([*range(1, 16)] * 2)
+    want = []
+    for _, v in rows[:2]:
+        scored = sorted((-sum(int(64 * a) * int(np.floor(64 * b)) for a, b in zip(v, w, strict=True)), i) for i, w in rows[2:])
+        want += [(20, n, i, -x) for n, (x, i) in enumerate(scored, 1)]
+    assert sorted(got) == sorted(want)
 
 
 def test_digits_and_adders():

@@ -12,8 +12,15 @@ a payload is never needed whole.
 Defined results: null html is an empty payload; a null url is an empty target;
 a null page id is written as ``null`` and ranks below all ids; among equal
 payloads every row with the largest id is a response (so exact repeats of that
-row are responses too); empty tables give no archives and no rows; further
-columns are ignored.  Damaged archives raise an error that names file and record.
+row are responses too); urls of any length are written and read; empty tables
+give no archives and no rows; further columns are ignored.  Damaged archives
+raise an error that names file and record.
+
+Foreign archives: ids are text (``record_id``, ``refers_to_id``), and page ids
+where they have the writer's form; a payload's length is what the block holds,
+for a revisit what its HTTP header says, else null; digests that are missing, of
+another algorithm, or of a body with a transfer coding are not compared; records
+of other types are read over.
 """
 
 from __future__ import annotations
@@ -33,12 +40,11 @@ from .common import group_top, shared_folder, stored
 
 ARCHIVE_BYTES = 512 << 20
 READ_BYTES = 1 << 18
-HEAD_LIMIT = 1 << 20
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "path string, records long, bytes long"
 RECORDS = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
-           "target_uri string, path string, record_no long, payload binary")
+           "target_uri string, record_id string, refers_to_id string, path string, record_no long, payload binary")
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -139,11 +145,17 @@ class Member:
         return False
 
     def until(self, mark: bytes) -> bytes:
-        while (at := self.buffer.find(mark)) < 0:
-            if len(self.buffer) > HEAD_LIMIT or not self._fill():
-                raise ValueError(f"no end of header within {len(self.buffer)} bytes")
-        head, self.buffer = self.buffer[:at], self.buffer[at + len(mark):]
-        return head
+        """What stands before the mark; as long as the writer made it."""
+        head, at = bytearray(self.buffer), self.buffer.find(mark)
+        while at < 0:
+            had = len(head)
+            self.buffer = b""
+            if not self._fill():
+                raise ValueError(f"no end of header within {had} bytes")
+            head += self.buffer
+            at = head.find(mark, max(0, had - len(mark) + 1))
+        self.buffer = bytes(head[at + len(mark):])
+        return bytes(head[:at])
 
     def exactly(self, n: int) -> Iterator[bytes]:
         while n:
@@ -165,12 +177,41 @@ class Member:
 
 def _fields(head: bytes) -> dict[str, str]:
     out = {}
-    for line in head.decode("utf-8").split("\r\n")[1:]:
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
         k, _, v = line.partition(":")
         out[k.strip().lower()] = v.strip()
     return out
 
 
+def _page(name: str | None) -> int | None:
+    """The page id in a record id of the writer's form."""
+    number = (name or "").removeprefix("<urn:page:").removesuffix(">")
+    return int(number) if name and name.startswith("<urn:page:") and number != "null" else None
+
+
+class _Body:
+    """A record's block as it comes: the HTTP header apart where there is one, digests and length of the rest."""
+
+    def __init__(self, is_http: bool, keep: bool):
+        self.block, self.payload, self.n, self.kept = hashlib.sha1(), hashlib.sha1(), 0, [] if keep else None
+        self.http: dict[str, str] | None = None if is_http else {}
+        self.head = bytearray()
+
+    def add(self, piece: bytes) -> None:
+        self.block.update(piece)
+        if self.http is None:
+            had = len(self.head)
+            self.head += piece
+            at = self.head.find(b"\r\n\r\n", max(0, had - 3))
+            if at < 0:
+                return
+            self.http, piece = _fields(bytes(self.head[:at])), bytes(self.head[at + 4:])
+        self.payload.update(piece)
+        self.n += len(piece)
+        if self.kept is not None:
+            self.kept.append(piece)
+
+
 def read_records(more, keep_payload: bool = False) -> Iterator[dict]:
     """Records of one archive; ``more()`` gives its next bytes, b"" at the end."""
     rest, no = more(), 0
@@ -181,36 +222,27 @@ def read_records(more, keep_payload: bool = False) -> Iterator[dict]:
             if not head.startswith(b"WARC/1."):
                 raise ValueError("no WARC version line")
             warc = _fields(head)
-            kind, left = warc["warc-type"], int(warc["content-length"])
-            block, payload, kept, http, head_bytes = hashlib.sha1(), hashlib.sha1(), [], None, b""
-            n = 0
-            for piece in member.exactly(left):
-                block.update(piece)
-                if kind == "warcinfo":
-                    continue
-                if http is None:
-                    head_bytes += piece
-                    if (at := head_bytes.find(b"\r\n\r\n")) < 0:
-                        if len(head_bytes) > HEAD_LIMIT:
-                            raise ValueError("no end of the HTTP header")
-                        continue
-                    http, piece = _fields(head_bytes[:at]), head_bytes[at + 4:]
-                payload.update(piece)
-                n += len(piece)
-                if keep_payload:
-                    kept.append(piece)
+            kind = warc["warc-type"]
+            wanted = kind in ("response", "revisit")
+            body = _Body(wanted and warc.get("content-type", "").replace(" ", "").startswith("application/http"), wanted and keep_payload and kind == "response")
+            for piece in member.exactly(int(warc["content-length"])):
+                body.add(piece)
             rest = member.end()
-            if "warc-block-digest" in warc and warc["warc-block-digest"] != f"sha1:{_base32(block.digest())}":
+            if warc.get("warc-block-digest", "").startswith("sha1:") and warc["warc-block-digest"] != f"sha1:{_base32(body.block.digest())}":
                 raise ValueError("the block digest does not hold")
-            if kind not in ("response", "revisit"):
+            if not wanted:
                 continue
-            said, size = warc["warc-payload-digest"].removeprefix("sha1:"), int(http["content-length"])
-            if kind == "response" and (said != _base32(payload.digest()) or size != n):
-                raise ValueError("the payload digest or length does not hold")
-            name, refers = (warc.get(k, "<urn:page:null>").removeprefix("<urn:page:").removesuffix(">") for k in ("warc-record-id", "warc-refers-to"))
-            yield {"page_id": None if name == "null" else int(name), "payload_bytes": size, "payload_digest": said, "record_type": kind,
-                   "refers_to": None if refers == "null" else int(refers), "target_uri": warc.get("warc-target-uri", ""), "record_no": no,
-                   "payload": b"".join(kept) if keep_payload and kind == "response" else None}
+            http, said = body.http or {}, warc.get("warc-payload-digest", "")
+            length = http.get("content-length", "")
+            told = int(length) if length.isdigit() else None
+            if kind == "response" and "transfer-encoding" not in http:
+                if said.startswith("sha1:") and said != f"sha1:{_base32(body.payload.digest())}" or told not in (None, body.n):
+                    raise ValueError("the payload digest or length does not hold")
+            name, refers = warc.get("warc-record-id"), warc.get("warc-refers-to")
+            digest = said.removeprefix("sha1:") if said.startswith("sha1:") else _base32(body.payload.digest()) if kind == "response" else said or None
+            yield {"page_id": _page(name), "payload_bytes": body.n if kind == "response" else told, "payload_digest": digest, "record_type": kind, "refers_to": _page(refers),
+                   "target_uri": warc.get("warc-target-uri", "").removeprefix("<").removesuffix(">"), "record_id": name, "refers_to_id": refers, "record_no": no,
+                   "payload": b"".join(body.kept) if body.kept is not None else None}
             no += 1
         except (ValueError, KeyError, zlib.error) as e:
             raise ValueError(f"record {no}: {e}") from e
@@ -219,7 +251,7 @@ def read_records(more, keep_payload: bool = False) -> Iterator[dict]:
 def read_archives(manifest: DataFrame, keep_payload: bool = False, batch_records: int = 4096, batch_bytes: int = 16 << 20) -> DataFrame:
     """Page records of the archives in a manifest, one task per archive or so."""
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
-                        ("refers_to", pa.int64()), ("target_uri", pa.string()), ("path", pa.string()), ("record_no", pa.int64()), ("payload", pa.binary())])
+                        ("refers_to", pa.int64()), ("target_uri", pa.string()), ("record_id", pa.string()), ("refers_to_id", pa.string()), ("path", pa.string()), ("record_no", pa.int64()), ("payload", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
