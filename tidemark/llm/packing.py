@@ -32,7 +32,8 @@ from .common import hash_bucket, prefix_sum, stored
 CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
-BUCKETS = 256
+#: Buckets in which the pieces of one length are numbered at least, and the pieces that a bucket should hold.
+BUCKETS, BUCKET_PIECES = 256, 1 << 20
 #: Fixed value: the pattern that splits text before the merges of byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The rank coder's pattern engine steps back through white space on a stack that ends near a million characters.
@@ -207,7 +208,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "
     lengths, firsts, uses, bases, offsets = (np.array(v, np.int64)[order] for v in (lengths, firsts, uses, bases, offsets))
     starts = (lengths << 48) | firsts  # plan entries sorted by (length, first rank); bounded by capacity, not by the data
 
-    ranked = prefix_sum(pieces.withColumn("_b", hash_bucket(BUCKETS, *key_cols)), [length_col], "_b", list(key_cols), F.lit(1).cast("long"), "_rank")
+    buckets = max(BUCKETS, int(counts.max()) // BUCKET_PIECES)
+    ranked = prefix_sum(pieces.withColumn("_b", hash_bucket(buckets, *key_cols)), [length_col], "_b", list(key_cols), F.lit(1).cast("long"), "_rank")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,8 @@ from .common import hash_bucket, prefix_sum, stored
 
 SHARDS = 16
 PARTITIONS = 1024
-SUB_BUCKETS = 64
+#: Buckets in which the rows of a partition, or with 16 times as many of a shard, are ordered at least, and the rows that a bucket should hold.
+SUB_BUCKETS, BUCKET_ROWS = 64, 1 << 20
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
@@ -83,12 +84,14 @@ def shard_rows(rows: DataFrame, key_cols: list[str], shards: int = SHARDS, parti
     cuts = np.concatenate([np.zeros((partitions, 1), np.int64), np.cumsum(communication_matrix(counts, shards, seed), axis=1)], axis=1)
     matrix = spark.createDataFrame([(p, [int(x) for x in cuts[p, 1:]]) for p in range(partitions)], "_p int, _cuts array<long>")
     first = F.xxhash64(F.lit(seed + 1), *key_cols)
-    ranked = placed.withColumn("_h", first).withColumn("_sub", F.pmod(F.col("_h"), F.lit(SUB_BUCKETS)).cast("int"))
+    subs = max(SUB_BUCKETS, max(counts) // BUCKET_ROWS)
+    ranked = placed.withColumn("_h", first).withColumn("_sub", F.pmod(F.col("_h"), F.lit(subs)).cast("int"))
     ranked = prefix_sum(ranked, ["_p"], "_sub", ["_h", *key_cols], F.lit(1).cast("long"), "_i")
     dealt = (ranked.join(F.broadcast(matrix), "_p")  # bounded: partitions x shards
              .withColumn("shard", F.size(F.filter("_cuts", lambda c: c <= F.col("_i"))))
              .withColumn("_g", F.xxhash64(F.lit(seed + 2), *key_cols)).drop("_h", "_sub", "_i", "_cuts", "_p"))
-    dealt = stored(dealt.withColumn("_sub", F.pmod(F.col("_g"), F.lit(SUB_BUCKETS * 16)).cast("int")), "sharded")
+    subs = max(SUB_BUCKETS * 16, sum(counts) // shards // BUCKET_ROWS)
+    dealt = stored(dealt.withColumn("_sub", F.pmod(F.col("_g"), F.lit(subs)).cast("int")), "sharded")
     return prefix_sum(dealt, ["shard"], "_sub", ["_g", *key_cols], F.lit(1).cast("long"), "slot").drop("_g", "_sub")
 
 
