@@ -293,8 +293,10 @@ TITLE_NAMES = ("title", "dc.title", "twitter:title")
 def meta_title(html) -> Column:
     """Title of the page's metadata: ``og:title``, then a meta tag of a title's name, then a JSON-LD headline; '' without any."""
     html = _col(html)
-    code_free = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    tags = F.transform(F.regexp_extract_all(code_free, F.lit(META_PATTERN), 1), attributes)
+    uncommented = lambda t: F.regexp_replace(t, r"(?s)<!--.*?-->", "")
+    # meta tags stand before the body
+    head = F.element_at(F.split(html, r"(?i)<body\b", 2), 1)
+    tags = F.transform(F.regexp_extract_all(uncommented(head), F.lit(META_PATTERN), 1), attributes)
 
     def content(tag):
         return F.coalesce(strip_ws(tag["content"]), F.lit(""))
@@ -305,11 +307,12 @@ def meta_title(html) -> Column:
     def chosen(m):
         return F.coalesce(first(m, "property", "og:title"), *[first(m, "name", n) for n in TITLE_NAMES])
 
-    scripts = F.regexp_extract_all(code_free, F.lit(r"""(?si)<script\b[^>]*\bapplication/ld\+json\b[^>]*>(.*?)</script"""), 1)
+    scripts = F.regexp_extract_all(uncommented(html), F.lit(r"""(?si)<script\b[^>]*\bapplication/ld\+json\b[^>]*>(.*?)</script"""), 1)
     heads = F.transform(scripts, lambda j: strip_ws(F.coalesce(F.get_json_object(j, "$.headline"), F.get_json_object(j, "$[0].headline"), F.lit(""))))
     headline = F.get(F.filter(heads, lambda h: h != ""), F.lit(0))
-    named = F.when(F.regexp_like(code_free, F.lit(r"(?i)title|headline")) & F.regexp_like(code_free, F.lit(r"(?i)<meta\b")), _let(tags, chosen))
-    told = F.when(code_free.contains("ld+json"), headline)
+    # "title" as something else than the title tag
+    named = F.when(F.regexp_like(head, F.lit(r"(?i)(?<![</])title")) & F.regexp_like(head, F.lit(r"(?i)<meta\b")), _let(tags, chosen))
+    told = F.when(html.contains("ld+json"), headline)
     return F.coalesce(named, told, F.lit(""))
 
 
