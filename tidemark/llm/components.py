@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,12 +20,17 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = stored(large, "large-star")
+        # an edge gives one edge at most; equal ones go at the round's end
+        large = stored(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"), "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        edges = stored(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "small-star")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        small = large.join(least, "a").where("b <> m").select(F.col("m").alias("a"), "b").union(least.select("a", F.col("m").alias("b")))
+        small = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+        seen = Observation()
+        small = small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
+        discard(edges)
+        edges = stored(small, "small-star")
+        discard(large)
+        state = (seen.get["n"], seen.get["h"])
         if state == last:
             break
         last = state
