@@ -85,9 +85,7 @@ def main() -> None:
     sp, sc = spark.read.parquet(os.path.join(tmp, "p")), spark.read.parquet(os.path.join(tmp, "c"))
     store = X._LevelStore(spark)
     sites = store.put(X.site_globs(I.crawl_sites(spark, sf)).withColumn("respect_robots", F.lit(True)), "sites")
-    front = I.crawl_pages(spark, sf).select("start_url", "url", F.lit(1).alias("depth"),
-                                            F.struct(F.col("page_id").alias("seq"), F.lit(0).alias("pos")).alias("rank"))
-    counts = sites.select("start_url", "max_pages", F.lit(0).cast("long").alias("n"))
+    targets = I.crawl_pages(spark, sf).select("start_url", "url")
     rules = SD.robots_rules(I.crawl_robots(spark, sf), I.CRAWL_AGENT)
     cases = [
         ("extract + non-blank filter", E.pipeline_pages(raw)),
@@ -98,8 +96,8 @@ def main() -> None:
                                                                I.ledger_chunks(spark, sf, "cur"))),
         ("full text records", R.llms_full(E.pipeline_pages(raw))),
         ("comparison of two runs by id", D.run_id_set_diff(sp, sc)),
-        ("one walk level (after its range numbering was written)", X._fetch_level(front, I.crawl_responses(spark, sf), sites, rules,
-                                                                                   counts, store)),
+        ("audit of a change table", D.change_audit(D.diff_snapshots(sp, sc), sp, sc)),
+        ("what the walk may fetch: globs, robots rules, responses", X._fetchable(targets, I.crawl_responses(spark, sf), sites, rules)),
     ]
     print("# Physical plans of the headline operators\n")
     print(f"Generated by `python plans_report.py {sf}` (Spark {spark.version}, AQE on; "
