@@ -234,3 +234,27 @@ def test_existing_but_empty_state(spark):
     assert (h1.summary.added, h1.prev_run_at) == (0, None)
     h2 = run_diff_job(spark, _raw(spark, SPRING), state, os.path.join(root, "r2"), "2026-01-08T00:00:00Z").first()
     assert h2.summary.added == 4 and h2.prev_run_at == "2026-01-01T00:00:00Z"
+
+
+def test_a_diff_without_texts_shuffles_none(spark):
+    """Rows are sorted behind the shuffle only, and a count of changes moves keys, positions and hashes."""
+    prev, cur = chunks(spark, MONDAY), chunks(spark, TUESDAY)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    kinds = D.diff_chunks(prev, cur).groupBy("change_type").count()
+    assert "text#" not in "".join(x for x in plan(kinds).splitlines() if "Exchange" in x or "Project" in x)
+    below = plan(D.last_wins(cur)).split("Exchange hashpartitioning")[1]
+    assert "Sort" not in below and "Aggregate" not in below
+    assert plan(D.diff_snapshots(prev, cur)).count("Exchange hashpartitioning") == 1
+
+
+def test_diffs_keep_odd_hashes_and_null_keys(spark):
+    upper = "sha256:" + "AB" * 32
+    odd = [None, "", "md5:1", "sha256:" + "0" * 63, "sha256:" + "g" * 64, upper, upper.lower(), upper.lower() + "0", "sha256:" + "a" * 64]
+    rows = [("s", n, f"c{n}", None, None, f"t{n}", 1, h, 0) for n, h in enumerate(odd)] + [("s", 99, None, "u", ["x"], "t", 1, "h", 0)]
+    cur = spark.createDataFrame(rows, COLS)
+    assert {r.chunk_id: r.chunk_hash for r in D.last_wins(cur).collect()} == {f"c{n}": h for n, h in enumerate(odd)} | {None: "h"}
+    prev = cur.withColumn("chunk_hash", F.when(F.col("chunk_id") == "c5", F.lower("chunk_hash")).otherwise(F.col("chunk_hash")))
+    cols = ["change_type", "chunk_id", "chunk_hash", "change_side"]
+    want = sorted(map(repr, map(tuple, D.diff_chunks(prev, cur).select(cols).collect())))
+    assert want == sorted(map(repr, map(tuple, D.diff_snapshots(prev, cur).select(cols).collect())))
+    assert want == sorted(map(repr, [("modified", "c5", upper, 0), ("added", None, "h", 0), ("removed", None, "h", 1)]))
