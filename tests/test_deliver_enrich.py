@@ -130,3 +130,17 @@ def test_summarizer_factory(spark):
 
     got = {r.chunk_id: r.summary for r in N.enrich_changes(changes(spark), summarizer_factory=factory).collect()}
     assert got["shop/green"] == "made on executor: shop/green" and got["shop/dust"].startswith("Removed:")
+
+
+def test_enriching_reads_the_changes_once(spark):
+    """Removed rows pass the summarizer by in the same pass."""
+    rows = [("s", t, t, "u", ["a", "b"], "words", "h") for t in ("added", "modified", "removed", "other")]
+    changes = spark.createDataFrame(rows, "start_url string, change_type string, chunk_id string, url string, heading_path array<string>, text string, chunk_hash string")
+
+    def summarize(rec):
+        assert rec["change_type"] != "removed" and set(rec) == {"start_url", "chunk_id", "change_type", "url", "text", "chunk_hash", "heading_path_text", "heading_path"}
+        return rec["heading_path_text"], [rec["text"]]
+
+    got = N.enrich_changes(changes, summarize)
+    assert sorted((r.chunk_id, r.summary, list(r.tags)) for r in got.collect()) == [("added", "a > b", ["words"]), ("modified", "a > b", ["words"]), ("removed", "Removed: a > b", ["removed"])]
+    assert "Union" not in got._jdf.queryExecution().executedPlan().toString()
